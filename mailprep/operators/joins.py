@@ -32,7 +32,7 @@ def join_metadata(mails: DataFrame, meta: DataFrame, left_on: str = X.MAIL_KEY,
         return mails.join(meta, on(mails, meta), how)
     # the salt comes from the row itself, so a task that runs twice deals its rows the same way
     dealt = mails.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in mails.columns]), F.lit(salts)))
-    copies = meta.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    copies = meta.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     same = on(dealt, copies) & (dealt["_salt"] == copies["_copy"])
     joined = dealt.join(copies, same, "left" if how in ("left", "outer") else "inner").drop("_salt", "_copy")
     if how in ("inner", "left"):

@@ -16,8 +16,8 @@ from mailprep.functions.dialect import let, percent_text, strip
 from mailprep.operators.joins import language_names
 
 BUCKETS = 1 << 15
-MAX_LANGUAGES = 512     # 4 bytes * BUCKETS * MAX_LANGUAGES = 64 MB of weights at most
-SCALE = 1_000_000       # weights are whole millionths, so that sums do not depend on their order
+MAX_LANGUAGES = 256     # 4 bytes * BUCKETS * MAX_LANGUAGES = 32 MB of weights at most
+SCALE = 10_000          # weights are whole ten-thousandths, so that sums do not depend on their order
 
 
 def trigram_buckets(c: Column) -> Column:
@@ -34,7 +34,7 @@ def trigram_buckets(c: Column) -> Column:
 
 
 def language_model(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """Train: rows (lang, bucket, n, total, weight) with weight = ln((n + 1) / (total + BUCKETS)), in millionths."""
+    """Train: rows (lang, bucket, n, total, weight) with weight = ln((n + 1) / (total + BUCKETS)), in 1/SCALE."""
     seen = (df.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
             .select(F.col(lang_col).alias("lang"), F.explode(trigram_buckets(F.col(text_col))).alias("bucket"))
             .groupBy("lang", "bucket").agg(F.count("*").alias("n")))
@@ -71,10 +71,12 @@ def _language_code(text: Column, languages: Column) -> Column:
 
 
 def _languages(model: DataFrame) -> Column:
-    found = model.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
-    if found > MAX_LANGUAGES:
+    """The weights as one constant. Its size is bounded: the number of languages is checked, the buckets are fixed."""
+    if model.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages in the model")
-    return _weight_arrays(model).scalar()
+    arrays = _weight_arrays(model)
+    text = arrays.select(F.to_json("languages")).first()[0]
+    return F.from_json(F.lit(text), arrays.schema["languages"].dataType)
 
 
 def detect_language(df: DataFrame, model: DataFrame, text_col: str = X.CLEAN_BODY,

@@ -21,11 +21,12 @@ def encoding_census(spark: SparkSession, glob: str, sample_bytes: int = X.ENCODI
     for shorter in cut[1:]:
         valid = valid | ((F.col("length") > sample_bytes) & F.is_valid_utf8(shorter.cast("string")))
     ascii_only = valid & (F.char_length(F.col("head").cast("string")) == F.octet_length("head"))
-    guess = F.when(F.col("length") == 0, F.struct(F.lit(None).cast("string").alias("encoding"),
-                                                  F.lit(0.0).alias("confidence")))
+    def answer(encoding: str | None, confidence: float):
+        return F.struct(F.lit(encoding).cast("string").alias("encoding"), F.lit(confidence).alias("confidence"))
+
+    guess = F.when(F.col("length") == 0, answer(None, 0.0))
     for mark, name in MARKS:
-        guess = guess.when(F.startswith(F.hex("head"), F.lit(mark)), F.struct(F.lit(name), F.lit(1.0)))
-    guess = (guess.when(ascii_only, F.struct(F.lit("ascii"), F.lit(1.0)))
-             .when(valid, F.struct(F.lit("utf-8"), F.lit(0.99)))
-             .otherwise(F.struct(F.lit("Windows-1252"), F.lit(0.73))))
+        guess = guess.when(F.startswith(F.hex("head"), F.lit(mark)), answer(name, 1.0))
+    guess = guess.when(ascii_only, answer("ascii", 1.0)).when(valid, answer("utf-8", 0.99)).otherwise(
+        answer("Windows-1252", 0.73))
     return files.select("path", guess.alias("g")).select("path", "g.encoding", "g.confidence")
