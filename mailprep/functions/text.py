@@ -173,15 +173,15 @@ def clean_crlf(c: Column | str) -> Column:
     return F.coalesce(strip(F.translate(col(c), "\n\r", "  ")), F.lit(""))
 
 
-# seven or more words with a space after each, then a last word that ends the sentence
-_FULL_SENTENCE = regex(rf"\A(?:\S++\s++){{{X.MIN_SENTENCE_WORDS - 1},}}+\S*[.!?]\z", "u")
-
-
 def last_valid_sentence(c: Column | str) -> Column:
     """The last sentence of eight or more words that ends in . ! or ?; else the first twenty words."""
+    def full(sentence: Column) -> Column:
+        ends = F.right(sentence, F.lit(1)).isin(".", "!", "?")
+        return ends & (F.size(words(sentence, X.MIN_SENTENCE_WORDS)) >= X.MIN_SENTENCE_WORDS)
+
     def choose(text: Column) -> Column:
-        sentences = F.split(text, regex(rf"\s(?<=[.!?][{SPACE}])\s*+", "u"))
-        return F.coalesce(F.try_element_at(F.filter(sentences, lambda s: s.rlike(_FULL_SENTENCE)), F.lit(-1)),
+        sentences = F.filter(F.split(text, regex(r"(?<=[.!?])\s+", "u")), full)
+        return F.coalesce(F.try_element_at(sentences, F.lit(-1)),
                           F.array_join(words(text, X.FALLBACK_WORDS), " "), F.lit(""))
 
     return let(strip(col(c)), choose)

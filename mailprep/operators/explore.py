@@ -142,7 +142,9 @@ def match_spans(df: DataFrame, key: str, query: str, regex: bool = False, column
         return df.select(key, F.lit(0).alias("start"), F.lit(0).alias("end")).limit(0)
     opening, closing = "\ufdd0", "\ufdd1"  # code points that no text may contain
     pattern = _checked(query) if regex else "(?iu)" + re.escape(query)
-    pieces = F.split(F.regexp_replace(column, pattern, f"{opening}$0{closing}"), opening)
+    marked = F.replace(F.regexp_replace(column, pattern, f"{opening}$0{closing}"),
+                       F.lit(opening + closing), F.lit(""))  # drop empty hits
+    pieces = F.split(marked, opening)
     lengths = F.transform(pieces, lambda p: F.struct(
         (F.greatest(F.instr(p, closing), F.lit(1)) - 1).alias("hit"),
         (F.char_length(p) - F.when(F.contains(p, F.lit(closing)), 1).otherwise(0)).alias("all")))

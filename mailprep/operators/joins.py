@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailprep import fixed as X
+from mailprep.session import small_table
 
 HOWS = ("inner", "left", "right", "outer")
 
@@ -47,7 +48,8 @@ def language_table(spark: SparkSession, extra: dict[str, str] | None = None) ->
     """(code, name) for two-letter and three-letter codes; ``extra`` adds codes outside the built-in list."""
     rows = [line.split(" ", 2) for line in X.LANGUAGES.strip().splitlines()]
     names = {three: name for _, three, name in rows} | {two: name for two, _, name in rows} | (extra or {})
-    return spark.createDataFrame(sorted(names.items()), "code string, lang_name string")
+    return small_table(spark, [{"code": c, "lang_name": n} for c, n in sorted(names.items())],
+                       "code: string, lang_name: string")
 
 
 def language_names(df: DataFrame, code_col: str = "Language", name_col: str = "LangName",

@@ -20,24 +20,35 @@ MAX_LANGUAGES = 256     # 4 bytes * BUCKETS * MAX_LANGUAGES = 32 MB of weights a
 SCALE = 10_000          # weights are whole ten-thousandths, so that sums do not depend on their order
 
 
-def trigram_buckets(c: Column) -> Column:
-    """The bucket of every letter trigram of a text, in order; words are parted by single spaces."""
-    plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}]+", " ")), F.lit(" "))
-    points = F.transform(F.split(plain, ""), F.ascii)
+def _plain(c: Column) -> Column:
+    """Lower-case letters only; every other run becomes one space."""
+    return F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}]+", " "))
+
+
+def trigram_buckets(plain: Column) -> Column:
+    """The bucket of every trigram of plain words, each word with a space before and after it."""
+    points = F.transform(F.split(F.concat(F.lit(" "), plain, F.lit(" ")), ""), F.ascii)
 
     def grams(p: Column) -> Column:
-        three = F.transform(F.slice(p, F.lit(1), F.size(p) - 2),
-                            lambda a, i: (a * 961 + F.get(p, i + 1) * 31 + F.get(p, i + 2)) % BUCKETS)
-        return F.when(F.size(p) >= 3, three).otherwise(F.array().cast("array<int>"))
+        def bucket(first: Column, i: Column) -> Column:
+            middle = F.get(p, i + 1)  # a space in the middle would span two words
+            return F.when(middle != ord(" "), (first * 961 + middle * 31 + F.get(p, i + 2)) % BUCKETS)
+
+        return F.when(F.size(p) >= 3, F.array_compact(F.transform(F.slice(p, F.lit(1), F.size(p) - 2), bucket)))
 
-    return let(points, grams)
+    return F.coalesce(let(points, grams), F.array().cast("array<int>"))
 
 
 def language_model(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """Train: rows (lang, bucket, n, total, weight) with weight = ln((n + 1) / (total + BUCKETS)), in 1/SCALE."""
-    seen = (df.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-            .select(F.col(lang_col).alias("lang"), F.explode(trigram_buckets(F.col(text_col))).alias("bucket"))
-            .groupBy("lang", "bucket").agg(F.count("*").alias("n")))
+    """Train: rows (lang, bucket, n, total, weight) with weight = ln((n + 1) / (total + BUCKETS)), in 1/SCALE.
+
+    Words are counted first, so that the trigrams of a word are made once and not at each of its places.
+    """
+    words = (df.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+             .select(F.col(lang_col).alias("lang"), F.explode(F.split(_plain(F.col(text_col)), " ")).alias("word"))
+             .groupBy("lang", "word").agg(F.count("*").alias("n")))
+    seen = (words.select("lang", "n", F.explode(trigram_buckets(F.col("word"))).alias("bucket"))
+            .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     total = F.sum("n").over(Window.partitionBy("lang"))  # at most BUCKETS rows per language
     return seen.withColumn("total", total).withColumn("weight", _weight(F.col("n"), F.col("total")))
 
@@ -67,7 +78,7 @@ def _language_code(text: Column, languages: Column) -> Column:
             (-i).alias("first"), one["lang"].alias("lang")))
         return F.when(F.size(grams) > 0, F.array_max(scored)["lang"]).otherwise(X.UNKNOWN_CODE)
 
-    return let(trigram_buckets(tx.last_valid_sentence(tx.clean_crlf(text))), best)
+    return let(trigram_buckets(_plain(tx.last_valid_sentence(tx.clean_crlf(text)))), best)
 
 
 def _languages(model: DataFrame) -> Column:

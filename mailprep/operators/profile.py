@@ -1,18 +1,19 @@
 """Table profiles.
 
 Counting distinct values of mail bodies by value would shuffle the bodies themselves. All counts here work on one
-long table (column, digest of the value), so that a row costs a few dozen bytes however long its texts are; the
-few values a report shows are fetched by digest afterwards.
+long table (column, short stand-in of the value), so that a row costs a few dozen bytes however long its texts
+are; the few values a report shows are fetched by stand-in afterwards.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailprep import fixed as X
 from mailprep.operators.ranks import SKETCH_ACCURACY, quantiles
+from mailprep.session import small_table
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -27,9 +28,14 @@ def _values(df: DataFrame, columns: list[str], as_type: str = "string") -> DataF
     return typed.unpivot([], list(columns), "column", "value")
 
 
+def _digest(value: str) -> Column:
+    """A short stand-in for a value: itself up to 32 characters, else its MD5 behind a sign that makes it longer."""
+    return F.when(F.char_length(value) <= 32, F.col(value)).otherwise(F.concat(F.lit("#"), F.md5(value)))
+
+
 def _counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """The long count table (column, digest, count); nulls have no digest."""
-    return _values(df, columns).groupBy("column", F.md5("value").alias("digest")).count()
+    return _values(df, columns).groupBy("column", _digest("value").alias("digest")).count()
 
 
 def _summary(counts: DataFrame) -> DataFrame:
@@ -44,7 +50,7 @@ def _summary(counts: DataFrame) -> DataFrame:
 def _with_top(df: DataFrame, summary: DataFrame, columns: list[str]) -> DataFrame:
     """Add the value behind ``top_digest``. The broadcast side has one row per column of the table."""
     wanted = summary.select(F.col("column").alias("c"), "top_digest").filter("top_digest IS NOT NULL")
-    tops = (_values(df, columns).withColumn("digest", F.md5("value"))
+    tops = (_values(df, columns).withColumn("digest", _digest("value"))
             .join(F.broadcast(wanted), (F.col("column") == F.col("c")) & (F.col("digest") == F.col("top_digest")))
             .groupBy("column").agg(F.min("value").alias("top")))
     return summary.join(F.broadcast(tops), "column", "left")
@@ -55,7 +61,8 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def column_types(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame(df.dtypes, "column string, type string")
+    return small_table(df.sparkSession, [{"column": c, "type": t} for c, t in df.dtypes],
+                       "column: string, type: string")
 
 
 def null_counts(df: DataFrame) -> DataFrame:

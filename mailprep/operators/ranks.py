@@ -5,6 +5,9 @@ A quantile sketch with a known error brackets the wanted position; only rows ins
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add, or_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,27 +40,31 @@ def row_at(df: DataFrame, key: str, k: int, direct_rows: int = DIRECT_ROWS) -> D
 def quantiles(values: DataFrame, shares: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Exact linear quantiles of a long table (column, value): rows (column, share, quantile).
 
-    Two passes. The first sketches all columns together. In the second every value below a bracket counts
-    as one, equal values collapse before the shuffle, and only values inside a bracket are ordered.
+    Two passes. The first sketches all columns together. The second keeps apart only the values that lie in a
+    bracket; all others just count as the gap between brackets they fall into. Equal values collapse before the
+    shuffle, so neither a hot value nor a wide column grows a task.
     """
     points = [p for s in shares for p in _bracket(s)]
-    marks = (values.groupBy("column")
-             .agg(F.count("value").alias("rows"), F.percentile_approx("value", points, SKETCH_ACCURACY).alias("b"))
-             .select("column", "rows", F.explode(F.array(*[
-                 F.struct(F.lit(s).alias("share"), F.col("b")[2 * i].alias("low"), F.col("b")[2 * i + 1].alias("high"))
-                 for i, s in enumerate(shares)])).alias("m"))
-             .groupBy("column").agg(F.first("rows").alias("rows"), F.collect_list("m").alias("marks")))
-    # one row per column of the input table, so the broadcast is bounded by the schema
-    counted = (values.filter(F.col("value").isNotNull())
-               .join(F.broadcast(marks), "column")
-               .select("column", "rows", "value", F.explode("marks").alias("m"))
-               .filter(F.col("value") <= F.col("m.high"))
-               .groupBy("column", "rows", F.col("m.share").alias("share"),
-                        F.when(F.col("value") >= F.col("m.low"), F.col("value")).alias("value"))
+    marks = values.groupBy("column").agg(F.count("value").alias("rows"),
+                                         F.percentile_approx("value", points, SKETCH_ACCURACY).alias("b"))
+    v, lows, highs = F.col("value"), *([F.col("b")[2 * i + j] for i in range(len(shares))] for j in (0, 1))
+    inside = reduce(or_, [v.between(lo, hi) for lo, hi in zip(lows, highs)])
+    gap = reduce(add, [F.when(v > hi, 1).otherwise(0) for hi in highs])
+    # the broadcast side has one row per column of the profiled table
+    counted = (values.filter(v.isNotNull()).join(F.broadcast(marks), "column")
+               .groupBy("column", "rows", "b", F.when(inside, v).alias("value"), F.when(~inside, gap).alias("gap"))
                .count())
+    by_share = counted.select("*", F.explode(F.array(*[
+        F.struct(F.lit(s).alias("share"), F.lit(i).alias("i"), lo.alias("low"), hi.alias("high"))
+        for i, (s, lo, hi) in enumerate(zip(shares, lows, highs))])).alias("m"))
+    # everything below the bracket becomes one null, which sorts first and starts the running count
+    kept = (by_share.filter((v <= F.col("m.high")) | (F.col("gap") <= F.col("m.i")))
+            .groupBy("column", "rows", F.col("m.share").alias("share"),
+                     F.when(v >= F.col("m.low"), v).alias("value"))
+            .agg(F.sum("count").alias("count")))
     upto = Window.partitionBy("column", "share").orderBy(F.col("value").asc_nulls_first())
     at = (F.col("rows") - 1) * F.col("share")
-    return (counted.withColumn("upto", F.sum("count").over(upto))
+    return (kept.withColumn("upto", F.sum("count").over(upto))
             .groupBy("column", "rows", "share")
             .agg(F.min(F.when(F.col("upto") > F.floor(at), F.col("value"))).alias("v0"),
                  F.min(F.when(F.col("upto") > F.floor(at) + 1, F.col("value"))).alias("v1"))

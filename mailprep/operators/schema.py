@@ -12,6 +12,7 @@ from mailprep import fixed as X
 from mailprep.functions import text as tx
 from mailprep.functions.dialect import strip
 from mailprep.operators.ranks import row_at
+from mailprep.session import small_table
 
 
 def normalize_nulls(df: DataFrame, tokens: Sequence[str] = X.EMPTY_TOKENS) -> DataFrame:
@@ -23,7 +24,7 @@ def normalize_nulls(df: DataFrame, tokens: Sequence[str] = X.EMPTY_TOKENS) -> Da
     return df.select([cell(f) for f in df.schema])
 
 
-def _filled(df: DataFrame, columns: list[str]) -> set[str]:
+def filled_columns(df: DataFrame, columns: list[str]) -> set[str]:
     """Those of ``columns`` that hold a value."""
     if not columns:
         return set()
@@ -35,8 +36,8 @@ def _filled(df: DataFrame, columns: list[str]) -> set[str]:
 def _all_null(df: DataFrame, probe_rows: int = 1000) -> list[str]:
     """Columns without any value. A few rows already clear most columns, so that the pass over the whole
     table reads only the columns still in doubt."""
-    doubtful = [c for c in df.columns if c not in _filled(df.limit(probe_rows), df.columns)] if df.columns else []
-    filled = _filled(df, doubtful)
+    doubtful = [c for c in df.columns if c not in filled_columns(df.limit(probe_rows), df.columns)] if df.columns else []
+    filled = filled_columns(df, doubtful)
     return [c for c in doubtful if c not in filled]
 
 
@@ -49,7 +50,7 @@ def drop_all_null_columns(df: DataFrame) -> DataFrame:
 
 def find_all_null_columns(df: DataFrame) -> DataFrame:
     """The names of the columns that hold no value, as a table."""
-    return df.sparkSession.createDataFrame([(c,) for c in _all_null(df)], "column string")
+    return small_table(df.sparkSession, [{"column": c} for c in _all_null(df)], "column: string")
 
 
 def drop_duplicate_columns(df: DataFrame) -> DataFrame:

@@ -263,7 +263,8 @@ SELECT round((SELECT avg(CASE WHEN "TrueLabel" = "PredictedLabel" THEN 1.0::DOUB
 
 def grams(source: str, carry: str, x: str) -> str:
     plain = f"' ' || trim(regexp_replace(lower({x}), '[^\\p{{L}}]+', ' ', 'g')) || ' '"
-    return f"""SELECT {carry}, unnest(list_transform(range(1, len(p) - 1), lambda i: (p[i] * 961 + p[i + 1] * 31 + p[i + 2]) % 32768)) AS bucket
+    return f"""SELECT {carry}, unnest(list_transform(list_filter(range(1, len(p) - 1), lambda i: p[i + 1] <> 32),
+  lambda i: (p[i] * 961 + p[i + 1] * 31 + p[i + 2]) % 32768)) AS bucket
  FROM (SELECT {carry}, list_transform(string_split({plain}, ''), lambda c: unicode(c)) AS p FROM {source})"""
 
 
@@ -302,7 +303,7 @@ LABELLED_COLUMNS = ["id", "body", "priority", "Language", "complaint_type", "Lan
 
 CATEGORICAL = f"""WITH {VIEWS}, long AS MATERIALIZED ({long_table('mails', MAIL_TEXTS)}),
 groups AS (SELECT "column", v, count(*) AS c FROM long WHERE v IS NOT NULL GROUP BY 1, 2),
-tops AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY c DESC, md5(v)) AS r FROM groups) WHERE r = 1)
+tops AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY c DESC, CASE WHEN length(v) <= 32 THEN v ELSE concat('#', md5(v)) END) AS r FROM groups) WHERE r = 1)
 SELECT l."column", count(l.v) AS count, count(DISTINCT l.v) AS "unique", any_value(t.v) AS top, any_value(t.c) AS freq
 FROM long l LEFT JOIN tops t ON l."column" = t."column" GROUP BY 1"""
 
@@ -312,7 +313,7 @@ FROM ({long_table('lineitem', LINE_NUMBERS, 'DOUBLE')}) GROUP BY 1"""
 
 PROFILE = f"""WITH {VIEWS}, {LABELLED}, long AS MATERIALIZED ({long_table('labelled', LABELLED_COLUMNS)}),
 groups AS (SELECT "column", v, count(*) AS c FROM long WHERE v IS NOT NULL GROUP BY 1, 2),
-tops AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY c DESC, md5(v)) AS r FROM groups) WHERE r = 1),
+tops AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY c DESC, CASE WHEN length(v) <= 32 THEN v ELSE concat('#', md5(v)) END) AS r FROM groups) WHERE r = 1),
 domains AS (SELECT "column", string_agg(v, '|' ORDER BY v) AS values FROM groups GROUP BY 1 HAVING count(*) < 30),
 base AS (SELECT "column", count(v) AS count, count(*) - count(v) AS nulls, count(DISTINCT v) AS "distinct", count(*) AS rows FROM long GROUP BY 1)
 SELECT b."column", b.count, b.nulls, b."distinct", t.c AS freq, t.v AS top, d.values,

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mailprep import fixed as X
 from mailprep.operators import schema as C
@@ -11,12 +14,25 @@ from mailprep.operators.language import detect_language
 from mailprep.sources.delimited import read_delimited
 
 
-def merge(mails: DataFrame, meta: DataFrame) -> DataFrame:
-    """Prune empty and repeated columns, join mails to their case, derive the complaint label."""
+def merge(mails: DataFrame, meta: DataFrame, wanted: Sequence[str]) -> DataFrame:
+    """Prune empty and repeated columns, join mails to their case, derive the complaint label.
+
+    A column that loses its last value in the join is dropped as well. To know, only flags go through a join of
+    their own, never the texts.
+    """
     mails = C.drop_duplicate_columns(C.drop_all_null_columns(mails))
     meta = C.prefix_columns(C.drop_duplicate_columns(C.drop_all_null_columns(meta)))
+    if X.BODY not in mails.columns:
+        raise ValueError(f"column {X.BODY!r} not found")
+    kept = [c for c in wanted if c in (*mails.columns, *meta.columns)]
+    marked = join_metadata(_flags(mails, X.MAIL_KEY, kept), _flags(meta, X.META_KEY, kept))
+    filled = C.filled_columns(marked, [f"has_{c}" for c in kept])
     merged = C.derive_complaint_label(join_metadata(mails, meta))
-    return C.drop_duplicate_columns(merged)
+    return merged.select([c for c in wanted if c == X.COMPLAINT or f"has_{c}" in filled])
+
+
+def _flags(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    return df.select(key, *[F.when(F.col(c).isNotNull(), 1).alias(f"has_{c}") for c in columns if c in df.columns])
 
 
 def prepare(mails: DataFrame, meta: DataFrame, model: DataFrame | None = None, keep: tuple[str, ...] = (),
@@ -24,10 +40,10 @@ def prepare(mails: DataFrame, meta: DataFrame, model: DataFrame | None = None, k
     """The cleaned snapshot: merge, clean the bodies, drop short mails, detect languages when given a model.
 
     ``keep`` carries further columns along, such as a unique mail key for splitting. Bodies are cleaned and judged
-    where the join leaves them; only the pruned columns of the mails cross the network.
+    where the join leaves them; only the wanted columns of the mails cross the network.
     """
-    kept = C.drop_all_null_columns(C.select_existing(merge(mails, meta), [*keep, *X.KEPT_COLUMNS]))
-    cleaned = C.with_clean_text(C.with_body_text(C.select_existing(kept, kept.columns)))
+    merged = C.select_existing(merge(mails, meta, [*keep, *X.KEPT_COLUMNS]), [*keep, *X.KEPT_COLUMNS])
+    cleaned = C.with_clean_text(C.with_body_text(merged))
     long_enough = C.filter_short(cleaned, threshold=threshold)  # before the languages: fewer rows to judge
     return long_enough if model is None else detect_language(long_enough, model)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+TASKS_PER_CORE = 4
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -48,4 +50,10 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     Give it a plain scan: one file with a single row group is one task, and text work is CPU-bound.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    # a few tasks per core, because long texts make uneven tasks
+    return df.repartition(TASKS_PER_CORE * cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def small_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A few fixed rows as a table, made inside the JVM."""
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
