@@ -11,6 +11,7 @@ from mailprep import fixed as X
 from mailprep.functions import text as tx
 from mailprep.operators.ranks import row_at
 
+_BETWEEN_CHARACTERS = r"(?![\x{dc00}-\x{dfff}])"  # Java would also try the middle of a surrogate pair
 ALL = "<All>"
 MISSING = "<Missing>"
 
@@ -142,7 +143,9 @@ def match_spans(df: DataFrame, key: str, query: str, regex: bool = False, column
         return df.select(key, F.lit(0).alias("start"), F.lit(0).alias("end")).limit(0)
     opening, closing = "\ufdd0", "\ufdd1"  # code points that no text may contain
     pattern = _checked(query) if regex else "(?iu)" + re.escape(query)
-    marked = F.replace(F.regexp_replace(column, pattern, f"{opening}$0{closing}"),
+    flags, body = pattern.split(")", 1)
+    whole = rf"{flags}){_BETWEEN_CHARACTERS}(?:{body})"  # an empty hit must not fall inside a character
+    marked = F.replace(F.regexp_replace(column, whole, f"{opening}$0{closing}"),
                        F.lit(opening + closing), F.lit(""))  # drop empty hits
     pieces = F.split(marked, opening)
     lengths = F.transform(pieces, lambda p: F.struct(

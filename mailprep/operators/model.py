@@ -10,6 +10,7 @@ from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from mailprep import fixed as X
 from mailprep.functions import text as tx
@@ -25,16 +26,30 @@ def _tokens(df: DataFrame, text_col: str) -> DataFrame:
     return df.withColumn("tokens", words(F.lower(tx.truncate_tokens(text_col))))
 
 
+def _weighted(train: DataFrame) -> DataFrame:
+    """The training rows with the balanced weight of their class."""
+    weights = broadcast_if_small(class_weights(train).select("label", "weight"), MAX_CLASSES)
+    return train.join(weights, "label").withColumn("label", F.col("label").cast("double"))
+
+
+def _featurizer(train: DataFrame, features: int) -> PipelineModel:
+    steps = [HashingTF(inputCol="tokens", outputCol="counts", numFeatures=features),
+             IDF(inputCol="counts", outputCol="features")]
+    return Pipeline(stages=steps).fit(train)
+
+
+def _classifier(num_classes: int, max_iter: int, reg_param: float) -> LogisticRegression:
+    return LogisticRegression(labelCol="label", weightCol="weight", maxIter=max_iter, regParam=reg_param,
+                              family="binomial" if num_classes == 2 else "multinomial")
+
+
 def train_classifier(train: DataFrame, num_classes: int, text_col: str = X.CLEAN_BODY, max_iter: int = 20,
                      reg_param: float = X.WEIGHT_DECAY, features: int = FEATURES) -> PipelineModel:
     """A class-weighted linear classifier over hashed word counts."""
-    weights = broadcast_if_small(class_weights(train).select("label", "weight"), MAX_CLASSES)
-    rows = _tokens(train, text_col).join(weights, "label")
-    steps = [HashingTF(inputCol="tokens", outputCol="counts", numFeatures=features),
-             IDF(inputCol="counts", outputCol="features"),
-             LogisticRegression(labelCol="label", weightCol="weight", maxIter=max_iter, regParam=reg_param,
-                                family="binomial" if num_classes == 2 else "multinomial")]
-    return Pipeline(stages=steps).fit(rows.withColumn("label", F.col("label").cast("double")))
+    rows = _tokens(_weighted(train), text_col)
+    featurizer = _featurizer(rows, features)
+    return PipelineModel(featurizer.stages + [_classifier(num_classes, max_iter, reg_param)
+                                              .fit(featurizer.transform(rows))])
 
 
 def argmax(scores: Column | str) -> Column:
@@ -84,23 +99,31 @@ def classification_metrics(pred: DataFrame, num_classes: int) -> DataFrame:
 
 
 def select_best(train: DataFrame, val: DataFrame, num_classes: int, text_col: str = X.CLEAN_BODY,
-                rounds: Iterable[int] = (5, 10, 20, 40), metric: str = "f1",
-                reg_param: float = X.WEIGHT_DECAY) -> tuple[PipelineModel, list[tuple[int, float]]]:
+                rounds: Iterable[int] = (5, 10, 20, 40), metric: str = "f1", reg_param: float = X.WEIGHT_DECAY,
+                features: int = FEATURES) -> tuple[PipelineModel, list[tuple[int, float]]]:
     """Train for a growing number of iterations and keep the model with the best validation score.
 
-    Stops after two rounds in a row without progress. Returns the model and (iterations, score) per round.
+    Features are made once for all rounds. Stops after two rounds in a row without progress. Returns the model and
+    (iterations, score) per round.
     """
+    rows = _tokens(_weighted(train), text_col)
+    featurizer = _featurizer(rows, features)
+    ready = featurizer.transform(rows).select("label", "weight", "features").persist(StorageLevel.MEMORY_AND_DISK)
     best, best_value, stale, history = None, float("-inf"), 0, []
-    for iterations in rounds:
-        model = train_classifier(train, num_classes, text_col, iterations, reg_param)
-        value = classification_metrics(score(model, val, text_col), num_classes).first()[metric] or 0.0
-        history.append((iterations, value))
-        if value > best_value:
-            best, best_value, stale = model, value, 0
-        else:
-            stale += 1
-            if stale == PATIENCE:
-                break
+    try:
+        for iterations in rounds:
+            fitted = _classifier(num_classes, iterations, reg_param).fit(ready)
+            model = PipelineModel(featurizer.stages + [fitted])
+            value = classification_metrics(score(model, val, text_col), num_classes).first()[metric] or 0.0
+            history.append((iterations, value))
+            if value > best_value:
+                best, best_value, stale = model, value, 0
+            else:
+                stale += 1
+                if stale == PATIENCE:
+                    break
+    finally:
+        ready.unpersist()
     return best, history
 
 

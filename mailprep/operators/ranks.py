@@ -45,28 +45,36 @@ def quantiles(values: DataFrame, shares: tuple[float, ...] = (0.25, 0.5, 0.75))
     shuffle, so neither a hot value nor a wide column grows a task.
     """
     points = [p for s in shares for p in _bracket(s)]
-    marks = values.groupBy("column").agg(F.count("value").alias("rows"),
-                                         F.percentile_approx("value", points, SKETCH_ACCURACY).alias("b"))
-    v, lows, highs = F.col("value"), *([F.col("b")[2 * i + j] for i in range(len(shares))] for j in (0, 1))
-    inside = reduce(or_, [v.between(lo, hi) for lo, hi in zip(lows, highs)])
-    gap = reduce(add, [F.when(v > hi, 1).otherwise(0) for hi in highs])
-    # the broadcast side has one row per column of the profiled table
-    counted = (values.filter(v.isNotNull()).join(F.broadcast(marks), "column")
-               .groupBy("column", "rows", "b", F.when(inside, v).alias("value"), F.when(~inside, gap).alias("gap"))
-               .count())
-    by_share = counted.select("*", F.explode(F.array(*[
-        F.struct(F.lit(s).alias("share"), F.lit(i).alias("i"), lo.alias("low"), hi.alias("high"))
-        for i, (s, lo, hi) in enumerate(zip(shares, lows, highs))])).alias("m"))
-    # everything below the bracket becomes one null, which sorts first and starts the running count
-    kept = (by_share.filter((v <= F.col("m.high")) | (F.col("gap") <= F.col("m.i")))
-            .groupBy("column", "rows", F.col("m.share").alias("share"),
-                     F.when(v >= F.col("m.low"), v).alias("value"))
-            .agg(F.sum("count").alias("count")))
-    upto = Window.partitionBy("column", "share").orderBy(F.col("value").asc_nulls_first())
+    sketch = F.percentile_approx("value", points, SKETCH_ACCURACY)
+    n = range(len(shares))
+    marks = values.groupBy("column").agg(F.count("value").alias("rows"), sketch.alias("b")).select(
+        "column", "rows", *[F.col("b")[2 * i].alias(f"low{i}") for i in n],
+        *[F.col("b")[2 * i + 1].alias(f"high{i}") for i in n])
+    marks = F.broadcast(marks)  # one row per column of the profiled table
+    v = F.col("value")
+    inside = reduce(or_, [v.between(F.col(f"low{i}"), F.col(f"high{i}")) for i in n])
+    gap = reduce(add, [F.when(v > F.col(f"high{i}"), 1).otherwise(0) for i in n])
+    counted = (values.filter(v.isNotNull()).join(marks, "column")
+               .groupBy("column", F.when(inside, v).alias("value"), F.when(~inside, gap).alias("gap"))
+               .agg(F.count("*").alias("count"), F.min("value").alias("least"), F.max("value").alias("most")))
+    by_share = counted.join(marks, "column").select(
+        "column", "rows", "value", "gap", "count", "least", "most",
+        F.explode(F.array(*[F.struct(F.lit(s).alias("share"), F.lit(i).alias("i"), F.col(f"low{i}").alias("low"),
+                                     F.col(f"high{i}").alias("high")) for i, s in enumerate(shares)])).alias("m"))
+    # per share: one row for all that lies below the bracket, one per value inside, one for all above
+    below = (v < F.col("m.low")) | (F.col("gap") <= F.col("m.i"))
+    above = (v > F.col("m.high")) | (F.col("gap") > F.col("m.i"))
+    zoned = by_share.withColumn("zone", F.when(below, 0).when(above, 2).otherwise(1))
+    kept = (zoned.groupBy("column", "rows", F.col("m.share").alias("share"), "zone",
+                          F.when(F.col("zone") == 1, v).alias("value"))
+            .agg(F.sum("count").alias("count"), F.min("least").alias("least"), F.max("most").alias("most")))
+    upto = Window.partitionBy("column", "share").orderBy("zone", "value")
     at = (F.col("rows") - 1) * F.col("share")
+    # the wanted pair may reach one row beyond the bracket on either side
+    here = F.when(F.col("zone") == 0, F.col("most")).otherwise(F.col("least"))
     return (kept.withColumn("upto", F.sum("count").over(upto))
             .groupBy("column", "rows", "share")
-            .agg(F.min(F.when(F.col("upto") > F.floor(at), F.col("value"))).alias("v0"),
-                 F.min(F.when(F.col("upto") > F.floor(at) + 1, F.col("value"))).alias("v1"))
+            .agg(F.min(F.when(F.col("upto") > F.floor(at), here)).alias("v0"),
+                 F.min(F.when(F.col("upto") > F.floor(at) + 1, here)).alias("v1"))
             .select("column", "share", (F.col("v0") + (at - F.floor(at))
                                         * (F.coalesce("v1", "v0") - F.col("v0"))).alias("quantile")))

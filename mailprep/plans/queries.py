@@ -485,8 +485,9 @@ def d6_class_weights(spark, sf):
 # --- models ---------------------------------------------------------------------------------------------------------------
 
 def model_parts(spark, sf):
-    rows = D.binary_dataset(complaints(spark, sf), "clean", "complaint", keep=("id",))
-    parts = saved(D.split_dataset(rows, "id"), "split")
+    rows = saved(D.binary_dataset(complaints(spark, sf), "clean", "complaint", keep=("id",)), "rows")
+    parts = D.split_dataset(rows, "id")
+    parts = saved(parts, "split")
     return [parts.filter(F.col("split") == s) for s in D.SPLITS]
 
 
@@ -506,9 +507,8 @@ def m2_select_best(spark, sf):
 
 @query
 def m3_score_types(spark, sf):
-    rows = D.encode_labels(D.type_dataset(complaints(spark, sf), "clean", "complaint_type", "complaint", keep=("id",)),
-                           "complaint_type")
-    parts = saved(D.split_dataset(rows, "id"), "split")
+    rows = saved(D.type_dataset(complaints(spark, sf), "clean", "complaint_type", "complaint", keep=("id",)), "rows")
+    parts = saved(D.split_dataset(D.encode_labels(rows, "complaint_type"), "id"), "split")
     classes = parts.select("label").distinct().count()
     model = M.train_classifier(parts.filter("split = 'train'"), classes, "clean", max_iter=10)
     return M.score(model, parts.filter("split = 'test'"), "clean").select("id", "TrueLabel", "PredictedLabel",

@@ -12,7 +12,7 @@ MARKS = [("FFFE0000", "UTF-32"), ("0000FEFF", "UTF-32"), ("EFBBBF", "UTF-8-SIG")
 
 
 def encoding_census(spark: SparkSession, glob: str, sample_bytes: int = X.ENCODING_SAMPLE_BYTES) -> DataFrame:
-    """Encoding and confidence of every file, judged by its first ``sample_bytes`` bytes."""
+    """Encoding and confidence of every file, judged by its first ``sample_bytes`` bytes. Empty files are left out."""
     head = F.substring("content", 1, sample_bytes)
     files = spark.read.format("binaryFile").load(glob).select("path", "length", head.alias("head"))
     # the sample may end inside a character of up to four bytes
@@ -20,13 +20,12 @@ def encoding_census(spark: SparkSession, glob: str, sample_bytes: int = X.ENCODI
     valid = F.is_valid_utf8(cut[0].cast("string"))
     for shorter in cut[1:]:
         valid = valid | ((F.col("length") > sample_bytes) & F.is_valid_utf8(shorter.cast("string")))
-    ascii_only = valid & (F.char_length(F.col("head").cast("string")) == F.octet_length("head"))
-    def answer(encoding: str | None, confidence: float):
-        return F.struct(F.lit(encoding).cast("string").alias("encoding"), F.lit(confidence).alias("confidence"))
+    ascii_only = F.is_valid_utf8(cut[0].cast("string")) & (F.char_length(F.col("head").cast("string")) == F.octet_length("head"))
+    def answer(encoding: str, confidence: float):
+        return F.struct(F.lit(encoding).alias("encoding"), F.lit(confidence).alias("confidence"))
 
-    guess = F.when(F.col("length") == 0, answer(None, 0.0))
-    for mark, name in MARKS:
-        guess = guess.when(F.startswith(F.hex("head"), F.lit(mark)), answer(name, 1.0))
-    guess = guess.when(ascii_only, answer("ascii", 1.0)).when(valid, answer("utf-8", 0.99)).otherwise(
+    guess = F.when(ascii_only, answer("ascii", 1.0)).when(valid, answer("utf-8", 0.99)).otherwise(
         answer("Windows-1252", 0.73))
+    for mark, name in reversed(MARKS):
+        guess = F.when(F.startswith(F.hex("head"), F.lit(mark)), answer(name, 1.0)).otherwise(guess)
     return files.select("path", guess.alias("g")).select("path", "g.encoding", "g.confidence")
