@@ -1,19 +1,22 @@
 """Table profiles.
 
-Counting distinct values of mail bodies by value would shuffle the bodies themselves. All counts here work on one
-long table (column, short stand-in of the value), so that a row costs a few dozen bytes however long its texts
-are; the few values a report shows are fetched by stand-in afterwards.
+Counting distinct values of mail bodies by value would shuffle the bodies themselves. All counts here work on long
+tables (column, short stand-in of the value), so that a row costs a few dozen bytes however long its texts are; the
+few values a report shows are fetched by stand-in afterwards. Columns of one type share a long table, which keeps
+numbers and times from being turned into text.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailprep import fixed as X
 from mailprep.operators.ranks import SKETCH_ACCURACY, quantiles
-from mailprep.session import small_table
+from mailprep.session import saved, small_table
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -28,32 +31,58 @@ def _values(df: DataFrame, columns: list[str], as_type: str = "string") -> DataF
     return typed.unpivot([], list(columns), "column", "value")
 
 
-def _digest(value: str) -> Column:
-    """A short stand-in for a value: itself up to 32 characters, else its MD5 behind a sign that makes it longer."""
+def _stand_in(value: str) -> Column:
+    """A short text for a text: itself up to 32 characters, else its MD5 behind a sign that makes it longer."""
     return F.when(F.char_length(value) <= 32, F.col(value)).otherwise(F.concat(F.lit("#"), F.md5(value)))
 
 
-def _counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The long count table (column, digest, count); nulls have no digest."""
-    return _values(df, columns).groupBy("column", _digest("value").alias("digest")).count()
-
-
-def _summary(counts: DataFrame) -> DataFrame:
-    """One row per column: filled and null cells, distinct values, and the most frequent digest."""
-    n, filled = F.col("count"), F.col("digest").isNotNull()
-    first = F.min(F.when(filled, F.struct((-n).alias("n"), F.col("digest").alias("d"))))
-    return counts.groupBy("column").agg(
-        F.sum(F.when(filled, n).otherwise(0)).alias("count"), F.sum(F.when(filled, 0).otherwise(n)).alias("nulls"),
-        F.count("digest").alias("distinct"), first["d"].alias("top_digest"), (-first["n"]).alias("freq"))
-
-
-def _with_top(df: DataFrame, summary: DataFrame, columns: list[str]) -> DataFrame:
-    """Add the value behind ``top_digest``. The broadcast side has one row per column of the table."""
-    wanted = summary.select(F.col("column").alias("c"), "top_digest").filter("top_digest IS NOT NULL")
-    tops = (_values(df, columns).withColumn("digest", _digest("value"))
-            .join(F.broadcast(wanted), (F.col("column") == F.col("c")) & (F.col("digest") == F.col("top_digest")))
-            .groupBy("column").agg(F.min("value").alias("top")))
-    return summary.join(F.broadcast(tops), "column", "left")
+def _families(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """The columns by type; types without an order count as text."""
+    families: dict[str, list[str]] = {}
+    for c in columns:
+        kind = df.schema[c].dataType
+        ordered = isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType))
+        families.setdefault(kind.simpleString() if ordered else "string", []).append(c)
+    return families
+
+
+def _summary(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per column: filled and null cells, distinct values, the most frequent stand-in and its count.
+
+    The result is tiny and used more than once, so it is written out.
+    """
+    parts = []
+    for kind, members in _families(df, columns).items():
+        key = _stand_in("value") if kind == "string" else F.col("value")
+        counts = _values(df, members, kind).groupBy("column", key.alias("key")).count()
+        n, filled = F.col("count"), F.col("key").isNotNull()
+        first = F.min(F.when(filled, F.struct((-n).alias("n"), F.col("key").alias("key"))))
+        parts.append(counts.groupBy("column").agg(
+            F.sum(F.when(filled, n).otherwise(0)).alias("count"), F.sum(F.when(filled, 0).otherwise(n)).alias("nulls"),
+            F.count("key").alias("distinct"), first["key"].cast("string").alias("top_key"), (-first["n"]).alias("freq")))
+    return saved(reduce(DataFrame.unionByName, parts), "summary")
+
+
+def _shown(df: DataFrame, summary: DataFrame, max_distinct: int = 0) -> DataFrame:
+    """Add ``top``, the value behind ``top_key``, and ``values``, the sorted values of columns with fewer than
+    ``max_distinct``. One pass over the columns concerned; the broadcast side has one row per column."""
+    long_top = F.char_length("top_key") > 32
+    small = F.col("distinct") < max_distinct
+    columns = [r["column"] for r in summary.filter(long_top | small).select("column").collect()]
+    if not columns:
+        return summary.withColumn("top", F.col("top_key")).withColumn("values", F.lit(None).cast("array<string>"))
+    wanted = summary.select(F.col("column").alias("c"), "top_key", small.alias("small"))
+    is_top = _stand_in("value") == F.col("top_key")
+    picked = (_values(df, columns).join(F.broadcast(wanted), F.col("column") == F.col("c"))
+              .filter(F.col("value").isNotNull() & (F.col("small") | is_top))
+              .groupBy("column", "small", "top_key", "value").count())
+    found = picked.groupBy("column").agg(
+        F.max(F.when(is_top, F.col("value"))).alias("found"),
+        F.sort_array(F.collect_list(F.when(F.col("small"), F.col("value")))).alias("listed"))
+    return (summary.join(F.broadcast(found), "column", "left")
+            .withColumn("top", F.when(long_top, F.col("found")).otherwise(F.col("top_key")))
+            .withColumn("values", F.when(small, F.coalesce("listed", F.array().cast("array<string>"))))
+            .drop("found", "listed"))
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -98,10 +127,9 @@ def describe_numeric(df: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def describe_categorical(df: DataFrame) -> DataFrame:
-    """count, unique, top and freq of every text column; on a tie the top is the value with the first digest."""
-    columns = _columns_of(df, T.StringType)
-    return _with_top(df, _summary(_counts(df, columns)), columns).select(
-        "column", "count", F.col("distinct").alias("unique"), "top", "freq")
+    """count, unique, top and freq of every text column; on a tie the top is the value with the first stand-in."""
+    shown = _shown(df, _summary(df, _columns_of(df, T.StringType)))
+    return shown.select("column", "count", F.col("distinct").alias("unique"), "top", "freq")
 
 
 def distinct_counts(df: DataFrame, approx: bool = False) -> DataFrame:
@@ -109,19 +137,13 @@ def distinct_counts(df: DataFrame, approx: bool = False) -> DataFrame:
     if approx:
         row = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(c) for c in df.columns])
         return row.unpivot([], df.columns, "column", "distinct")
-    return _summary(_counts(df, df.columns)).select("column", "distinct")
+    return _summary(df, df.columns).select("column", "distinct")
 
 
 def small_domains(df: DataFrame, max_distinct: int = X.SMALL_DOMAIN) -> DataFrame:
     """The sorted values of the columns with fewer than ``max_distinct`` of them."""
-    return _domains(df, _summary(_counts(df, df.columns)), max_distinct)
-
-
-def _domains(df: DataFrame, summary: DataFrame, max_distinct: int) -> DataFrame:
-    small = summary.filter(F.col("distinct") < max_distinct).select(F.col("column").alias("c"), "distinct")
-    values = (_values(df, df.columns).join(F.broadcast(small), F.col("column") == F.col("c"))
-              .groupBy("column", "distinct", "value").count())
-    return values.groupBy("column", "distinct").agg(F.sort_array(F.collect_list("value")).alias("values"))
+    shown = _shown(df, _summary(df, df.columns), max_distinct)
+    return shown.filter(F.col("distinct") < max_distinct).select("column", "distinct", "values")
 
 
 def value_counts(df: DataFrame, column: str, dropna: bool = False) -> DataFrame:
@@ -132,10 +154,8 @@ def value_counts(df: DataFrame, column: str, dropna: bool = False) -> DataFrame:
 
 def profile(df: DataFrame, max_distinct: int = X.SMALL_DOMAIN) -> DataFrame:
     """All of the above in one table, one row per column of ``df``."""
-    counts = _counts(df, df.columns)
-    summary = _with_top(df, _summary(counts), df.columns).drop("top_digest")
-    domains = _domains(df, _summary(counts), max_distinct).select("column", "values")
-    report = summary.join(F.broadcast(domains), "column", "left").join(F.broadcast(column_types(df)), "column")
+    report = _shown(df, _summary(df, df.columns), max_distinct).drop("top_key")
+    report = report.join(F.broadcast(column_types(df)), "column")
     if _columns_of(df, T.NumericType):
         report = report.join(F.broadcast(describe_numeric(df).drop("count")), "column", "left")
     whole = duplicate_rows(df).scalar()
