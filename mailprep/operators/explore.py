@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mailprep import fixed as X
 from mailprep.functions import text as tx
-from mailprep.operators.ranks import row_at
+from mailprep.operators.ranks import first_rows, row_at
 
 _BETWEEN_CHARACTERS = r"(?![\x{dc00}-\x{dfff}])"  # Java would also try the middle of a surrogate pair
 ALL = "<All>"
@@ -119,13 +119,12 @@ def facet_counts(df: DataFrame, type_col: str = X.COMPLAINT_TYPE, name_col: str
 def page(df: DataFrame, key: str, n: int, after: object = None, before: object = None) -> DataFrame:
     """``n`` rows in key order: the first ones, those after a key, or those just before a key."""
     if before is not None:
-        return df.filter(F.col(key) < F.lit(before)).orderBy(F.desc(key)).limit(n).orderBy(key)
-    rows = df if after is None else df.filter(F.col(key) > F.lit(after))
-    return rows.orderBy(key).limit(n)
+        return first_rows(df.filter(F.col(key) < F.lit(before)), key, n, last=True)
+    return first_rows(df if after is None else df.filter(F.col(key) > F.lit(after)), key, n)
 
 
 def last_page(df: DataFrame, key: str, n: int) -> DataFrame:
-    return df.orderBy(F.desc(key)).limit(n).orderBy(key)
+    return first_rows(df, key, n, last=True)
 
 
 def record_at(df: DataFrame, key: str, k: int) -> DataFrame:

@@ -83,7 +83,7 @@ def _language_code(text: Column, languages: Column) -> Column:
 
 def _languages(model: DataFrame) -> Column:
     """The weights as one constant. Its size is bounded: the number of languages is checked, the buckets are fixed."""
-    if model.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+    if model.select("lang").distinct().count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages in the model")
     arrays = _weight_arrays(model)
     text = arrays.select(F.to_json("languages")).first()[0]

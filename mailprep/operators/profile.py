@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailprep import fixed as X
-from mailprep.operators.ranks import SKETCH_ACCURACY, quantiles
+from mailprep.operators.ranks import SKETCH_ACCURACY, quantiles, sketched
 from mailprep.session import saved, small_table
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -120,9 +120,10 @@ def describe_numeric(df: DataFrame, approx: bool = False) -> DataFrame:
                                                        for i, s in enumerate(QUARTILES)])
     else:
         # one row per numeric column on either side
-        cuts = quantiles(values, QUARTILES).groupBy("column").agg(
+        marks = sketched(values, QUARTILES, *plain)
+        cuts = quantiles(values, QUARTILES, marks).groupBy("column").agg(
             *[F.max(F.when(F.col("share") == s, F.col("quantile"))).alias(f"p{int(s * 100)}") for s in QUARTILES])
-        stats = values.groupBy("column").agg(*plain).join(F.broadcast(cuts), "column", "left")
+        stats = marks.join(F.broadcast(cuts), "column", "left")
     return stats.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 

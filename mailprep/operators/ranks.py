@@ -8,49 +8,74 @@ from __future__ import annotations
 from functools import reduce
 from operator import add, or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mailprep.session import saved
+
 SKETCH_ACCURACY = 100_000      # the sketch is off by at most rows / SKETCH_ACCURACY positions
 MARGIN = 4.0 / SKETCH_ACCURACY  # bracket half-width: four times that error
-DIRECT_ROWS = 100_000          # positions up to here are taken straight off the top
+DIRECT_ROWS = 1_000            # positions up to here are taken straight off the top
 
 
 def _bracket(share: float) -> list[float]:
     return [max(share - MARGIN, 0.0), min(share + MARGIN, 1.0)]
 
 
+def first_rows(df: DataFrame, key: str, n: int, last: bool = False) -> DataFrame:
+    """The ``n`` rows with the smallest (or largest) keys, in key order. Keys are unique.
+
+    Every task offers its n best to one task, so only keys make that trip; the rows are read by their key range
+    afterwards, which a Parquet scan can use to skip row groups.
+    """
+    order = F.desc(key) if last else F.asc(key)
+    low, high = df.select(key).orderBy(order).limit(n).agg(F.min(key), F.max(key)).first()
+    return df.filter(F.col(key).between(F.lit(low), F.lit(high))).orderBy(key).limit(n)
+
+
 def row_at(df: DataFrame, key: str, k: int, direct_rows: int = DIRECT_ROWS) -> DataFrame:
     """Row number ``k`` (from 1) in the order of a unique key, with its position and the row count."""
-    total = df.count()
+    keys = df.select(key)
+    total = keys.count()
     if not 1 <= k <= total:
         raise ValueError(f"record {k} is outside 1..{total}")
-    numbered = [F.lit(k).cast("long").alias("position"), F.lit(total).cast("long").alias("total")]
-    if k <= direct_rows:
-        return df.orderBy(key).offset(k - 1).limit(1).select("*", *numbered)
-    if not isinstance(df.schema[key].dataType, (T.IntegralType, T.TimestampType, T.DateType)):
-        raise TypeError(f"far positions need a whole-number or time key, and {key!r} is neither")
-    low, high = df.agg(F.percentile_approx(key, _bracket((k - 1) / max(total - 1, 1)), SKETCH_ACCURACY)).first()[0]
-    below = df.filter(F.col(key) < low).count()
-    near = df.filter(F.col(key).between(low, high))
-    return near.orderBy(key).offset(k - 1 - below).limit(1).select("*", *numbered)
-
-
-def quantiles(values: DataFrame, shares: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Exact linear quantiles of a long table (column, value): rows (column, share, quantile).
+    below = 0
+    if k > direct_rows:
+        if not isinstance(df.schema[key].dataType, (T.IntegralType, T.TimestampType, T.DateType)):
+            raise TypeError(f"far positions need a whole-number or time key, and {key!r} is neither")
+        sketch = F.percentile_approx(key, _bracket((k - 1) / max(total - 1, 1)), SKETCH_ACCURACY)
+        low, high = keys.agg(sketch).first()[0]
+        below = keys.filter(F.col(key) < low).count()
+        keys = keys.filter(F.col(key).between(low, high))
+    wanted = keys.orderBy(key).offset(k - 1 - below).limit(1).first()[0]
+    return df.filter(F.col(key) == F.lit(wanted)).select(
+        "*", F.lit(k).cast("long").alias("position"), F.lit(total).cast("long").alias("total"))
+
 
-    Two passes. The first sketches all columns together. The second keeps apart only the values that lie in a
-    bracket; all others just count as the gap between brackets they fall into. Equal values collapse before the
-    shuffle, so neither a hot value nor a wide column grows a task.
+def sketched(values: DataFrame, shares: tuple[float, ...], *more: Column) -> DataFrame:
+    """The brackets of all columns of a long table (column, value), along with ``more`` aggregates of it, in one pass.
+
+    One row per column; it is used more than once, so it is written out.
     """
     points = [p for s in shares for p in _bracket(s)]
     sketch = F.percentile_approx("value", points, SKETCH_ACCURACY)
+    stats = values.groupBy("column").agg(F.count("value").alias("rows"), sketch.alias("b"), *more)
+    return saved(stats.select("*", *[F.col("b")[2 * i].alias(f"low{i}") for i in range(len(shares))],
+                              *[F.col("b")[2 * i + 1].alias(f"high{i}") for i in range(len(shares))]).drop("b"), "sketch")
+
+
+def quantiles(values: DataFrame, shares: tuple[float, ...] = (0.25, 0.5, 0.75),
+              marks: DataFrame | None = None) -> DataFrame:
+    """Exact linear quantiles of a long table (column, value): rows (column, share, quantile).
+
+    Two passes. The first sketches all columns together (``marks``, when it is already done). The second keeps apart
+    only the values that lie in a bracket; all others just count as the gap between brackets they fall into. Equal
+    values collapse before the shuffle, so neither a hot value nor a wide column grows a task.
+    """
     n = range(len(shares))
-    marks = values.groupBy("column").agg(F.count("value").alias("rows"), sketch.alias("b")).select(
-        "column", "rows", *[F.col("b")[2 * i].alias(f"low{i}") for i in n],
-        *[F.col("b")[2 * i + 1].alias(f"high{i}") for i in n])
-    marks = F.broadcast(marks)  # one row per column of the profiled table
+    marks = sketched(values, shares) if marks is None else marks
+    marks = F.broadcast(marks.select("column", "rows", *[f"{end}{i}" for i in n for end in ("low", "high")]))
     v = F.col("value")
     inside = reduce(or_, [v.between(F.col(f"low{i}"), F.col(f"high{i}")) for i in n])
     gap = reduce(add, [F.when(v > F.col(f"high{i}"), 1).otherwise(0) for i in n])

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from mailprep import fixed as X
 from mailprep.functions import text as tx
 from mailprep.functions.dialect import strip
-from mailprep.operators.ranks import row_at
+from mailprep.operators.ranks import first_rows, row_at
 from mailprep.session import small_table
 
 
@@ -36,7 +36,10 @@ def filled_columns(df: DataFrame, columns: list[str]) -> set[str]:
 def _all_null(df: DataFrame, probe_rows: int = 1000) -> list[str]:
     """Columns without any value. A few rows already clear most columns, so that the pass over the whole
     table reads only the columns still in doubt."""
-    doubtful = [c for c in df.columns if c not in filled_columns(df.limit(probe_rows), df.columns)] if df.columns else []
+    flags = [F.col(f"`{c}`").isNotNull().alias(f"c{i}") for i, c in enumerate(df.columns)]
+    # take() opens one partition first and more only when needed; a limit inside a plan would touch all of them
+    probe = df.select(flags).take(probe_rows)
+    doubtful = [c for i, c in enumerate(df.columns) if not any(r[i] for r in probe)]
     filled = filled_columns(df, doubtful)
     return [c for c in doubtful if c not in filled]
 
@@ -92,7 +95,7 @@ def pick(df: DataFrame, key: str, index: int) -> DataFrame:
 
 def limit(df: DataFrame, n: int, key: str | None = None) -> DataFrame:
     """The first ``n`` rows, in key order when a key is given."""
-    return (df.orderBy(key) if key else df).limit(n)
+    return first_rows(df, key, n) if key else df.limit(n)
 
 
 def with_clean_text(df: DataFrame, source: str = X.BODY, target: str = X.CLEAN_BODY) -> DataFrame:

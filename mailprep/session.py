@@ -39,9 +39,9 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` when it is counted to hold at most ``max_rows`` rows; leave the join to AQE otherwise.
 
-    The count stops as soon as it passes the bound.
+    Meant for aggregated tables, whose count costs as much as the join will spend on them anyway.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
