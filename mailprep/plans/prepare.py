@@ -14,7 +14,7 @@ from mailprep.operators.language import detect_language
 from mailprep.sources.delimited import read_delimited
 
 
-def merge(mails: DataFrame, meta: DataFrame, wanted: Sequence[str]) -> DataFrame:
+def merge(mails: DataFrame, meta: DataFrame, wanted: Sequence[str], salts: int = 1) -> DataFrame:
     """Prune empty and repeated columns, join mails to their case, derive the complaint label.
 
     A column that loses its last value in the join is dropped as well. To know, only flags go through a join of
@@ -27,7 +27,7 @@ def merge(mails: DataFrame, meta: DataFrame, wanted: Sequence[str]) -> DataFrame
     kept = [c for c in wanted if c in (*mails.columns, *meta.columns)]
     marked = join_metadata(_flags(mails, X.MAIL_KEY, kept), _flags(meta, X.META_KEY, kept))
     filled = C.filled_columns(marked, [f"has_{c}" for c in kept])
-    merged = C.derive_complaint_label(join_metadata(mails, meta))
+    merged = C.derive_complaint_label(join_metadata(mails, meta, salts=salts))
     return merged.select([c for c in wanted if c == X.COMPLAINT or f"has_{c}" in filled])
 
 
@@ -36,13 +36,14 @@ def _flags(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
 
 
 def prepare(mails: DataFrame, meta: DataFrame, model: DataFrame | None = None, keep: tuple[str, ...] = (),
-            threshold: int = X.MIN_LENGTH_PREPARE) -> DataFrame:
+            threshold: int = X.MIN_LENGTH_PREPARE, salts: int = 1) -> DataFrame:
     """The cleaned snapshot: merge, clean the bodies, drop short mails, detect languages when given a model.
 
     ``keep`` carries further columns along, such as a unique mail key for splitting. Bodies are cleaned and judged
-    where the join leaves them; only the wanted columns of the mails cross the network.
+    where the join leaves them; only the wanted columns of the mails cross the network. ``salts`` deals the mails of a
+    very large case over that many tasks, for sessions that run without adaptive skew handling.
     """
-    merged = C.select_existing(merge(mails, meta, [*keep, *X.KEPT_COLUMNS]), [*keep, *X.KEPT_COLUMNS])
+    merged = C.select_existing(merge(mails, meta, [*keep, *X.KEPT_COLUMNS], salts), [*keep, *X.KEPT_COLUMNS])
     cleaned = C.with_clean_text(C.with_body_text(merged))
     long_enough = C.filter_short(cleaned, threshold=threshold)  # before the languages: fewer rows to judge
     return long_enough if model is None else detect_language(long_enough, model)

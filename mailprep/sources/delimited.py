@@ -10,14 +10,14 @@ from pyspark.sql import types as T
 from mailprep import fixed as X
 
 
-def _options(sep: str) -> dict:
-    return dict(sep=sep, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8",
+def _options(sep: str, multi_line: bool) -> dict:
+    return dict(sep=sep, header=True, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8",
                 ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, maxCharsPerColumn=-1)
 
 
-def _header(spark: SparkSession, path: str, sep: str) -> list[str]:
+def _header(spark: SparkSession, path: str, sep: str, multi_line: bool) -> list[str]:
     """The column names as written; a repeated name gets .1, .2 ... added."""
-    first = spark.read.csv(path, **(_options(sep) | {"header": False})).first()
+    first = spark.read.csv(path, **(_options(sep, multi_line) | {"header": False})).first()
     names: list[str] = []
     for i, name in enumerate(first or []):
         name, copy = name if name is not None else f"Unnamed: {i}", 0
@@ -29,14 +29,15 @@ def _header(spark: SparkSession, path: str, sep: str) -> list[str]:
     return names
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str = ";") -> DataFrame | None:
+def read_delimited(spark: SparkSession, path: str, sep: str = ";", multi_line: bool = True) -> DataFrame | None:
     """A file with a header, all columns text, missing-value words read as null.
 
     Short rows are filled up with nulls. A row with too many fields fails the job. A missing file is reported and
-    gives None. Files with quoted line feeds cannot be split, so give many files rather than one huge one.
+    gives None. A file with quoted line feeds is read by one task: give many files rather than one huge one, or set
+    ``multi_line`` to False when no field holds a line feed, and large files are split.
     """
     try:
-        names = _header(spark, path, sep)
+        names = _header(spark, path, sep, multi_line)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -46,7 +47,7 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ";") -> DataFrame
     # _bad is set and _extra is empty.
     fields = [f"c{i}" for i in range(len(names))]
     schema = T.StructType([T.StructField(f, T.StringType()) for f in [*fields, "_extra", "_bad"]])
-    raw = spark.read.schema(schema).csv(path, **_options(sep), enforceSchema=True, nullValue="",
+    raw = spark.read.schema(schema).csv(path, **_options(sep, multi_line), enforceSchema=True, nullValue="",
                                         mode="PERMISSIVE", columnNameOfCorruptRecord="_bad")
     too_long = F.col("_extra").isNotNull() | F.col("_bad").isNull()
     problem = F.when(too_long, F.raise_error(F.lit(f"a row of {path} has more than {len(names)} fields")))

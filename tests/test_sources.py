@@ -43,6 +43,14 @@ def test_read_delimited(spark, tmp_path):
                         ("4", " p ", None, None)]
 
 
+def test_read_delimited_in_splits(spark, tmp_path):
+    path = put(tmp_path, "many.csv", "A;B\n" + "".join(f'{i};"x;{i}"\n' for i in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 4000)
+    df = delimited.read_delimited(spark, path, multi_line=False)
+    assert df.rdd.getNumPartitions() > 5 and rows(df) == sorted(((str(i), f"x;{i}") for i in range(3000)), key=str)
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_read_delimited_problems(spark, tmp_path, capsys):
     assert delimited.read_delimited(spark, str(tmp_path / "none.csv")) is None
     assert "not found" in capsys.readouterr().out
