@@ -17,12 +17,13 @@ from mailprep.operators.joins import language_names
 
 BUCKETS = 1 << 15
 MAX_LANGUAGES = 256     # 4 bytes * BUCKETS * MAX_LANGUAGES = 32 MB of weights at most
+NO_LETTERS = r"[^\p{L}]+"
 SCALE = 10_000          # weights are whole ten-thousandths, so that sums do not depend on their order
 
 
 def _plain(c: Column) -> Column:
     """Lower-case letters only; every other run becomes one space."""
-    return F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}]+", " "))
+    return F.trim(F.regexp_replace(F.lower(c), NO_LETTERS, " "))
 
 
 def trigram_buckets(plain: Column) -> Column:
@@ -45,7 +46,8 @@ def language_model(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     Words are counted first, so that the trigrams of a word are made once and not at each of its places.
     """
     words = (df.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-             .select(F.col(lang_col).alias("lang"), F.explode(F.split(_plain(F.col(text_col)), " ")).alias("word"))
+             .select(F.col(lang_col).alias("lang"),
+                     F.explode(F.split(F.lower(F.col(text_col)), NO_LETTERS)).alias("word"))
              .groupBy("lang", "word").agg(F.count("*").alias("n")))
     seen = (words.select("lang", "n", F.explode(trigram_buckets(F.col("word"))).alias("bucket"))
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))

@@ -314,7 +314,7 @@ def p3_duplicate_rows(spark, sf):
 
 @query
 def p4_describe_numeric(spark, sf):
-    return rounded(P.describe_numeric(table(spark, sf, "lineitem")), "mean", "std", "p25", "p50", "p75", digits=4)
+    return rounded(P.describe_numeric(spread(table(spark, sf, "lineitem"), "l_orderkey")), "mean", "std", "p25", "p50", "p75", digits=4)
 
 
 @query
@@ -324,7 +324,7 @@ def p5_describe_categorical(spark, sf):
 
 @query
 def p6_distinct_counts(spark, sf):
-    return P.distinct_counts(table(spark, sf, "lineitem"))
+    return P.distinct_counts(spread(table(spark, sf, "lineitem"), "l_orderkey"))
 
 
 @query

@@ -45,7 +45,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan with fewer splits than cores by its unique key; leave any larger scan as it is.
+    """Spread a scan with fewer splits than cores by a key of many values; leave any larger scan as it is.
 
     Give it a plain scan: one file with a single row group is one task, and text work is CPU-bound.
     """
