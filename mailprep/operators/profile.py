@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailprep import fixed as X
-from mailprep.operators.ranks import SKETCH_ACCURACY, quantiles, sketched
+from mailprep.operators.ranks import quantiles
 from mailprep.session import saved, small_table
 
 QUARTILES = (0.25, 0.5, 0.75)
+SKETCH_ACCURACY = 10_000
 
 
 def _columns_of(df: DataFrame, kind: type[T.DataType]) -> list[str]:
@@ -120,10 +121,10 @@ def describe_numeric(df: DataFrame, approx: bool = False) -> DataFrame:
                                                        for i, s in enumerate(QUARTILES)])
     else:
         # one row per numeric column on either side
-        marks = sketched(values, QUARTILES, *plain)
-        cuts = quantiles(values, QUARTILES, marks).groupBy("column").agg(
+        stats = saved(values.groupBy("column").agg(*plain), "stats")
+        cuts = quantiles(values, stats.select("column", F.col("count").alias("rows")), QUARTILES).groupBy("column").agg(
             *[F.max(F.when(F.col("share") == s, F.col("quantile"))).alias(f"p{int(s * 100)}") for s in QUARTILES])
-        stats = marks.join(F.broadcast(cuts), "column", "left")
+        stats = stats.join(F.broadcast(cuts), "column", "left")
     return stats.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 

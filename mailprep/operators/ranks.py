@@ -1,26 +1,21 @@
-"""Exact positions in a global order without sorting everything into one task.
+"""Exact positions in a global order without sorting everything, and without one large sketch.
 
-A quantile sketch with a known error brackets the wanted position; only rows inside the bracket are ordered.
+The values are counted by cell three times, each time inside the cells that hold a wanted position: first on a
+logarithmic scale, then in equal steps between the smallest and the largest value of such a cell, then by value. Counts
+combine before the shuffle, and what remains to be ordered is one narrow cell per position.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add, or_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailprep.session import saved
 
-SKETCH_ACCURACY = 100_000      # the sketch is off by at most rows / SKETCH_ACCURACY positions
-MARGIN = 4.0 / SKETCH_ACCURACY  # bracket half-width: four times that error
-DIRECT_ROWS = 1_000            # positions up to here are taken straight off the top
-
-
-def _bracket(share: float) -> list[float]:
-    return [max(share - MARGIN, 0.0), min(share + MARGIN, 1.0)]
+DIRECT_ROWS = 100         # positions up to here are taken straight off the top
+STEPS_PER_DOUBLING = 256  # cells of the first count
+STEPS_PER_CELL = 1 << 16  # cells of the second count
 
 
 def first_rows(df: DataFrame, key: str, n: int, last: bool = False) -> DataFrame:
@@ -36,70 +31,80 @@ def first_rows(df: DataFrame, key: str, n: int, last: bool = False) -> DataFrame
 
 def row_at(df: DataFrame, key: str, k: int, direct_rows: int = DIRECT_ROWS) -> DataFrame:
     """Row number ``k`` (from 1) in the order of a unique key, with its position and the row count."""
-    keys = df.select(key)
-    total = keys.count()
+    total = df.count()
     if not 1 <= k <= total:
         raise ValueError(f"record {k} is outside 1..{total}")
-    below = 0
-    if k > direct_rows:
-        if not isinstance(df.schema[key].dataType, (T.IntegralType, T.TimestampType, T.DateType)):
-            raise TypeError(f"far positions need a whole-number or time key, and {key!r} is neither")
-        sketch = F.percentile_approx(key, _bracket((k - 1) / max(total - 1, 1)), SKETCH_ACCURACY)
-        low, high = keys.agg(sketch).first()[0]
-        below = keys.filter(F.col(key) < low).count()
-        keys = keys.filter(F.col(key).between(low, high))
-    wanted = keys.orderBy(key).offset(k - 1 - below).limit(1).first()[0]
+    if k <= direct_rows:
+        wanted = df.select(key).orderBy(key).offset(k - 1).limit(1).first()[0]
+    elif isinstance(df.schema[key].dataType, T.IntegralType):
+        values = df.select(F.lit("key").alias("column"), F.col(key).alias("value"))
+        targets = df.sparkSession.range(1).select(F.lit("key").alias("column"), F.lit(0).alias("target"),
+                                                  F.lit(k - 1).cast("long").alias("rank"))
+        wanted = values_at(values, targets).first()["value"]
+    else:
+        raise TypeError(f"far positions need a whole-number key, and {key!r} is none")
     return df.filter(F.col(key) == F.lit(wanted)).select(
         "*", F.lit(k).cast("long").alias("position"), F.lit(total).cast("long").alias("total"))
 
 
-def sketched(values: DataFrame, shares: tuple[float, ...], *more: Column) -> DataFrame:
-    """The brackets of all columns of a long table (column, value), along with ``more`` aggregates of it, in one pass.
+def _scale(d: Column) -> Column:
+    """The logarithmic cell of a number; cells keep the order of the numbers."""
+    size = F.least(F.greatest(F.abs(d), F.lit(5e-324)), F.lit(1.7976931348623157e308))
+    step = F.floor(F.log2(size) * STEPS_PER_DOUBLING) + 1100 * STEPS_PER_DOUBLING
+    return F.when(d == 0, 0).when(d > 0, step).otherwise(-step)
 
-    One row per column; it is used more than once, so it is written out.
-    """
-    points = [p for s in shares for p in _bracket(s)]
-    sketch = F.percentile_approx("value", points, SKETCH_ACCURACY)
-    stats = values.groupBy("column").agg(F.count("value").alias("rows"), sketch.alias("b"), *more)
-    return saved(stats.select("*", *[F.col("b")[2 * i].alias(f"low{i}") for i in range(len(shares))],
-                              *[F.col("b")[2 * i + 1].alias(f"high{i}") for i in range(len(shares))]).drop("b"), "sketch")
 
+def _step(d: Column, low: Column, high: Column) -> Column:
+    """The equal-width cell of a number between the ends of its logarithmic cell."""
+    return F.coalesce(F.floor((d - low) / F.nullif(high - low, F.lit(0.0)) * STEPS_PER_CELL), F.lit(0))
 
-def quantiles(values: DataFrame, shares: tuple[float, ...] = (0.25, 0.5, 0.75),
-              marks: DataFrame | None = None) -> DataFrame:
-    """Exact linear quantiles of a long table (column, value): rows (column, share, quantile).
 
-    Two passes. The first sketches all columns together (``marks``, when it is already done). The second keeps apart
-    only the values that lie in a bracket; all others just count as the gap between brackets they fall into. Equal
-    values collapse before the shuffle, so neither a hot value nor a wide column grows a task.
+def _narrow(counts: DataFrame, targets: DataFrame, within: list[str], by: str) -> DataFrame:
+    """The row of ``counts`` that holds each target, with the rank left inside it. A few targets per column."""
+    before = F.sum("n").over(Window.partitionBy(*within).orderBy(by)) - F.col("n")
+    return (counts.withColumn("before", before)
+            .join(F.broadcast(targets.select(*within, "target", "rank")), within)
+            .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
+            .withColumn("rank", F.col("rank") - F.col("before")).drop("before", "n"))
+
+
+def values_at(values: DataFrame, targets: DataFrame) -> DataFrame:
+    """The values at given ranks (from 0) of a long table (column, value): rows (column, target, value).
+
+    ``targets`` is a small table (column, target, rank).
+    """
+    d = F.col("value").cast("double")
+    scaled = values.filter(F.col("value").isNotNull()).withColumn("d", d).withColumn("scale", _scale(d))
+    by_scale = scaled.groupBy("column", "scale").agg(F.count("*").alias("n"), F.min("d").alias("low"),
+                                                     F.max("d").alias("high"))
+    first = saved(_narrow(by_scale, targets, ["column"], "scale"), "ranks")
+    held = first.select("column", "scale", "low", "high").distinct()
+    stepped = (scaled.join(F.broadcast(held), ["column", "scale"])
+               .withColumn("step", _step(F.col("d"), F.col("low"), F.col("high"))))
+    by_step = stepped.groupBy("column", "scale", "step").agg(F.count("*").alias("n"))
+    second = saved(_narrow(by_step, first, ["column", "scale"], "step"), "ranks")
+    held = second.select("column", "scale", "step").distinct()
+    by_value = (stepped.join(F.broadcast(held), ["column", "scale", "step"])
+                .groupBy("column", "scale", "step", "value").agg(F.count("*").alias("n")))
+    return _narrow(by_value, second, ["column", "scale", "step"], "value").select("column", "target", "value")
+
+
+def quantiles(values: DataFrame, rows: DataFrame, shares: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact linear quantiles of a long table (column, value), given its counts (column, rows) without nulls.
+
+    Returns rows (column, share, quantile).
     """
-    n = range(len(shares))
-    marks = sketched(values, shares) if marks is None else marks
-    marks = F.broadcast(marks.select("column", "rows", *[f"{end}{i}" for i in n for end in ("low", "high")]))
-    v = F.col("value")
-    inside = reduce(or_, [v.between(F.col(f"low{i}"), F.col(f"high{i}")) for i in n])
-    gap = reduce(add, [F.when(v > F.col(f"high{i}"), 1).otherwise(0) for i in n])
-    counted = (values.filter(v.isNotNull()).join(marks, "column")
-               .groupBy("column", F.when(inside, v).alias("value"), F.when(~inside, gap).alias("gap"))
-               .agg(F.count("*").alias("count"), F.min("value").alias("least"), F.max("value").alias("most")))
-    by_share = counted.join(marks, "column").select(
-        "column", "rows", "value", "gap", "count", "least", "most",
-        F.explode(F.array(*[F.struct(F.lit(s).alias("share"), F.lit(i).alias("i"), F.col(f"low{i}").alias("low"),
-                                     F.col(f"high{i}").alias("high")) for i, s in enumerate(shares)])).alias("m"))
-    # per share: one row for all that lies below the bracket, one per value inside, one for all above
-    below = (v < F.col("m.low")) | (F.col("gap") <= F.col("m.i"))
-    above = (v > F.col("m.high")) | (F.col("gap") > F.col("m.i"))
-    zoned = by_share.withColumn("zone", F.when(below, 0).when(above, 2).otherwise(1))
-    kept = (zoned.groupBy("column", "rows", F.col("m.share").alias("share"), "zone",
-                          F.when(F.col("zone") == 1, v).alias("value"))
-            .agg(F.sum("count").alias("count"), F.min("least").alias("least"), F.max("most").alias("most")))
-    upto = Window.partitionBy("column", "share").orderBy("zone", "value")
-    at = (F.col("rows") - 1) * F.col("share")
-    # the wanted pair may reach one row beyond the bracket on either side
-    here = F.when(F.col("zone") == 0, F.col("most")).otherwise(F.col("least"))
-    return (kept.withColumn("upto", F.sum("count").over(upto))
-            .groupBy("column", "rows", "share")
-            .agg(F.min(F.when(F.col("upto") > F.floor(at), here)).alias("v0"),
-                 F.min(F.when(F.col("upto") > F.floor(at) + 1, here)).alias("v1"))
-            .select("column", "share", (F.col("v0") + (at - F.floor(at))
-                                        * (F.coalesce("v1", "v0") - F.col("v0"))).alias("quantile")))
+    at = [(F.col("rows") - 1) * F.lit(s) for s in shares]
+    targets = (rows.filter("rows > 0").select("column", F.explode(F.array(*[
+        F.struct(F.lit(2 * i + up).alias("target"),
+                 F.least(F.floor(a) + up, F.col("rows") - 1).alias("rank")) for i, a in enumerate(at) for up in (0, 1)
+    ])).alias("t")).select("column", "t.target", "t.rank"))
+    found = values_at(values, targets).groupBy("column").pivot("target", list(range(2 * len(shares)))).agg(F.max("value"))
+
+    def between(i: int) -> Column:
+        low, high = F.col(str(2 * i)), F.col(str(2 * i + 1))
+        return low + (at[i] - F.floor(at[i])) * (high - low)
+
+    return found.join(F.broadcast(rows), "column").select("column", F.explode(F.array(*[
+        F.struct(F.lit(s).alias("share"), between(i).alias("quantile")) for i, s in enumerate(shares)])).alias("q")
+    ).select("column", "q.share", "q.quantile")

@@ -92,12 +92,16 @@ def test_language_names(spark):
 
 # --- ranks and profiles ----------------------------------------------------------------------------------------
 
+def quantiles_of(df):
+    return R.quantiles(df, df.groupBy("column").agg(F.count("value").alias("rows")))
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 5000])
 def test_quantiles(spark, n):
     r = random.Random(n)
-    values = [r.choice([7.0, r.gauss(0, 1), 1e12 * r.random()]) for _ in range(n)]
+    values = [r.choice([7.0, 0.0, r.gauss(0, 1), 1e12 * r.random(), 1000 + r.random() * 1e-9, -5e-324, 1e308 * r.random()]) for _ in range(n)]
     df = spark.createDataFrame([("c", v) for v in values] + [("c", None), ("d", 1.0)], "column string, value double")
-    got = {(x["column"], x["share"]): x["quantile"] for x in R.quantiles(df).collect()}
+    got = {(x["column"], x["share"]): x["quantile"] for x in quantiles_of(df).collect()}
     s = sorted(values)
     for share in (0.25, 0.5, 0.75):
         at = (n - 1) * share
@@ -107,13 +111,11 @@ def test_quantiles(spark, n):
         assert got["d", share] == 1.0
 
 
-def test_quantiles_with_brackets_narrower_than_the_data(spark, monkeypatch):
-    monkeypatch.setattr(R, "SKETCH_ACCURACY", 100)
-    monkeypatch.setattr(R, "MARGIN", 0.04)
-    df = spark.range(20001).select(F.lit("c").alias("column"), F.pmod(F.hash("id"), F.lit(1000003)).cast("double").alias("value"))
-    values = sorted(r["value"] for r in df.collect())
-    got = {x["share"]: x["quantile"] for x in R.quantiles(df).collect()}
-    assert got == {0.25: values[5000], 0.5: values[10000], 0.75: values[15000]}
+def test_values_of_whole_numbers_beyond_double_precision(spark):
+    base = 2 ** 60
+    df = spark.range(5000).select(F.lit("c").alias("column"), (F.lit(base) + F.pmod(F.col("id") * 7919, F.lit(5000))).alias("value"))
+    targets = spark.createDataFrame([("c", i, r) for i, r in enumerate((0, 1, 2500, 4999))], "column string, target int, rank long")
+    assert rows(R.values_at(df, targets)) == [("c", 0, base), ("c", 1, base + 1), ("c", 2, base + 2500), ("c", 3, base + 4999)]
 
 
 def test_row_at(spark):
