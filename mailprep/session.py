@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 TASKS_PER_CORE = 4
+_local_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -20,9 +21,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set(CHECKPOINT_DIR, made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _local_dirs[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
