@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailprep.llm import (bpe_codec, imatch, language_id, quality_lm, source_mix, token_counts, topk_search, url_filter)
+from mailprep.llm import (bpe_codec, imatch, jaccard_join, language_id, quality_lm, source_mix, suffix_dedup, token_counts,
+                          topk_search, url_filter)
 from mailprep.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +41,11 @@ def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("doc_id", "lang", "n_bytes", "perplexity", "threshold", "keep")
 
 
+@query
+def op3_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf, "documents"))
+
+
 @query
 def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
@@ -73,6 +79,12 @@ def op8_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_codec.digests(bpe_codec.decode(ids, *args))
 
 
+@query
+def op9_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    done = suffix_dedup.dedup(table(spark, sf, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op10_imatch(spark: SparkSession, sf: str) -> DataFrame:
     return imatch.fingerprint(table(spark, sf, "documents"))
