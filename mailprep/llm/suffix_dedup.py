@@ -206,6 +206,15 @@ def _spans(docs: DataFrame, text: str, known: Bloom, hot: Bloom, shards: int) ->
     return sent.groupBy("shard").applyInPandas(sort, "name string, spans binary")
 
 
+def as_text_of(kept: Column) -> Column:
+    """Bytes as text; what is left of a character that was cut in part is left out."""
+    @F.pandas_udf("string")
+    def decoded(column: pd.Series) -> pd.Series:
+        return column.map(lambda b: b.decode(errors="ignore"))
+
+    return decoded(kept)
+
+
 def merged(spans: np.ndarray) -> np.ndarray:
     """Spans (from, to) joined where they overlap or touch, sorted."""
     if not len(spans):
