@@ -1 +1,79 @@
-"""A corpus made ready for training, stage by stage."""
+"""A corpus made ready for training: five stages, each over all that the one before kept.
+
+    run(spark, sf_dir)
+
+reads the documents, applies the stages and writes and rereads the result of each but the last in the shared folder.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from mailprep.llm import bpe_codec, jaccard_join, language_id, source_mix, suffix_dedup
+from mailprep.session import saved
+
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told from their text; those without a letter or with no clear language go.
+
+    The model is fitted on the documents' own labels. ``lang`` stays as it is given.
+    """
+    told = language_id.identify(docs, language_id.fit(docs))
+    return told.filter((F.col("lang_pred") != language_id.NONE) & ~F.col("ambiguous")).select(*docs.columns)
+
+
+def _key() -> Column:
+    """The id of a document; rows without one are told by their text and come after all others."""
+    return F.coalesce("doc_id", F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 62)))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id. Documents without words stay."""
+    keyed = docs.withColumn("_key", _key())
+    groups = jaccard_join.near_duplicates(keyed, "_key")
+    first = groups.filter("_key = component_id").select("_key").distinct()
+    same = Window.partitionBy("_key").orderBy(*[F.col(c) for c in docs.columns])
+    kept = keyed.join(first, "_key", "left_semi").withColumn("_n", F.row_number().over(same)).filter("_n = 1")
+    return kept.select(*docs.columns)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents without the passages of 200 bytes and more that stand elsewhere too.
+
+    A character of which a passage takes a part goes as a whole. A null text stays null.
+    """
+    done = suffix_dedup.dedup(docs)
+    text = F.when(F.col("n_removed") > 0, suffix_dedup.as_text_of(F.col("kept"))).otherwise(F.col("text"))
+    done = done.withColumn("text", text)
+    return done.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as the mix takes them, repeats as rows of their own, in training order."""
+    return source_mix.sequence(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, source, n_tokens, ids, decoded_sha256): token ids of every row and what they decode to."""
+    args = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    rows = docs.select(F.struct("doc_id", "source").alias("row"), "text")
+    done = bpe_codec.decode(bpe_codec.encode(rows, *args, key="row"), *args, key="row")
+    return done.select("row.doc_id", "row.source", F.floor(F.length("ids") / 4).alias("n_tokens"), "ids",
+                       F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+STAGES = [("language ID", languages), ("n-gram Jaccard join", near_duplicates), ("suffix-array dedup", repeats),
+          ("mixing sources to target weights", mixture), ("byte-level BPE", tokens)]
+
+ORACLE_SQL = None  # SQL expresses neither the language model nor the removal of repeated passages; tests do it by hand
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), "stage")
+    return STAGES[-1][1](spark, docs, sf_dir)
