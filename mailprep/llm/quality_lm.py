@@ -72,8 +72,8 @@ def model(counts: DataFrame, order: int = ORDER) -> list[DataFrame]:
         seen = {int(r["n"]): r["k"] for r in level.filter("n <= 4").groupBy("n").agg(F.count("*").alias("k")).collect()}
         n1, n2, n3, n4 = (seen.get(i, 0) for i in (1, 2, 3, 4))
         y = n1 / (n1 + 2 * n2) if n1 + 2 * n2 else 0.5
-        # a discount stays between nothing and its count, also where small tables leave a class empty
-        d = [min(max(i - (i + 1) * y * (b / a) if a else i * 0.5, 0.0), float(i)) for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+        # also where small tables leave a class empty, a discount takes something and leaves something
+        d = [min(max(i - (i + 1) * y * (b / a) if a else i * 0.5, 0.1), i - 0.1) for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
         off = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
         rows = level.withColumn("ctx", F.shiftright("gram", 8)).withColumn("off", off)
         contexts = rows.groupBy("ctx").agg(F.sum("n").alias("total"), F.sum("off").alias("off"))

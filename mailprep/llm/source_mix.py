@@ -88,11 +88,11 @@ def _placed(rows: DataFrame) -> DataFrame:
         return F.greatest(F.lit(0), F.least(F.col("size"), F.floor(F.col("target") - start)))
 
     rows = rows.withColumn("taken", (part(at) + part(again)).cast("long"))
-    times = F.array(*[_when(s / F.col("target"), F.col("slope")) for s in (at, again)])
+    times = F.array(*[_when(F.try_divide(s, F.col("target")), F.col("slope")) for s in (at, again)])
     copies = F.when(part(again) > 0, 2).when(part(at) > 0, 1).otherwise(0)
     rows = rows.withColumn("positions", F.slice(times, 1, copies)).withColumn("position", F.get("positions", F.lit(0)))
     extra = ("_mark", "_source", "_cell", "_s", "_c", "_start", "_inside", "slope")
-    return rows.drop(*extra).orderBy(F.col("position").asc_nulls_last())
+    return rows.orderBy(F.col("position").asc_nulls_last(), "_mark").drop(*extra)
 
 
 def sequence(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -111,4 +111,4 @@ def sequence(docs: DataFrame, key: str = "doc_id", text: str = "text", source: s
     cut = F.array_join(F.slice(pieces, F.lit(1), F.greatest(F.col("_share"), F.lit(0)).cast("int")), "")
     copies = copies.withColumn("_share", share)
     copies = copies.withColumn(text, F.when(F.col("_share") < F.col("size"), cut).otherwise(F.col(text)))
-    return copies.orderBy(F.col("_at").asc_nulls_last()).select(*columns)
+    return copies.orderBy(F.col("_at").asc_nulls_last(), F.col(key), "_copy").select(*columns)
