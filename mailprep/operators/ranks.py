@@ -13,38 +13,82 @@ from pyspark.sql import types as T
 
 from mailprep.session import saved
 
-DIRECT_ROWS = 100         # positions up to here are taken straight off the top
 STEPS_PER_DOUBLING = 256  # cells of the first count
 STEPS_PER_CELL = 1 << 16  # cells of the second count
+STEP_CHARS = 2            # characters by which a start of texts grows per count
 
 
 def first_rows(df: DataFrame, key: str, n: int, last: bool = False) -> DataFrame:
-    """The ``n`` rows with the smallest (or largest) keys, in key order. Keys are unique.
+    """The ``n`` rows with the smallest (or largest) keys, in key order, null first. Keys are unique.
 
     Every task offers its n best to one task, so only keys make that trip; the rows are read by their key range
     afterwards, which a Parquet scan can use to skip row groups.
     """
-    order = F.desc(key) if last else F.asc(key)
-    low, high = df.select(key).orderBy(order).limit(n).agg(F.min(key), F.max(key)).first()
-    return df.filter(F.col(key).between(F.lit(low), F.lit(high))).orderBy(key).limit(n)
+    order = F.desc_nulls_last(key) if last else F.asc_nulls_first(key)
+    low, high, rows, filled = (df.select(key).orderBy(order).limit(n)
+                               .agg(F.min(key), F.max(key), F.count("*"), F.count(key)).first())
+    wanted = F.col(key).between(F.lit(low), F.lit(high))
+    if rows > filled:
+        wanted = F.coalesce(wanted, F.lit(False)) | F.col(key).isNull()
+    return df.filter(wanted).orderBy(F.asc_nulls_first(key)).limit(n)
 
 
-def row_at(df: DataFrame, key: str, k: int, direct_rows: int = DIRECT_ROWS) -> DataFrame:
-    """Row number ``k`` (from 1) in the order of a unique key, with its position and the row count."""
-    total = df.count()
+def row_at(df: DataFrame, key: str, k: int) -> DataFrame:
+    """Row number ``k`` (from 1) in the order of a unique key, null first, with its position and the row count.
+
+    Any key that has an order will do. Numbers and times are counted by value, texts by ever longer starts; neither
+    sorts the table.
+    """
+    total, filled = df.agg(F.count("*"), F.count(key)).first()
     if not 1 <= k <= total:
         raise ValueError(f"record {k} is outside 1..{total}")
-    if k <= direct_rows:
-        wanted = df.select(key).orderBy(key).offset(k - 1).limit(1).first()[0]
-    elif isinstance(df.schema[key].dataType, T.IntegralType):
-        values = df.select(F.lit("key").alias("column"), F.col(key).alias("value"))
-        targets = df.sparkSession.range(1).select(F.lit("key").alias("column"), F.lit(0).alias("target"),
-                                                  F.lit(k - 1).cast("long").alias("rank"))
-        wanted = values_at(values, targets).first()["value"]
+    rank = k - (total - filled)
+    if rank < 1:
+        found = df.filter(F.col(key).isNull()).limit(1)
     else:
-        raise TypeError(f"far positions need a whole-number key, and {key!r} is none")
-    return df.filter(F.col(key) == F.lit(wanted)).select(
-        "*", F.lit(k).cast("long").alias("position"), F.lit(total).cast("long").alias("total"))
+        as_key = _comparable(df, key)
+        keys = df.filter(F.col(key).isNotNull()).select(as_key.alias("value"))
+        is_text = isinstance(keys.schema["value"].dataType, T.StringType)
+        found = df.filter(as_key == F.lit(_text_at(keys, rank) if is_text else _number_at(keys, rank))).limit(1)
+    return found.select("*", F.lit(k).cast("long").alias("position"), F.lit(total).cast("long").alias("total"))
+
+
+def _comparable(df: DataFrame, key: str) -> Column:
+    """The key as a number or a text of the same order."""
+    kind = df.schema[key].dataType
+    if isinstance(kind, (T.NumericType, T.StringType)):
+        return F.col(key)
+    if isinstance(kind, T.BooleanType):
+        return F.col(key).cast("int")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(key)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(key).cast("timestamp"))
+    if isinstance(kind, T.BinaryType):
+        return F.hex(key)
+    raise TypeError(f"{key!r} has no order: {kind.simpleString()}")
+
+
+def _number_at(keys: DataFrame, rank: int) -> object:
+    values = keys.select(F.lit("key").alias("column"), "value")
+    targets = keys.sparkSession.range(1).select(F.lit("key").alias("column"), F.lit(0).alias("target"),
+                                                F.lit(rank - 1).cast("long").alias("rank"))
+    return values_at(values, targets).first()["value"]
+
+
+def _text_at(keys: DataFrame, rank: int) -> str:
+    """The text at a rank: counted by the next ``STEP_CHARS`` characters, then again inside the start that holds it."""
+    start = ""
+    while True:
+        inside = keys.filter(F.startswith("value", F.lit(start)))
+        step = F.substring(F.col("value"), len(start) + 1, STEP_CHARS)
+        counts = inside.groupBy(step.alias("next")).agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.orderBy("next"))  # one row per next two characters
+        held = counts.withColumn("upto", upto).filter(F.col("upto") >= rank).orderBy("upto").first()
+        rank -= held["upto"] - held["n"]
+        start += held["next"]
+        if len(held["next"]) < STEP_CHARS:  # the texts counted here end here, so they are all equal
+            return start
 
 
 def _scale(d: Column) -> Column:
