@@ -36,10 +36,11 @@ def label_mapping(df: DataFrame, column: str) -> DataFrame:
     return classes.select("class", number.alias("label"))
 
 
-def encode_labels(df: DataFrame, column: str, label: str = "label") -> DataFrame:
-    """Add the class number of ``column``."""
-    classes = broadcast_if_small(label_mapping(df, column).withColumnRenamed("label", label), MAX_CLASSES)
-    return df.join(classes, df[column] == classes["class"]).drop("class")
+def encode_labels(df: DataFrame, column: str, label: str = "label", mapping: DataFrame | None = None) -> DataFrame:
+    """Add the class number of ``column``, by a class table (class, label) if one is at hand."""
+    classes = broadcast_if_small(label_mapping(df, column) if mapping is None else mapping, MAX_CLASSES)
+    rest = [df[f"`{c}`"] for c in df.columns if c != label]
+    return df.join(classes, df[f"`{column}`"] == classes["class"]).select(*rest, classes["label"].alias(label))
 
 
 def split_dataset(df: DataFrame, key: str, ratios: tuple[float, float, float] = X.SPLIT_RATIOS,

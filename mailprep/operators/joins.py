@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +34,11 @@ def join_metadata(mails: DataFrame, meta: DataFrame, left_on: str = X.MAIL_KEY,
     if salts <= 1:
         return mails.join(meta, on(mails, meta), how)
     # the salt comes from the row itself, so a task that runs twice deals its rows the same way
-    dealt = mails.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in mails.columns]), F.lit(salts)))
-    copies = meta.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    same = on(dealt, copies) & (dealt["_salt"] == copies["_copy"])
-    joined = dealt.join(copies, same, "left" if how in ("left", "outer") else "inner").drop("_salt", "_copy")
+    salt, copy = (f"__{name}_{uuid.uuid4().hex}" for name in ("salt", "copy"))  # no caller has a column of this name
+    dealt = mails.withColumn(salt, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in mails.columns]), F.lit(salts)))
+    copies = meta.withColumn(copy, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    same = on(dealt, copies) & (dealt[salt] == copies[copy])
+    joined = dealt.join(copies, same, "left" if how in ("left", "outer") else "inner").drop(salt, copy)
     if how in ("inner", "left"):
         return joined
     keys = mails.select(left_on).distinct()
@@ -56,5 +59,6 @@ def language_names(df: DataFrame, code_col: str = "Language", name_col: str = "L
                    extra: dict[str, str] | None = None) -> DataFrame:
     """Add the English name of a language code; an unlisted or missing code is Unknown."""
     names = language_table(df.sparkSession, extra)  # a fixed list: its size does not depend on the data
-    return (df.join(F.broadcast(names), df[code_col].cast("string") == names["code"], "left")
-            .withColumn(name_col, F.coalesce("lang_name", F.lit(X.UNKNOWN_NAME))).drop("code", "lang_name"))
+    joined = df.join(F.broadcast(names), df[code_col].cast("string") == names["code"], "left")
+    rest = [df[f"`{c}`"] for c in df.columns if c != name_col]
+    return joined.select(*rest, F.coalesce(names["lang_name"], F.lit(X.UNKNOWN_NAME)).alias(name_col))
