@@ -20,6 +20,7 @@ from mailprep.session import saved, small_table
 
 QUARTILES = (0.25, 0.5, 0.75)
 SKETCH_ACCURACY = 10_000
+START = 32  # characters of a text that are compared before the text itself is fetched
 
 
 def _columns_of(df: DataFrame, kind: type[T.DataType]) -> list[str]:
@@ -48,16 +49,17 @@ def _families(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
 
 
 def _summary(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per column: filled and null cells, distinct values, the most frequent stand-in and its count.
+    """One row per column: filled and null cells, distinct values, the start of the most frequent value and its count;
+    among values of that count, the smallest.
 
     The result is tiny and used more than once, so it is written out.
     """
     parts = []
     for kind, members in _families(df, columns).items():
-        key = _stand_in("value") if kind == "string" else F.col("value")
-        counts = _values(df, members, kind).groupBy("column", key.alias("key")).count()
+        key, start = (_stand_in("value"), F.left("value", F.lit(START))) if kind == "string" else (F.col("value"), F.col("value"))
+        counts = _values(df, members, kind).groupBy("column", key.alias("key"), start.alias("start")).count()
         n, filled = F.col("count"), F.col("key").isNotNull()
-        first = F.min(F.when(filled, F.struct((-n).alias("n"), F.col("key").alias("key"))))
+        first = F.min(F.when(filled, F.struct((-n).alias("n"), F.col("start").alias("key"))))
         parts.append(counts.groupBy("column").agg(
             F.sum(F.when(filled, n).otherwise(0)).alias("count"), F.sum(F.when(filled, 0).otherwise(n)).alias("nulls"),
             F.count("key").alias("distinct"), first["key"].cast("string").alias("top_key"), (-first["n"]).alias("freq")))
@@ -65,20 +67,22 @@ def _summary(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _shown(df: DataFrame, summary: DataFrame, max_distinct: int = 0) -> DataFrame:
-    """Add ``top``, the value behind ``top_key``, and ``values``, the sorted values of columns with fewer than
-    ``max_distinct``. One pass over the columns concerned; the broadcast side has one row per column."""
-    long_top = F.char_length("top_key") > 32
+    """Add ``top``, the smallest of the most frequent values, and ``values``, the sorted values of columns with fewer
+    than ``max_distinct``. One pass over the columns concerned; the broadcast side has one row per column. Of long
+    values, only those that begin as the top one does are looked at."""
+    long_top = F.char_length("top_key") >= START
     small = F.col("distinct") < max_distinct
     columns = [r["column"] for r in summary.filter(long_top | small).select("column").collect()]
     if not columns:
         return summary.withColumn("top", F.col("top_key")).withColumn("values", F.lit(None).cast("array<string>"))
-    wanted = summary.select(F.col("column").alias("c"), "top_key", small.alias("small"))
-    is_top = _stand_in("value") == F.col("top_key")
+    wanted = summary.select(F.col("column").alias("c"), "top_key", "freq", small.alias("small"))
+    begins = F.startswith("value", F.col("top_key"))
     picked = (_values(df, columns).join(F.broadcast(wanted), F.col("column") == F.col("c"))
-              .filter(F.col("value").isNotNull() & (F.col("small") | is_top))
-              .groupBy("column", "small", "top_key", "value").count())
+              .filter(F.col("value").isNotNull() & (F.col("small") | begins))
+              .groupBy("column", "small", "top_key", "freq", _stand_in("value").alias("key"))
+              .agg(F.count("*").alias("n"), F.first("value").alias("value")))
     found = picked.groupBy("column").agg(
-        F.max(F.when(is_top, F.col("value"))).alias("found"),
+        F.min(F.when(begins & (F.col("n") == F.col("freq")), F.col("value"))).alias("found"),
         F.sort_array(F.collect_list(F.when(F.col("small"), F.col("value")))).alias("listed"))
     return (summary.join(F.broadcast(found), "column", "left")
             .withColumn("top", F.when(long_top, F.col("found")).otherwise(F.col("top_key")))
@@ -101,10 +105,29 @@ def null_counts(df: DataFrame) -> DataFrame:
     return row.unpivot([], df.columns, "column", "nulls").filter("nulls > 0")
 
 
+def _exact(c: Column, kind: T.DataType) -> Column:
+    """A value as text, different for different values: nulls are a sign of their own, the rest is in hexadecimal."""
+    if isinstance(kind, T.ArrayType):
+        value = F.concat(F.lit("["), F.array_join(F.transform(c, lambda x: _exact(x, kind.elementType)), ","), F.lit("]"))
+    elif isinstance(kind, T.StructType):
+        fields = [_exact(c[f.name], f.dataType) for f in kind]
+        value = F.when(c.isNotNull(), F.concat(F.lit("("), F.concat_ws(",", *fields), F.lit(")")))
+    elif isinstance(kind, T.MapType):
+        pairs = F.array_sort(F.map_entries(c))
+        return _exact(pairs, T.ArrayType(T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])))
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        value = F.unix_micros(c.cast("timestamp")).cast("string")
+    elif isinstance(kind, (T.BinaryType, T.StringType)):
+        value = F.concat(F.lit("x"), F.hex(c))
+    else:
+        zero = isinstance(kind, (T.FloatType, T.DoubleType))  # zero has two signs and one value
+        value = F.when(c == 0, "0.0").otherwise(c.cast("string")) if zero else c.cast("string")
+    return F.coalesce(value, F.lit("null"))
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """How many rows repeat an earlier identical row; nulls are equal to each other."""
-    # JSON leaves null fields out, which keeps them apart from empty texts
-    digest = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])))
+    digest = F.md5(F.concat_ws(",", *[_exact(F.col(f"`{f.name}`"), f.dataType) for f in df.schema]))
     groups = df.groupBy(digest.alias("row")).count()
     return groups.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicate_rows"))
 
@@ -129,7 +152,7 @@ def describe_numeric(df: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def describe_categorical(df: DataFrame) -> DataFrame:
-    """count, unique, top and freq of every text column; on a tie the top is the value with the first stand-in."""
+    """count, unique, top and freq of every text column; on a tie the top is the smallest value."""
     shown = _shown(df, _summary(df, _columns_of(df, T.StringType)))
     return shown.select("column", "count", F.col("distinct").alias("unique"), "top", "freq")
 
