@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailprep import fixed as X
@@ -12,16 +13,37 @@ from mailprep.functions import text as tx
 from mailprep.operators.ranks import first_rows, row_at
 
 _BETWEEN_CHARACTERS = r"(?![\x{dc00}-\x{dfff}])"  # Java would also try the middle of a surrogate pair
+BLOCK = 256  # pieces of a cut text whose lengths are summed up together
 ALL = "<All>"
 MISSING = "<Missing>"
 
 
+def _translated(pattern: str) -> str:
+    """Named groups, their references and the end of text, as the engine writes them."""
+    name = lambda m: re.sub("[^A-Za-z0-9]", "u", m[1])
+
+    def one(m: re.Match) -> str:
+        token = m[0]
+        if token == r"\Z":
+            return r"\z"
+        if token.startswith("(?P<"):
+            return f"(?<{name(re.match(r'[(][?]P<(.*)>', token))}>"
+        if token.startswith("(?P="):
+            return rf"\k<{name(re.match(r'[(][?]P=(.*)[)]', token))}>"
+        return token
+
+    return re.sub(r"\\.|\(\?P<\w+>|\(\?P=\w+\)", one, pattern, flags=re.DOTALL)
+
+
 def _checked(pattern: str) -> str:
+    """The pattern in the engine's own dialect, tried out there; a broken one is an error at once."""
+    whole = "(?iUd)" + _translated(pattern)
+    spark = SparkSession.active()
     try:
-        re.compile(pattern)
-    except re.error as e:
-        raise ValueError(f"invalid regular expression: {e}") from e
-    return "(?iUd)" + pattern
+        spark.range(1).select(F.lit("").rlike(whole)).first()
+    except PySparkException as e:
+        raise ValueError(f"invalid regular expression: {pattern!r}") from e
+    return whole
 
 
 def _search(query: str, regex: bool, literal: bool, column: str) -> Column | None:
@@ -135,8 +157,8 @@ def record_at(df: DataFrame, key: str, k: int) -> DataFrame:
 def match_spans(df: DataFrame, key: str, query: str, regex: bool = False, column: str = X.BODY) -> DataFrame:
     """Where the query occurs: (key, start, end) in characters from 0, for every hit that is not empty.
 
-    Hits are marked in the text and the text is cut at the marks. Only the lengths of the pieces are summed up per
-    text, so one text with many hits stays linear and no text crosses the network.
+    Hits are marked in the text and the text is cut at the marks. Lengths are summed up inside the row, by blocks of
+    pieces, so nothing is shuffled and keys may repeat.
     """
     if not query.strip():
         return df.select(key, F.lit(0).alias("start"), F.lit(0).alias("end")).limit(0)
@@ -144,15 +166,28 @@ def match_spans(df: DataFrame, key: str, query: str, regex: bool = False, column
     pattern = _checked(query) if regex else "(?iu)" + re.escape(query)
     flags, body = pattern.split(")", 1)
     whole = rf"{flags}){_BETWEEN_CHARACTERS}(?:{body})"  # an empty hit must not fall inside a character
-    marked = F.replace(F.regexp_replace(column, whole, f"{opening}$0{closing}"),
+    text = F.translate(column, opening + closing, "\ufffd\ufffd")
+    marked = F.replace(F.regexp_replace(text, whole, f"{opening}$0{closing}"),
                        F.lit(opening + closing), F.lit(""))  # drop empty hits
     pieces = F.split(marked, opening)
     lengths = F.transform(pieces, lambda p: F.struct(
         (F.greatest(F.instr(p, closing), F.lit(1)) - 1).alias("hit"),
         (F.char_length(p) - F.when(F.contains(p, F.lit(closing)), 1).otherwise(0)).alias("all")))
-    cut = (df.filter(F.col(column).rlike(pattern))
-           .select(key, F.posexplode(lengths).alias("i", "piece"))
-           .select(key, "i", "piece.hit", "piece.all"))
-    upto = Window.partitionBy(key).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    return (cut.withColumn("start", F.sum("all").over(upto).cast("int")).filter("i > 0 AND hit > 0")
-            .select(key, "start", (F.col("start") + F.col("hit")).alias("end")))
+
+    def total(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), lambda s, p: s + p["all"])
+
+    def block(lengths: Column, i: Column) -> Column:
+        return F.slice(lengths, i * BLOCK + 1, F.lit(BLOCK))
+
+    numbers = F.sequence(F.lit(0), F.floor((F.size("lengths") - 1) / BLOCK).cast("int"))
+    cut = df.filter(F.col(column).rlike(pattern)).select(key, F.explode(F.array(lengths)).alias("lengths"))
+    cut = cut.select(key, "lengths", F.explode(F.array(F.transform(numbers, lambda i: total(block(F.col("lengths"), i))))).alias("sums"))
+    cut = cut.select(key, F.posexplode(F.transform(F.col("sums"), lambda _, i: F.struct(
+        F.aggregate(F.slice("sums", F.lit(1), i), F.lit(0), lambda s, x: s + x).alias("start"),
+        block(F.col("lengths"), i).alias("pieces")))).alias("no", "block"))
+    cut = cut.select(key, "no", F.posexplode(F.transform(F.col("block.pieces"), lambda p, i: F.struct(
+        p["hit"].alias("hit"), (F.col("block.start") + total(F.slice(F.col("block.pieces"), F.lit(1), i))).alias("start"))))
+        .alias("i", "at"))
+    return (cut.filter("no + i > 0 AND at.hit > 0")
+            .select(key, F.col("at.start").alias("start"), (F.col("at.start") + F.col("at.hit")).alias("end")))
