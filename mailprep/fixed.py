@@ -61,7 +61,6 @@ JOB_TITLES = ["manager", "director", "engineer", "officer", "coordinator", "spec
 STREET_WORDS = ["straat", "street", "road", "avenue", "drive", "laan", "weg", "plaza", "parc", "port", "boulevard"]
 
 # --- Fixed values: markup, thread marks, invisible characters ------------------------------------------
-HTML_TAG = r"<[^>]+>"
 LINK_IN_BRACKETS = r"\[https?://[^\]]+\]"
 CID_IN_BRACKETS = r"\[cid:[^\]]+\]"
 THREAD_IN_BRACKETS = r"\[\s*thread::[a-zA-Z0-9]+(?:::)?\s*\]"
@@ -81,7 +80,6 @@ OTHER_THRESHOLD = 500
 SPLIT_RATIOS = (0.7, 0.15, 0.15)
 SPLIT_SEED = 42
 WEIGHT_DECAY = 0.01
-ENCODING_SAMPLE_BYTES = 100_000
 
 # --- Fixed values: cells read as missing in delimited files -------------------------------------------------
 MISSING_CELLS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",

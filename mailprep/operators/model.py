@@ -10,20 +10,21 @@ from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from mailprep import fixed as X
 from mailprep.functions import text as tx
 from mailprep.functions.dialect import words
 from mailprep.operators.dataset import MAX_CLASSES, class_weights
-from mailprep.session import broadcast_if_small
+from mailprep.session import broadcast_if_small, saved
 
-FEATURES = 1 << 16  # hashed words; the model holds FEATURES numbers per class, whatever the vocabulary
+FEATURES = 1 << 16  # hashed words; words that share a number count as one. The model holds FEATURES numbers per class
 PATIENCE = 2
 
 
-def _tokens(df: DataFrame, text_col: str) -> DataFrame:
-    return df.withColumn("tokens", words(F.lower(tx.truncate_tokens(text_col))))
+def _tokens(df: DataFrame, text_col: str, max_words: int | None = None) -> DataFrame:
+    """All words of the text, or the first ``max_words``."""
+    text = tx.col(text_col) if max_words is None else tx.truncate_tokens(text_col, max_words)
+    return df.withColumn("tokens", words(F.lower(text)))
 
 
 def _weighted(train: DataFrame) -> DataFrame:
@@ -44,9 +45,10 @@ def _classifier(num_classes: int, max_iter: int, reg_param: float) -> LogisticRe
 
 
 def train_classifier(train: DataFrame, num_classes: int, text_col: str = X.CLEAN_BODY, max_iter: int = 20,
-                     reg_param: float = X.WEIGHT_DECAY, features: int = FEATURES) -> PipelineModel:
-    """A class-weighted linear classifier over hashed word counts."""
-    rows = _tokens(_weighted(train), text_col)
+                     reg_param: float = X.WEIGHT_DECAY, features: int = FEATURES,
+                     max_words: int | None = None) -> PipelineModel:
+    """A class-weighted linear classifier over hashed word counts. Give ``max_words`` to ``score`` as well."""
+    rows = _tokens(_weighted(train), text_col, max_words)
     featurizer = _featurizer(rows, features)
     return PipelineModel(featurizer.stages + [_classifier(num_classes, max_iter, reg_param)
                                               .fit(featurizer.transform(rows))])
@@ -58,10 +60,11 @@ def argmax(scores: Column | str) -> Column:
     return (F.array_position(s, F.array_max(s)) - 1).cast("long")
 
 
-def score(model: PipelineModel, rows: DataFrame, text_col: str = X.CLEAN_BODY) -> DataFrame:
+def score(model: PipelineModel, rows: DataFrame, text_col: str = X.CLEAN_BODY,
+          max_words: int | None = None) -> DataFrame:
     """Add TrueLabel, PredictedLabel and Correct."""
     keep = [F.col(f"`{c}`") for c in rows.columns]
-    scored = model.transform(_tokens(rows, text_col))
+    scored = model.transform(_tokens(rows, text_col, max_words))
     return (scored.select(*keep, F.col("label").cast("long").alias("TrueLabel"),
                           argmax(vector_to_array("rawPrediction")).alias("PredictedLabel"))
             .withColumn("Correct", F.col("TrueLabel") == F.col("PredictedLabel")))
@@ -100,30 +103,30 @@ def classification_metrics(pred: DataFrame, num_classes: int) -> DataFrame:
 
 def select_best(train: DataFrame, val: DataFrame, num_classes: int, text_col: str = X.CLEAN_BODY,
                 rounds: Iterable[int] = (5, 10, 20, 40), metric: str = "f1", reg_param: float = X.WEIGHT_DECAY,
-                features: int = FEATURES) -> tuple[PipelineModel, list[tuple[int, float]]]:
+                features: int = FEATURES,
+                max_words: int | None = None) -> tuple[PipelineModel, list[tuple[int, float]]]:
     """Train for a growing number of iterations and keep the model with the best validation score.
 
-    Features are made once for all rounds. Stops after two rounds in a row without progress. Returns the model and
+    Features of both parts are made once for all rounds. Stops after two rounds in a row without progress. Returns the model and
     (iterations, score) per round.
     """
-    rows = _tokens(_weighted(train), text_col)
+    rows = _tokens(_weighted(train), text_col, max_words)
     featurizer = _featurizer(rows, features)
-    ready = featurizer.transform(rows).select("label", "weight", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    ready = saved(featurizer.transform(rows).select("label", "weight", "features"), "features")
+    checked = saved(featurizer.transform(_tokens(val, text_col, max_words)).select("label", "features"), "features")
     best, best_value, stale, history = None, float("-inf"), 0, []
-    try:
-        for iterations in rounds:
-            fitted = _classifier(num_classes, iterations, reg_param).fit(ready)
-            model = PipelineModel(featurizer.stages + [fitted])
-            value = classification_metrics(score(model, val, text_col), num_classes).first()[metric] or 0.0
-            history.append((iterations, value))
-            if value > best_value:
-                best, best_value, stale = model, value, 0
-            else:
-                stale += 1
-                if stale == PATIENCE:
-                    break
-    finally:
-        ready.unpersist()
+    for iterations in rounds:
+        fitted = _classifier(num_classes, iterations, reg_param).fit(ready)
+        guess = fitted.transform(checked).select(F.col("label").cast("long").alias("TrueLabel"),
+                                                 argmax(vector_to_array("rawPrediction")).alias("PredictedLabel"))
+        value = classification_metrics(guess, num_classes).first()[metric] or 0.0
+        history.append((iterations, value))
+        if value > best_value:
+            best, best_value, stale = PipelineModel(featurizer.stages + [fitted]), value, 0
+        else:
+            stale += 1
+            if stale == PATIENCE:
+                break
     return best, history
 
 

@@ -23,7 +23,7 @@ def train_complaint_types(snapshot: DataFrame, key: str, folder: str | None = No
     """Which type of complaint."""
     rows = D.type_dataset(snapshot, type_col=type_col, keep=(key,))
     mapping = saved(D.label_mapping(rows, type_col), "labels")
-    return _train(D.encode_labels(rows, type_col), key, mapping.count(), mapping, folder)
+    return _train(D.encode_labels(rows, type_col, mapping=mapping), key, mapping.count(), mapping, folder)
 
 
 def _train(rows: DataFrame, key: str, num_classes: int, mapping: DataFrame | None,
@@ -31,11 +31,12 @@ def _train(rows: DataFrame, key: str, num_classes: int, mapping: DataFrame | Non
     """Fit on the train part, choose by the validation part, score the test part; write the reports to ``folder``."""
     parts = saved(D.split_dataset(rows, key), "split")
     train, val, test = (parts.filter(F.col("split") == s).drop("split") for s in D.SPLITS)
-    model, _ = M.select_best(train, val, num_classes)
+    model, history = M.select_best(train, val, num_classes)
     scored = M.score(model, test)
     if folder is not None:
         reports.write_stats(D.dataset_stats(parts, mapping), folder)
         reports.write_predictions(scored, folder)
         reports.write_metrics(M.classification_metrics(scored, num_classes), folder)
+        reports.write_history(parts.sparkSession, history, folder)
         model.write().save(f"{folder}/model")
     return model, scored

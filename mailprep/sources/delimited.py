@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,28 +31,53 @@ def _header(spark: SparkSession, path: str, sep: str, multi_line: bool) -> list[
     return names
 
 
+def _files_by_header(spark: SparkSession, path: str, sep: str, multi_line: bool) -> dict[tuple[str, ...], list[str]]:
+    """The files under ``path`` by their column names, in the order of the file names."""
+    files = sorted(r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect())
+    out: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        names = tuple(_header(spark, f, sep, multi_line))
+        if names:  # an empty file has no header and no rows
+            out.setdefault(names, []).append(f)
+    return out
+
+
 def read_delimited(spark: SparkSession, path: str, sep: str = ";", multi_line: bool = True) -> DataFrame | None:
-    """A file with a header, all columns text, missing-value words read as null.
+    """A file with a header, or a folder of such files, all columns text, missing-value words read as null.
 
-    Short rows are filled up with nulls. A row with too many fields fails the job. A missing file is reported and
-    gives None. A file with quoted line feeds is read by one task: give many files rather than one huge one, or set
-    ``multi_line`` to False when no field holds a line feed, and large files are split.
+    Every file is read by its own header; files with the same columns in another order are put together by name, and
+    a file with other columns is an error that names it. Short rows are filled up with nulls. A row with too many
+    fields fails the job. A missing file is reported and gives None. A file with quoted line feeds is read by one
+    task: give many files rather than one huge one, or set ``multi_line`` to False when no field holds a line feed,
+    and large files are split.
     """
     try:
-        names = _header(spark, path, sep, multi_line)
+        groups = _files_by_header(spark, path, sep, multi_line)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         print(f"File not found: {path}")
         return None
+    if not groups:
+        return spark.createDataFrame([], T.StructType())
+    first = next(iter(groups))
+    for names, files in groups.items():
+        if set(names) != set(first):
+            raise ValueError(f"{files[0]} has other columns than the files before it: {sorted(set(names) ^ set(first))}")
+    parts = [_parsed(spark, files, list(names), sep, multi_line).select(*[F.col(f"`{c}`") for c in first])
+             for names, files in groups.items()]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _parsed(spark: SparkSession, files: list[str], names: list[str], sep: str, multi_line: bool) -> DataFrame:
     # Two more columns tell long rows from short ones: a row in order is one field short of this schema, so that
     # _bad is set and _extra is empty.
     fields = [f"c{i}" for i in range(len(names))]
     schema = T.StructType([T.StructField(f, T.StringType()) for f in [*fields, "_extra", "_bad"]])
-    raw = spark.read.schema(schema).csv(path, **_options(sep, multi_line), enforceSchema=True, nullValue="",
+    raw = spark.read.schema(schema).csv(files, **_options(sep, multi_line), enforceSchema=True, nullValue="",
                                         mode="PERMISSIVE", columnNameOfCorruptRecord="_bad")
     too_long = F.col("_extra").isNotNull() | F.col("_bad").isNull()
-    problem = F.when(too_long, F.raise_error(F.lit(f"a row of {path} has more than {len(names)} fields")))
+    problem = F.when(too_long, F.raise_error(F.lit(f"a row of {files[0]} or a file like it has more than {len(names)} fields")))
     cells = [F.when(~F.col(f).isin(*X.MISSING_CELLS), F.col(f)).alias(n) for f, n in zip(fields, names)]
     return raw.filter(F.coalesce(problem.cast("boolean"), F.lit(True))).select(cells)
 

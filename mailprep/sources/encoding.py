@@ -5,21 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailprep import fixed as X
-
 # --- Fixed values: byte-order marks, longest first ---
 MARKS = [("FFFE0000", "UTF-32"), ("0000FEFF", "UTF-32"), ("EFBBBF", "UTF-8-SIG"), ("FFFE", "UTF-16"), ("FEFF", "UTF-16")]
 
 
-def encoding_census(spark: SparkSession, glob: str, sample_bytes: int = X.ENCODING_SAMPLE_BYTES) -> DataFrame:
-    """Encoding and confidence of every file, judged by its first ``sample_bytes`` bytes. Empty files are left out."""
-    head = F.substring("content", 1, sample_bytes)
+def encoding_census(spark: SparkSession, glob: str, sample_bytes: int | None = None) -> DataFrame:
+    """Encoding and confidence of every file, judged by all of it, or by its first ``sample_bytes`` bytes. Empty files
+    are left out."""
+    head = F.substring("content", 1, sample_bytes) if sample_bytes else F.col("content")
     files = spark.read.format("binaryFile").load(glob).select("path", "length", head.alias("head"))
     # the sample may end inside a character of up to four bytes
     cut = [F.col("head"), *[F.substring(F.col("head"), F.lit(1), F.octet_length("head") - n) for n in (1, 2, 3)]]
     valid = F.is_valid_utf8(cut[0].cast("string"))
     for shorter in cut[1:]:
-        valid = valid | ((F.col("length") > sample_bytes) & F.is_valid_utf8(shorter.cast("string")))
+        valid = valid | ((F.lit(bool(sample_bytes)) & (F.col("length") > (sample_bytes or 0))) & F.is_valid_utf8(shorter.cast("string")))
     ascii_only = F.is_valid_utf8(cut[0].cast("string")) & (F.char_length(F.col("head").cast("string")) == F.octet_length("head"))
     def answer(encoding: str, confidence: float):
         return F.struct(F.lit(encoding).alias("encoding"), F.lit(confidence).alias("confidence"))

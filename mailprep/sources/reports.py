@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from mailprep.operators.model import errors
+from mailprep.session import small_table
 from mailprep.sources.delimited import write_delimited
 
 
@@ -36,6 +37,12 @@ def write_metrics(metrics: DataFrame, folder: str) -> None:
     metrics.write.json(f"{folder}/final_metrics")
 
 
+def write_history(spark: SparkSession, history: list[tuple[int, float]], folder: str) -> None:
+    """Iterations and validation score of every training round."""
+    rows = [{"iterations": n, "score": value} for n, value in history]
+    small_table(spark, rows, "iterations: int, score: double").write.json(f"{folder}/training_history")
+
+
 def export_distinct(df: DataFrame, column: str, path: str) -> None:
     """The distinct values of a column as a one-column delimited table."""
     write_delimited(df.select(column).dropna().distinct(), path)
