@@ -1,17 +1,31 @@
-"""Command line: python -m mailprep prepare|train-complaints|train-types|profile ..."""
+"""Command line: python -m mailprep prepare|train-complaints|train-types|train-languages|profile|explore ..."""
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from mailprep import fixed as X
+from mailprep.operators import explore as E
+from mailprep.operators.language import language_model
 from mailprep.operators.profile import profile
 from mailprep.plans import prepare as A
 from mailprep.plans import train as B
 from mailprep.sources.snapshot import read_snapshot, write_snapshot
 
 
+def found(rows: DataFrame, args: argparse.Namespace) -> DataFrame:
+    """What the explore job writes."""
+    rows = E.explore(rows, args.query, args.regex, args.literal, args.max_chars, args.type, args.language, args.priority,
+                     body=X.CLEAN_BODY)
+    if args.facets:
+        return E.facet_counts(rows)
+    if args.page:
+        return E.page(rows, args.key, args.page, args.after, args.before)
+    return E.record_at(rows, args.key, args.record) if args.record else rows
+
+
 def main() -> None:
     top = argparse.ArgumentParser(prog="mailprep")
     sub = top.add_subparsers(dest="job", required=True)
@@ -21,23 +35,54 @@ def main() -> None:
     job.add_argument("out")
     job.add_argument("--key", help="unique mail column to carry along for training")
     job.add_argument("--languages", help="saved language model table")
+    job.add_argument("--single-line", action="store_true", help="no field holds a line feed: split large files")
+    job.add_argument("--first", type=int, help="only the first mails, in key order if there is a key")
+    job.add_argument("--pick", type=int, help="only the mail at this place (from 0) in key order")
     for name in ("train-complaints", "train-types"):
         job = sub.add_parser(name, help="classifier and reports from a snapshot")
         job.add_argument("snapshot")
         job.add_argument("key", help="unique mail column")
         job.add_argument("out")
-    job = sub.add_parser("profile", help="print the profile of a snapshot")
+    job = sub.add_parser("train-languages", help="language model from labelled texts")
+    job.add_argument("texts", help="table with a text and a language column")
+    job.add_argument("out")
+    job.add_argument("--text", default="text")
+    job.add_argument("--lang", default="lang")
+    job = sub.add_parser("profile", help="profile of a snapshot, as a table")
     job.add_argument("snapshot")
+    job.add_argument("out")
+    job = sub.add_parser("explore", help="filter, search and page through a snapshot")
+    job.add_argument("snapshot")
+    job.add_argument("out")
+    job.add_argument("--query", default="")
+    job.add_argument("--regex", action="store_true")
+    job.add_argument("--literal", action="store_true")
+    job.add_argument("--max-chars")
+    job.add_argument("--type", default=E.ALL, help="complaint type, or <Missing>")
+    job.add_argument("--language", default=E.ALL)
+    job.add_argument("--priority", default=E.ALL)
+    what = job.add_mutually_exclusive_group()
+    what.add_argument("--facets", action="store_true", help="counts per type, language and priority instead of rows")
+    what.add_argument("--page", type=int, help="so many rows in key order")
+    what.add_argument("--record", type=int, help="the row at this position")
+    job.add_argument("--key", help="unique mail column for pages and records")
+    job.add_argument("--after", help="the page after this key")
+    job.add_argument("--before", help="the page before this key")
     args = top.parse_args()
 
     spark = SparkSession.builder.appName(f"mailprep {args.job}").getOrCreate()
     if args.job == "prepare":
         model = read_snapshot(spark, args.languages) if args.languages else None
-        table = A.prepare_files(spark, args.mails, args.meta, model, keep=(args.key,) if args.key else ())
+        table = A.prepare_files(spark, args.mails, args.meta, model, keep=(args.key,) if args.key else (),
+                                multi_line=not args.single_line, first=args.first, pick=args.pick)
         if table is not None:
             write_snapshot(table, args.out)
     elif args.job == "profile":
-        profile(read_snapshot(spark, args.snapshot)).show(1000, truncate=60)
+        write_snapshot(profile(read_snapshot(spark, args.snapshot)), args.out)
+    elif args.job == "train-languages":
+        write_snapshot(language_model(read_snapshot(spark, args.texts), args.text, args.lang), args.out)
+    elif args.job == "explore":
+        write_snapshot(found(read_snapshot(spark, args.snapshot), args), args.out)
     else:
         train = B.train_complaints if args.job == "train-complaints" else B.train_complaint_types
         train(read_snapshot(spark, args.snapshot), args.key, args.out)

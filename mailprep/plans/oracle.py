@@ -303,7 +303,7 @@ LABELLED_COLUMNS = ["id", "body", "priority", "Language", "complaint_type", "Lan
 
 CATEGORICAL = f"""WITH {VIEWS}, long AS MATERIALIZED ({long_table('mails', MAIL_TEXTS)}),
 groups AS (SELECT "column", v, count(*) AS c FROM long WHERE v IS NOT NULL GROUP BY 1, 2),
-tops AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY c DESC, CASE WHEN length(v) <= 32 THEN v ELSE concat('#', md5(v)) END) AS r FROM groups) WHERE r = 1)
+tops AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY c DESC, v) AS r FROM groups) WHERE r = 1)
 SELECT l."column", count(l.v) AS count, count(DISTINCT l.v) AS "unique", any_value(t.v) AS top, any_value(t.c) AS freq
 FROM long l LEFT JOIN tops t ON l."column" = t."column" GROUP BY 1"""
 
@@ -313,7 +313,7 @@ FROM ({long_table('lineitem', LINE_NUMBERS, 'DOUBLE')}) GROUP BY 1"""
 
 PROFILE = f"""WITH {VIEWS}, {LABELLED}, long AS MATERIALIZED ({long_table('labelled', LABELLED_COLUMNS)}),
 groups AS (SELECT "column", v, count(*) AS c FROM long WHERE v IS NOT NULL GROUP BY 1, 2),
-tops AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY c DESC, CASE WHEN length(v) <= 32 THEN v ELSE concat('#', md5(v)) END) AS r FROM groups) WHERE r = 1),
+tops AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY c DESC, v) AS r FROM groups) WHERE r = 1),
 domains AS (SELECT "column", string_agg(v, '|' ORDER BY v) AS values FROM groups GROUP BY 1 HAVING count(*) < 30),
 base AS (SELECT "column", count(v) AS count, count(*) - count(v) AS nulls, count(DISTINCT v) AS "distinct", count(*) AS rows FROM long GROUP BY 1)
 SELECT b."column", b.count, b.nulls, b."distinct", t.c AS freq, t.v AS top, d.values,
@@ -348,10 +348,20 @@ PREPARED = with_clean("""SELECT f."MailId", f."Subject", f."Priority", f.kind AS
 case_file AS MATERIALIZED ({CASE_FILE.format(labels='labels')}),
 """)
 
+COMPLAINT_ROWS = complaints("SELECT id, complaint AS label FROM {rows} WHERE clean IS NOT NULL AND complaint IS NOT NULL")
+TYPE_ROWS = complaints("""SELECT id, CAST(dense_rank() OVER (ORDER BY complaint_type) - 1 AS BIGINT) AS label FROM {rows}
+ WHERE complaint = 1 AND complaint_type IS NOT NULL AND complaint_type <> 'Not applicable'""")
+
 ORACLE: dict[str, str] = {
     "s1_read_delimited": on_mails("SELECT " + ", ".join(
         f"CASE WHEN CAST({c} AS VARCHAR) IN ({MISSING_CELLS}) THEN NULL ELSE CAST({c} AS VARCHAR) END AS {c}"
         for c in ["id", *MAIL_TEXTS]) + " FROM mails"),
+    "s1_read_delimited_folder": on_mails("SELECT " + ", ".join(
+        f"CASE WHEN CAST({c} AS VARCHAR) IN ({MISSING_CELLS}) THEN NULL ELSE CAST({c} AS VARCHAR) END AS {c}"
+        for c in ["id", *MAIL_TEXTS]) + " FROM mails"),
+    "s7_encoding_census": """SELECT lang, CASE WHEN plain THEN 'ascii' ELSE 'utf-8' END AS encoding,
+ CASE WHEN plain THEN 1.0::DOUBLE ELSE 0.99::DOUBLE END AS confidence
+FROM (SELECT lang, bool_and(strlen(text) = length(text)) AS plain FROM documents WHERE text IS NOT NULL GROUP BY 1)""",
     "s2_read_snapshot": "SELECT doc_id, text, lang, n_chars FROM documents",
     "s3_write_snapshot": with_clean("SELECT k AS id, x AS clean FROM clean WHERE length(x) >= 120"),
     "s4_write_predictions": f"SELECT *, 'test_predictions' AS file FROM {PRED} UNION ALL "
@@ -372,6 +382,7 @@ FROM (SELECT split, label, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY
     "c6_select_existing": on_mails("SELECT priority, body, id FROM mails"),
     "c7_derive_complaint_label": on_mails(f"SELECT id, complaint_type, {label_of('complaint_type')} AS complaint FROM case_meta"),
     "c8_pick": on_mails("SELECT *, 151::BIGINT AS position, (SELECT count(*) FROM mails) AS total FROM mails ORDER BY id LIMIT 1 OFFSET 150"),
+    "c8_pick_text_key": on_mails("SELECT *, 151::BIGINT AS position, (SELECT count(*) FROM mails) AS total FROM mails ORDER BY parent_id LIMIT 1 OFFSET 150"),
     "c8_limit": on_mails("SELECT * FROM mails ORDER BY id LIMIT 25"),
     "c9_body_as_text": on_mails("SELECT id, coalesce(body, 'nan') AS body FROM mails"),
     "j1_join_metadata": on_mails('SELECT m.*, c.id AS "META_id", c.complaint_type AS "META_complaint_type", c.all_null_col AS "META_all_null_col" '
@@ -380,6 +391,7 @@ FROM (SELECT split, label, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY
  (SELECT priority AS known_priority, count(*) AS mails FROM mails WHERE priority IS NULL OR priority <> 'Low' GROUP BY 1
   UNION ALL SELECT 'Urgent', count(*) FROM mails) k ON m.priority IS NOT DISTINCT FROM k.known_priority"""),
     "j2_language_names": f"SELECT doc_id, lang, {name_of('lang')} AS lang_name_en FROM documents",
+    "j2_language_names_code_column": f"SELECT doc_id, lang AS code, source AS lang_name, {name_of('lang')} AS name FROM documents",
     "t1_strip_flexible_reply_header": body_steps(step_flexible),
     "t2_remove_empty_lines": body_steps(simple(t2)),
     "t3_reduce_spaces": body_steps(simple(t3)),
@@ -415,6 +427,7 @@ FROM (SELECT "Language", CAST(sum(n) AS BIGINT) AS "EmailCount", CAST(sum(sum(n)
     "p2_null_counts": labelled("SELECT * FROM (" + " UNION ALL ".join(
         f"SELECT {q(c)} AS \"column\", count(*) - count(\"{c}\") AS nulls FROM labelled" for c in LABELLED_COLUMNS) + ") WHERE nulls > 0"),
     "p3_duplicate_rows": "SELECT (SELECT count(*) FROM documents) - (SELECT count(*) FROM (SELECT DISTINCT text, lang FROM documents)) AS duplicate_rows",
+    "p3_duplicate_rows_events": "SELECT (SELECT count(*) FROM events) - (SELECT count(*) FROM (SELECT DISTINCT * FROM events)) AS duplicate_rows",
     "p4_describe_numeric": NUMERIC,
     "p5_describe_categorical": CATEGORICAL,
     "p6_distinct_counts": f"SELECT \"column\", count(DISTINCT v) AS \"distinct\" FROM ({long_table('lineitem', LINE_COLUMNS)}) GROUP BY 1",
@@ -424,6 +437,7 @@ FROM ({long_table('labelled', LABELLED_COLUMNS)}) WHERE v IS NOT NULL GROUP BY 1
     "p8_value_counts_orders": "SELECT o_orderpriority, count(*) AS count FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1",
     "p9_profile": PROFILE,
     "f1_search_regex": on_mails(f"SELECT id, body FROM mails WHERE regexp_matches(coalesce(body, 'nan'), {q(FOUND)})"),
+    "f1_search_regex_named_group": on_mails("SELECT id FROM mails WHERE regexp_matches(coalesce(body, 'nan'), '(?i)(?:anan|enen|inin|onon|unun)\\z|the of')"),
     "f2_search_text": on_mails("SELECT id, body FROM mails WHERE regexp_matches(body, '(?i)exampl..com')"),
     "f2_search_text_literal": on_mails("SELECT id, body FROM mails WHERE contains(lower(body), 'example.com')"),
     "f3_max_length": with_clean("SELECT k AS id, x AS clean FROM clean WHERE length(x) <= 800"),
@@ -443,6 +457,9 @@ SELECT 'priority', priority, NULL, count(*) FROM labelled WHERE regexp_matches(b
     "f9_record_at": labelled("""SELECT id, body, "Language", position, total FROM (SELECT *, row_number() OVER (ORDER BY id) AS position,
  count(*) OVER () AS total FROM labelled WHERE "Language" = 'es') WHERE position = 17"""),
     "f10_match_spans": spans(SPAN_RE2),
+    "f9_record_at_text_key": labelled("""SELECT key, id, position, total FROM (SELECT md5(CAST(id AS VARCHAR)) AS key, id,
+ row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR))) AS position, count(*) OVER () AS total FROM labelled) WHERE position = 123"""),
+    "f10_match_spans_repeated_key": f"WITH s AS ({spans(r'(?i)e' + chr(92) + '. ')}), p AS ({on_mails('SELECT id, priority FROM mails')}) SELECT priority, start, \"end\", count(*) AS n FROM s JOIN p USING (id) GROUP BY ALL",
     "f10_match_spans_literal": spans(r"(?i)e\. "),
     "d1_binary_dataset": complaints("SELECT id, clean, complaint AS label FROM {rows} WHERE clean IS NOT NULL AND complaint IS NOT NULL"),
     "d2_type_dataset": complaints("SELECT id, clean, complaint_type FROM {rows} WHERE complaint = 1 AND complaint_type IS NOT NULL AND complaint_type <> 'Not applicable'"),
@@ -454,6 +471,12 @@ FROM (SELECT split, label, lang, count(*) AS n, CAST(sum(count(*)) OVER (PARTITI
  FROM {split_of('(SELECT doc_id, lang, CAST(dense_rank() OVER (ORDER BY lang) - 1 AS BIGINT) AS label FROM documents)', 'doc_id')} GROUP BY 1, 2, 3)""",
     "d6_class_weights": f"""SELECT label, n AS count, round(CAST(sum(n) OVER () AS DOUBLE) / (count(*) OVER () * n), 9) AS weight
 FROM (SELECT label, count(*) AS n FROM {LABEL_SPLIT} WHERE split = 'train' GROUP BY 1)""",
+    "m1_train_classifier": f"SELECT id, label AS \"TrueLabel\", true AS known_class, true AS judged FROM {split_of('(' + COMPLAINT_ROWS + ')', 'id')} WHERE split = 'test'",
+    "m2_select_best": "SELECT 2::BIGINT AS rounds, true AS is_best",
+    "m3_score_types": f"SELECT id, label AS \"TrueLabel\", true AS known_class, true AS judged FROM {split_of('(' + TYPE_ROWS + ')', 'id')} WHERE split = 'test'",
+    "train_complaint_types": f"""SELECT id, label AS "TrueLabel", true AS known_class, true AS judged FROM {split_of('''(SELECT "MailId" AS id,
+ CAST(dense_rank() OVER (ORDER BY "AGR_Type_of_Complaint__c") - 1 AS BIGINT) AS label FROM (''' + PREPARED + ''')
+ WHERE "Complaint" = 1 AND "AGR_Type_of_Complaint__c" IS NOT NULL AND "AGR_Type_of_Complaint__c" <> 'Not applicable')''', 'id')} WHERE split = 'test'""",
     "m3_argmax": "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS best FROM embeddings",
     "m4_metrics_binary": BINARY_METRICS,
     "m4_metrics_macro": MACRO_METRICS,

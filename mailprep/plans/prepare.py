@@ -11,6 +11,7 @@ from mailprep import fixed as X
 from mailprep.operators import schema as C
 from mailprep.operators.joins import join_metadata
 from mailprep.operators.language import detect_language
+from mailprep.session import saved
 from mailprep.sources.delimited import read_delimited
 
 
@@ -50,10 +51,22 @@ def prepare(mails: DataFrame, meta: DataFrame, model: DataFrame | None = None, k
 
 
 def prepare_files(spark: SparkSession, mails_path: str, meta_path: str, model: DataFrame | None = None,
-                  keep: tuple[str, ...] = ()) -> DataFrame | None:
-    """The same from two delimited files; None when one is missing."""
-    mails, meta = read_delimited(spark, mails_path), read_delimited(spark, meta_path)
+                  keep: tuple[str, ...] = (), multi_line: bool = True, first: int | None = None,
+                  pick: int | None = None) -> DataFrame | None:
+    """The same from two delimited files; None when one is missing. Each file is parsed once and kept as a table.
+
+    ``first`` takes so many mails, in the order of the first column of ``keep`` if there is one; ``pick`` takes the
+    one mail at that place (from 0) of that order.
+    """
+    mails, meta = read_delimited(spark, mails_path, multi_line=multi_line), read_delimited(spark, meta_path, multi_line=multi_line)
     if mails is None or meta is None:
         print("Missing dataset files.")
         return None
+    mails, meta = saved(mails, "mails"), saved(meta, "cases")
+    if pick is not None:
+        if not keep:
+            raise ValueError("one mail is picked by the order of a key: name it in keep")
+        mails = C.pick(mails, keep[0], pick).drop("position", "total")
+    elif first is not None:
+        mails = C.limit(mails, first, keep[0] if keep else None)
     return prepare(mails, meta, model, keep)

@@ -118,6 +118,15 @@ def test_prepare_files(spark, tmp_path):
     assert rows(snapshot.read_snapshot(spark, path)) == rows(out)
 
 
+def test_folder_with_headers_in_any_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("A;B\n1;2\n")
+    (tmp_path / "b.csv").write_text("B;A\n2;1\n")
+    assert [tuple(r) for r in delimited.read_delimited(spark, str(tmp_path)).select("A", "B").collect()] == [("1", "2")] * 2
+    (tmp_path / "c.csv").write_text("A;C\n1;2\n")
+    with pytest.raises(ValueError, match="c.csv"):
+        delimited.read_delimited(spark, str(tmp_path))
+
+
 def test_train_and_report(spark, tmp_path):
     kinds = ["broken", "late", "wrong"]
     data = [(i, f"the box was {kinds[i % 3]} again today", 1, kinds[i % 3]) for i in range(90)]
@@ -125,7 +134,7 @@ def test_train_and_report(spark, tmp_path):
     _, scored = B.train_complaint_types(snap, "k", str(tmp_path / "out"))
     assert scored.count() == 15 and scored.filter("Correct").count() == 15
     assert sorted(os.listdir(tmp_path / "out")) == ["dataset_stats", "final_metrics", "incorrect_predictions", "model",
-                                                    "test_predictions"]
+                                                    "test_predictions", "training_history"]
 
 
 def test_stream(spark, tmp_path):

@@ -121,11 +121,57 @@ def test_values_of_whole_numbers_beyond_double_precision(spark):
 def test_row_at(spark):
     df = spark.range(0, 3000).select((F.col("id") * F.col("id")).alias("k"))
     for k in (1, 2, 777, 2999, 3000):
-        assert R.row_at(df, "k", k, direct_rows=0).first().asDict() == {"k": (k - 1) ** 2, "position": k, "total": 3000}
+        assert R.row_at(df, "k", k).first().asDict() == {"k": (k - 1) ** 2, "position": k, "total": 3000}
     with pytest.raises(ValueError):
         R.row_at(df, "k", 3001)
-    with pytest.raises(TypeError):
-        R.row_at(df.select(F.col("k").cast("string")), "k", 5, direct_rows=0)
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "boolean", "double", "decimal(20,3)"])
+def test_row_at_by_any_key(spark, kind):
+    n = 2 if kind == "boolean" else 400
+    key = {"string": F.concat(F.lit("MAIL-"), F.col("id") * 7), "date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")),
+           "timestamp": F.timestamp_micros(F.col("id") * 1_000_001), "boolean": F.col("id") == 1}.get(kind, F.col("id") * 0.125).cast(kind)
+    df = spark.range(n).select(key.alias("k")).union(spark.sql("select null"))
+    want = [None, *sorted(r[0] for r in df.filter("k is not null").collect())]
+    for at in sorted({1, 2, min(n, 101), n // 2 + 1, n + 1}):
+        assert R.row_at(df, "k", at).first()["k"] == want[at - 1]
+    assert [r["k"] for r in R.first_rows(df, "k", 3).collect()] == want[:3]
+    assert [r["k"] for r in R.first_rows(df, "k", 2, last=True).collect()] == want[-2:]
+
+
+def test_columns_of_the_caller_stay(spark):
+    df = spark.createDataFrame([("en", "x", "y")], "lang string, code string, lang_name string")
+    assert J.language_names(df, "lang", "name").first().asDict() == {"lang": "en", "code": "x", "lang_name": "y", "name": "English"}
+    df = spark.createDataFrame([("b", "x"), ("a", "y")], "kind string, class string")
+    assert rows(D.encode_labels(df, "kind").select("kind", "class", "label")) == [("a", "y", 0), ("b", "x", 1)]
+
+
+def test_duplicates_are_exact(spark):
+    df = spark.sql("""SELECT * FROM VALUES (timestamp_micros(1), 'a', array(1, null), 0.0D), (timestamp_micros(2), 'a', array(1, null), 0.0D),
+        (timestamp_micros(1), 'a', array(1), 0.0D), (timestamp_micros(1), 'a', array(1, null), -0.0D), (timestamp_micros(1), null, array(1), 0.0D),
+        (timestamp_micros(1), 'null', array(1), 0.0D) AS t(ts, s, a, d)""")
+    assert P.duplicate_rows(df).first()[0] == 1
+
+
+def test_top_of_long_ties_is_the_smallest(spark):
+    values = [c * 40 for c in "jihgfedcb"] + ["b" * 39 + "a"]
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    assert P.describe_categorical(df).first()["top"] == min(values)
+
+
+def test_search_dialect(spark):
+    df = spark.createDataFrame([(1, "abab"), (2, "été"), (3, "xx")], "id long, body string")
+    ids = lambda p: [r["id"] for r in E.search_regex(df, p, "body").orderBy("id").collect()]
+    assert ids(r"(?P<my_group>ab)(?P=my_group)\Z") == [1] and ids(r"\p{L}{3}") == [1, 2] and ids(r"x++") == [3]
+    with pytest.raises(ValueError):
+        E.search_regex(df, "(", "body")
+
+
+def test_spans_of_repeated_keys(spark):
+    df = spark.createDataFrame([(1, "xab"), (1, "abx ab"), (2, "\ufdd0ab\ufdd1" + "ab" * 600)], "k long, body string")
+    got = rows(E.match_spans(df, "k", "ab", column="body"))
+    want = [(1, 1, 3), (1, 0, 2), (1, 4, 6), (2, 1, 3)] + [(2, 4 + 2 * i, 6 + 2 * i) for i in range(600)]
+    assert sorted(got) == sorted(want)
 
 
 def test_profile(spark):
