@@ -1,12 +1,14 @@
 """Language detection with a character-trigram model, and the language report.
 
-Training is one map-side combined count. The model is a table of at most BUCKETS rows per language, because
-trigrams are hashed into a fixed number of buckets. Scoring therefore needs neither a join nor a shuffle: the
-weights travel to the tasks as one array per language, and every row is scored where it lies.
+Training is one map-side combined count. The model is a table with one row per language and trigram. Scoring works on
+the distinct sentences that are judged: their trigrams meet the model in a join, a broadcast while the model is counted
+to be small, and only a sentence and its code go back to the mails.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,11 +16,11 @@ from mailprep import fixed as X
 from mailprep.functions import text as tx
 from mailprep.functions.dialect import let, percent_text, strip
 from mailprep.operators.joins import language_names
+from mailprep.session import broadcast_if_small
 
-BUCKETS = 1 << 15
-MAX_LANGUAGES = 256     # 4 bytes * BUCKETS * MAX_LANGUAGES = 32 MB of weights at most
+MAX_BROADCAST_ROWS = 500_000  # a larger model is joined by shuffling
 NO_LETTERS = r"[^\p{L}]+"
-SCALE = 10_000          # weights are whole ten-thousandths, so that sums do not depend on their order
+SCALE = 10_000                # weights are whole ten-thousandths, so that sums do not depend on their order
 
 
 def _plain(c: Column) -> Column:
@@ -26,70 +28,71 @@ def _plain(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), NO_LETTERS, " "))
 
 
-def trigram_buckets(plain: Column) -> Column:
-    """The bucket of every trigram of plain words, each word with a space before and after it."""
-    points = F.transform(F.split(F.concat(F.lit(" "), plain, F.lit(" ")), ""), F.ascii)
+def trigrams(plain: Column) -> Column:
+    """The trigrams of plain words, each word with a space before and after it."""
+    signs = F.split(F.concat(F.lit(" "), plain, F.lit(" ")), "")
 
     def grams(p: Column) -> Column:
-        def bucket(first: Column, i: Column) -> Column:
+        def gram(first: Column, i: Column) -> Column:
             middle = F.get(p, i + 1)  # a space in the middle would span two words
-            return F.when(middle != ord(" "), (first * 961 + middle * 31 + F.get(p, i + 2)) % BUCKETS)
+            return F.when(middle != " ", F.concat(first, middle, F.get(p, i + 2)))
 
-        return F.when(F.size(p) >= 3, F.array_compact(F.transform(F.slice(p, F.lit(1), F.size(p) - 2), bucket)))
+        return F.when(F.size(p) >= 3, F.array_compact(F.transform(F.slice(p, F.lit(1), F.size(p) - 2), gram)))
 
-    return F.coalesce(let(points, grams), F.array().cast("array<int>"))
+    return F.coalesce(let(signs, grams), F.array().cast("array<string>"))
 
 
 def language_model(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """Train: rows (lang, bucket, n, total, weight) with weight = ln((n + 1) / (total + BUCKETS)), in 1/SCALE.
+    """Train: rows (lang, gram, n, total, vocabulary, weight) with weight = ln((n + 1) / (total + vocabulary)), in 1/SCALE.
 
-    Words are counted first, so that the trigrams of a word are made once and not at each of its places.
+    ``total`` counts the language's trigrams, ``vocabulary`` the different ones of all languages. Words are counted
+    first, so that the trigrams of a word are made once and not at each of its places.
     """
     words = (df.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
              .select(F.col(lang_col).alias("lang"),
                      F.explode(F.split(F.lower(F.col(text_col)), NO_LETTERS)).alias("word"))
              .groupBy("lang", "word").agg(F.count("*").alias("n")))
-    seen = (words.select("lang", "n", F.explode(trigram_buckets(F.col("word"))).alias("bucket"))
-            .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
-    total = F.sum("n").over(Window.partitionBy("lang"))  # at most BUCKETS rows per language
-    return seen.withColumn("total", total).withColumn("weight", _weight(F.col("n"), F.col("total")))
-
-
-def _weight(n: Column, total: Column) -> Column:
-    return F.round(F.log((n + 1) / (total + BUCKETS)) * SCALE).cast("int")
-
-
-def _weight_arrays(model: DataFrame) -> DataFrame:
-    """One row, one column: an array of (lang, weights by bucket), sorted by language."""
-    totals = model.groupBy("lang").agg(F.max("total").alias("total"))
-    unseen = totals.select("lang", F.explode(F.sequence(F.lit(0), F.lit(BUCKETS - 1))).alias("bucket"),
-                           _weight(F.lit(0), F.col("total")).alias("weight"))
-    # seen buckets weigh more than unseen ones, so the larger weight is the right one
-    every = model.select("lang", "bucket", "weight").unionByName(unseen).groupBy("lang", "bucket").agg(
-        F.max("weight").alias("weight"))
-    arrays = every.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("bucket", "weight"))).alias("w"))
-    return (arrays.select("lang", F.col("w.weight").alias("weights"))
-            .agg(F.array_sort(F.collect_list(F.struct("lang", "weights"))).alias("languages")))
-
-
-def _language_code(text: Column, languages: Column) -> Column:
-    """The language with the largest weight sum; the first by name on a tie; unknown without any trigram."""
-    def best(grams: Column) -> Column:
-        scored = F.transform(languages, lambda one, i: F.struct(
-            F.aggregate(grams, F.lit(0).cast("long"), lambda s, b: s + F.get(one["weights"], b)).alias("score"),
-            (-i).alias("first"), one["lang"].alias("lang")))
-        return F.when(F.size(grams) > 0, F.array_max(scored)["lang"]).otherwise(X.UNKNOWN_CODE)
-
-    return let(trigram_buckets(_plain(tx.last_valid_sentence(tx.clean_crlf(text)))), best)
-
-
-def _languages(model: DataFrame) -> Column:
-    """The weights as one constant. Its size is bounded: the number of languages is checked, the buckets are fixed."""
-    if model.select("lang").distinct().count() > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages in the model")
-    arrays = _weight_arrays(model)
-    text = arrays.select(F.to_json("languages")).first()[0]
-    return F.from_json(F.lit(text), arrays.schema["languages"].dataType)
+    seen = (words.select("lang", "n", F.explode(trigrams(F.col("word"))).alias("gram"))
+            .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    totals = seen.groupBy("lang").agg(F.sum("n").alias("total"))
+    vocabulary = seen.select("gram").distinct().agg(F.count("*")).scalar()
+    return (seen.join(totals, "lang").withColumn("vocabulary", vocabulary)
+            .select("lang", "gram", "n", "total", "vocabulary", _weight(F.col("n")).alias("weight")))
+
+
+def _weight(n: Column | int) -> Column:
+    n = F.lit(n) if isinstance(n, int) else n
+    return F.round(F.log((n + 1) / (F.col("total") + F.col("vocabulary"))) * SCALE).cast("int")
+
+
+def _codes(sentences: DataFrame, name: str, model: DataFrame) -> DataFrame:
+    """(name, code) of distinct plain sentences: the language with the largest weight sum, the first by name on a tie.
+    Sentences without any trigram have no row."""
+    # one row per language; every sentence starts with what its trigrams would weigh if none had been seen
+    languages = model.groupBy("lang").agg(F.max("total").alias("total"), F.max("vocabulary").alias("vocabulary")).select(
+        "lang", _weight(0).alias("unseen")).orderBy("lang").collect()
+    if not languages:
+        return sentences.select(name, F.lit(None).cast("string").alias("code")).limit(0)
+    grams = sentences.select(name, trigrams(F.col(name)).alias("grams")).filter(F.size("grams") > 0)
+    start = F.array(*[F.struct(F.lit(r["lang"]).alias("lang"), F.lit(r["unseen"]).alias("unseen")) for r in languages])
+    base = grams.select(name, F.size("grams").alias("k"), F.explode(start).alias("l")).select(
+        name, "l.lang", (F.col("k") * F.col("l.unseen")).cast("long").alias("score"))
+    more = broadcast_if_small(model.select("gram", "lang", (F.col("weight") - _weight(0)).cast("long").alias("score")), MAX_BROADCAST_ROWS)
+    met = grams.select(name, F.explode("grams").alias("gram")).join(more, "gram").select(name, "lang", "score")
+    scores = base.unionByName(met).groupBy(name, "lang").agg(F.sum("score").alias("score"))
+    best = F.min(F.struct((-F.col("score")).alias("score"), "lang"))["lang"]
+    return scores.groupBy(name).agg(best.alias("code"))
+
+
+def _with_code(df: DataFrame, text: Column, model: DataFrame, target: str) -> DataFrame:
+    """``df`` with the language code of a text, judged by its last full sentence; unknown without any trigram."""
+    name = f"__plain_{uuid.uuid4().hex}"
+    rest = [F.col(f"`{c}`") for c in df.columns if c != target]
+    plain = F.nullif(_plain(tx.last_valid_sentence(tx.clean_crlf(text))), F.lit(""))
+    # the explode keeps the sentence from being made again at each use
+    keyed = df.select(*rest, F.explode(F.array(plain)).alias(name))
+    codes = _codes(keyed.select(name).filter(F.col(name).isNotNull()).distinct(), name, model)
+    return keyed.join(codes, name, "left").select(*rest, F.coalesce("code", F.lit(X.UNKNOWN_CODE)).alias(target))
 
 
 def detect_language(df: DataFrame, model: DataFrame, text_col: str = X.CLEAN_BODY,
@@ -100,20 +103,14 @@ def detect_language(df: DataFrame, model: DataFrame, text_col: str = X.CLEAN_BOD
     """
     if text_col not in df.columns:
         raise ValueError(f"column {text_col!r} not found")
-    code = _language_code(tx.body_as_text(text_col), _languages(model))
-    rest = [F.col(f"`{c}`") for c in df.columns if c not in ("Language", "LangName")]
-    # the explode keeps later filters on the language from scoring each row twice
-    return language_names(df.select(*rest, F.explode(F.array(code)).alias("Language")), extra=extra_names)
+    return language_names(_with_code(df, tx.body_as_text(text_col), model, "Language"), extra=extra_names)
 
 
 def detect_language_or_unknown(df: DataFrame, model: DataFrame, text_col: str = X.CLEAN_BODY,
                                target: str = "Language") -> DataFrame:
     """Add the language code alone; a blank or missing text is unknown."""
     text = F.col(text_col).cast("string")
-    blank = text.isNull() | (strip(text) == "")
-    code = F.when(blank, X.UNKNOWN_CODE).otherwise(_language_code(text, _languages(model)))
-    rest = [F.col(f"`{c}`") for c in df.columns if c != target]
-    return df.select(*rest, F.explode(F.array(code)).alias(target))
+    return _with_code(df, F.when(strip(text) != "", text), model, target)
 
 
 def language_distribution(df: DataFrame, column: str = "LangName", threshold: int = X.OTHER_THRESHOLD) -> DataFrame:

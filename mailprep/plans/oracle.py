@@ -261,31 +261,35 @@ SELECT round((SELECT avg(CASE WHEN "TrueLabel" = "PredictedLabel" THEN 1.0::DOUB
 
 # --- the trigram model -----------------------------------------------------------------------------------------------
 
+def taught(key: str) -> str:
+    return f"substr(md5(concat({key}, ':lang')), 1, 1) < '8'"
+
+
 def grams(source: str, carry: str, x: str) -> str:
     plain = f"' ' || trim(regexp_replace(lower({x}), '[^\\p{{L}}]+', ' ', 'g')) || ' '"
-    return f"""SELECT {carry}, unnest(list_transform(list_filter(range(1, len(p) - 1), lambda i: p[i + 1] <> 32),
-  lambda i: (p[i] * 961 + p[i + 1] * 31 + p[i + 2]) % 32768)) AS bucket
- FROM (SELECT {carry}, list_transform(string_split({plain}, ''), lambda c: unicode(c)) AS p FROM {source})"""
+    return f"""SELECT {carry}, unnest(list_transform(list_filter(range(1, len(p) - 1), lambda i: p[i + 1] <> ' '),
+  lambda i: p[i] || p[i + 1] || p[i + 2])) AS gram
+ FROM (SELECT {carry}, string_split({plain}, '') AS p FROM {source})"""
 
 
-WEIGHT = "CAST(round(ln(({n} + 1)::DOUBLE / ({total} + 32768)::DOUBLE) * 10000) AS INTEGER)"
-MODEL = f"""counted AS MATERIALIZED (SELECT lang, CAST(bucket AS INTEGER) AS bucket, count(*) AS n FROM ({grams('documents', 'lang', 'text')}) GROUP BY 1, 2),
-model AS MATERIALIZED (SELECT lang, bucket, n, total, {WEIGHT.format(n='n', total='total')} AS weight
+WEIGHT = "CAST(round(ln(({n} + 1)::DOUBLE / ({total} + (SELECT count(DISTINCT gram) FROM counted))::DOUBLE) * 10000) AS INTEGER)"
+MODEL = f"""counted AS MATERIALIZED (SELECT lang, gram, count(*) AS n FROM ({grams(f"(SELECT * FROM documents WHERE {taught('doc_id')})", 'lang', 'text')}) GROUP BY 1, 2),
+model AS MATERIALIZED (SELECT lang, gram, n, total, (SELECT count(DISTINCT gram) FROM counted) AS vocabulary, {WEIGHT.format(n='n', total='total')} AS weight
  FROM (SELECT *, CAST(sum(n) OVER (PARTITION BY lang) AS BIGINT) AS total FROM counted))"""
 
 
 def detect(texts: str) -> str:
     """CTEs ending in found(k, code): the language of texts(k, x) that hold any trigram."""
     return f"""{MODEL},
-g AS MATERIALIZED (SELECT k, CAST(bucket AS INTEGER) AS bucket, count(*) AS n FROM ({grams(texts, 'k', 'x')}) GROUP BY 1, 2),
+g AS MATERIALIZED (SELECT k, gram, count(*) AS n FROM ({grams(texts, 'k', 'x')}) GROUP BY 1, 2),
 totals AS (SELECT DISTINCT lang, total FROM model),
 scores AS (SELECT g.k, t.lang, sum(g.n * coalesce(m.weight, {WEIGHT.format(n='0', total='t.total')})) AS score
- FROM g CROSS JOIN totals t LEFT JOIN model m ON m.lang = t.lang AND m.bucket = g.bucket GROUP BY 1, 2),
+ FROM g CROSS JOIN totals t LEFT JOIN model m ON m.lang = t.lang AND m.gram = g.gram GROUP BY 1, 2),
 found AS (SELECT k, lang AS code FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, lang) AS r FROM scores) WHERE r = 1)"""
 
 
-def detect_on(source_steps, tail: str) -> str:
-    ctes, last = chain("SELECT id AS k, body AS x FROM mails", source_steps)
+def detect_on(source_steps, tail: str, source: str = f"SELECT id AS k, body AS x FROM mails WHERE NOT {taught('id')}") -> str:
+    ctes, last = chain(source, source_steps)
     return f"WITH {VIEWS},\n{ctes},\n{detect(last)}\n{tail}"
 
 
@@ -413,11 +417,14 @@ FROM (SELECT split, label, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY
     "t16_filter_short": with_clean("SELECT k AS id, x AS clean FROM clean WHERE length(x) >= 120"),
     "t17_truncate_tokens": body_steps(simple(t17)),
     "l1_detect_language": detect_on([*CLEAN, simple(t13), step_sentence], f"""SELECT m.id, coalesce(f.code, 'unknown') AS "Language",
- {name_of("coalesce(f.code, 'unknown')")} AS "LangName" FROM mails m LEFT JOIN found f ON f.k = m.id"""),
-    "l2_language_model": f"WITH {MODEL} SELECT lang, bucket, n, total, weight FROM model",
+ {name_of("coalesce(f.code, 'unknown')")} AS "LangName" FROM mails m LEFT JOIN found f ON f.k = m.id WHERE NOT {taught('m.id')}"""),
+    "l1_accuracy": detect_on([simple(t13), step_sentence], """SELECT lang, count(*) AS texts, count(*) FILTER (f.code = lang) AS "right"
+FROM documents d LEFT JOIN found f ON f.k = d.doc_id WHERE NOT """ + taught('d.doc_id') + " GROUP BY 1",
+        f"SELECT doc_id AS k, text AS x FROM documents WHERE NOT {taught('doc_id')}"),
+    "l2_language_model": f"WITH {MODEL} SELECT lang, gram, n, total, vocabulary, weight FROM model",
     "l3_detect_language_or_unknown": detect_on([simple(t13), step_sentence], f"""SELECT m.id,
  CASE WHEN m.body IS NULL OR {strip('m.body')} = '' THEN 'unknown' ELSE coalesce(f.code, 'unknown') END AS "Language"
-FROM mails m LEFT JOIN found f ON f.k = m.id"""),
+FROM mails m LEFT JOIN found f ON f.k = m.id WHERE NOT {taught('m.id')}"""),
     "l4_language_distribution": f"""SELECT "Language", "EmailCount",
  concat({hundredths('"EmailCount"', 't')} // 100, '.', lpad(CAST({hundredths('"EmailCount"', 't')} % 100 AS VARCHAR), 2, '0'), '%') AS "Percentage"
 FROM (SELECT "Language", CAST(sum(n) AS BIGINT) AS "EmailCount", CAST(sum(sum(n)) OVER () AS BIGINT) AS t
