@@ -13,67 +13,78 @@ from pyspark.sql import functions as F
 
 from mailprep.llm.common import filled
 
-SHARES = (2, 3, 4, 5, 6, 7, 8, 9)  # subsets keep one term in 2^share
-PER_SHARE = 8                      # subsets of each share
+SHARES = tuple(range(1, 12))   # subsets keep one term in 2^share
+PER_SHARE = 8                  # subsets of each share
+LEAST_SEEN = 3                 # so many subsets of a share must hold a term for the share to speak alone
 MIN_SHARE, MAX_SHARE = 0.002, 0.2  # band of the document frequency, as shares of all documents
 PARTS_PER_TASK = 4
 
 
-def terms(text: str) -> list[bytes]:
-    """The distinct words of a text, sorted by their bytes."""
-    return sorted(set(text.lower().encode().split()))
+def terms(text: str) -> list[int]:
+    """The distinct words of a text, as sorted 64-bit hashes."""
+    return sorted(map(xxhash.xxh64_intdigest, set(text.lower().encode().split())))
 
 
-def document_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(term binary, df) over all documents. Tasks count their own documents first."""
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def lexicon(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """Terms in the band of document frequencies, as sorted hashes.
+
+    All documents count. Tasks count their own first and send each shard sorted arrays of hashes and counts.
+    A document of w distinct words adds w to the sum of all frequencies, and each term here takes at least
+    ``MIN_SHARE`` of the documents, so there are at most (mean distinct words / MIN_SHARE) terms at any corpus size:
+    the list may go to the driver and to all tasks.
+    """
+    n_docs = docs.count()
+    low, high = max(2, MIN_SHARE * n_docs), MAX_SHARE * n_docs
+    shards = min(1 << 15, PARTS_PER_TASK * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             counts: dict[bytes, int] = {}
             for t in filled(f[text]):
                 for w in set(t.lower().encode().split()):
                     counts[w] = counts.get(w, 0) + 1
-            yield pd.DataFrame({"term": list(counts), "df": list(counts.values())})
+            h = np.fromiter(map(xxhash.xxh64_intdigest, counts), "u8", len(counts))
+            order = np.argsort(h)
+            h, n = h[order], np.fromiter(counts.values(), "u4", len(counts))[order]
+            shard = (h >> np.uint64(48)).astype("i8") * shards >> 16
+            edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]])) if len(h) else [0]
+            yield pd.DataFrame([(int(shard[a]), h[a:b].tobytes(), n[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])],
+                               columns=["shard", "term", "n"])
 
-    return docs.select(text).mapInPandas(count, "term binary, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    def count(f: pd.DataFrame) -> pd.DataFrame:
+        h, at = np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in f["term"]]), return_inverse=True)
+        n = np.bincount(at, np.concatenate([np.frombuffer(x, "<u4") for x in f["n"]]))
+        return pd.DataFrame({"term": h[(n >= low) & (n <= high)].view("i8")})
 
-
-def lexicon(docs: DataFrame, text: str = "text") -> list[bytes]:
-    """Terms in the band of document frequencies, sorted.
-
-    A document of w distinct words adds w to the sum of all frequencies, and each term here takes at least
-    ``MIN_SHARE`` of the documents, so there are at most (mean distinct words / MIN_SHARE) terms at any corpus size:
-    the list may go to the driver and to all tasks.
-    """
-    n = docs.count()
-    low, high = max(2, MIN_SHARE * n), MAX_SHARE * n
-    rows = document_frequencies(docs, text).filter(F.col("df").between(low, high)).select("term").collect()
-    return sorted(bytes(r[0]) for r in rows)
+    sent = docs.select(text).mapInPandas(send, "shard int, term binary, n binary")
+    rows = sent.groupBy("shard").applyInPandas(count, "term long").toPandas()
+    return np.sort(rows["term"].to_numpy("i8").view("u8"))
 
 
 class Fingerprints:
     """Fingerprints of texts: per subset of the lexicon, a hash of the text's terms in it, or 0 if it has none."""
 
-    def __init__(self, lexicon: list[bytes]):
-        self.place = {t: i for i, t in enumerate(lexicon)}
-        self.hashes, self.member = self._drawn(lexicon)
+    def __init__(self, lexicon: np.ndarray):
+        self.place = {t: i for i, t in enumerate(lexicon.tolist())}
+        self.hashes, self.member = lexicon, self._drawn(lexicon)
 
     @staticmethod
-    def _drawn(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Per word, its hash and its membership of each subset, drawn from the hash and the subset's number."""
-        hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], "u8").reshape(len(words))
+    def _drawn(hashes: np.ndarray) -> np.ndarray:
+        """Per term, its membership of each subset, drawn from the hash and the subset's number."""
         columns = [s for s in SHARES for _ in range(PER_SHARE)]
-        member = np.zeros((len(words), len(columns)), bool)
+        member = np.zeros((len(hashes), len(columns)), bool)
         for j, share in enumerate(columns):
             drawn = (hashes ^ np.uint64(j + 1)) * np.uint64(0x9E3779B97F4A7C15)
             drawn = (drawn ^ drawn >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
             member[:, j] = drawn >> np.uint64(64 - share) == 0
-        return hashes, member
+        return member
 
     def of(self, text: str) -> np.ndarray:
         """A text without a term of the lexicon is told by all its words, and one without words by zeros alone."""
         words = terms(text)
         at = [i for i in map(self.place.get, words) if i is not None]
-        hashes, member = (self.hashes[at], self.member[at]) if at else self._drawn(words)
+        hashes = self.hashes[at] if at else np.array(words, "u8")
+        member = self.member[at] if at else self._drawn(hashes)
         # the sorted distinct terms are chained: each hash is turned by the count of terms before it in the subset
         turned = hashes[:, None] * (2 * np.cumsum(member, axis=0, dtype="u8") + np.uint64(1))
         turned ^= turned >> np.uint64(29)
@@ -81,9 +92,16 @@ class Fingerprints:
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of equal hashes among the subsets in which either text has a term; 1 if neither has any."""
+    """Share of equal hashes among the subsets in which either text has a term: overall, or in the share of subsets that
+    agrees most. Small subsets tell how much two texts have in common, large ones whether they differ at all. Texts
+    without any term are alike."""
     seen = (a != 0) | (b != 0)
-    return float(((a == b) & seen).sum() / seen.sum()) if seen.any() else 1.0
+    if not seen.any():
+        return 1.0
+    equal = ((a == b) & seen).reshape(len(SHARES), PER_SHARE).sum(axis=1)
+    seen = seen.reshape(len(SHARES), PER_SHARE).sum(axis=1)
+    enough = seen >= LEAST_SEEN
+    return float(max([equal.sum() / seen.sum(), *(equal[enough] / seen[enough])]))
 
 
 def edited(text: str, following: str) -> str:
