@@ -342,15 +342,23 @@ def spans(pattern: str) -> str:
 FOUND = f"(?i){SEARCH}"
 MISSING_CELLS = ", ".join(map(q, X.MISSING_CELLS))
 
-PREPARED = with_clean("""SELECT f."MailId", f."Subject", f."Priority", f.kind AS "AGR_Type_of_Complaint__c", m."SuppliedEmail" AS "META_SuppliedEmail",
+PREPARED_ROWS = """SELECT f."MailId", f."Subject", f."Priority", f.kind AS "AGR_Type_of_Complaint__c", m."SuppliedEmail" AS "META_SuppliedEmail",
  {label} AS "Complaint", c.x AS "ProcessedTextBody" FROM files f JOIN case_file m ON f."ParentId" = m."Id" JOIN clean c ON c.k = f."MailId"
- WHERE length(c.x) >= 120""".replace("{label}", label_of("f.kind")),
-    "SELECT f.\"MailId\" AS k, coalesce(f.body, 'nan') AS x FROM files f JOIN case_file m ON f.\"ParentId\" = m.\"Id\"",
-    f"""files AS MATERIALIZED (SELECT MailId AS "MailId", ParentId AS "ParentId", Subject AS "Subject", Priority AS "Priority",
+ WHERE length(c.x) >= 120""".replace("{label}", label_of("f.kind"))
+FILES = f"""files AS MATERIALIZED (SELECT MailId AS "MailId", ParentId AS "ParentId", Subject AS "Subject", Priority AS "Priority",
  AGR_Type_of_Complaint__c AS kind, CASE WHEN TextBody IN ('', 'nan') THEN NULL ELSE TextBody END AS body
  FROM ({MAIL_FILE.format(mails='mails', case_meta='case_meta')})),
 case_file AS MATERIALIZED ({CASE_FILE.format(labels='labels')}),
-""")
+"""
+PREPARED = with_clean(PREPARED_ROWS, "SELECT f.\"MailId\" AS k, coalesce(f.body, 'nan') AS x FROM files f JOIN case_file m ON f.\"ParentId\" = m.\"Id\"", FILES)
+
+_STEPS, _LAST = chain("SELECT f.\"MailId\" AS k, coalesce(f.body, 'nan') AS x FROM files f JOIN case_file m ON f.\"ParentId\" = m.\"Id\"",
+                      [*CLEAN, simple(t13), step_sentence])
+PREPARED_LANGUAGES = f"""WITH {VIEWS},
+{FILES}{_STEPS},
+{detect(_LAST)}
+SELECT p.*, coalesce(f.body, 'nan') AS "TextBody", coalesce(d.code, 'unknown') AS "Language", {name_of("coalesce(d.code, 'unknown')")} AS "LangName"
+FROM ({PREPARED_ROWS.replace('clean c', f's{len(CLEAN)} c')}) p JOIN files f ON f."MailId" = p."MailId" LEFT JOIN found d ON d.k = p."MailId" """
 
 COMPLAINT_ROWS = complaints("SELECT id, complaint AS label FROM {rows} WHERE clean IS NOT NULL AND complaint IS NOT NULL")
 TYPE_ROWS = complaints("""SELECT id, CAST(dense_rank() OVER (ORDER BY complaint_type) - 1 AS BIGINT) AS label FROM {rows}
@@ -489,6 +497,6 @@ FROM (SELECT label, count(*) AS n FROM {LABEL_SPLIT} WHERE split = 'train' GROUP
     "m4_metrics_macro": MACRO_METRICS,
     "m5_errors": f"SELECT * FROM {PRED} WHERE NOT \"Correct\"",
     "m6_confusion": f'SELECT "TrueLabel", "PredictedLabel", count(*) AS n FROM {KIND_PRED} GROUP BY 1, 2',
-    "prepare_mails": PREPARED,
+    "prepare_mails": PREPARED_LANGUAGES,
     "complaints_by_priority": "SELECT \"Priority\", count(*) AS mails, CAST(sum(\"Complaint\") AS BIGINT) AS complaints FROM (" + PREPARED + ") GROUP BY 1",
 }

@@ -610,8 +610,8 @@ def m6_confusion(spark, sf):
 
 @query
 def prepare_mails(spark, sf):
-    out = A.prepare(mail_file(spark, sf), case_file(spark, sf), keep=("MailId",))
-    return out.drop("TextBody")
+    model = saved(trained(spark, sf), "model")
+    return A.prepare(mail_file(spark, sf), case_file(spark, sf), model, keep=("MailId",))
 
 
 @query
