@@ -178,7 +178,8 @@ def value_counts(df: DataFrame, column: str, dropna: bool = False) -> DataFrame:
 
 
 def profile(df: DataFrame, max_distinct: int = X.SMALL_DOMAIN) -> DataFrame:
-    """All of the above in one table, one row per column of ``df``."""
+    """All of the above in one table, one row per column of ``df``. The input is written once and profiled from there."""
+    df = saved(df, "profiled")
     report = _shown(df, _summary(df, df.columns), max_distinct).drop("top_key")
     report = report.join(F.broadcast(column_types(df)), "column")
     if _columns_of(df, T.NumericType):

@@ -33,7 +33,7 @@ def filled_columns(df: DataFrame, columns: list[str]) -> set[str]:
     return {c for c, any_value in zip(columns, seen) if any_value}
 
 
-def _all_null(df: DataFrame, probe_rows: int = 1000) -> list[str]:
+def all_null(df: DataFrame, probe_rows: int = 1000) -> list[str]:
     """Columns without any value. A few rows already clear most columns, so that the pass over the whole
     table reads only the columns still in doubt."""
     flags = [F.col(f"`{c}`").isNotNull().alias(f"c{i}") for i, c in enumerate(df.columns)]
@@ -47,13 +47,13 @@ def _all_null(df: DataFrame, probe_rows: int = 1000) -> list[str]:
 def drop_all_null_columns(df: DataFrame) -> DataFrame:
     """Normalise nulls, then drop the columns in which no value is left. Looks at the data at once."""
     clean = normalize_nulls(df)
-    empty = set(_all_null(clean))
+    empty = set(all_null(clean))
     return clean.select([F.col(f"`{c}`") for c in clean.columns if c not in empty])
 
 
 def find_all_null_columns(df: DataFrame) -> DataFrame:
     """The names of the columns that hold no value, as a table."""
-    return small_table(df.sparkSession, [{"column": c} for c in _all_null(df)], "column: string")
+    return small_table(df.sparkSession, [{"column": c} for c in all_null(df)], "column: string")
 
 
 def drop_duplicate_columns(df: DataFrame) -> DataFrame:

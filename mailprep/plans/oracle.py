@@ -374,7 +374,7 @@ ORACLE: dict[str, str] = {
     "s7_encoding_census": """SELECT lang, CASE WHEN plain THEN 'ascii' ELSE 'utf-8' END AS encoding,
  CASE WHEN plain THEN 1.0::DOUBLE ELSE 0.99::DOUBLE END AS confidence
 FROM (SELECT lang, bool_and(strlen(text) = length(text)) AS plain FROM documents WHERE text IS NOT NULL GROUP BY 1)""",
-    "s2_read_snapshot": "SELECT doc_id, text, lang, n_chars FROM documents",
+    "s2_read_snapshot": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "s3_write_snapshot": with_clean("SELECT k AS id, x AS clean FROM clean WHERE length(x) >= 120"),
     "s4_write_predictions": f"SELECT *, 'test_predictions' AS file FROM {PRED} UNION ALL "
                             f"SELECT *, 'incorrect_predictions' AS file FROM {PRED} WHERE NOT \"Correct\"",

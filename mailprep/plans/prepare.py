@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailprep import fixed as X
@@ -18,8 +18,7 @@ from mailprep.sources.delimited import read_delimited
 def merge(mails: DataFrame, meta: DataFrame, wanted: Sequence[str], salts: int = 1) -> DataFrame:
     """Prune empty and repeated columns, join mails to their case, derive the complaint label.
 
-    The join is written once and read from there. What it holds is observed while it is written, so a column that
-    loses its last value in the join is dropped as well.
+    The join is written once and read from there. A column that loses its last value in the join is dropped as well.
     """
     mails = C.drop_duplicate_columns(C.drop_all_null_columns(mails))
     meta = C.prefix_columns(C.drop_duplicate_columns(C.drop_all_null_columns(meta)))
@@ -28,9 +27,9 @@ def merge(mails: DataFrame, meta: DataFrame, wanted: Sequence[str], salts: int =
     kept = [c for c in wanted if c in (*mails.columns, *meta.columns)]
     joined = C.derive_complaint_label(join_metadata(mails, meta, salts=salts)).select(
         [c for c in wanted if c == X.COMPLAINT or c in kept])
-    seen = Observation()
-    merged = saved(joined.observe(seen, *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(joined.columns)]), "merged")
-    return merged.select([c for i, c in enumerate(joined.columns) if c == X.COMPLAINT or seen.get[f"c{i}"]])
+    merged = saved(joined, "merged")
+    empty = set(C.all_null(merged))
+    return merged.select([c for c in merged.columns if c == X.COMPLAINT or c not in empty])
 
 
 def prepare(mails: DataFrame, meta: DataFrame, model: DataFrame | None = None, keep: tuple[str, ...] = (),

@@ -88,7 +88,7 @@ def s1_read_delimited(spark, sf):
 
 @query
 def s2_read_snapshot(spark, sf):
-    return snapshot.read_snapshot(spark, f"{sf}/documents.parquet").select("doc_id", "text", "lang", "n_chars")
+    return snapshot.read_snapshot(spark, f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
 
 
 @query

@@ -1,7 +1,7 @@
 """Mail and case tables derived from the given tables, one SQL text for both engines.
 
 The given documents hold no reply headers, banners or contact lines; ``mails`` wraps each text in one of twelve
-such forms, chosen by its id.
+such forms, chosen by its id. One mail in thirteen is one more that is missing, empty or the word nan.
 """
 
 from __future__ import annotations
@@ -25,8 +25,13 @@ SELECT d.doc_id AS id, CAST(d.doc_id AS VARCHAR(20)) AS parent_id, CAST(d.lang A
  WHEN 8 THEN concat(d.text,chr(13),chr(10),chr(9),'  ',chr(10),chr(10),'tail','ZWSP',' x')
  WHEN 9 THEN concat('ATTENTION: This is an external email. Be safe.',chr(10),d.text,chr(10),'Please consider the environment before printing this email.')
  WHEN 10 THEN concat('intro',chr(10),'From: x',chr(10),'Sent: y',chr(10),'Importance: High',chr(10),'To: z',chr(10),'Subject: w',chr(10),d.text)
- ELSE CASE CAST(d.doc_id % 36 AS INT) WHEN 11 THEN NULL WHEN 23 THEN '' ELSE 'nan' END END AS body
+ ELSE d.text END AS body
 FROM {documents} d
+UNION ALL
+SELECT -1 - d.doc_id, CAST(d.doc_id AS VARCHAR(20)), CAST(d.lang AS VARCHAR(20)),
+ CASE CAST(d.doc_id % 4 AS INT) WHEN 0 THEN 'High' WHEN 1 THEN 'Medium' WHEN 2 THEN 'Low' ELSE NULL END,
+ CASE CAST(d.doc_id % 36 AS INT) WHEN 11 THEN NULL WHEN 23 THEN '' ELSE 'nan' END
+FROM {documents} d WHERE d.doc_id % 12 = 11
 """.replace("ZWSP", "​")  # Spark's chr() stops at 255
 
 CASE_META = """

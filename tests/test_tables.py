@@ -33,7 +33,7 @@ def test_null_columns(spark):
     assert rows(C.find_all_null_columns(df.drop("c"))) == []
     # a value far behind the first rows is still found
     late = spark.range(5000, numPartitions=4).select("id", F.when(F.col("id") == 4999, "v").alias("late"))
-    assert C._all_null(late, probe_rows=10) == []
+    assert C.all_null(late, probe_rows=10) == []
 
 
 def test_duplicate_columns(spark):
