@@ -13,16 +13,16 @@ from itertools import count
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailprep.llm.bloom import Bloom, bloom_of
+from mailprep.llm.bloom import bloom_of
 from mailprep.llm.common import components, filled, steps
 from mailprep.session import saved
 
 WORDS = 5
 PERCENT = 80            # documents link from this share of common shingles on
-SKETCH_BITS = 512       # of the short sketch that is compared before the sets are
+SKETCH_BITS = 512       # at least, of the short sketch that is compared before the sets are
 KEYS_PER_SEND = 1 << 21
 SHARDS_PER_TASK = 4
 HOT_PAIRS = 32          # a block shared by so many pairs of groups per member is left to the other blocks
@@ -30,22 +30,37 @@ HOT_PAIRS = 32          # a block shared by so many pairs of groups per member i
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9))
 
 
+_BASE = 0x9E3779B97F4A7C15
+_VALUE = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype="u8")
+
+
 def _mixed(h: np.ndarray, seed: int = 0) -> np.ndarray:
     h = (h ^ np.uint64(seed * 0x51ED27 + 1)) * _MIX[0]
     h = (h ^ (h >> np.uint64(32))) * _MIX[1]
     return h ^ (h >> np.uint64(29))
 
 
+def _word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of some texts in a row, and how many each text has. Words stand between ASCII white space;
+    A-Z count as a-z. A word's hash is a stretch of one running sum over its bytes."""
+    raw = [t.encode() for t in texts]
+    data = np.frombuffer(b" " + b" ".join(raw) + b" ", "u1")
+    blank = (data == 32) | ((data >= 9) & (data <= 13))
+    data = data + np.where((data >= 65) & (data <= 90), 32, 0).astype("u1")
+    begins, ends = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1, np.flatnonzero(~blank[:-1] & blank[1:]) + 1
+    total = np.concatenate([np.zeros(1, "u8"), np.cumsum(_VALUE[data] * np.cumprod(np.full(len(data), _BASE, "u8")))])
+    back = np.cumprod(np.full(len(data), pow(_BASE, -1, 1 << 64), "u8"))
+    h = _mixed((total[ends] - total[begins]) * back[begins])
+    lengths = np.array([len(r) + 1 for r in raw], "i8")
+    return h, np.diff(np.searchsorted(begins, np.concatenate([[0], np.cumsum(lengths)]) + 1))
+
+
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
-    """Sorted distinct hashes of the 5-word shingles of each text: A-Z in lower case, words between ASCII white space.
+    """Sorted distinct hashes of the 5-word shingles of each text.
 
     Fewer words make one shingle of the whole sequence; no words make an empty set.
     """
-    words = [t.encode().lower().split() for t in texts]
-    place: dict[bytes, int] = {}
-    used = np.fromiter((place.setdefault(w, len(place)) for t in words for w in t), "i8")
-    each = np.fromiter((xxhash.xxh64_intdigest(w) for w in place), "u8", len(place))
-    h = each[used] if len(used) else np.zeros(0, "u8")
+    h, counts = _word_hashes(texts)
     rolled = np.zeros(len(h), "u8")
     full = len(h) - WORDS + 1
     if full > 0:
@@ -54,8 +69,7 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
             s = _mixed(s, i) + h[i:i + full]
         rolled[:full] = _mixed(s, WORDS)
     out, start = [], 0
-    for t in words:
-        n = len(t)
+    for n in counts.tolist():
         if n >= WORDS:
             out.append(np.unique(rolled[start:start + n - WORDS + 1]))
         elif n:
@@ -108,11 +122,22 @@ def block_keys(shingles: np.ndarray, level: int, draw: int = 0) -> np.ndarray:
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """The short parity sketch: every shingle turns one of ``SKETCH_BITS`` bits."""
-    turned = np.bincount((_mixed(shingles, 3) % np.uint64(SKETCH_BITS)).astype("i8"), minlength=SKETCH_BITS) & 1
+    """The short parity sketch as packed bits: every shingle turns one. It has a bit per shingle at least, in a power
+    of two, so that a wider one folds onto a narrower one."""
+    width = max(SKETCH_BITS, 1 << (len(shingles) - 1).bit_length())
+    turned = np.bincount((_mixed(shingles, 3) & np.uint64(width - 1)).astype("i8"), minlength=width) & 1
     return np.packbits(turned.astype("u1"))
 
 
+def apart(a: np.ndarray, b: np.ndarray) -> int:
+    """In how many bits two sketches differ, at most as many as the sets have shingles that are not common."""
+    while len(a) > len(b):
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    while len(b) > len(a):
+        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
     if not len(a) or not len(b):
         return False
@@ -121,36 +146,19 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def spare(shingles: np.ndarray, draw: int = 0) -> list[int]:
-    """Per band of a set: how many blocks beyond one it is sure to share with any linked set there.
+    """Per band of a set: by how many blocks more than one it is sure to share with any linked set there.
 
     Of its blocks with shingles, all but those that differ are equal.
     """
-    n = len(shingles)
-    return [len(block_keys(shingles, lv, draw)) - most_apart(n, lv) - 1 for lv in levels(n)] if n else []
-
-
-def _sizes(docs: DataFrame, key: str, text: str, draw: int) -> DataFrame:
-    """(key, n, class, spare): set size, the set's hash, and its spare blocks."""
-    kind = docs.schema[key].dataType.simpleString()
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            texts, keys = filled(f["_text"]), f["_key"]
-            for a, b in steps(texts):
-                sets = shingle_sets(texts[a:b])
-                yield pd.DataFrame({"_key": keys[a:b], "n": [len(s) for s in sets],
-                                    "class": [set_id(s) if len(s) else 0 for s in sets],
-                                    "spare": [spare(s, draw) for s in sets]})
+    return [len(block_keys(shingles, lv, draw)) - most_apart(len(shingles), lv) - 1 for lv in levels(len(shingles))]
 
-    return (docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-            .mapInPandas(run, f"_key {kind}, n long, class long, spare array<int>"))
 
+def _met(docs: DataFrame, key: str, text: str, shards: int, draw: int) -> DataFrame:
+    """Two kinds of rows. Of every document: (key, n, class, spare, sketch, text_id), n its set's size, class the set's
+    hash. Of every block that several classes share: (block, class, star) per class, star being the smallest one there.
 
-def _met(docs: DataFrame, text: str, shards: int, draw: int) -> DataFrame:
-    """Rows (block, class, star): the classes that share a block, with the smallest class of that block.
-
-    Keys travel packed: a task sends each shard one row with its keys, the classes and which key is whose. A shard
-    sorts its keys; those of one class alone go. A block that very many documents share is a single run of it.
+    Keys travel packed: a task sends each shard one row with its block keys, the classes and which key is whose. A
+    shard sorts its keys; those of one class alone go. A block that very many documents share is a single run of it.
     """
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, owners, classes, held, seen = [], [], [], 0, set()
@@ -166,22 +174,28 @@ def _met(docs: DataFrame, text: str, shards: int, draw: int) -> DataFrame:
                 who, at = np.unique(owner[a:b], return_inverse=True)
                 rows.append((int(shard[a]), key[a:b].tobytes(), names[who].tobytes(),
                              at.astype("<u2" if len(who) < 1 << 16 else "<u4").tobytes()))
-            return pd.DataFrame(rows, columns=["shard", "key", "class", "at"])
+            return pd.DataFrame(rows, columns=["shard", "keys", "classes", "at"]).assign(**dict.fromkeys(sent_columns[4:]))
 
         for f in frames:
-            texts = filled(f["_text"])
+            texts, ids, names = filled(f["_text"]), f["_key"].tolist(), f["_id"].to_numpy("i8")
             for a, b in steps(texts):
-                for s in shingle_sets(texts[a:b]):
-                    name = set_id(s)
-                    if not len(s) or name in seen:
+                rows = []
+                for i, s in enumerate(shingle_sets(texts[a:b]), a):
+                    if not len(s):
+                        rows.append((-1 - i % shards, None, None, None, ids[i], 0, 0, [], b"", names[i]))
+                        continue
+                    name, own = set_id(s), [block_keys(s, level, draw) for level in levels(len(s))]
+                    left = [len(k) - most_apart(len(s), level) - 1 for k, level in zip(own, levels(len(s)))]
+                    rows.append((-1 - i % shards, None, None, None, ids[i], len(s), name, left, sketch(s).tobytes(), names[i]))
+                    if name in seen:
                         continue
                     seen.add(name)
-                    for level in levels(len(s)):
-                        k = block_keys(s, level, draw)
-                        keys.append(k)
-                        owners.append(np.full(len(k), len(classes), "i4"))
-                        held += len(k)
+                    keys += own
+                    n_keys = sum(map(len, own))
+                    owners.append(np.full(n_keys, len(classes), "i4"))
+                    held += n_keys
                     classes.append(name)
+                yield pd.DataFrame(rows, columns=sent_columns)
                 if held > KEYS_PER_SEND:
                     yield packed()
                     keys, owners, classes, held, seen = [], [], [], 0, set()
@@ -189,87 +203,103 @@ def _met(docs: DataFrame, text: str, shards: int, draw: int) -> DataFrame:
             yield packed()
 
     def meet(f: pd.DataFrame) -> pd.DataFrame:
-        key = np.concatenate([np.frombuffer(x, "<u8") for x in f["key"]])
+        if f["shard"].iloc[0] < 0:
+            return f[met_columns[2:]].assign(block=None, star=None)[met_columns]
+        key = np.concatenate([np.frombuffer(x, "<u8") for x in f["keys"]])
         name = np.concatenate([np.frombuffer(c, "<i8")[np.frombuffer(at, f"<u{8 * len(at) // len(k)}")]
-                               for k, c, at in zip(f["key"], f["class"], f["at"])])
+                               for k, c, at in zip(f["keys"], f["classes"], f["at"])])
         order = np.lexsort((name, key))
         key, name = key[order], name[order]
         fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])])
         key, name = key[fresh], name[fresh]
         start = np.concatenate([[True], key[1:] != key[:-1]])
         run = np.cumsum(start) - 1
-        shared = np.bincount(run)[run] > 1 if len(run) else run.astype(bool)
-        star = name[np.flatnonzero(start)][run] if len(run) else name
-        return pd.DataFrame({"block": key[shared].view("i8"), "class": name[shared], "star": star[shared]})
+        shared = np.bincount(run)[run] > 1
+        star = name[np.flatnonzero(start)][run]
+        out = pd.DataFrame({"block": key[shared].view("i8"), "star": star[shared], "class": name[shared]})
+        return out.assign(**dict.fromkeys(["key", "n", "spare", "sketch", "text_id"]))[met_columns]
+
+    of_doc = "key string, n long, class long, spare array<int>, sketch binary, text_id long"
+    sent_columns = ["shard", "keys", "classes", "at", "key", "n", "class", "spare", "sketch", "text_id"]
+    met_columns = ["block", "star", "key", "n", "class", "spare", "sketch", "text_id"]
+    # keys travel as text, which keeps large numbers and nulls apart and exact
+    rows = docs.select(F.col(key).cast("string").alias("_key"), F.col(text).alias("_text"), text_id(F.col(text)).alias("_id"))
+    sent = rows.mapInPandas(send, f"shard int, keys binary, classes binary, at binary, {of_doc}")
+    return sent.groupBy("shard").applyInPandas(meet, f"block long, star long, {of_doc}")
+
+
+def text_id(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
-    sent = docs.select(F.col(text).alias("_text")).mapInPandas(send, "shard int, key binary, class binary, at binary")
-    return sent.groupBy("shard").applyInPandas(meet, "block long, class long, star long")
 
+def _sets_of(docs: DataFrame, text: str, wanted: DataFrame, classes: DataFrame) -> DataFrame:
+    """(class, shingles) of the ``wanted`` classes (class), one row each. Only texts that may be the ones that stand
+    for these classes are read into shingles again."""
+    ids = wanted.join(classes, "class").select("text_id")
+    shared = docs.sparkSession.sparkContext.broadcast(bloom_of(ids, "text_id"))
 
-def _sets_of(docs: DataFrame, text: str, wanted: Bloom) -> DataFrame:
-    """(class, shingles, sketch) of the classes that may be ``wanted``, one row each."""
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+    @F.pandas_udf("boolean")
+    def has(column: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.has(column.to_numpy("i8")))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
         for f in frames:
             texts = filled(f["_text"])
             for a, b in steps(texts):
-                sets = [s for s in shingle_sets(texts[a:b]) if len(s)]
-                names = np.array([set_id(s) for s in sets], "i8")
-                rows = [(int(names[i]), sets[i].tobytes(), sketch(sets[i]).tobytes())
-                        for i in np.flatnonzero(shared.value.has(names)) if int(names[i]) not in seen]
-                rows = list({r[0]: r for r in rows}.values())
-                seen.update(r[0] for r in rows)
-                yield pd.DataFrame(rows, columns=["class", "shingles", "sketch"])
-
-    rows = docs.select(F.col(text).alias("_text")).mapInPandas(run, "class long, shingles binary, sketch binary")
-    return rows.dropDuplicates(["class"])
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """The pairs (a, b) of classes that link. Sets travel only for classes in a pair; sketches that are too far apart
-    settle a pair before its sets are compared."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("class"))
-    sets = saved(_sets_of(docs, text, bloom_of(ends, "class")), "shingle_sets")
-    one = sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa"), F.col("sketch").alias("ka"))
-    two = sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb"), F.col("sketch").alias("kb"))
+                rows = {set_id(s): s.tobytes() for s in shingle_sets(texts[a:b]) if len(s)}
+                yield pd.DataFrame({"class": list(rows), "shingles": list(rows.values())})
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows = docs.filter(has(text_id(F.col(text)))).select(F.col(text).alias("_text")).mapInPandas(run, "class long, shingles binary")
+    return rows.join(wanted, "class", "left_semi").dropDuplicates(["class"])
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, text: str, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes that link. Sketches settle most pairs; sets travel only for those whose sizes and
+    sketches are near enough."""
+    def of(name: str, *columns: str) -> DataFrame:
+        return classes.select(F.col("class").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+
+    def near(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield f.loc[[apart(np.frombuffer(x, "u1"), np.frombuffer(y, "u1")) * (100 + PERCENT) <= (n + m) * (100 - PERCENT)
+                         for x, y, n, m in zip(f["sketch_a"], f["sketch_b"], f["n_a"], f["n_b"])], ["a", "b"]]
+
+    def sure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            keep = []
-            for sa, sb, ka, kb in zip(f["sa"], f["sb"], f["ka"], f["kb"]):
-                a, b = np.frombuffer(sa, "<u8"), np.frombuffer(sb, "<u8")
-                apart = int(np.unpackbits(np.frombuffer(ka, "u1") ^ np.frombuffer(kb, "u1")).sum())
-                near = apart * (100 + PERCENT) <= (len(a) + len(b)) * (100 - PERCENT)
-                keep.append(near and linked(a, b))
-            yield f.loc[keep, ["a", "b"]]
+            yield f.loc[[linked(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")) for x, y in zip(f["sa"], f["sb"])], ["a", "b"]]
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb", "ka", "kb").mapInPandas(run, "a long, b long")
+    sized = pairs.join(of("a", "n", "sketch"), "a").join(of("b", "n", "sketch"), "b").filter(
+        f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
+    left = saved(sized.mapInPandas(near, "a long, b long"), "pairs_near")
+    ends = saved(left.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "pair_ends")
+    sets = saved(_sets_of(docs, text, ends, classes), "shingle_sets")
+    one, two = sets.toDF("a", "sa"), sets.toDF("b", "sb")
+    return left.join(one, "a").join(two, "b").mapInPandas(sure, "a long, b long")
 
 
-def _second_pairs(met: DataFrame, groups: DataFrame, sizes: DataFrame) -> DataFrame:
+def _second_pairs(met: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of classes that share a block and are in different groups so far.
 
     A block with far more such pairs than members (as a common passage makes) is skipped for classes that have enough
     other blocks: a linked class shares more blocks with it than all the skipped ones. Classes that have not keep
     their skipped blocks and meet there.
     """
-    named = met.select("block", "class").join(groups.withColumnRenamed("node", "class"), "class", "left").select(
-        "block", "class", F.coalesce("component", "class").alias("grp"))
+    named = (met.select("block", "class").join(groups.withColumnRenamed("node", "class"), "class", "left")
+             .join(classes.select("class", "n"), "class")
+             .select("block", "class", "n", F.coalesce("component", "class").alias("grp")))
     per_group = named.groupBy("block", "grp").agg(F.count("*").alias("m"))
     per_block = per_group.groupBy("block").agg(
         F.count("*").alias("groups"), F.sum("m").alias("members"),
         ((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("cross"))
     mixed = per_block.filter("groups > 1").select("block", (F.col("cross") > HOT_PAIRS * F.col("members")).alias("hot"))
     rows = saved(named.join(mixed, "block"), "blocks_mixed")
-    spare = sizes.select("class", F.array_min("spare").alias("spare")).dropDuplicates(["class"])
+    spare = classes.select("class", F.array_min("spare").alias("spare"))
     skipped = rows.filter("hot").groupBy("class").agg(F.count("*").alias("skipped"))
     unsafe = skipped.join(spare, "class").filter("skipped > spare").select("class")
     rows = rows.filter("not hot").unionByName(rows.filter("hot").join(unsafe, "class", "left_semi").select(rows.columns))
-    a, b = rows.select("block", F.col("class").alias("a"), F.col("grp").alias("ga")), rows.select(
-        "block", F.col("class").alias("b"), F.col("grp").alias("gb"))
-    return a.join(b, "block").filter("ga != gb and a < b").select("a", "b").distinct()
+    a, b = (rows.select("block", F.col("class").alias(x), F.col("grp").alias(f"g{x}"), F.col("n").alias(f"n{x}")) for x in "ab")
+    alike = f"ga != gb and a < b and 100 * least(na, nb) >= {PERCENT} * greatest(na, nb)"
+    return a.join(b, "block").filter(alike).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -284,21 +314,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     null key links nothing; its component is the smallest key of its group, null if there is none. An empty table
     gives an empty result.
     """
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = min(1 << 15, SHARDS_PER_TASK * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     for draw in count():  # a draw of blocks that fills too few for some set is drawn anew; one in billions of sets is
-        sizes = saved(_sizes(docs, key, text, draw), "sizes")
+        found = saved(_met(docs, key, text, shards, draw), "blocks_met")
+        met = found.filter("block is not null").select("block", "class", "star")
+        sizes = found.filter("block is null").select(
+            F.col("key").cast(docs.schema[key].dataType).alias("_key"), "n", "class", "spare", "sketch", "text_id")
         if sizes.filter("array_min(spare) < 0").isEmpty():
             break
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    shards = min(1 << 15, max(SHARDS_PER_TASK * n, total // KEYS_PER_SEND))
-    met = saved(_met(docs, text, shards, draw), "blocks_met")
-    first = saved(met.filter("class != star").select(F.col("star").alias("a"), F.col("class").alias("b")).distinct(), "pairs")
-    links = saved(_verified(first, docs, text), "links")
+    one_of = F.min(F.struct("text_id", "n", "spare", "sketch")).alias("one")
+    classes = saved(sizes.filter("n > 0").groupBy("class").agg(one_of).select("class", "one.*"), "classes")
+    first = met.filter("class != star").select(F.col("star").alias("a"), F.col("class").alias("b")).distinct()
+    links = saved(_verified(first, docs, text, classes), "links")
     groups = components(links, "groups")
-    second = saved(_second_pairs(met, groups, sizes), "pairs")
+    second = saved(_second_pairs(met, groups, classes), "pairs")
     if not second.isEmpty():
-        links = links.union(_verified(second, docs, text))
+        links = links.union(_verified(second, docs, text, classes))
         groups = components(links, "groups")
     # rows of one key tie their classes together
     by_class = sizes.filter("n > 0").join(groups.withColumnRenamed("node", "class"), "class", "left").select(
