@@ -6,9 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from mailprep.llm.bloom import bloom_of
 from mailprep.llm.common import filled, steps
 from mailprep.session import saved
 
@@ -100,8 +103,24 @@ def log_probabilities(grams: DataFrame, tables: list, order: int = ORDER) -> Dat
     return out.select("gram", F.log("p").alias("logp"))
 
 
-def score(docs: DataFrame, trusted: DataFrame, text: str = "text", order: int = ORDER) -> DataFrame:
-    """All columns of ``docs`` with (n_bytes, log_perplexity); a model is made from the texts of ``trusted``.
+def trusted_texts(docs: DataFrame, ids: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(text) of the documents whose key is in ``ids``. A filter of bounded size holds most others back, so that little
+    more than the trusted texts moves to the join that decides."""
+    hashed = F.xxhash64(F.col(key))
+    wanted = docs.sparkSession.sparkContext.broadcast(bloom_of(ids.select(hashed.alias("id")), "id"))
+
+    @F.pandas_udf("boolean")
+    def has(column: pd.Series) -> pd.Series:
+        return pd.Series(wanted.value.has(column.to_numpy("i8")))
+
+    near = docs.select(key, text).filter(has(hashed))
+    return near.join(ids.select(key).distinct(), key, "left_semi").select(text)
+
+
+def score(docs: DataFrame, trusted: DataFrame, text: str = "text", order: int = ORDER,
+          keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all, unless given) with (n_bytes, log_perplexity); a model is made from the
+    texts of ``trusted``.
 
     All n-grams of the corpus are counted, and their probabilities found in sharded joins. The most frequent ones,
     ``HOT_GRAMS`` at most, go to all tasks as two short arrays, so the heavy keys of the next join never move; every
@@ -109,7 +128,7 @@ def score(docs: DataFrame, trusted: DataFrame, text: str = "text", order: int =
     texts have no perplexity. Without trusted text every byte is equally likely. Repeated rows each give a row.
     """
     spark = docs.sparkSession
-    columns = docs.columns
+    columns = docs.columns if keep is None else keep
     tables = model(count_grams(trusted, text, order), order)
     wanted = saved(count_grams(docs, text, order), "grams_wanted")
     known = saved(log_probabilities(wanted, tables, order).join(wanted, "gram"), "gram_logp")
@@ -117,35 +136,43 @@ def score(docs: DataFrame, trusted: DataFrame, text: str = "text", order: int =
     grams, logs = hot["gram"].to_numpy("i8"), hot["logp"].to_numpy("f8")
     shared = spark.sparkContext.broadcast((grams, logs))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, values = shared.value
         table = _Lookup(keys)
-        for f in frames:
-            texts, rows = filled(f["_text"]), f["_id"].to_numpy()
+        for batch in batches:
+            ids, kept = batch.column(0), batch.columns[2:]
+            texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in steps(texts):
                 g, n = grams_of(texts[a:b], order)
                 at = table.find(g)
-                known = np.where(at >= 0, values[at] if len(values) else 0.0, 0.0)
+                found = np.where(at >= 0, values[at] if len(values) else 0.0, 0.0)
                 ends = np.cumsum(n)
-                total = np.concatenate([[0.0], np.cumsum(known)])
-                yield pd.DataFrame({"_id": rows[a:b], "_n": n, "_sum": total[ends] - total[ends - n],
-                                    "gram": pd.array([pd.NA] * (b - a), "Int64")})
+                total = np.concatenate([[0.0], np.cumsum(found)])
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(a, b - a), pa.array(n), pa.array(total[ends] - total[ends - n]), pa.nulls(b - a, pa.int64()),
+                     *[c.slice(a, b - a) for c in kept]], names)
                 rest = np.flatnonzero(at < 0)
                 if len(rest):
-                    owner = np.repeat(np.arange(a, b), n)[rest]
-                    pairs = pd.DataFrame({"o": owner, "gram": g[rest]}).value_counts().reset_index()
-                    yield pd.DataFrame({"_id": rows[pairs["o"]], "_n": pairs["count"], "_sum": 0.0,
-                                        "gram": pairs["gram"].astype("Int64")})
-
-    numbered = docs.withColumn("_id", F.monotonically_increasing_id())
-    parts = saved(numbered.select("_id", F.col(text).alias("_text"))
-                  .mapInPandas(run, "_id long, _n long, _sum double, gram long"), "doc_grams")
-    rare = (parts.filter("gram is not null").join(known.select("gram", "logp"), "gram")
-            .select("_id", F.lit(0).cast("long").alias("_n"), (F.col("_n") * F.col("logp")).alias("_sum")))
-    sums = (parts.filter("gram is null").select("_id", "_n", "_sum").union(rare)
-            .groupBy("_id").agg(F.sum("_n").alias("n_bytes"), F.sum("_sum").alias("_sum")))
-    entropy = F.when(F.col("n_bytes") > 0, F.round(-F.col("_sum") / F.col("n_bytes"), 9))
-    return (numbered.join(sums, "_id").select(*columns, "n_bytes", entropy.alias("log_perplexity")))
+                    pairs = pd.DataFrame({"o": np.repeat(np.arange(a, b), n)[rest], "g": g[rest]}).value_counts().reset_index()
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array(pairs["o"].to_numpy("i8"))), pa.array(pairs["count"].to_numpy("i8")),
+                         pa.nulls(len(pairs), pa.float64()), pa.array(pairs["g"].to_numpy("i8")),
+                         *[pa.nulls(len(pairs), c.type) for c in kept]], names)
+
+    # the row number is fixed by writing it with the row's other columns
+    carried = [F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(columns)]
+    rows = docs.select(F.monotonically_increasing_id().alias("_id"), F.col(text).alias("_text"), *carried)
+    made = T.StructType([T.StructField("_id", T.LongType()), T.StructField("_n", T.LongType()), T.StructField("_sum", T.DoubleType()),
+                         T.StructField("_gram", T.LongType()), *rows.schema.fields[2:]])
+    names = made.names
+    parts = saved(rows.mapInArrow(run, made), "doc_grams")
+    rare = (parts.filter("_gram is not null").join(known.select(F.col("gram").alias("_gram"), "logp"), "_gram")
+            .groupBy("_id").agg(F.sum(F.col("_n") * F.col("logp")).alias("_rare")))
+    scored = parts.filter("_gram is null").join(rare, "_id", "left")
+    total = F.col("_sum") + F.coalesce("_rare", F.lit(0.0))
+    entropy = F.when(F.col("_n") > 0, F.round(-total / F.col("_n"), 9))
+    return scored.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(columns)], F.col("_n").alias("n_bytes"),
+                         entropy.alias("log_perplexity"))
 
 
 class _Lookup:
@@ -186,13 +213,15 @@ def quartiles(scored: DataFrame, lang: str = "lang") -> DataFrame:
                                    (F.min(F.when(F.col("share") >= 0.75, F.col("bin"))) / STEPS).alias("_high"))
 
 
-def judge(docs: DataFrame, trusted: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """All columns of ``docs`` with (n_bytes, perplexity, threshold, keep).
+def judge(docs: DataFrame, trusted: DataFrame, text: str = "text", lang: str = "lang",
+          keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all, unless given; the language must be one) with (n_bytes, perplexity,
+    threshold, keep).
 
     A language's threshold is the third quartile of its log-perplexities plus ``FENCE`` interquartile ranges. Documents
     above it go, and so do null and empty texts, which have no perplexity. Null languages are one language.
     """
-    scored = saved(score(docs, trusted, text), "perplexity")
+    scored = saved(score(docs, trusted, text, keep=keep), "perplexity")
     limits = quartiles(scored, lang)
     columns = [c for c in scored.columns if c != "log_perplexity"]
     top = F.col("_high") + (F.col("_high") - F.col("_low")) * FENCE
