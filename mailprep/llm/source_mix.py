@@ -11,7 +11,7 @@ WEIGHTS = (3, 1, 2)
 SLOPES = (0.5, 0.0, -0.5)   # how a source's weight changes from start to end, by the same place as its weight
 SHARE_PERCENT = 150
 MOST_PERCENT = 200          # no source gives more than this share of its own size
-CELLS = 1 << 16             # parts of the shuffled order; each is added up on its own
+CELL_DIGITS = 3             # leading digits of the shuffled order that make a part; each is added up on its own
 
 
 def words(text: Column) -> Column:
@@ -70,8 +70,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
 
 def _placed(rows: DataFrame) -> DataFrame:
-    cell = F.conv(F.substring("_mark", 1, 4), 16, 10).cast("int") % CELLS
-    rows = rows.withColumn("_cell", cell)
+    rows = rows.withColumn("_cell", F.substring("_mark", 1, CELL_DIGITS))
     cells = saved(rows.groupBy("_source", "_cell").agg(F.sum("size").alias("n")), "mix_cells")
     plan = targets(cells.groupBy(F.col("_source").alias("source")).agg(F.sum("n").alias("source_size")))
     starts = cells.select("_source", "_cell", (F.sum("n").over(Window.partitionBy("_source").orderBy("_cell")) - F.col("n"))
