@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from mailprep.llm import (bpe_codec, imatch, jaccard_join, language_id, quality_lm, source_mix, suffix_dedup, token_counts,
                           topk_search, url_filter)
-from mailprep.llm.common import table
+from mailprep.llm.common import reachable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,8 +23,13 @@ RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        reachable(spark)
+        return fn(spark, sf)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @query
@@ -35,10 +41,9 @@ def op1_topk_search(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     """Perplexity of every document under the text of all documents labelled good, and whether it stays."""
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    good = table(spark, sf, "labels").filter("quality = 1").select("doc_id").distinct()
-    judged = quality_lm.judge(docs, docs.join(good, "doc_id", "left_semi"))
-    return judged.select("doc_id", "lang", "n_bytes", "perplexity", "threshold", "keep")
+    docs = table(spark, sf, "documents")
+    good = quality_lm.trusted_texts(docs, table(spark, sf, "labels").filter("quality = 1"))
+    return quality_lm.judge(docs, good, keep=["doc_id", "lang"])
 
 
 @query
