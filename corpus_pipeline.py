@@ -7,13 +7,19 @@ reads the documents, applies the stages and writes and rereads the result of eac
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mailprep.llm import bpe_codec, jaccard_join, language_id, source_mix, suffix_dedup
+from mailprep.llm.common import reachable
 from mailprep.session import saved
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -66,8 +72,18 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                        F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
-STAGES = [("language ID", languages), ("n-gram Jaccard join", near_duplicates), ("suffix-array dedup", repeats),
-          ("mixing sources to target weights", mixture), ("byte-level BPE", tokens)]
+def _stage(fn: Stage) -> Stage:
+    @wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        reachable(spark)
+        return fn(spark, docs, sf_dir)
+
+    return run
+
+
+STAGES = [("language ID", _stage(languages)), ("n-gram Jaccard join", _stage(near_duplicates)),
+          ("suffix-array dedup", _stage(repeats)), ("mixing sources to target weights", _stage(mixture)),
+          ("byte-level BPE", _stage(tokens))]
 
 ORACLE_SQL = None  # SQL expresses neither the language model nor the removal of repeated passages; tests do it by hand
 
