@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
 
@@ -19,7 +20,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster has executors of its own
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
