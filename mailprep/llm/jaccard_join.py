@@ -23,9 +23,9 @@ from mailprep.session import saved
 WORDS = 5
 PERCENT = 80            # documents link from this share of common shingles on
 SKETCH_BITS = 512       # at least, of the short sketch that is compared before the sets are
-KEYS_PER_SEND = 1 << 21
+KEYS_PER_SEND = 1 << 19
 SHARDS_PER_TASK = 4
-HOT_PAIRS = 32          # a block shared by so many pairs of groups per member is left to the other blocks
+HOT_PAIRS = 1           # a block shared by so many pairs of groups per member is left to the other blocks
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9))
 
@@ -118,7 +118,8 @@ def block_keys(shingles: np.ndarray, level: int, draw: int = 0) -> np.ndarray:
     block, bit = block[order], _mixed((where & np.uint64(0xFFFFFFFF))[order], 7)
     first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
     parity = np.bitwise_xor.reduceat(bit, first)
-    return _mixed(parity ^ _mixed(block[first], 200 + level), 8)
+    key = _mixed(parity ^ _mixed(block[first], 200 + level), 8)
+    return (key & ~np.uint64(1)) | np.uint64(level & 1)  # the last bit tells a set's two bands apart
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
@@ -293,10 +294,12 @@ def _second_pairs(met: DataFrame, groups: DataFrame, classes: DataFrame) -> Data
         ((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("cross"))
     mixed = per_block.filter("groups > 1").select("block", (F.col("cross") > HOT_PAIRS * F.col("members")).alias("hot"))
     rows = saved(named.join(mixed, "block"), "blocks_mixed")
-    spare = classes.select("class", F.array_min("spare").alias("spare"))
-    skipped = rows.filter("hot").groupBy("class").agg(F.count("*").alias("skipped"))
-    unsafe = skipped.join(spare, "class").filter("skipped > spare").select("class")
-    rows = rows.filter("not hot").unionByName(rows.filter("hot").join(unsafe, "class", "left_semi").select(rows.columns))
+    rows = rows.withColumn("band", F.col("block").bitwiseAND(1))
+    own = (F.length(F.bin("n")) - 1) % 2
+    spare = F.when(F.col("band") == own, F.get("spare", F.lit(0))).otherwise(F.get("spare", F.lit(1)))
+    skipped = rows.filter("hot").groupBy("class", "band").agg(F.count("*").alias("skipped"))
+    unsafe = skipped.join(classes, "class").filter(F.col("skipped") > spare).select("class", "band")
+    rows = rows.filter("not hot").unionByName(rows.filter("hot").join(unsafe, ["class", "band"], "left_semi").select(rows.columns))
     a, b = (rows.select("block", F.col("class").alias(x), F.col("grp").alias(f"g{x}"), F.col("n").alias(f"n{x}")) for x in "ab")
     alike = f"ga != gb and a < b and 100 * least(na, nb) >= {PERCENT} * greatest(na, nb)"
     return a.join(b, "block").filter(alike).select("a", "b").distinct()
