@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +12,16 @@ from pyspark.sql import functions as F
 
 from mailprep.session import saved
 
-CHARS_PER_STEP = 1 << 21  # text that one vectorised step takes at once; longer single texts are taken alone
+CHARS_PER_STEP = 1 << 18  # text that one vectorised step takes at once; longer single texts are taken alone
+
+
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it. On a cluster it is installed there, or sent
+    along with ``--py-files``; a local session finds it whatever folder it runs in."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,7 +61,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         return tuple(e.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first())
 
     now, before = state(edges), None
-    while now != before:
+    while now != before and now[0]:  # no edge, no round
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a and b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))

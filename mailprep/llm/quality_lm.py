@@ -16,7 +16,7 @@ from mailprep.llm.common import filled, steps
 from mailprep.session import saved
 
 ORDER = 5            # bytes of an n-gram; up to 7 fit into a long
-HOT_GRAMS = 1 << 18  # that many of the most frequent n-grams go to all tasks; all others meet in a join
+HOT_GRAMS = 1 << 17  # that many of the most frequent n-grams go to all tasks; all others meet in a join
 STEPS = 1000         # steps of a log-perplexity in which quantiles are counted
 FENCE = 3.0          # a document is dropped beyond the third quartile plus so many interquartile ranges
 
