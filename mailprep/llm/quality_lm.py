@@ -18,7 +18,8 @@ from mailprep.session import saved
 ORDER = 5            # bytes of an n-gram; up to 7 fit into a long
 HOT_GRAMS = 1 << 17  # that many of the most frequent n-grams go to all tasks; all others meet in a join
 STEPS = 1000         # steps of a log-perplexity in which quantiles are counted
-FENCE = 3.0          # a document is dropped beyond the third quartile plus so many interquartile ranges
+FENCE = 3.0          # a document is dropped beyond the trusted third quartile plus so many interquartile ranges
+ENOUGH = 8           # trusted texts of a language from which its quartiles stand alone
 
 
 def grams_of(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -103,8 +104,8 @@ def log_probabilities(grams: DataFrame, tables: list, order: int = ORDER) -> Dat
     return out.select("gram", F.log("p").alias("logp"))
 
 
-def trusted_texts(docs: DataFrame, ids: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(text) of the documents whose key is in ``ids``. A filter of bounded size holds most others back, so that little
+def trusted_texts(docs: DataFrame, ids: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """(text, lang) of the documents whose key is in ``ids``. A filter of bounded size holds most others back, so that little
     more than the trusted texts moves to the join that decides."""
     hashed = F.xxhash64(F.col(key))
     wanted = docs.sparkSession.sparkContext.broadcast(bloom_of(ids.select(hashed.alias("id")), "id"))
@@ -113,8 +114,8 @@ def trusted_texts(docs: DataFrame, ids: DataFrame, key: str = "doc_id", text: st
     def has(column: pd.Series) -> pd.Series:
         return pd.Series(wanted.value.has(column.to_numpy("i8")))
 
-    near = docs.select(key, text).filter(has(hashed))
-    return near.join(ids.select(key).distinct(), key, "left_semi").select(text)
+    near = docs.select(key, text, lang).filter(has(hashed))
+    return near.join(ids.select(key).distinct(), key, "left_semi").select(text, lang)
 
 
 def score(docs: DataFrame, trusted: DataFrame, text: str = "text", order: int = ORDER,
@@ -200,31 +201,51 @@ class _Lookup:
 
 
 def quartiles(scored: DataFrame, lang: str = "lang") -> DataFrame:
-    """(lang, low, high): the quartiles of the log-perplexity per language, as the upper ends of their steps.
+    """(_lang, _low, _high, _texts): the quartiles of the log-perplexity per language, as the upper ends of their steps,
+    and how many texts they come from.
 
-    Documents are counted per step first, so a language that holds most documents is a few thousand counts.
+    Texts are counted per step first, so a language that holds most of them is a few thousand counts.
     """
     bins = (scored.filter("log_perplexity is not null")
             .groupBy(F.col(lang).alias("_lang"), F.ceil(F.col("log_perplexity") * STEPS).alias("bin")).agg(F.count("*").alias("n")))
     upto = F.sum("n").over(Window.partitionBy("_lang").orderBy("bin"))
     total = F.sum("n").over(Window.partitionBy("_lang"))
-    at = bins.select("_lang", "bin", (upto / total).alias("share"))
+    at = bins.select("_lang", "bin", "n", (upto / total).alias("share"))
     return at.groupBy("_lang").agg((F.min(F.when(F.col("share") >= 0.25, F.col("bin"))) / STEPS).alias("_low"),
-                                   (F.min(F.when(F.col("share") >= 0.75, F.col("bin"))) / STEPS).alias("_high"))
+                                   (F.min(F.when(F.col("share") >= 0.75, F.col("bin"))) / STEPS).alias("_high"),
+                                   F.sum("n").alias("_texts"))
+
+
+def held_out(trusted: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, n_bytes, log_perplexity) of the trusted texts, each half under a model of the other half. Copies of a text
+    are in one half, so no text is judged by a model that has read it."""
+    first = F.pmod(F.xxhash64(text), F.lit(2)) == 0
+    one, two = trusted.filter(first), trusted.filter(~first)
+    return score(one, two, text, keep=[lang]).union(score(two, one, text, keep=[lang]))
 
 
 def judge(docs: DataFrame, trusted: DataFrame, text: str = "text", lang: str = "lang",
           keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all, unless given; the language must be one) with (n_bytes, perplexity,
-    threshold, keep).
+    threshold, keep). ``trusted`` has texts and their languages.
 
-    A language's threshold is the third quartile of its log-perplexities plus ``FENCE`` interquartile ranges. Documents
-    above it go, and so do null and empty texts, which have no perplexity. Null languages are one language.
+    A language's threshold is the third quartile of the log-perplexities of its trusted texts, each under a model that
+    has not read it, plus ``FENCE`` interquartile ranges: no share of junk in ``docs`` moves it. With fewer than
+    ``ENOUGH`` trusted texts it is not below the threshold of the trusted texts of all languages, which is that of a
+    language without any. Documents above it go, and so do null and empty texts, which have no perplexity. Without
+    trusted text there is no threshold, and all other documents stay. Null languages are one language.
     """
+    trusted = saved(trusted.select(text, lang).filter(F.length(text) > 0), "trusted")
     scored = saved(score(docs, trusted, text, keep=keep), "perplexity")
-    limits = quartiles(scored, lang)
+    held = saved(held_out(trusted, text, lang), "held_out")
+    fence = F.col("_high") + (F.col("_high") - F.col("_low")) * FENCE
+    whole = quartiles(held.withColumn(lang, F.lit(None).cast("string")), lang).select(fence.alias("top")).first()
+    overall = F.lit(whole["top"] if whole else None).cast("double")
+    limits = quartiles(held, lang).select("_lang", F.when(F.col("_texts") < ENOUGH, F.greatest(fence, overall))
+                                          .otherwise(fence).alias("_top"))
     columns = [c for c in scored.columns if c != "log_perplexity"]
-    top = F.col("_high") + (F.col("_high") - F.col("_low")) * FENCE
+    top = F.coalesce("_top", overall)
+    stays = F.col("log_perplexity").isNotNull() & (top.isNull() | (F.col("log_perplexity") <= top))
     return (scored.join(limits, F.col(lang).eqNullSafe(F.col("_lang")), "left")
             .select(*columns, F.exp("log_perplexity").alias("perplexity"), F.exp(top).alias("threshold"),
-                    F.coalesce(F.col("log_perplexity") <= top, F.lit(False)).alias("keep")))
+                    F.coalesce(stays, F.lit(False)).alias("keep")))

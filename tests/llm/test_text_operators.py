@@ -228,6 +228,19 @@ def test_judged(spark, make):
     assert all(r["keep"] for r in quality_lm.judge(make([(1, "x")]), make([])).collect())
 
 
+@pytest.mark.parametrize("junk", [0, 30, 200])
+def test_junk_does_not_move_the_threshold(spark, make, junk):
+    rng = random.Random(9)
+    words = {"en": ["the", "cat", "sat", "on", "a", "mat"], "de": ["der", "hund", "und", "die", "katze"]}
+    prose = lambda lang: " ".join(rng.choice(words[lang]) for _ in range(60))
+    good = [(i, prose("en"), "en", None) for i in range(40)] + [(i + 50, prose("de"), "de", None) for i in range(40)]
+    clean = [(i + 100, prose("en"), "en", None) for i in range(30)] + [(i + 150, prose("en"), "xx", None) for i in range(3)]
+    bad = [(i + 1000, "".join(chr(rng.randrange(33, 127)) for _ in range(300)), "en", None) for i in range(junk)]
+    got = quality_lm.judge(make(good + clean + bad), make(good)).collect()
+    assert {r["doc_id"] for r in got if not r["keep"] and r["doc_id"] >= 100} == {k for k, *_ in bad}
+    assert sum(r["keep"] for r in got if r["doc_id"] < 100) >= 78
+
+
 def test_steps_cover_all():
     texts = ["a" * n for n in (0, 5, 3, 30, 0, 1)]
     assert [i for a, b in steps(texts, 8) for i in range(a, b)] == list(range(6)) and list(steps([])) == []
