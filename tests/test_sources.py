@@ -14,6 +14,7 @@ from mailprep.operators import language as L
 from mailprep.functions import text as tx
 from mailprep.operators import schema as C
 from mailprep.plans import prepare as A
+from mailprep.plans import queries
 from mailprep.plans import train as B
 from mailprep.plans import views as V
 from mailprep.session import broadcast_if_small, saved, shared_dir, spread
@@ -76,6 +77,18 @@ def test_encodings(spark, tmp_path):
     assert got == {**{n: n for n in files}, "cut": "utf-8"}
 
 
+def test_census_of_a_large_language(spark, tmp_path, monkeypatch):
+    rows = spark.range(300).select(F.when(F.col("id") == 299, "é").otherwise("e").alias("text"), F.lit("en").alias("lang"))
+    rows = rows.union(spark.range(5).select(F.lit("x"), F.lit("de"))).union(spark.range(3).select(F.lit("\ufeffx"), F.lit("fr")))
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(queries, "new_path", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(queries, "FILE_ROWS", 50, raising=False)
+    got = sorted(tuple(r) for r in queries.s7_encoding_census(spark, str(tmp_path)).collect())
+    assert got == [("de", "ascii", 1.0), ("en", "utf-8", 0.99), ("fr", "utf-8", 0.99)]
+    files = list((tmp_path / "texts" / "lang=en").glob("*.txt"))
+    assert len(files) >= 6 and all(len(f.read_text().splitlines()) <= 50 for f in files)
+
+
 def test_reports(spark, tmp_path):
     pred = spark.createDataFrame([("a,\"b\"\nc", 1, 1, True), ("d", 0, 1, False)],
                                  "t string, TrueLabel long, PredictedLabel long, Correct boolean")
