@@ -16,8 +16,9 @@ CELLS_LOG2 = 16            # n-grams are hashed into this many cells; bounds the
 ORDERS = (1, 2, 3)         # n-gram lengths
 MAX_TRAIN_ROWS = 40_000    # the model is fitted on a hash-drawn sample of about this many labelled rows at most
 BITS_PER_DOUBLING = 10     # codeword length of many languages, in units of log2(languages)
-SMOOTH = 0.5
+SHARED = 0.01              # share of the languages' common distribution in each of them: unseen n-grams tell nothing
 AMBIGUOUS = 0.5            # a best score up to this is flagged
+GAP_SHARE = 0.5            # the gap between the nearest codewords that scores AMBIGUOUS, as a share of the usual gap
 NONE = "und"
 LETTER = regex.compile(r"\p{L}")
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], "u4")
@@ -93,33 +94,62 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     langs = sorted(counts["lang"].unique())
     c = np.zeros((len(langs), 1 << CELLS_LOG2))
     c[pd.Categorical(counts["lang"], langs).codes, counts["cell"].astype(int)] = counts["n"]
-    per_lang = (c + SMOOTH) / (c + SMOOTH).sum(axis=1, keepdims=True)
+    model = weighted(langs, c)
+    return model | {"gap": usual_gap(rows, model)} if len(langs) > 1 else model
+
+
+def weighted(langs: list[str], c: np.ndarray) -> dict:
+    """The model of n-gram counts ``c`` (languages x cells), without its usual gap."""
     code = codewords(len(langs))
-    weights = np.zeros((1 << CELLS_LOG2, code.shape[1] if langs else 0), "f4")
-    for b in range(weights.shape[1]):
+    if not langs:
+        return {"langs": langs, "code": code, "weights": np.zeros((1 << CELLS_LOG2, 0), "f4"), "trust": np.zeros(0), "scale": np.zeros(0)}
+    own = c / np.maximum(c.sum(axis=1, keepdims=True), 1)
+    common = 0.999 * own.mean(axis=0) + 0.001 / c.shape[1]
+    per_lang = (1 - SHARED) * own + SHARED * common
+    weights = np.zeros((1 << CELLS_LOG2, code.shape[1]), "f4")
+    for b in range(code.shape[1]):
         up, down = code[:, b] > 0, code[:, b] < 0
         if up.any() and down.any():
             weights[:, b] = np.log(per_lang[up].mean(axis=0)) - np.log(per_lang[down].mean(axis=0))
-    # how far a bit tells its languages apart decides its weight in decoding
-    margins = per_lang @ weights if langs else np.zeros((0, 0))
-    trust = np.maximum((margins * code).min(axis=0), 1e-3) if langs else np.zeros(0)
-    return {"langs": langs, "code": code, "weights": weights, "trust": trust / trust.sum() if len(trust) else trust}
+    # how far a bit tells its languages apart decides its weight in decoding, and is the unit of its margins
+    scale = np.maximum((own @ weights * code).min(axis=0), 1e-3)
+    return {"langs": langs, "code": code, "weights": weights, "trust": scale / scale.sum(), "scale": scale}
 
 
-def scores(model: dict, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The best language's index and its score, by the weighted logistic loss of the bits against each codeword."""
-    k = len(model["langs"])
-    if k < 2 or not texts:
-        return np.zeros(len(texts), int), np.ones(len(texts))
+def decoded(model: dict, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The best language's index, by the weighted logistic loss of the bits against each codeword, and how far the loss
+    of the second best is from it. Margins are means over the n-grams, so they do not grow with the text."""
     cells, starts = cells_of(texts)
     per_place = model["weights"][cells[:, 0]] + model["weights"][cells[:, 1]] + model["weights"][cells[:, 2]]
-    margins = np.add.reduceat(per_place, starts, axis=0, dtype="f8")
-    loss = np.logaddexp(0, -margins[:, None, :] * model["code"][None, :, :])
-    total = (loss * model["trust"]).sum(axis=2) * len(model["trust"])
-    likely = np.exp(total.min(axis=1, keepdims=True) - total)
-    likely /= likely.sum(axis=1, keepdims=True)
-    best = likely.argmax(axis=1)
-    return best, likely[np.arange(len(texts)), best]
+    sums = np.add.reduceat(per_place, starts, axis=0, dtype="f8")
+    means = sums / (len(ORDERS) * np.diff(np.append(starts, len(cells))))[:, None]
+    margins = means / model["scale"]
+    loss = (np.logaddexp(0, -margins[:, None, :] * model["code"][None, :, :]) * model["trust"]).sum(axis=2)
+    near = np.sort(loss, axis=1)
+    return loss.argmin(axis=1), near[:, 1] - near[:, 0]
+
+
+def usual_gap(rows: DataFrame, model: dict) -> float:
+    """The median gap between the two nearest codewords over the labelled rows of the fit."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            texts = [t for t in f["text"] if LETTER.search(t)]
+            for a, b in steps(texts):
+                yield pd.DataFrame({"gap": decoded(shared.value, texts[a:b])[1]})
+
+    seen = rows.select("text").mapInPandas(run, "gap double").toPandas()["gap"]
+    return float(seen.median()) if len(seen) else 0.0
+
+
+def scores(model: dict, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The best language's index and its score: 0 where the two nearest codewords are equally far, ``AMBIGUOUS`` where
+    the gap between them is ``GAP_SHARE`` of the usual one, towards 1 beyond."""
+    if len(model["langs"]) < 2 or not texts:
+        return np.zeros(len(texts), int), np.ones(len(texts))
+    best, gap = decoded(model, texts)
+    return best, 1 - (1 - AMBIGUOUS) ** (gap / max(model["gap"] * GAP_SHARE, 1e-9))
 
 
 def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:

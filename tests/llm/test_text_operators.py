@@ -48,6 +48,28 @@ def test_language_edges(spark, make):
     assert language_id.identify(make([]), m).collect() == []
 
 
+def test_mixed_and_foreign_texts_are_ambiguous(spark, make):
+    docs = [r for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").join(
+        spark.read.parquet(f"{SF_DIR}/labels.parquet").filter("quality = 1"), "doc_id").orderBy("doc_id").collect() if len(r["text"]) > 1000]
+    m = language_id.fit(make([(r["doc_id"], r["text"], r["lang"]) for r in docs]))
+    rng, by = random.Random(3), {}
+    for r in docs:
+        by.setdefault(r["lang"], []).append(r["text"])
+    rows = {}
+    for n in (100, 1000):
+        for i in range(50):
+            a, b = rng.sample(sorted(by), 2)
+            rows["mixed", n, i] = rng.choice(by[a])[:n // 2] + " " + rng.choice(by[b])[:n // 2]
+    for name, letters in (("latin", "abcdefghijklmnopqrstuvwxyz "), ("cyrillic", "абвгдежзиклмнопрстуф ")):
+        rows |= {(name, 0, i): "".join(rng.choice(letters) for _ in range(1000)) for i in range(20)}
+    rows |= {("clean", 0, i): r["text"] for i, r in enumerate(docs)}
+    keys = list(rows)
+    told = language_id.identify(make([(i, rows[k]) for i, k in enumerate(keys)]), m).collect()
+    flagged = {name: [r["ambiguous"] for r in told if keys[r["doc_id"]][0] == name] for name in ("mixed", "latin", "cyrillic", "clean")}
+    share = {k: sum(v) / len(v) for k, v in flagged.items()}
+    assert share["mixed"] > 0.9 and share["latin"] == share["cyrillic"] == 1 and share["clean"] < 0.03
+
+
 def test_codewords_are_apart():
     for k in (2, 3, 4, 7, 8, 30):
         c = language_id.codewords(k).astype(int)
