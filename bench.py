@@ -43,17 +43,25 @@ def main() -> None:
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     small = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
-    for name in names if os.path.isdir(small) else []:
-        run(name, spark, small)
-    seconds = {}
-    for name in names:
-        start = time.perf_counter()
-        run(name, spark, sf_dir)
-        seconds[name] = round(time.perf_counter() - start, 3)
+    seconds, failed = {}, {}
+    for directory in [small, sf_dir] if os.path.isdir(small) else [sf_dir]:
+        for name in names:
+            start = time.perf_counter()
+            try:
+                run(name, spark, directory)
+            except Exception as e:  # one query that fails leaves the others' figures alone
+                failed[name] = str(e).splitlines()[0][:300]
+                print(f"{name} on {directory}: {failed[name]}", file=sys.stderr)
+                continue
+            if directory == sf_dir:
+                seconds[name] = round(time.perf_counter() - start, 3)
+                print(f"{name}: {seconds[name]}", file=sys.stderr)
     print(json.dumps({"metric": "total time of the headline queries", "value": round(sum(seconds.values()), 3),
                       "unit": "sec", "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/")),
-                      "cpus": int(cpus)}))
+                      "cpus": int(cpus), **({"failed": failed} if failed else {})}))
     spark.stop()
+    if failed:
+        sys.exit(1)
 
 
 if __name__ == "__main__":

@@ -273,14 +273,19 @@ def grams(source: str, carry: str, x: str) -> str:
 
 
 WEIGHT = "CAST(round(ln(({n} + 1)::DOUBLE / ({total} + (SELECT count(DISTINCT gram) FROM counted))::DOUBLE) * 10000) AS INTEGER)"
-MODEL = f"""counted AS MATERIALIZED (SELECT lang, gram, count(*) AS n FROM ({grams(f"(SELECT * FROM documents WHERE {taught('doc_id')})", 'lang', 'text')}) GROUP BY 1, 2),
+ALL = "documents"
+HALF = f"(SELECT * FROM documents WHERE {taught('doc_id')})"
+
+
+def model_of(source: str) -> str:
+    return f"""counted AS MATERIALIZED (SELECT lang, gram, count(*) AS n FROM ({grams(source, 'lang', 'text')}) GROUP BY 1, 2),
 model AS MATERIALIZED (SELECT lang, gram, n, total, (SELECT count(DISTINCT gram) FROM counted) AS vocabulary, {WEIGHT.format(n='n', total='total')} AS weight
  FROM (SELECT *, CAST(sum(n) OVER (PARTITION BY lang) AS BIGINT) AS total FROM counted))"""
 
 
-def detect(texts: str) -> str:
-    """CTEs ending in found(k, code): the language of texts(k, x) that hold any trigram."""
-    return f"""{MODEL},
+def detect(texts: str, source: str = ALL) -> str:
+    """CTEs ending in found(k, code): the language of texts(k, x) that hold any trigram, by a model of a source."""
+    return f"""{model_of(source)},
 g AS MATERIALIZED (SELECT k, gram, count(*) AS n FROM ({grams(texts, 'k', 'x')}) GROUP BY 1, 2),
 totals AS (SELECT DISTINCT lang, total FROM model),
 scores AS (SELECT g.k, t.lang, sum(g.n * coalesce(m.weight, {WEIGHT.format(n='0', total='t.total')})) AS score
@@ -288,9 +293,9 @@ scores AS (SELECT g.k, t.lang, sum(g.n * coalesce(m.weight, {WEIGHT.format(n='0'
 found AS (SELECT k, lang AS code FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, lang) AS r FROM scores) WHERE r = 1)"""
 
 
-def detect_on(source_steps, tail: str, source: str = f"SELECT id AS k, body AS x FROM mails WHERE NOT {taught('id')}") -> str:
+def detect_on(source_steps, tail: str, source: str = "SELECT id AS k, body AS x FROM mails", learned: str = ALL) -> str:
     ctes, last = chain(source, source_steps)
-    return f"WITH {VIEWS},\n{ctes},\n{detect(last)}\n{tail}"
+    return f"WITH {VIEWS},\n{ctes},\n{detect(last, learned)}\n{tail}"
 
 
 # --- profiles ------------------------------------------------------------------------------------------------------------
@@ -317,7 +322,8 @@ FROM ({long_table('lineitem', LINE_NUMBERS, 'DOUBLE')}) GROUP BY 1"""
 
 PROFILE = f"""WITH {VIEWS}, {LABELLED}, long AS MATERIALIZED ({long_table('labelled', LABELLED_COLUMNS)}),
 groups AS (SELECT "column", v, count(*) AS c FROM long WHERE v IS NOT NULL GROUP BY 1, 2),
-tops AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY c DESC, v) AS r FROM groups) WHERE r = 1),
+tops AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "column"
+  ORDER BY c DESC, CASE "column" WHEN 'id' THEN TRY_CAST(v AS BIGINT) END, v) AS r FROM groups) WHERE r = 1),
 domains AS (SELECT "column", string_agg(v, '|' ORDER BY v) AS values FROM groups GROUP BY 1 HAVING count(*) < 30),
 base AS (SELECT "column", count(v) AS count, count(*) - count(v) AS nulls, count(DISTINCT v) AS "distinct", count(*) AS rows FROM long GROUP BY 1)
 SELECT b."column", b.count, b.nulls, b."distinct", t.c AS freq, t.v AS top, d.values,
@@ -425,14 +431,14 @@ FROM (SELECT split, label, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY
     "t16_filter_short": with_clean("SELECT k AS id, x AS clean FROM clean WHERE length(x) >= 120"),
     "t17_truncate_tokens": body_steps(simple(t17)),
     "l1_detect_language": detect_on([*CLEAN, simple(t13), step_sentence], f"""SELECT m.id, coalesce(f.code, 'unknown') AS "Language",
- {name_of("coalesce(f.code, 'unknown')")} AS "LangName" FROM mails m LEFT JOIN found f ON f.k = m.id WHERE NOT {taught('m.id')}"""),
+ {name_of("coalesce(f.code, 'unknown')")} AS "LangName" FROM mails m LEFT JOIN found f ON f.k = m.id"""),
     "l1_accuracy": detect_on([simple(t13), step_sentence], """SELECT lang, count(*) AS texts, count(*) FILTER (f.code = lang) AS "right"
 FROM documents d LEFT JOIN found f ON f.k = d.doc_id WHERE NOT """ + taught('d.doc_id') + " GROUP BY 1",
-        f"SELECT doc_id AS k, text AS x FROM documents WHERE NOT {taught('doc_id')}"),
-    "l2_language_model": f"WITH {MODEL} SELECT lang, gram, n, total, vocabulary, weight FROM model",
+        f"SELECT doc_id AS k, text AS x FROM documents WHERE NOT {taught('doc_id')}", HALF),
+    "l2_language_model": f"WITH {model_of(ALL)} SELECT lang, gram, n, total, vocabulary, weight FROM model",
     "l3_detect_language_or_unknown": detect_on([simple(t13), step_sentence], f"""SELECT m.id,
  CASE WHEN m.body IS NULL OR {strip('m.body')} = '' THEN 'unknown' ELSE coalesce(f.code, 'unknown') END AS "Language"
-FROM mails m LEFT JOIN found f ON f.k = m.id WHERE NOT {taught('m.id')}"""),
+FROM mails m LEFT JOIN found f ON f.k = m.id"""),
     "l4_language_distribution": f"""SELECT "Language", "EmailCount",
  concat({hundredths('"EmailCount"', 't')} // 100, '.', lpad(CAST({hundredths('"EmailCount"', 't')} % 100 AS VARCHAR), 2, '0'), '%') AS "Percentage"
 FROM (SELECT "Language", CAST(sum(n) AS BIGINT) AS "EmailCount", CAST(sum(sum(n)) OVER () AS BIGINT) AS t

@@ -3,6 +3,7 @@
 import math
 import random
 import statistics
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from mailprep.operators import model as M
 from mailprep.operators import profile as P
 from mailprep.operators import ranks as R
 from mailprep.operators import schema as C
+from mailprep.session import saved
 
 
 def rows(df):
@@ -274,6 +276,31 @@ def test_languages(spark):
     assert (alone[1], alone[4], alone[6]) == ("en", "unknown", "unknown")
 
 
+def test_languages_by_join(spark, monkeypatch):
+    """A model too large to send along gives the same codes, ties and unseen trigrams included."""
+    texts = [("the cat sat on the mat", "en"), ("der Hund auf der Matte", "de"), ("le chat est sur le tapis", "fr"), ("the cat sat on the mat", "xx")]
+    model = saved(L.language_model(spark.createDataFrame(texts, "t string, l string"), "t", "l"), "model")
+    plain = ["The cat, the cat.", "der Hund!", "sur le tapis", "zzz qqq", "猫", "", None, "1 2", "the cat " * 3000, "Der the Hund cat " * 9, "𝒜𝒞 x"]
+    df = spark.createDataFrame(list(enumerate(plain * 3)), "k int, ProcessedTextBody string")
+    local = rows(L.detect_language(df, model))
+    by_key = {r[0]: r[2] for r in local}
+    assert [by_key[k] for k in (0, 1, 2, 5, 7, 8)] == ["en", "de", "fr", "unknown", "unknown", "en"]
+    monkeypatch.setattr(L, "MAX_LOCAL_WEIGHTS", 0)
+    assert rows(L.detect_language(df, model)) == local
+    none = L.language_model(spark.createDataFrame([], "t string, l string"), "t", "l")
+    assert {r["Language"] for r in L.detect_language_or_unknown(df, none).collect()} == {"unknown"}
+
+
+def test_a_sentence_of_a_million_characters(spark):
+    train = spark.createDataFrame([("the cat sat on the mat", "en"), ("der Hund auf der Matte", "de")], "t string, l string")
+    model = saved(L.language_model(train, "t", "l"), "model")
+    text = "DerHundaufderMatte" * 60_000  # one word without a stop
+    df = spark.createDataFrame([(1, text), (2, "the cat on the mat"), (3, text + " " + "Matte der Hund " * 60_000 + ".")], "k int, ProcessedTextBody string")
+    start = time.perf_counter()
+    got = {r["k"]: r["Language"] for r in L.detect_language(df, model).select("k", "Language").collect()}
+    assert got == {1: "de", 2: "en", 3: "de"} and time.perf_counter() - start < 30
+
+
 def test_language_distribution(spark):
     df = spark.createDataFrame([("A",)] * 6 + [("B",)] * 3 + [("C",)] * 2 + [("D",)] + [(None,)], "LangName string")
     assert [tuple(r) for r in L.language_distribution(df, threshold=3).collect()] == [
