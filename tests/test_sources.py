@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 import re
 
 import pytest
@@ -53,6 +54,66 @@ def test_read_delimited_in_splits(spark, tmp_path):
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+CELLS = ["x", "", "a;b", 'say ""hi""', "one\ntwo", "\n", "\n\n\n;", '""', "é\n😀", "long " * 30, "line\n" * 40, ' "" \n "" ', "\r\nx", "tail\n"]
+
+
+@pytest.mark.parametrize("split", [60, 200, 1000, 1 << 27])
+def test_quoted_cells_over_splits(spark, tmp_path, split):
+    """The same rows as the reader that takes a file whole, wherever splits fall."""
+    rng = random.Random(split)
+    for f in range(4):
+        lines = []
+        for i in range([0, 1, 60, 60][f]):
+            cells = [f"{f}.{i}"]
+            for _ in range(2):
+                c = rng.choice(CELLS)
+                cells.append(rng.choice([f'"{c}"', f'"{c}"', f'"{c}"odd', 'un"quoted', '5" x "', ""]))
+            lines.append(";".join(cells[:rng.choice([3, 3, 3, 2])]))
+        text = "\n".join(["K;A;B", *lines]) + rng.choice(["", "\n", "\n\n"])
+        put(tmp_path, f"{f}.csv", text)
+    put(tmp_path, "open.csv", 'K;A;B\no1;x;y\no2;"never\nclosed;z\n\nend')
+    whole = spark.read.csv(str(tmp_path), header=True, sep=";", multiLine=True, quote='"', escape='"', enforceSchema=True, schema="K string, A string, B string",
+                           ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, nullValue="")
+    want = sorted(((r[0], *[None if c in X.MISSING_CELLS else c for c in r[1:]]) for r in whole.collect()), key=str)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        df = delimited.read_delimited(spark, str(tmp_path))
+        assert rows(df) == want
+        assert split > 100 or df.rdd.getNumPartitions() > 20
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_quoted_cells_without_broadcast(spark, tmp_path, monkeypatch):
+    text = "K;A\r\n" + "".join(f'{i};"a\r\n{i}\r\n"\r\n' for i in range(300))
+    put(tmp_path, "a.csv", text)
+    put(tmp_path, "b.csv", "A;K\n" + "".join(f'"b\r\n{i}";{i}\n' for i in range(300)))
+    monkeypatch.setattr(delimited, "MAX_BROADCAST_SPLITS", 0)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 500)
+    df = delimited.read_delimited(spark, str(tmp_path))
+    got = rows(df.select("K", "A"))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == sorted([(str(i), f"a\n{i}\n") for i in range(300)] + [(str(i), f"b\r\n{i}") for i in range(300)], key=str)
+
+
+def test_many_headers_in_one_job(spark, tmp_path):
+    """However many files there are, the same jobs run."""
+    def jobs(n):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for i in range(n):
+            put(folder, f"{i}.csv", f"K;A\n{i};x\n")
+        spark.sparkContext.setJobGroup(f"files{n}", "")
+        df = delimited.read_delimited(spark, str(folder))
+        assert df.count() == n
+        spark.sparkContext.setJobGroup("", "")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"files{n}"))
+
+    assert jobs(150) <= jobs(3) + 3
+
+
 def test_read_delimited_problems(spark, tmp_path, capsys):
     assert delimited.read_delimited(spark, str(tmp_path / "none.csv")) is None
     assert "not found" in capsys.readouterr().out
