@@ -408,6 +408,8 @@ FROM (SELECT split, label, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY
     "j1_join_metadata_outer": on_mails("""SELECT m.id, m.priority, k.known_priority, k.mails FROM mails m FULL JOIN
  (SELECT priority AS known_priority, count(*) AS mails FROM mails WHERE priority IS NULL OR priority <> 'Low' GROUP BY 1
   UNION ALL SELECT 'Urgent', count(*) FROM mails) k ON m.priority IS NOT DISTINCT FROM k.known_priority"""),
+    "j1_heavy_keys": on_mails("""SELECT priority, mails, mails AS cases FROM (SELECT *, sum(mails * mails) OVER () AS whole
+ FROM (SELECT priority, count(*) AS mails FROM mails GROUP BY 1)) WHERE mails * mails > whole / 16.0::DOUBLE AND mails > 1"""),
     "j2_language_names": f"SELECT doc_id, lang, {name_of('lang')} AS lang_name_en FROM documents",
     "j2_language_names_code_column": f"SELECT doc_id, lang AS code, source AS lang_name, {name_of('lang')} AS name FROM documents",
     "t1_strip_flexible_reply_header": body_steps(step_flexible),

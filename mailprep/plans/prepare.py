@@ -15,7 +15,7 @@ from mailprep.session import saved
 from mailprep.sources.delimited import read_delimited
 
 
-def merge(mails: DataFrame, meta: DataFrame, wanted: Sequence[str], salts: int = 1) -> DataFrame:
+def merge(mails: DataFrame, meta: DataFrame, wanted: Sequence[str], salts: int | None = None) -> DataFrame:
     """Prune empty and repeated columns, join mails to their case, derive the complaint label.
 
     The join is written once and read from there. A column that loses its last value in the join is dropped as well.
@@ -33,12 +33,12 @@ def merge(mails: DataFrame, meta: DataFrame, wanted: Sequence[str], salts: int =
 
 
 def prepare(mails: DataFrame, meta: DataFrame, model: DataFrame | None = None, keep: tuple[str, ...] = (),
-            threshold: int = X.MIN_LENGTH_PREPARE, salts: int = 1) -> DataFrame:
+            threshold: int = X.MIN_LENGTH_PREPARE, salts: int | None = None) -> DataFrame:
     """The cleaned snapshot: merge, clean the bodies, drop short mails, detect languages when given a model.
 
     ``keep`` carries further columns along, such as a unique mail key for splitting. Bodies are cleaned and judged
-    where the join leaves them; only the wanted columns of the mails cross the network. ``salts`` deals the mails of a
-    very large case over that many tasks, for sessions that run without adaptive skew handling.
+    where the join leaves them; only the wanted columns of the mails cross the network. The mails of very large cases are dealt over
+    many tasks; ``salts`` as in ``join_metadata``.
     """
     merged = C.select_existing(merge(mails, meta, [*keep, *X.KEPT_COLUMNS], salts), [*keep, *X.KEPT_COLUMNS])
     cleaned = C.with_clean_text(C.with_body_text(merged))

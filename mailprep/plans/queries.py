@@ -235,7 +235,7 @@ def j1_join_metadata(spark, sf):
 
 @query
 def j1_join_metadata_outer(spark, sf):
-    """A missing priority meets the missing priority; the four large groups are dealt over several tasks."""
+    """A missing priority meets the missing priority; all groups are dealt over four tasks."""
     m = mails(spark, sf).select("id", "priority")
     known = m.filter("priority IS NULL OR priority <> 'Low'").groupBy(F.col("priority").alias("known_priority")).agg(
         F.count("*").alias("mails")).unionByName(m.agg(F.lit("Urgent").alias("known_priority"),
@@ -243,6 +243,14 @@ def j1_join_metadata_outer(spark, sf):
     return J.join_metadata(m, known, "priority", "known_priority", "outer", salts=4)
 
 
+@query
+def j1_heavy_keys(spark, sf):
+    """Mails by priority against themselves: the groups that take more of such a join than an average task."""
+    m = mails(spark, sf).select("id", "priority")
+    found = J.heavy_keys(m, m, "priority", "priority", tasks=16, least=1)
+    return found.select(F.col("key").alias("priority"), "mails", "cases")
+
+
 @query
 def j2_language_names(spark, sf):
     return J.language_names(table(spark, sf, "documents").select("doc_id", "lang"), "lang", "lang_name_en")

@@ -20,6 +20,10 @@ from mailprep.operators import schema as C
 from mailprep.session import saved
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
@@ -70,7 +74,8 @@ def test_pick_and_filter_short(spark):
 
 @pytest.mark.parametrize("how", J.HOWS)
 @pytest.mark.parametrize("null_keys", ["match", "drop"])
-def test_join(spark, how, null_keys):
+def test_join(spark, how, null_keys, monkeypatch):
+    monkeypatch.setattr(J, "MIN_HEAVY", 1)
     left = [(1, "a"), (2, "a"), (3, None), (4, "z")]
     right = [("a", 10), ("a", 11), (None, 12), ("q", 13)]
     same = lambda l, r: l == r and (l is not None or null_keys == "match")
@@ -81,10 +86,47 @@ def test_join(spark, how, null_keys):
         want += [(None, None, *r) for r in right if not any(same(l[1], r[0]) for l in left)]
     ldf = spark.createDataFrame(left, "id long, ParentId string")
     rdf = spark.createDataFrame(right, "META_Id string, v long")
-    for salts in (1, 3):
+    for salts in (1, 3, None):
         assert rows(J.join_metadata(ldf, rdf, how=how, null_keys=null_keys, salts=salts)) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("how", J.HOWS)
+def test_join_with_one_heavy_case(spark, how, monkeypatch):
+    """Nine mails in ten belong to one case and a tenth of the others to none: the same rows, in tasks of much the same size."""
+    monkeypatch.setattr(J, "MIN_HEAVY", 1)
+    n = 20_000
+    key = F.when(F.col("id") % 10 > 0, "hot").when(F.col("id") % 100 == 0, F.lit(None)).otherwise(F.concat(F.lit("c"), F.col("id") % 997))
+    left = saved(spark.range(n).select("id", key.alias("ParentId"), F.lit("x" * 50).alias("text")), "mails")
+    right = saved(spark.range(900).select(F.concat(F.lit("c"), F.col("id")).alias("META_Id"), F.col("id").alias("v")).union(
+        spark.createDataFrame([("hot", -1), ("hot", -2), (None, -3), (None, -4)], "META_Id string, v long")), "cases")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = J.join_metadata(left, right, how=how)
+        assert len(joined.columns) == 5 and "xxhash64(id" in plan(joined) and ", text" not in plan(joined).split("xxhash64(id")[1].split(")")[0]
+        sizes = sorted(r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+        got = joined.groupBy("id", "v").count()
+        want = left.join(right, left["ParentId"].eqNullSafe(right["META_Id"]), how).groupBy("id", "v").count()
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    found = {r["key"]: (r["mails"], r["cases"]) for r in J.heavy_keys(left, right).collect()}
+    assert found["hot"] == (18_000, 2) and found.get(None, (200, 2)) == (200, 2)
+
+
+def test_missing_keys_on_both_sides(spark, monkeypatch):
+    """A group without a key on both sides is an all-pairs product: it is found, counted and made in many parts."""
+    monkeypatch.setattr(J, "MIN_HEAVY", 1)
+    left = spark.range(400).select("id", F.lit(None).cast("string").alias("ParentId"))
+    right = spark.range(300).select(F.lit(None).cast("string").alias("META_Id"), F.col("id").alias("v"))
+    found = J.heavy_keys(left, right).collect()
+    assert [(r["key"], r["mails"], r["cases"], r["parts"] >= 8) for r in found] == [(None, 400, 300, True)]
+    assert J.heavy_keys(left, right, null_keys="drop").isEmpty()
+    assert J.join_metadata(left, right).count() == 120_000 and J.join_metadata(left, right, null_keys="drop").count() == 0
+
+
 def test_language_names(spark):
     df = spark.createDataFrame([("en", "English"), ("deu", "German"), ("xx", "Unknown"), (None, "Unknown"), ("EN", "Unknown"),
                                 ("war", "Waray")], "Language string, want string")
