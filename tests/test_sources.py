@@ -139,6 +139,34 @@ def test_encodings(spark, tmp_path):
     assert got == {**{n: n for n in files}, "cut": "utf-8"}
 
 
+@pytest.mark.parametrize("split", [7, 64, 1 << 27])
+def test_census_in_splits(spark, tmp_path, split):
+    """Wherever splits fall, a file is judged as the whole of it."""
+    rng = random.Random(split)
+    want = {}
+    for i in range(24):
+        text = "".join(rng.choice(["a", "é", "😀", "\n", "\r\n", "x" * 20]) for _ in range(rng.choice([1, 5, 90])))
+        kind = rng.choice(["utf-8", "utf-8-sig", "utf-16", "cp1252", "ascii"])
+        raw = text.encode(kind, "ignore")
+        put(tmp_path, f"{i}.txt", raw)
+        try:
+            whole = "ascii" if raw.isascii() else "utf-8" if raw.decode() is not None else ""
+        except UnicodeDecodeError:
+            whole = "Windows-1252"
+        want[f"{i}.txt"] = {"utf-8-sig": "UTF-8-SIG", "utf-16": "UTF-16"}.get(kind, whole)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    got = {os.path.basename(r["path"]): r["encoding"] for r in encoding.encoding_census(spark, str(tmp_path)).collect()}
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {n: w for n, w in want.items() if (tmp_path / n).stat().st_size}
+
+
+def test_census_of_samples(spark, tmp_path):
+    put(tmp_path, "cut.txt", "a" * 99 + "é" * 10)
+    put(tmp_path, "late.txt", b"a" * 200 + b"\xff")
+    got = {os.path.basename(r["path"]): r["encoding"] for r in encoding.encoding_census(spark, str(tmp_path), 100).collect()}
+    assert got == {"cut.txt": "utf-8", "late.txt": "ascii"}
+
+
 def test_census_of_a_large_language(spark, tmp_path, monkeypatch):
     rows = spark.range(300).select(F.when(F.col("id") == 299, "é").otherwise("e").alias("text"), F.lit("en").alias("lang"))
     rows = rows.union(spark.range(5).select(F.lit("x"), F.lit("de"))).union(spark.range(3).select(F.lit("\ufeffx"), F.lit("fr")))
