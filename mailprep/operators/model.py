@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -44,6 +44,20 @@ def _classifier(num_classes: int, max_iter: int, reg_param: float) -> LogisticRe
                               family="binomial" if num_classes == 2 else "multinomial")
 
 
+def resume(ready: DataFrame, num_classes: int, iterations: int, reg_param: float,
+           state: LogisticRegressionModel | None = None) -> LogisticRegressionModel:
+    """``iterations`` more from where ``state`` stands, or from the start. The model returned is the next state: its
+    coefficients are all that is kept, one number per feature and class, so a written model can be carried on as well.
+
+    Every iteration is one aggregate of gradients over the rows (label, weight, features). The library takes a first
+    model only on its Java side.
+    """
+    estimator = _classifier(num_classes, iterations, reg_param)
+    if state is not None:
+        estimator._java_obj.setInitialModel(state._java_obj)
+    return estimator.fit(ready)
+
+
 def train_classifier(train: DataFrame, num_classes: int, text_col: str = X.CLEAN_BODY, max_iter: int = 20,
                      reg_param: float = X.WEIGHT_DECAY, features: int = FEATURES,
                      max_words: int | None = None) -> PipelineModel:
@@ -105,28 +119,30 @@ def select_best(train: DataFrame, val: DataFrame, num_classes: int, text_col: st
                 rounds: Iterable[int] = (5, 10, 20, 40), metric: str = "f1", reg_param: float = X.WEIGHT_DECAY,
                 features: int = FEATURES,
                 max_words: int | None = None) -> tuple[PipelineModel, list[tuple[int, float]]]:
-    """Train for a growing number of iterations and keep the model with the best validation score.
+    """Train up to each number of iterations in ``rounds``, judge the model there, and keep the best by validation score.
 
-    Features of both parts are made once for all rounds. Stops after two rounds in a row without progress. Returns the model and
-    (iterations, score) per round.
+    A round goes on from the one before, so all of them together cost the iterations of the last. Features of both parts
+    are made once. Stops after two rounds in a row without progress, or when the optimiser has nothing left to gain.
+    Returns the model and (iterations, score) per round.
     """
     rows = _tokens(_weighted(train), text_col, max_words)
     featurizer = _featurizer(rows, features)
     ready = saved(featurizer.transform(rows).select("label", "weight", "features"), "features")
     checked = saved(featurizer.transform(_tokens(val, text_col, max_words)).select("label", "features"), "features")
-    best, best_value, stale, history = None, float("-inf"), 0, []
+    best, best_value, stale, history, state, done = None, float("-inf"), 0, [], None, 0
     for iterations in rounds:
-        fitted = _classifier(num_classes, iterations, reg_param).fit(ready)
-        guess = fitted.transform(checked).select(F.col("label").cast("long").alias("TrueLabel"),
-                                                 argmax(vector_to_array("rawPrediction")).alias("PredictedLabel"))
+        state = resume(ready, num_classes, iterations - done, reg_param, state)
+        settled, done = state.summary.totalIterations < iterations - done, iterations
+        guess = state.transform(checked).select(F.col("label").cast("long").alias("TrueLabel"),
+                                                argmax(vector_to_array("rawPrediction")).alias("PredictedLabel"))
         value = classification_metrics(guess, num_classes).first()[metric] or 0.0
         history.append((iterations, value))
         if value > best_value:
-            best, best_value, stale = PipelineModel(featurizer.stages + [fitted]), value, 0
+            best, best_value, stale = PipelineModel(featurizer.stages + [state]), value, 0
         else:
             stale += 1
-            if stale == PATIENCE:
-                break
+        if stale == PATIENCE or settled:
+            break
     return best, history
 
 

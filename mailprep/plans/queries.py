@@ -579,6 +579,36 @@ def checked_score(scored: DataFrame, classes: int) -> DataFrame:
                          (F.col("Correct") == (F.col("TrueLabel") == F.col("PredictedLabel"))).alias("judged"))
 
 
+@query
+def m1_confusion(spark, sf):
+    """What the classifier says of the test mails, by what they are."""
+    train, _, test = model_parts(spark, sf)
+    return M.confusion(M.score(M.train_classifier(train, 2, "clean", max_iter=10), test, "clean"))
+
+
+def by_language(spark, sf):
+    """Documents with the number of their language, which their words tell: classes that a classifier can part."""
+    rows = D.encode_labels(table(spark, sf, "documents").filter("text is not null").select("doc_id", "text", "lang"), "lang")
+    return saved(D.split_dataset(rows, "doc_id"), "split")
+
+
+@query
+def m2_history(spark, sf):
+    """Validation score after every round of one training that goes on from round to round."""
+    parts = by_language(spark, sf)
+    train, val = (parts.filter(F.col("split") == s) for s in D.SPLITS[:2])
+    _, history = M.select_best(train, val, parts.select("label").distinct().count(), "text", rounds=(1, 2, 4, 8))
+    return spark.createDataFrame(history, "iterations long, f1 double")
+
+
+@query
+def m3_predictions(spark, sf):
+    """The language that the words of each test document are judged to be in."""
+    parts = by_language(spark, sf)
+    model = M.train_classifier(parts.filter("split = 'train'"), parts.select("label").distinct().count(), "text", max_iter=8)
+    return M.score(model, parts.filter("split = 'test'").drop("split"), "text").select("doc_id", "TrueLabel", "PredictedLabel", "Correct")
+
+
 @query
 def m2_select_best(spark, sf):
     """The model chosen scores as the best round did."""

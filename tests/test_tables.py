@@ -17,7 +17,9 @@ from mailprep.operators import model as M
 from mailprep.operators import profile as P
 from mailprep.operators import ranks as R
 from mailprep.operators import schema as C
+from mailprep.plans import queries
 from mailprep.session import saved
+from tests.conftest import SF_DIR
 
 
 def plan(df):
@@ -411,6 +413,50 @@ def test_argmax(spark):
     assert rows(df.select(M.argmax("a"))) == [(0,), (1,)]
 
 
+def separable(spark, n):
+    """Three classes, each with words of its own among many that all have; the first has half of the rows."""
+    r = random.Random(7)
+    rows_ = []
+    for i in range(n):
+        label = r.choice([0, 0, 1, 2])
+        words_ = [f"w{r.randrange(300)}" for _ in range(30)] + [f"own{label}x{r.randrange(12)}" for _ in range(3)]
+        r.shuffle(words_)
+        rows_.append((i, " ".join(words_), label))
+    return saved(spark.createDataFrame(rows_, f"k long, {X.CLEAN_BODY} string, label long"), "rows")
+
+
+def test_training_goes_on(spark, monkeypatch):
+    """Rounds go on from each other: all together they take as many iterations as the last, and end where one training does."""
+    df = separable(spark, 600)
+    train, val = df.filter("k < 400"), df.filter("k >= 400")
+    taken, fit = [], M.resume
+    monkeypatch.setattr(M, "resume", lambda *a: taken.append(fit(*a)) or taken[-1])
+    monkeypatch.setattr(M, "PATIENCE", 99)
+    model, history = M.select_best(train, val, 3, rounds=(2, 4, 8, 16, 32))
+    assert [n for n, _ in history] == [2, 4, 8, 16, 32][:len(history)] and len(taken) == len(history)
+    assert sum(m.summary.totalIterations for m in taken) <= 32
+    loss = [m.summary.objectiveHistory for m in taken]
+    assert all(b[0] <= a[-1] * (1 + 1e-6) for a, b in zip(loss, loss[1:]))  # a round starts where the last one stood
+    once = M.train_classifier(train, 3, max_iter=32)
+    assert loss[-1][-1] <= once.stages[-1].summary.objectiveHistory[-1] * 1.1
+    pred = M.score(model, val)
+    found = M.classification_metrics(pred, 3).first()
+    majority = M.classification_metrics(pred.withColumn("PredictedLabel", F.lit(0).cast("long")), 3).first()
+    assert found["f1"] > 0.9 > majority["f1"] + 0.4 and found["accuracy"] > majority["accuracy"] + 0.3
+    assert M.confusion(pred).filter("TrueLabel = PredictedLabel").agg(F.sum("n")).first()[0] > 180
+
+
+def test_real_predictions(spark):
+    """The languages of the test documents are told from their words, far above the most frequent one."""
+    pred = queries.QUERIES["m3_predictions"](spark, SF_DIR)
+    got = pred.agg(F.avg(F.col("Correct").cast("int")), F.avg((F.col("TrueLabel") == F.lit(pred.groupBy("TrueLabel").count().orderBy(
+        F.desc("count")).first()[0])).cast("int"))).first()
+    assert got[0] > 0.9 > got[1]
+    history = queries.QUERIES["m2_history"](spark, SF_DIR).collect()
+    assert [r["iterations"] for r in history] == [1, 2, 4, 8][:len(history)] and max(r["f1"] for r in history) > 0.8
+    assert queries.QUERIES["m1_confusion"](spark, SF_DIR).agg(F.sum("n")).first()[0] > 0
+
+
 def test_training(spark):
     texts = [(i, "broken late damaged box" if i % 2 else "thank you kind regards", i % 2) for i in range(40)]
     df = spark.createDataFrame(texts, f"k long, {X.CLEAN_BODY} string, label long")
