@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from mailprep import fixed as X
 from mailprep.functions.dialect import hundredths
-from mailprep.session import broadcast_if_small
+from mailprep.session import broadcast_if_small, saved
 
 SPLITS = ("train", "validation", "test")
 MAX_CLASSES = 10_000  # above this the class table is joined without a broadcast
@@ -32,8 +32,21 @@ def type_dataset(df: DataFrame, text_col: str = X.CLEAN_BODY, type_col: str = X.
 def label_mapping(df: DataFrame, column: str) -> DataFrame:
     """Class names and their numbers from 0, in name order."""
     classes = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("class")).distinct()
-    number = F.row_number().over(Window.orderBy("class")) - 1  # one row per class
-    return classes.select("class", number.alias("label"))
+    return numbered(classes, "class", "label")
+
+
+def numbered(rows: DataFrame, key: str, number: str) -> DataFrame:
+    """``rows`` with the place of each by a unique key, from 0. The rows are sorted by ranges and written; a place is
+    that in a range and what the ranges before it hold, of which there is one row per range."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(parts, key).sortWithinPartitions(key).withColumn("__at", F.monotonically_increasing_id())
+    ranged = saved(ranged, "numbered")
+    part = F.shiftright("__at", 33)
+    sizes = ranged.groupBy(part.alias("__part")).agg(F.min("__at").alias("__low"), F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")
+    shifts = sizes.select("__part", (before - F.col("__low")).alias("__shift"))
+    placed = ranged.join(F.broadcast(shifts), part == F.col("__part"))  # one row per shuffle partition
+    return placed.select(*[F.col(f"`{c}`") for c in rows.columns], (F.col("__at") + F.col("__shift")).alias(number))
 
 
 def encode_labels(df: DataFrame, column: str, label: str = "label", mapping: DataFrame | None = None) -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailprep import fixed as X
-from mailprep.operators.ranks import quantiles
+from mailprep.operators.ranks import bracketed
+from mailprep.operators.ranks import sketch as rank_sketch
 from mailprep.session import saved, small_table
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -143,9 +144,9 @@ def describe_numeric(df: DataFrame, approx: bool = False) -> DataFrame:
         stats = values.groupBy("column").agg(*plain, *[sketch[i].alias(f"p{int(s * 100)}")
                                                        for i, s in enumerate(QUARTILES)])
     else:
-        # one row per numeric column on either side
-        stats = saved(values.groupBy("column").agg(*plain), "stats")
-        cuts = quantiles(values, stats.select("column", F.col("count").alias("rows")), QUARTILES).groupBy("column").agg(
+        # one row per numeric column on either side; the values are read once for these and once for the quartiles
+        stats = saved(values.groupBy("column").agg(*plain, rank_sketch("value").alias("sketch")), "stats")
+        cuts = bracketed(values, stats.select("column", F.col("count").alias("rows"), "sketch"), QUARTILES).groupBy("column").agg(
             *[F.max(F.when(F.col("share") == s, F.col("quantile"))).alias(f"p{int(s * 100)}") for s in QUARTILES])
         stats = stats.join(F.broadcast(cuts), "column", "left")
     return stats.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")

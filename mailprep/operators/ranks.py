@@ -7,6 +7,8 @@ combine before the shuffle, and what remains to be ordered is one narrow cell pe
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,10 @@ from mailprep.session import saved
 STEPS_PER_DOUBLING = 256  # cells of the first count
 STEPS_PER_CELL = 1 << 16  # cells of the second count
 STEP_CHARS = 2            # characters by which a start of texts grows per count
+SKETCH_K = 1024           # of a sketch of ranks, whose error is about 0.3 % of the rows then
+SKETCH_MARGIN = 0.015
+MIN_BRACKETED = 1000      # values of a column from which on the sketch is asked
+MAX_INSIDE = 5_000_000    # values between the ends that a sketch gives
 
 
 def first_rows(df: DataFrame, key: str, n: int, last: bool = False) -> DataFrame:
@@ -133,6 +139,56 @@ def values_at(values: DataFrame, targets: DataFrame) -> DataFrame:
     return _narrow(by_value, second, ["column", "scale", "step"], "value").select("column", "target", "value")
 
 
+def sketch(value: Column | str) -> Column:
+    """A mergeable sketch of ranks, for ``bracketed``."""
+    return F.kll_sketch_agg_double(value, F.lit(SKETCH_K))
+
+
+def bracketed(values: DataFrame, stats: DataFrame, shares: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact quantiles as by ``quantiles``, from one more read of ``values`` (column, value: double).
+
+    ``stats`` has (column, rows, sketch): the sketch tells between which two values a quantile lies. Values between
+    them are counted by value, the rest by the gap they lie in, so a rank is exact whatever the sketch's error. A column
+    for which it is larger than allowed for, or whose brackets would hold too much, is counted by cells instead.
+    """
+    n = F.col("rows")
+
+    def end(share: float, all_: float) -> Column:
+        told = F.kll_sketch_get_quantile_double("sketch", F.lit(min(max(share, 0.0), 1.0)))
+        return F.when(n < MIN_BRACKETED, F.lit(all_)).otherwise(told)
+
+    fits = (n > 0) & (n * (2 * SKETCH_MARGIN * len(shares)) <= MAX_INSIDE)
+    ends = stats.filter(fits).select("column", F.array(*[end(s - SKETCH_MARGIN, -math.inf) for s in shares]).alias("lows"),
+                                     F.array(*[end(s + SKETCH_MARGIN, math.inf) for s in shares]).alias("highs"))
+    ends = saved(ends, "brackets")  # one row per column
+    v = F.col("value")
+    inside = F.exists(F.arrays_zip("lows", "highs"), lambda b: (b["lows"] <= v) & (v <= b["highs"]))
+    gap = F.size(F.filter("lows", lambda low: low <= v))
+    cells = (values.filter(v.isNotNull()).join(F.broadcast(ends), "column")
+             .groupBy("column", F.when(inside, v).alias("exact"), F.when(~inside, gap).alias("gap"))
+             .agg(F.count("*").alias("n"), F.min("value").alias("at")))
+    at = [(n - 1) * F.lit(s) for s in shares]
+    targets = stats.filter(fits).select("column", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("share"), F.least(F.floor(a) + up, n - 1).alias("rank"), F.lit(up).alias("up"), (a - F.floor(a)).alias("part"))
+        for i, a in enumerate(at) for up in (0, 1)])).alias("t")).select("column", "t.*")
+    upto = F.sum("n").over(Window.partitionBy("column").orderBy("at"))  # up to MAX_INSIDE rows
+    placed = cells.withColumn("upto", upto).join(F.broadcast(targets), "column").filter(
+        (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+    low, high = (F.max(F.when(F.col("up") == up, F.col("exact"))) for up in (0, 1))
+    found = placed.groupBy("column", "share").agg(low.alias("low"), high.alias("high"), F.max("part").alias("part"))
+    found = saved(found, "quartiles")
+    names = F.array(*[F.lit(s) for s in shares])
+    done = found.filter("low is not null and high is not null").select(
+        "column", F.get(names, F.col("share")).alias("share"), (F.col("low") + F.col("part") * (F.col("high") - F.col("low"))).alias("quantile"))
+    missing = stats.filter("rows > 0").join(found.filter("low is null or high is null").select("column").union(
+        stats.filter((n > 0) & ~fits).select("column")).distinct(), "column", "left_semi").select("column", "rows")
+    missing = saved(missing, "quartiles_missing")
+    if missing.isEmpty():
+        return done
+    again = quantiles(values.join(F.broadcast(missing.select("column")), "column"), missing, shares)
+    return done.join(F.broadcast(missing), "column", "left_anti").unionByName(again)
+
+
 def quantiles(values: DataFrame, rows: DataFrame, shares: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Exact linear quantiles of a long table (column, value), given its counts (column, rows) without nulls.
 

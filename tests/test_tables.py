@@ -157,6 +157,35 @@ def test_quantiles(spark, n):
         assert got["d", share] == 1.0
 
 
+@pytest.mark.parametrize("n, inside, margin", [(1, 10 ** 6, 0.015), (3, 10 ** 6, 0.015), (5000, 10 ** 6, 0.015), (5000, 10, 0.015), (5000, 10 ** 6, -0.0005)])
+def test_bracketed_quantiles(spark, n, inside, margin, monkeypatch):
+    """By sketch and one count; also where the brackets would hold too much, or miss."""
+    monkeypatch.setattr(R, "MAX_INSIDE", inside)
+    monkeypatch.setattr(R, "SKETCH_MARGIN", margin)
+    r = random.Random(n)
+    values = [r.choice([7.0, 0.0, r.gauss(0, 1), 1e12 * r.random(), -5e-324, 1e308 * r.random(), float("inf")]) for _ in range(n)]
+    df = spark.createDataFrame([("c", v) for v in values] + [("c", None), ("d", 1.0), ("e", None)], "column string, value double")
+    stats = df.groupBy("column").agg(F.count("value").alias("rows"), R.sketch("value").alias("sketch"))
+    got = {(x["column"], x["share"]): x["quantile"] for x in R.bracketed(df, saved(stats, "stats")).collect()}
+    s = sorted(values)
+    want = {("d", x): 1.0 for x in (0.25, 0.5, 0.75)}
+    for share in (0.25, 0.5, 0.75):
+        at = (n - 1) * share
+        low, high = s[math.floor(at)], s[min(math.floor(at) + 1, n - 1)]
+        want["c", share] = low + (at - math.floor(at)) * (high - low)
+    assert got == {k: pytest.approx(v, rel=1e-12, nan_ok=True) for k, v in want.items()}
+
+
+def test_many_classes(spark):
+    """Class numbers come without a window over all classes."""
+    df = spark.range(30_000).select(F.concat(F.lit("k"), F.pmod(F.col("id") * 7919, F.lit(10_007))).alias("c")).union(spark.sql("select null"))
+    mapping = D.label_mapping(df, "c")
+    names = sorted({f"k{i}" for i in range(10_007)})
+    assert rows(mapping) == sorted(((c, i) for i, c in enumerate(names)), key=str)
+    assert "Exchange SinglePartition" not in plan(mapping).split("BroadcastExchange")[0]
+    assert D.label_mapping(df.limit(0), "c").count() == 0
+
+
 def test_values_of_whole_numbers_beyond_double_precision(spark):
     base = 2 ** 60
     df = spark.range(5000).select(F.lit("c").alias("column"), (F.lit(base) + F.pmod(F.col("id") * 7919, F.lit(5000))).alias("value"))
