@@ -8,6 +8,8 @@ combine before the shuffle, and what remains to be ordered is one narrow cell pe
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -158,12 +160,13 @@ def bracketed(values: DataFrame, stats: DataFrame, shares: tuple[float, ...] = (
         return F.when(n < MIN_BRACKETED, F.lit(all_)).otherwise(told)
 
     fits = (n > 0) & (n * (2 * SKETCH_MARGIN * len(shares)) <= MAX_INSIDE)
-    ends = stats.filter(fits).select("column", F.array(*[end(s - SKETCH_MARGIN, -math.inf) for s in shares]).alias("lows"),
-                                     F.array(*[end(s + SKETCH_MARGIN, math.inf) for s in shares]).alias("highs"))
+    sides = [(f"low{i}", f"high{i}", s) for i, s in enumerate(shares)]
+    ends = stats.filter(fits).select("column", *[c for low, high, s in sides for c in (
+        end(s - SKETCH_MARGIN, -math.inf).alias(low), end(s + SKETCH_MARGIN, math.inf).alias(high))])
     ends = saved(ends, "brackets")  # one row per column
     v = F.col("value")
-    inside = F.exists(F.arrays_zip("lows", "highs"), lambda b: (b["lows"] <= v) & (v <= b["highs"]))
-    gap = F.size(F.filter("lows", lambda low: low <= v))
+    inside = reduce(or_, [v.between(F.col(low), F.col(high)) for low, high, _ in sides])
+    gap = reduce(add, [F.when(F.col(low) <= v, 1).otherwise(0) for low, _, _ in sides])
     cells = (values.filter(v.isNotNull()).join(F.broadcast(ends), "column")
              .groupBy("column", F.when(inside, v).alias("exact"), F.when(~inside, gap).alias("gap"))
              .agg(F.count("*").alias("n"), F.min("value").alias("at")))
