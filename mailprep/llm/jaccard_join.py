@@ -13,7 +13,7 @@ from itertools import count
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailprep.llm.bloom import bloom_of
@@ -25,7 +25,7 @@ PERCENT = 80            # documents link from this share of common shingles on
 SKETCH_BITS = 512       # at least, of the short sketch that is compared before the sets are
 KEYS_PER_SEND = 1 << 19
 SHARDS_PER_TASK = 4
-HOT_PAIRS = 1           # a block shared by so many pairs of groups per member is left to the other blocks
+WORTH = 0.1             # share of the pairs of a round that must link for another one
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9))
 
@@ -130,6 +130,12 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(turned.astype("u1"))
 
 
+def folded(bits: np.ndarray) -> list[int]:
+    """A sketch folded to its narrowest width, as numbers. Two of these differ in no more bits than the sketches do."""
+    words = bits.reshape(-1, SKETCH_BITS // 8)
+    return np.bitwise_xor.reduce(words, axis=0).view("<i8").tolist()
+
+
 def apart(a: np.ndarray, b: np.ndarray) -> int:
     """In how many bits two sketches differ, at most as many as the sets have shingles that are not common."""
     while len(a) > len(b):
@@ -156,7 +162,7 @@ def spare(shingles: np.ndarray, draw: int = 0) -> list[int]:
 
 def _met(docs: DataFrame, key: str, text: str, shards: int, draw: int) -> DataFrame:
     """Two kinds of rows. Of every document: (key, n, class, spare, sketch, text_id), n its set's size, class the set's
-    hash. Of every block that several classes share: (block, class, star) per class, star being the smallest one there.
+    hash. Of every block that several classes share: (block, class, shared) per class, shared being how many there are.
 
     Keys travel packed: a task sends each shard one row with its block keys, the classes and which key is whose. A
     shard sorts its keys; those of one class alone go. A block that very many documents share is a single run of it.
@@ -183,11 +189,12 @@ def _met(docs: DataFrame, key: str, text: str, shards: int, draw: int) -> DataFr
                 rows = []
                 for i, s in enumerate(shingle_sets(texts[a:b]), a):
                     if not len(s):
-                        rows.append((-1 - i % shards, None, None, None, ids[i], 0, 0, [], b"", names[i]))
+                        rows.append((-1 - i % shards, None, None, None, ids[i], 0, 0, [], b"", [], names[i]))
                         continue
                     name, own = set_id(s), [block_keys(s, level, draw) for level in levels(len(s))]
                     left = [len(k) - most_apart(len(s), level) - 1 for k, level in zip(own, levels(len(s)))]
-                    rows.append((-1 - i % shards, None, None, None, ids[i], len(s), name, left, sketch(s).tobytes(), names[i]))
+                    bits = sketch(s)
+                    rows.append((-1 - i % shards, None, None, None, ids[i], len(s), name, left, bits.tobytes(), folded(bits), names[i]))
                     if name in seen:
                         continue
                     seen.add(name)
@@ -205,7 +212,7 @@ def _met(docs: DataFrame, key: str, text: str, shards: int, draw: int) -> DataFr
 
     def meet(f: pd.DataFrame) -> pd.DataFrame:
         if f["shard"].iloc[0] < 0:
-            return f[met_columns[2:]].assign(block=None, star=None)[met_columns]
+            return f[met_columns[2:]].assign(block=None, shared=None)[met_columns]
         key = np.concatenate([np.frombuffer(x, "<u8") for x in f["keys"]])
         name = np.concatenate([np.frombuffer(c, "<i8")[np.frombuffer(at, f"<u{8 * len(at) // len(k)}")]
                                for k, c, at in zip(f["keys"], f["classes"], f["at"])])
@@ -215,18 +222,18 @@ def _met(docs: DataFrame, key: str, text: str, shards: int, draw: int) -> DataFr
         key, name = key[fresh], name[fresh]
         start = np.concatenate([[True], key[1:] != key[:-1]])
         run = np.cumsum(start) - 1
-        shared = np.bincount(run)[run] > 1
-        star = name[np.flatnonzero(start)][run]
-        out = pd.DataFrame({"block": key[shared].view("i8"), "star": star[shared], "class": name[shared]})
-        return out.assign(**dict.fromkeys(["key", "n", "spare", "sketch", "text_id"]))[met_columns]
-
-    of_doc = "key string, n long, class long, spare array<int>, sketch binary, text_id long"
-    sent_columns = ["shard", "keys", "classes", "at", "key", "n", "class", "spare", "sketch", "text_id"]
-    met_columns = ["block", "star", "key", "n", "class", "spare", "sketch", "text_id"]
+        shared = np.bincount(run)[run]
+        several = shared > 1
+        out = pd.DataFrame({"block": key[several].view("i8"), "shared": shared[several], "class": name[several]})
+        return out.assign(**dict.fromkeys(["key", "n", "spare", "sketch", "fold", "text_id"]))[met_columns]
+
+    of_doc = "key string, n long, class long, spare array<int>, sketch binary, fold array<long>, text_id long"
+    sent_columns = ["shard", "keys", "classes", "at", "key", "n", "class", "spare", "sketch", "fold", "text_id"]
+    met_columns = ["block", "shared", "key", "n", "class", "spare", "sketch", "fold", "text_id"]
     # keys travel as text, which keeps large numbers and nulls apart and exact
     rows = docs.select(F.col(key).cast("string").alias("_key"), F.col(text).alias("_text"), text_id(F.col(text)).alias("_id"))
     sent = rows.mapInPandas(send, f"shard int, keys binary, classes binary, at binary, {of_doc}")
-    return sent.groupBy("shard").applyInPandas(meet, f"block long, star long, {of_doc}")
+    return sent.groupBy("shard").applyInPandas(meet, f"block long, shared long, {of_doc}")
 
 
 def text_id(text: Column) -> Column:
@@ -278,40 +285,65 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, classes: DataFrame)
     return left.join(one, "a").join(two, "b").mapInPandas(sure, "a long, b long")
 
 
-def _second_pairs(met: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of classes that share a block and are in different groups so far.
+def _rarest(met: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows (block, class, n, fold) of the blocks in which a class has to be looked for.
 
-    A block with far more such pairs than members (as a common passage makes) is skipped for classes that have enough
-    other blocks: a linked class shares more blocks with it than all the skipped ones. Classes that have not keep
-    their skipped blocks and meet there.
+    A set shares all but ``most_apart`` of its blocks with a linked one. So of both sets' blocks in one common order, the
+    first ``most_apart`` + 1 hold a block that they share; the order is from rare to frequent. Blocks of one class alone come
+    first and are not in ``met``: what is left to take is the number of shared blocks less ``spare``.
     """
-    named = (met.select("block", "class").join(groups.withColumnRenamed("node", "class"), "class", "left")
-             .join(classes.select("class", "n"), "class")
-             .select("block", "class", "n", F.coalesce("component", "class").alias("grp")))
-    per_group = named.groupBy("block", "grp").agg(F.count("*").alias("m"))
-    per_block = per_group.groupBy("block").agg(
-        F.count("*").alias("groups"), F.sum("m").alias("members"),
-        ((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("cross"))
-    mixed = per_block.filter("groups > 1").select("block", (F.col("cross") > HOT_PAIRS * F.col("members")).alias("hot"))
-    rows = saved(named.join(mixed, "block"), "blocks_mixed")
-    rows = rows.withColumn("band", F.col("block").bitwiseAND(1))
+    band = F.col("block").bitwiseAND(1)
     own = (F.length(F.bin("n")) - 1) % 2
-    spare = F.when(F.col("band") == own, F.get("spare", F.lit(0))).otherwise(F.get("spare", F.lit(1)))
-    skipped = rows.filter("hot").groupBy("class", "band").agg(F.count("*").alias("skipped"))
-    unsafe = skipped.join(classes, "class").filter(F.col("skipped") > spare).select("class", "band")
-    rows = rows.filter("not hot").unionByName(rows.filter("hot").join(unsafe, ["class", "band"], "left_semi").select(rows.columns))
-    a, b = (rows.select("block", F.col("class").alias(x), F.col("grp").alias(f"g{x}"), F.col("n").alias(f"n{x}")) for x in "ab")
-    alike = f"ga != gb and a < b and 100 * least(na, nb) >= {PERCENT} * greatest(na, nb)"
-    return a.join(b, "block").filter(alike).select("a", "b").distinct()
+    spare = F.when(band == own, F.get("spare", F.lit(0))).otherwise(F.get("spare", F.lit(1)))
+    rows = met.join(classes.select("class", "n", "spare", "fold"), "class").withColumn("band", band).withColumn("left", spare)
+    all_ = Window.partitionBy("class", "band")
+    rows = rows.withColumn("place", F.row_number().over(all_.orderBy("shared", "block"))).withColumn("all", F.count("*").over(all_))
+    return rows.filter("place <= all - left").select("block", "class", "n", "fold")
+
+
+def _named(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows (block, class, n, fold, grp) of the blocks in which several groups meet."""
+    named = rows.join(groups.withColumnRenamed("node", "class"), "class", "left").select(
+        "block", "class", "n", "fold", F.coalesce("component", "class").alias("grp"))
+    mixed = named.groupBy("block").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low != high")
+    return saved(named.join(mixed.select("block"), "block"), "blocks_mixed")
+
+
+def _star_pairs(named: DataFrame) -> DataFrame:
+    """Every class of a block with the smallest class of another group there."""
+    first = named.groupBy("block").agg(F.min(F.struct("class", "grp", "n")).alias("one"))
+    both = named.join(first, "block")
+    apart = both.filter("grp != one.grp")
+    to_first = apart.select(F.col("one.class").alias("a"), F.col("class").alias("b"), F.col("one.n").alias("na"), F.col("n").alias("nb"))
+    second = apart.groupBy("block").agg(F.min(F.struct("class", "n")).alias("two"))
+    to_second = both.filter("grp = one.grp").join(second, "block").select(
+        F.least("two.class", "class").alias("a"), F.greatest("two.class", "class").alias("b"), F.col("two.n").alias("na"), F.col("n").alias("nb"))
+    return to_first.union(to_second).filter(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)").select("a", "b").distinct()
+
+
+def _all_pairs(named: DataFrame) -> DataFrame:
+    """Pairs of classes that share a block and are in different groups. The largest group of a block meets the others only
+    once, and not itself. Pairs whose folded sketches are too far apart are left out in the join itself."""
+    sizes = named.groupBy("block", "grp").agg(F.count("*").alias("m"))
+    main = sizes.groupBy("block").agg(F.max(F.struct("m", "grp"))["grp"].alias("main"))
+    rows = named.join(main, "block")
+    rest = rows.filter("grp != main").select("block", F.col("class").alias("a"), F.col("grp").alias("ga"), F.col("n").alias("na"),
+                                              *[F.get("fold", F.lit(i)).alias(f"fa{i}") for i in range(SKETCH_BITS // 64)])
+    other = rows.select("block", F.col("class").alias("b"), F.col("grp").alias("gb"), F.col("n").alias("nb"),
+                        *[F.get("fold", F.lit(i)).alias(f"fb{i}") for i in range(SKETCH_BITS // 64)], (F.col("grp") == F.col("main")).alias("big"))
+    differ = " + ".join(f"bit_count(fa{i} ^ fb{i})" for i in range(SKETCH_BITS // 64))
+    alike = (f"ga != gb and (big or a < b) and 100 * least(na, nb) >= {PERCENT} * greatest(na, nb)"
+             f" and ({differ}) * {100 + PERCENT} <= (na + nb) * {100 - PERCENT}")
+    return rest.join(other, "block").filter(alike).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id) of every row: its set's size and the smallest key that links reach.
 
     Documents link when their sets share ``PERCENT`` percent of the union. Equal sets are one class, so copies are
-    never compared. Classes that meet in a block are first compared with the smallest class there, which joins nearly
-    all of a group with few comparisons; then all pairs are compared that meet in a block and are still in different
-    groups. No pair inside a group is written out, and none across groups is left out.
+    never compared. Classes meet in their rarest blocks. There each is compared with the smallest class of another group, round by
+    round while many link, which joins nearly all of a group with few comparisons; then all pairs are compared that meet
+    in a block and are still in different groups. No pair inside a group is written out, and none across groups is left out.
 
     Null, empty and white-space texts have no shingles and are alone. Rows of one key are one document for links. A
     null key links nothing; its component is the smallest key of its group, null if there is none. An empty table
@@ -320,19 +352,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     shards = min(1 << 15, SHARDS_PER_TASK * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     for draw in count():  # a draw of blocks that fills too few for some set is drawn anew; one in billions of sets is
         found = saved(_met(docs, key, text, shards, draw), "blocks_met")
-        met = found.filter("block is not null").select("block", "class", "star")
+        met = found.filter("block is not null").select("block", "class", "shared")
         sizes = found.filter("block is null").select(
-            F.col("key").cast(docs.schema[key].dataType).alias("_key"), "n", "class", "spare", "sketch", "text_id")
+            F.col("key").cast(docs.schema[key].dataType).alias("_key"), "n", "class", "spare", "sketch", "fold", "text_id")
         if sizes.filter("array_min(spare) < 0").isEmpty():
             break
-    one_of = F.min(F.struct("text_id", "n", "spare", "sketch")).alias("one")
+    one_of = F.min(F.struct("text_id", "n", "spare", "sketch", "fold")).alias("one")
     classes = saved(sizes.filter("n > 0").groupBy("class").agg(one_of).select("class", "one.*"), "classes")
-    first = met.filter("class != star").select(F.col("star").alias("a"), F.col("class").alias("b")).distinct()
-    links = saved(_verified(first, docs, text, classes), "links")
-    groups = components(links, "groups")
-    second = saved(_second_pairs(met, groups, classes), "pairs")
-    if not second.isEmpty():
-        links = links.union(_verified(second, docs, text, classes))
+    rows = saved(_rarest(met, classes), "blocks_rarest")
+    groups = docs.sparkSession.createDataFrame([], "node long, component long")
+    links = tried = docs.sparkSession.createDataFrame([], "a long, b long")
+    while True:
+        pairs = saved(_star_pairs(_named(rows, groups)).join(tried, ["a", "b"], "left_anti"), "pairs")
+        more = saved(_verified(pairs, docs, text, classes), "links")
+        links, tried = links.union(more), tried.union(pairs)
+        joined, asked = more.count(), pairs.count()
+        groups = components(links, "groups") if joined else groups
+        if joined < WORTH * asked or not joined:
+            break
+    rest = saved(_all_pairs(_named(rows, groups)).join(tried, ["a", "b"], "left_anti"), "pairs")
+    if not rest.isEmpty():
+        links = links.union(saved(_verified(rest, docs, text, classes), "links"))
         groups = components(links, "groups")
     # rows of one key tie their classes together
     by_class = sizes.filter("n > 0").join(groups.withColumnRenamed("node", "class"), "class", "left").select(

@@ -44,11 +44,13 @@ def codewords(k: int, seed: int = 7) -> np.ndarray:
 def cells_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Cells of all n-grams of some texts, and where each text begins in that row; every text has at least one cell.
 
-    Texts are lower-cased, digits are one sign and the texts are set off by line feeds, so n-grams know their ends.
+    Texts are lower-cased, digits are one sign and the texts are set off by so many line feeds that n-grams know their
+    ends and none holds signs of two texts.
     """
-    joined = "\n".join(["", *(t.lower() for t in texts), ""])
-    codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
-    lengths = np.array([len(t.lower()) + 1 for t in texts])
+    gap = "\n" * (max(ORDERS) - 1)
+    lower = [t.lower() for t in texts]
+    codes = np.frombuffer(gap.join(["", *lower, ""]).encode("utf-32-le"), "<u4")
+    lengths = np.array([len(t) + len(gap) for t in lower])
     codes = np.where((codes >= 48) & (codes <= 57), np.uint32(48), codes)
     n, mix, out = len(codes), np.zeros(len(codes), "u4"), []
     for order in ORDERS:
