@@ -66,7 +66,7 @@ def test_brute_force_and_edges(spark, make):
 
 
 def test_hot_blocks_are_met_elsewhere_or_kept(spark, make, monkeypatch):
-    monkeypatch.setattr(J, "HOT_PAIRS", 0)  # every block that joins groups counts as hot
+    monkeypatch.setattr(J, "WORTH", 2)  # one star round; the rest is left to the join of all pairs
     rows = list({k: (k, t) for k, t in rows_of(2)}.values())
     assert collected(J.near_duplicates(make(rows))) == brute(rows)
 
@@ -89,3 +89,36 @@ def test_linked_sets_always_share_a_block():
                 assert any(set(J.block_keys(a, v)) & set(J.block_keys(b, v)) for v in bands)
                 assert J.apart(J.sketch(a), J.sketch(b)) <= len(np.setxor1d(a, b))
             assert min(J.spare(a)) >= 0
+
+
+def test_many_near_copies_around_one_passage(spark, make):
+    """Two thousand texts share a passage; some are near copies of each other, most are just not alike enough."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(40)]
+    rows = []
+    for i in range(2000):
+        own = [f"o{i}x{k}" for k in range(rng.choice([3, 8, 14]))]
+        rows.append((i, " ".join(own + passage)))
+    rows += [(5000 + i, rows[i * 7][1] + f" end{i}") for i in range(60)]
+    got = {r["doc_id"]: r["component_id"] for r in J.near_duplicates(make(rows)).collect()}
+    sets = {k: set(zip(*[t.split()[j:] for j in range(5)])) for k, t in rows}
+    label = {k: k for k, _ in rows}
+
+    def top(k):
+        while label[k] != k:
+            k = label[k]
+        return k
+
+    short = [k for k in sets if len(sets[k]) <= 48]
+    for n, a in enumerate(short):
+        for b in short[:n]:
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = top(a), top(b)
+                label[max(x, y)] = min(x, y)
+    for a in sets:
+        if a >= 5000:
+            b = (a - 5000) * 7
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = top(a), top(b)
+                label[max(x, y)] = min(x, y)
+    assert got == {k: top(k) for k in sets}

@@ -41,6 +41,16 @@ def test_stages(spark, make):
     assert sum(r["n_tokens"] for r in five) == sum(len(enc.encode_ordinary(r["text"] or "")) for r in four.collect())
 
 
+def test_rows_are_documents(spark, make):
+    """Repeated and missing ids: no row goes but for a near duplicate, and rows without words stay."""
+    text = lambda i: " ".join(f"w{i}x{k}" for k in range(40))
+    rows = [(1, text(1)), (1, text(2)), (1, text(1)), (2, text(1) + " more"), (None, text(3)), (3, text(3)), (None, text(4)), (None, text(4)),
+            (None, None), (None, None), (None, ""), (None, "  "), (4, ""), (4, "")]
+    got = sorted(((r["doc_id"], r["text"]) for r in P.STAGES[1][1](spark, make(rows), "").collect()), key=repr)
+    want = [(1, text(1)), (1, text(2)), (3, text(3)), (None, text(4)), (None, None), (None, None), (None, ""), (None, "  "), (4, ""), (4, "")]
+    assert got == sorted(want, key=repr)
+
+
 def test_empty(spark, make):
     docs = make([])
     for _, stage in P.STAGES:

@@ -48,6 +48,42 @@ def test_language_edges(spark, make):
     assert language_id.identify(make([]), m).collect() == []
 
 
+def plain_language(m, text):
+    """The model's answer for one text, sign by sign: (language, score)."""
+    codes = [48 if 48 <= ord(c) <= 57 else ord(c) for c in f"\n\n{text.lower()}\n\n"]
+    sums, places = np.zeros(m["code"].shape[1]), len(text.lower()) + 2
+    for at in range(places):
+        mix = 0
+        for order in (1, 2, 3):
+            factor = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)[order - 1]
+            mix = (mix * 31 + codes[at + order - 1] * factor) % 2 ** 32
+            sums += m["weights"][(mix * 0x2C1B3C6D) % 2 ** 32 >> 16].astype("f8")
+    margins = sums / (3 * places) / m["scale"]
+    loss = [float(sum(t * np.log1p(np.exp(-b * x)) for t, b, x in zip(m["trust"], word, margins))) for word in m["code"].tolist()]
+    order = sorted(range(len(loss)), key=loss.__getitem__)
+    gap = loss[order[1]] - loss[order[0]]
+    return m["langs"][order[0]], 1 - 0.5 ** (gap / max(m["gap"] * 0.5, 1e-9))
+
+
+def test_language_against_plain_and_in_any_order(spark, make):
+    """Bits, loss and gap by hand; the neighbours of a row and its repeats tell nothing."""
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").orderBy("doc_id").collect()]
+    m = language_id.fit(make(rows))
+    docs = [*rows[:60], *[(1000 + i, t, None) for i, t in enumerate(["A", "été 12", "x" * 500, "ß", "a\nb", *[rows[3][1]] * 3])]]
+
+    def told(order):
+        frame = language_id.identify(spark.createDataFrame([(i, docs[i][1]) for i in order], "doc_id long, text string").coalesce(1), m)
+        return {r["doc_id"]: (r["lang_pred"], r["lang_score"], r["ambiguous"]) for r in frame.collect()}
+
+    got = told(range(len(docs)))
+    assert got == told(reversed(range(len(docs))))
+    assert len({got[i] for i in (3, *range(len(docs) - 3, len(docs)))}) == 1
+    for i, (_, text, _) in enumerate(docs):
+        if len(text) < 4000:
+            lang, score = plain_language(m, text)
+            assert got[i][0] == lang and abs(got[i][1] - score) < 1e-4
+
+
 def test_mixed_and_foreign_texts_are_ambiguous(spark, make):
     docs = [r for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").join(
         spark.read.parquet(f"{SF_DIR}/labels.parquet").filter("quality = 1"), "doc_id").orderBy("doc_id").collect() if len(r["text"]) > 1000]
