@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 TASKS_PER_CORE = 4
+ROW_GROUP_BYTES = 32 << 20  # a writer holds one in memory
 _local_dirs: dict[str, str] = {}
 
 
@@ -35,7 +36,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: computed once, whatever is lost later."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
