@@ -11,7 +11,7 @@ from collections.abc import Callable
 from functools import wraps
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailprep.llm import bpe_codec, jaccard_join, language_id, source_mix, suffix_dedup
@@ -21,6 +21,7 @@ from mailprep.session import saved
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+BATCH_ROWS = "2000"  # rows that a Python worker takes at once; texts are long
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,19 +33,14 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return told.filter((F.col("lang_pred") != language_id.NONE) & ~F.col("ambiguous")).select(*docs.columns)
 
 
-def _key() -> Column:
-    """The id of a document; rows without one are told by their text and come after all others."""
-    return F.coalesce("doc_id", F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 62)))
-
-
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id. Documents without words stay."""
-    keyed = docs.withColumn("_key", _key())
-    groups = jaccard_join.near_duplicates(keyed, "_key")
-    first = groups.filter("_key = component_id").select("_key").distinct()
-    same = Window.partitionBy("_key").orderBy(*[F.col(c) for c in docs.columns])
-    kept = keyed.join(first, "_key", "left_semi").withColumn("_n", F.row_number().over(same)).filter("_n = 1")
-    return kept.select(*docs.columns)
+    """One document of each group of near duplicates: the one with the smallest id, one without an id only if no other is
+    there. Every row is a document of its own, whatever its id; documents without words stay."""
+    rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    groups = jaccard_join.near_duplicates(rows.select("_row", "text"), "_row")
+    ids = rows.select("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("order"))
+    first = ids.join(groups, "_row").groupBy("component_id").agg(F.min("order")["_row"].alias("_row"))
+    return rows.join(first.select("_row").hint("shuffle_hash"), "_row", "left_semi").select(*docs.columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,6 +72,7 @@ def _stage(fn: Stage) -> Stage:
     @wraps(fn)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         reachable(spark)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
         return fn(spark, docs, sf_dir)
 
     return run
