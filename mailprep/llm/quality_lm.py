@@ -19,7 +19,9 @@ ORDER = 5            # bytes of an n-gram; up to 7 fit into a long
 HOT_GRAMS = 1 << 17  # that many of the most frequent n-grams go to all tasks; all others meet in a join
 STEPS = 1000         # steps of a log-perplexity in which quantiles are counted
 FENCE = 3.0          # a document is dropped beyond the trusted third quartile plus so many interquartile ranges
-ENOUGH = 8           # trusted texts of a language from which its quartiles stand alone
+PRIOR = 8            # texts that the quartiles of all languages weigh against those of one
+SHORT = 2            # orders up to it have at most 65,536 n-grams, which go to all tasks
+MANY = 10_000        # languages up to that many go to all tasks
 
 
 def grams_of(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -42,66 +44,87 @@ def grams_of(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarr
     return gram[inside.astype("i8")], lengths
 
 
-def count_grams(docs: DataFrame, text: str = "text", order: int = ORDER) -> DataFrame:
-    """(gram, n): n-gram counts of all texts. Tasks count their own first."""
+def count_grams(docs: DataFrame, text: str = "text", order: int = ORDER, parts: int = 1, part: Column | None = None) -> DataFrame:
+    """(gram, n0, n1, ...): n-gram counts of the texts of each of some ``parts``, ``part`` being the number of a row's part.
+    Tasks count their own first."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
+        total: list = [None] * parts
         for f in frames:
-            texts = filled(f[text])
-            for a, b in steps(texts):
-                g, n = np.unique(grams_of(texts[a:b], order)[0], return_counts=True)
-                part = pd.Series(n, g)
-                total = part if total is None else total.add(part, fill_value=0)
-        if total is not None:
-            yield pd.DataFrame({"gram": total.index.to_numpy("i8"), "n": total.to_numpy("i8")})
+            for k in range(parts):
+                texts = filled(f["_text"][f["_part"] == k])
+                for a, b in steps(texts):
+                    g, n = np.unique(grams_of(texts[a:b], order)[0], return_counts=True)
+                    new = pd.Series(n, g)
+                    total[k] = new if total[k] is None else total[k].add(new, fill_value=0)
+        for k, t in enumerate(total):
+            if t is not None:
+                yield pd.DataFrame({"gram": t.index.to_numpy("i8"), "part": k, "n": t.to_numpy("i8")})
 
-    return docs.select(text).mapInPandas(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    rows = docs.select(F.col(text).alias("_text"), (F.lit(0) if part is None else part).cast("int").alias("_part"))
+    own = rows.mapInPandas(run, "gram long, part int, n long")
+    return own.groupBy("gram").agg(*[F.sum(F.when(F.col("part") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(parts)])
 
 
 def _suffix(order: int) -> Column:
     return F.col("gram").bitwiseAND((1 << (8 * order)) - 1)
 
 
-def model(counts: DataFrame, order: int = ORDER) -> list[DataFrame]:
-    """The model's tables, lowest order first: (gram, cut, ctx) and per context (ctx, total, spare).
+def _numbers(table: DataFrame) -> range:
+    """The numbers of the models whose counts a table holds."""
+    return range(sum(c != "gram" for c in table.columns))
+
+
+def model(counts: DataFrame, order: int = ORDER) -> list[tuple[DataFrame, DataFrame]]:
+    """The tables of as many models as ``counts`` has count columns, lowest order first: (gram, less0, ...) and per
+    context (ctx, total0, spare0, ...).
 
-    Order n below the highest counts in how many different ways an n-gram continues to the left. ``cut`` is the count
-    less its discount over the context's total; ``spare`` is the mass the context leaves to the order below. The three
-    discounts of each order come from how many n-grams have counts of one to four.
+    Order n below the highest counts in how many different ways an n-gram continues to the left. ``less`` is the count
+    less its discount; ``spare`` is the share of its total that a context leaves to the order below. The three
+    discounts of each order and model come from how many n-grams have counts of one to four.
     """
-    tables = []
-    level = counts
+    tables, models, level = [], _numbers(counts), counts
     for n in range(order, 0, -1):
         level = saved(level, f"grams{n}")
-        seen = {int(r["n"]): r["k"] for r in level.filter("n <= 4").groupBy("n").agg(F.count("*").alias("k")).collect()}
-        n1, n2, n3, n4 = (seen.get(i, 0) for i in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2) if n1 + 2 * n2 else 0.5
-        # also where small tables leave a class empty, a discount takes something and leaves something
-        d = [min(max(i - (i + 1) * y * (b / a) if a else i * 0.5, 0.1), i - 0.1) for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-        off = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        rows = level.withColumn("ctx", F.shiftright("gram", 8)).withColumn("off", off)
-        contexts = rows.groupBy("ctx").agg(F.sum("n").alias("total"), F.sum("off").alias("off"))
-        contexts = contexts.select("ctx", "total", (F.col("off") / F.col("total")).alias("spare"))
-        grams = rows.join(contexts, "ctx").select("gram", ((F.col("n") - F.col("off")) / F.col("total")).alias("cut"))
-        tables.insert(0, (grams, contexts.select("ctx", "spare")))
-        level = level.select(_suffix(n - 1).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+        seen = level.agg(*[F.count(F.when(F.col(f"n{k}") == i, 1)).alias(f"{k}_{i}") for k in models for i in (1, 2, 3, 4)]).first()
+        off = {}
+        for k in models:
+            n1, n2, n3, n4 = (seen[f"{k}_{i}"] for i in (1, 2, 3, 4))
+            y = n1 / (n1 + 2 * n2) if n1 + 2 * n2 else 0.5
+            # also where small tables leave a class empty, a discount takes something and leaves something
+            d = [min(max(i - (i + 1) * y * (b / a) if a else i * 0.5, 0.1), i - 0.1) for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+            c = F.col(f"n{k}")
+            off[k] = F.when(c == 0, 0.0).when(c == 1, d[0]).when(c == 2, d[1]).otherwise(d[2])
+        contexts = level.groupBy(F.shiftright("gram", 8).alias("ctx")).agg(
+            *[F.sum(f"n{k}").alias(f"total{k}") for k in models],
+            *[F.try_divide(F.sum(off[k]), F.sum(f"n{k}")).alias(f"spare{k}") for k in models])
+        tables.insert(0, (level.select("gram", *[(F.col(f"n{k}") - off[k]).alias(f"less{k}") for k in models]), contexts))
+        level = level.groupBy(_suffix(n - 1).alias("gram")).agg(
+            *[F.count(F.when(F.col(f"n{k}") > 0, 1)).alias(f"n{k}") for k in models])
     return tables
 
 
 def log_probabilities(grams: DataFrame, tables: list, order: int = ORDER) -> DataFrame:
-    """(gram, logp) of distinct ``grams`` (gram), by joins with the count tables, all sharded by n-gram or context.
+    """(gram, logp0, logp1, ...) of distinct ``grams`` (gram) under each model, by joins with the count tables, all sharded
+    by n-gram or context. Each order is written out before the next one.
 
     p(w | context) = cut + spare * p(w | shorter context), down to a uniform share of the 256 bytes. A context that was
     never seen passes everything on.
     """
-    out = grams.select("gram", F.lit(1.0 / 256).alias("p"))
+    models = _numbers(tables[0][0])
+    out = grams.select("gram", *[F.lit(1.0 / 256).alias(f"p{k}") for k in models])
     for n, (seen, contexts) in enumerate(tables, 1):
+        if n <= SHORT:
+            seen, contexts = F.broadcast(seen), F.broadcast(contexts)
+        else:  # sorted on both sides, so that no table of a join comes to the driver
+            seen, contexts = seen.hint("merge"), contexts.hint("merge")
         key = F.col("gram").bitwiseAND((1 << (8 * n)) - 1)
         out = out.withColumn("_g", key).withColumn("_c", F.shiftright(key, 8))
         out = out.join(seen.withColumnRenamed("gram", "_g"), "_g", "left")
         out = out.join(contexts.withColumnRenamed("ctx", "_c"), "_c", "left")
-        out = out.select("gram", (F.coalesce("cut", F.lit(0.0)) + F.coalesce("spare", F.lit(1.0)) * F.col("p")).alias("p"))
-    return out.select("gram", F.log("p").alias("logp"))
+        p = [F.coalesce(F.try_divide(f"less{k}", f"total{k}"), F.lit(0.0)) + F.coalesce(f"spare{k}", F.lit(1.0)) * F.col(f"p{k}")
+             for k in models]
+        out = saved(out.select("gram", *[p[k].alias(f"p{k}") for k in models]), f"grams_p{n}")
+    return out.select("gram", *[F.log(f"p{k}").alias(f"logp{k}") for k in models])
 
 
 def trusted_texts(docs: DataFrame, ids: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -121,59 +144,86 @@ def trusted_texts(docs: DataFrame, ids: DataFrame, key: str = "doc_id", text: st
 def score(docs: DataFrame, trusted: DataFrame, text: str = "text", order: int = ORDER,
           keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all, unless given) with (n_bytes, log_perplexity); a model is made from the
-    texts of ``trusted``.
+    texts of ``trusted``. Columns of ``docs`` that are named like these two give way to them.
 
-    All n-grams of the corpus are counted, and their probabilities found in sharded joins. The most frequent ones,
-    ``HOT_GRAMS`` at most, go to all tasks as two short arrays, so the heavy keys of the next join never move; every
-    other n-gram of a document is sent to the shard that holds its probability, counted per document. Null and empty
-    texts have no perplexity. Without trusted text every byte is equally likely. Repeated rows each give a row.
+    Null and empty texts have no perplexity. Without trusted text every byte is equally likely. Repeated rows each give
+    a row.
     """
-    spark = docs.sparkSession
-    columns = docs.columns if keep is None else keep
-    tables = model(count_grams(trusted, text, order), order)
-    wanted = saved(count_grams(docs, text, order), "grams_wanted")
-    known = saved(log_probabilities(wanted, tables, order).join(wanted, "gram"), "gram_logp")
-    hot = known.orderBy(F.desc("n"), "gram").limit(HOT_GRAMS).select("gram", "logp").toPandas().sort_values("gram")
-    grams, logs = hot["gram"].to_numpy("i8"), hot["logp"].to_numpy("f8")
-    shared = spark.sparkContext.broadcast((grams, logs))
+    columns = _others(docs.columns if keep is None else keep, ("n_bytes", "log_perplexity"))
+    rows = docs.select(F.lit(0).alias("_model"), F.col(text).alias("_text"), *_carried(columns))
+    done = _scored(rows, count_grams(trusted, text, order), order)
+    return done.select(*_named(columns), F.col("_n").alias("n_bytes"), "log_perplexity")
+
+
+def _others(columns: list[str], taken: tuple[str, ...]) -> list[str]:
+    return [c for c in columns if c.lower() not in taken]
+
+
+def _carried(columns: list[str]) -> list[Column]:
+    return [F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(columns)]
+
+
+def _named(columns: list[str]) -> list[Column]:
+    return [F.col(f"_k{i}").alias(c) for i, c in enumerate(columns)]
+
+
+def _scored(rows: DataFrame, counts: DataFrame, order: int) -> DataFrame:
+    """``rows`` (_model, _text, others) without the text, with (_n, log_perplexity) under the model of the row's number.
+
+    All n-grams of the rows are counted, and their probabilities under all models found in sharded joins. The most
+    frequent ones, ``HOT_GRAMS`` at most, go to all tasks as short arrays, so the heavy keys of the next join never move;
+    every other n-gram of a document is sent to the shard that holds its probabilities, counted per document.
+    """
+    spark = rows.sparkSession
+    models = _numbers(counts)
+    wanted = saved(count_grams(rows, "_text", order), "grams_wanted")
+    logs = [f"logp{k}" for k in models]
+    known = saved(log_probabilities(wanted, model(counts, order), order).join(wanted.hint("merge"), "gram"), "gram_logp")
+    hot = known.orderBy(F.desc("n0"), "gram").limit(HOT_GRAMS).select("gram", *logs).toArrow().sort_by("gram")
+    arrays = hot["gram"].to_numpy().astype("i8"), np.stack([hot[c].to_numpy() for c in logs], axis=1).astype("f8")
+    shared = spark.sparkContext.broadcast(arrays)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, values = shared.value
         table = _Lookup(keys)
         for batch in batches:
-            ids, kept = batch.column(0), batch.columns[2:]
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            ids, which, kept = batch.column(0), batch.column(1), batch.columns[3:]
+            numbers = which.to_numpy()
+            texts = [t or "" for t in batch.column(2).to_pylist()]
             for a, b in steps(texts):
                 g, n = grams_of(texts[a:b], order)
                 at = table.find(g)
-                found = np.where(at >= 0, values[at] if len(values) else 0.0, 0.0)
+                found = np.where(at >= 0, values[at, np.repeat(numbers[a:b], n)] if len(values) else 0.0, 0.0)
                 ends = np.cumsum(n)
                 total = np.concatenate([[0.0], np.cumsum(found)])
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(n), pa.array(total[ends] - total[ends - n]), pa.nulls(b - a, pa.int64()),
-                     *[c.slice(a, b - a) for c in kept]], names)
+                    [ids.slice(a, b - a), which.slice(a, b - a), pa.array(n), pa.array(total[ends] - total[ends - n]),
+                     pa.nulls(b - a, pa.int64()), *[c.slice(a, b - a) for c in kept]], names)
                 rest = np.flatnonzero(at < 0)
                 if len(rest):
                     pairs = pd.DataFrame({"o": np.repeat(np.arange(a, b), n)[rest], "g": g[rest]}).value_counts().reset_index()
+                    owner = pa.array(pairs["o"].to_numpy("i8"))
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(pairs["o"].to_numpy("i8"))), pa.array(pairs["count"].to_numpy("i8")),
+                        [ids.take(owner), which.take(owner), pa.array(pairs["count"].to_numpy("i8")),
                          pa.nulls(len(pairs), pa.float64()), pa.array(pairs["g"].to_numpy("i8")),
                          *[pa.nulls(len(pairs), c.type) for c in kept]], names)
 
     # the row number is fixed by writing it with the row's other columns
-    carried = [F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(columns)]
-    rows = docs.select(F.monotonically_increasing_id().alias("_id"), F.col(text).alias("_text"), *carried)
-    made = T.StructType([T.StructField("_id", T.LongType()), T.StructField("_n", T.LongType()), T.StructField("_sum", T.DoubleType()),
-                         T.StructField("_gram", T.LongType()), *rows.schema.fields[2:]])
+    rows = rows.select(F.monotonically_increasing_id().alias("_id"), F.col("_model").cast("int").alias("_model"), "_text",
+                       *[c for c in rows.columns if c not in ("_model", "_text")])
+    made = T.StructType([T.StructField("_id", T.LongType()), T.StructField("_model", T.IntegerType()),
+                         T.StructField("_n", T.LongType()), T.StructField("_sum", T.DoubleType()),
+                         T.StructField("_gram", T.LongType()), *rows.schema.fields[3:]])
     names = made.names
     parts = saved(rows.mapInArrow(run, made), "doc_grams")
-    rare = (parts.filter("_gram is not null").join(known.select(F.col("gram").alias("_gram"), "logp"), "_gram")
-            .groupBy("_id").agg(F.sum(F.col("_n") * F.col("logp")).alias("_rare")))
-    scored = parts.filter("_gram is null").join(rare, "_id", "left")
+    own = F.coalesce(*[F.when(F.col("_model") == k, F.col(f"logp{k}")) for k in models])
+    rare = (parts.filter("_gram is not null").select("_id", "_model", "_n", "_gram")
+            .join(known.select(F.col("gram").alias("_gram"), *logs).hint("merge"), "_gram")
+            .groupBy("_id").agg(F.sum(F.col("_n") * own).alias("_rare")))
+    done = parts.filter("_gram is null").join(rare.hint("merge"), "_id", "left")
     total = F.col("_sum") + F.coalesce("_rare", F.lit(0.0))
     entropy = F.when(F.col("_n") > 0, F.round(-total / F.col("_n"), 9))
-    return scored.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(columns)], F.col("_n").alias("n_bytes"),
-                         entropy.alias("log_perplexity"))
+    return done.select("_model", *names[5:], "_n", entropy.alias("log_perplexity"))
 
 
 class _Lookup:
@@ -216,36 +266,55 @@ def quartiles(scored: DataFrame, lang: str = "lang") -> DataFrame:
                                    F.sum("n").alias("_texts"))
 
 
-def held_out(trusted: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, n_bytes, log_perplexity) of the trusted texts, each half under a model of the other half. Copies of a text
-    are in one half, so no text is judged by a model that has read it."""
-    first = F.pmod(F.xxhash64(text), F.lit(2)) == 0
-    one, two = trusted.filter(first), trusted.filter(~first)
-    return score(one, two, text, keep=[lang]).union(score(two, one, text, keep=[lang]))
+def thresholds(held: DataFrame, lang: str = "lang") -> tuple[DataFrame, float | None]:
+    """(_lang, _top) of the languages of ``held`` (language, log_perplexity), and the threshold of all its texts together,
+    None without any: the third quartile plus ``FENCE`` interquartile ranges.
+
+    Where those of all texts are larger, a language's third quartile and range are drawn towards them, by the weight of
+    ``PRIOR`` texts against its own: one rule at every size, which never takes a language below its own fence.
+    """
+    every = quartiles(held.withColumn(lang, F.lit(None).cast("string")), lang).first()
+    if every is None:
+        return quartiles(held, lang).select("_lang", F.lit(None).cast("double").alias("_top")), None
+    weight = F.lit(float(PRIOR)) / (F.col("_texts") + PRIOR)
+
+    def drawn(own: Column, of_all: float) -> Column:
+        return own + F.greatest(F.lit(of_all) - own, F.lit(0.0)) * weight
+
+    high, spread = every["_high"], every["_high"] - every["_low"]
+    top = drawn(F.col("_high"), high) + drawn(F.col("_high") - F.col("_low"), spread) * FENCE
+    return quartiles(held, lang).select("_lang", top.alias("_top")), high + spread * FENCE
 
 
 def judge(docs: DataFrame, trusted: DataFrame, text: str = "text", lang: str = "lang",
           keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` of ``docs`` (all, unless given; the language must be one) with (n_bytes, perplexity,
-    threshold, keep). ``trusted`` has texts and their languages.
-
-    A language's threshold is the third quartile of the log-perplexities of its trusted texts, each under a model that
-    has not read it, plus ``FENCE`` interquartile ranges: no share of junk in ``docs`` moves it. With fewer than
-    ``ENOUGH`` trusted texts it is not below the threshold of the trusted texts of all languages, which is that of a
-    language without any. Documents above it go, and so do null and empty texts, which have no perplexity. Without
-    trusted text there is no threshold, and all other documents stay. Null languages are one language.
+    """The columns ``keep`` of ``docs`` (all, unless given) with (n_bytes, perplexity, threshold, keep). ``trusted`` has
+    texts and their languages. Columns of ``docs`` that are named like these four give way to them.
+
+    A language's threshold comes from the log-perplexities of its trusted texts (``thresholds``), each half of which is
+    judged by a model of the other half; copies of a text are in one half, so no text is judged by a model that has read
+    it, and no share of junk in ``docs`` moves the threshold. A language without trusted texts has the threshold of all
+    trusted texts. Documents above it go, and so do null and empty texts, which have no perplexity. Without trusted text
+    there is no threshold, and all other documents stay. Null languages are one language.
+
+    The three models (all trusted texts, either half) are counted, joined and applied together.
     """
-    trusted = saved(trusted.select(text, lang).filter(F.length(text) > 0), "trusted")
-    scored = saved(score(docs, trusted, text, keep=keep), "perplexity")
-    held = saved(held_out(trusted, text, lang), "held_out")
-    fence = F.col("_high") + (F.col("_high") - F.col("_low")) * FENCE
-    whole = quartiles(held.withColumn(lang, F.lit(None).cast("string")), lang).select(fence.alias("top")).first()
-    overall = F.lit(whole["top"] if whole else None).cast("double")
-    limits = quartiles(held, lang).select("_lang", F.when(F.col("_texts") < ENOUGH, F.greatest(fence, overall))
-                                          .otherwise(fence).alias("_top"))
-    columns = [c for c in scored.columns if c != "log_perplexity"]
-    top = F.coalesce("_top", overall)
+    columns = _others(docs.columns if keep is None else keep, ("n_bytes", "perplexity", "threshold", "keep"))
+    half = F.pmod(F.xxhash64(text), F.lit(2))
+    trusted = saved(trusted.filter(F.length(text) > 0).select(F.col(text).alias("_text"), F.col(lang).alias("_lang"),
+                                                              half.cast("int").alias("_half")), "trusted")
+    counts = count_grams(trusted, "_text", ORDER, 2, F.col("_half"))
+    counts = counts.select("gram", (F.col("n0") + F.col("n1")).alias("n0"), F.col("n0").alias("n1"), F.col("n1").alias("n2"))
+    rows = docs.select(F.lit(0).alias("_model"), F.col(text).alias("_text"), F.col(lang).alias("_lang"), *_carried(columns))
+    other = F.when(F.col("_half") == 0, 2).otherwise(1)  # the model of the half that a text is not in
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields[3:]]
+    every = rows.union(trusted.select(other.alias("_model"), "_text", "_lang", *blank))
+    done = saved(_scored(every, counts, ORDER), "perplexity")
+    limits, overall = thresholds(done.filter("_model > 0").select("_lang", "log_perplexity"), "_lang")
+    limits = F.broadcast(limits) if limits.count() <= MANY else limits
+    scored = done.filter("_model = 0").withColumnRenamed("_lang", "_own")
+    top = F.coalesce("_top", F.lit(overall).cast("double"))
     stays = F.col("log_perplexity").isNotNull() & (top.isNull() | (F.col("log_perplexity") <= top))
-    return (scored.join(limits, F.col(lang).eqNullSafe(F.col("_lang")), "left")
-            .select(*columns, F.exp("log_perplexity").alias("perplexity"), F.exp(top).alias("threshold"),
-                    F.coalesce(stays, F.lit(False)).alias("keep")))
+    return (scored.join(limits, F.col("_own").eqNullSafe(F.col("_lang")), "left")
+            .select(*_named(columns), F.col("_n").alias("n_bytes"), F.exp("log_perplexity").alias("perplexity"),
+                    F.exp(top).alias("threshold"), F.coalesce(stays, F.lit(False)).alias("keep")))

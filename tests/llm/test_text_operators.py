@@ -299,6 +299,52 @@ def test_junk_does_not_move_the_threshold(spark, make, junk):
     assert sum(r["keep"] for r in got if r["doc_id"] < 100) >= 78
 
 
+def test_halves_are_judged_by_each_other(spark, make):
+    """Each model of one pass against plain models, and the thresholds against plain quartiles."""
+    rng = random.Random(12)
+    good = ["".join(rng.choice("ab cd") for _ in range(rng.randint(4, 30))) for _ in range(12)]
+    half = [r[0] for r in spark.createDataFrame([(t,) for t in good], "t string").selectExpr("pmod(xxhash64(t), 2)").collect()]
+    assert 0 < sum(half) < len(half)
+    parts = [good, [t for t, h in zip(good, half) if h == 0], [t for t, h in zip(good, half) if h == 1]]
+    rows = spark.createDataFrame([(m, t, i) for m in range(3) for i, t in enumerate(good)], "_model int, _text string, _k0 int")
+    halves = spark.createDataFrame(list(zip(good, half)), "t string, h int")
+    counts = quality_lm.count_grams(halves, "t", 3, 2, quality_lm.F.col("h"))
+    counts = counts.selectExpr("gram", "n0 + n1 as n0", "n0 as n1", "n1 as n2")
+    got = {(r["_model"], r["_k0"]): r["log_perplexity"] for r in quality_lm._scored(rows, counts, 3).collect()}
+    for m in range(3):
+        assert [got[m, i] for i in range(len(good))] == pytest.approx(brute_logs(parts[m], good, 3), abs=1e-6)
+
+
+def test_thresholds_against_plain(spark):
+    rng = random.Random(13)
+    held = [(lang, round(rng.uniform(lo, lo + 1), 9)) for lang, lo, n in (("en", 1, 300), ("de", 2, 9), ("fr", 3, 1), (None, 1, 5))
+            for _ in range(n)] + [("en", None)]
+
+    def quarters(values):
+        values = sorted(-(-v * 1000 // 1) / 1000 for v in values)
+        return [next(v for i, v in enumerate(values, 1) if i / len(values) >= q) for q in (0.25, 0.75)]
+
+    low, high = quarters([v for _, v in held if v is not None])
+    limits, overall = quality_lm.thresholds(spark.createDataFrame(held, "lang string, log_perplexity double"))
+    assert overall == pytest.approx(high + 3 * (high - low))
+    got = {r["_lang"]: r["_top"] for r in limits.collect()}
+    assert set(got) == {"en", "de", "fr", None}
+    for lang, top in got.items():
+        own = [v for g, v in held if g == lang and v is not None]
+        a, b = quarters(own)
+        w = 8 / (len(own) + 8)
+        assert top == pytest.approx(b + max(high - b, 0) * w + 3 * (b - a + max(high - low - (b - a), 0) * w))
+    assert quality_lm.thresholds(spark.createDataFrame([], "lang string, log_perplexity double"))[1] is None
+
+
+def test_columns_named_like_results_give_way(spark, make):
+    docs = make([(1, "the cat", "en", None), (1, "the cat", "en", None), (2, None, "en", None)])
+    docs = docs.withColumn("keep", docs.doc_id).withColumn("Perplexity", docs.doc_id).withColumn("_text", docs.doc_id)
+    got = quality_lm.judge(docs, make([(1, "the cat sat", "en", None)]))
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "_text", "n_bytes", "perplexity", "threshold", "keep"]
+    assert [(r["doc_id"], r["_text"], r["n_bytes"]) for r in got.orderBy("doc_id").collect()] == [(1, 1, 7), (1, 1, 7), (2, 2, 0)]
+
+
 def test_steps_cover_all():
     texts = ["a" * n for n in (0, 5, 3, 30, 0, 1)]
     assert [i for a, b in steps(texts, 8) for i in range(a, b)] == list(range(6)) and list(steps([])) == []
