@@ -18,7 +18,9 @@ from mailprep.sources.snapshot import read_snapshot, write_snapshot
 def found(rows: DataFrame, args: argparse.Namespace) -> DataFrame:
     """What the explore job writes."""
     rows = E.explore(rows, args.query, args.regex, args.literal, args.max_chars, args.type, args.language, args.priority,
-                     body=X.CLEAN_BODY)
+                     body=args.body)
+    if args.spans:
+        return E.match_spans(rows, args.key, args.query, args.regex, args.body)
     if args.facets:
         return E.facet_counts(rows)
     if args.page:
@@ -26,7 +28,7 @@ def found(rows: DataFrame, args: argparse.Namespace) -> DataFrame:
     return E.record_at(rows, args.key, args.record) if args.record else rows
 
 
-def main() -> None:
+def parsed(given: list[str] | None = None) -> argparse.Namespace:
     top = argparse.ArgumentParser(prog="mailprep")
     sub = top.add_subparsers(dest="job", required=True)
     job = sub.add_parser("prepare", help="delimited mails and case data to a cleaned snapshot")
@@ -57,19 +59,27 @@ def main() -> None:
     job.add_argument("--query", default="")
     job.add_argument("--regex", action="store_true")
     job.add_argument("--literal", action="store_true")
+    job.add_argument("--body", default=X.BODY, choices=[X.BODY, X.CLEAN_BODY], help="searched text: the original or the cleaned one")
     job.add_argument("--max-chars")
     job.add_argument("--type", default=E.ALL, help="complaint type, or <Missing>")
     job.add_argument("--language", default=E.ALL)
     job.add_argument("--priority", default=E.ALL)
     what = job.add_mutually_exclusive_group()
     what.add_argument("--facets", action="store_true", help="counts per type, language and priority instead of rows")
+    what.add_argument("--spans", action="store_true", help="places of the hits: key, start and end in characters")
     what.add_argument("--page", type=int, help="so many rows in key order")
     what.add_argument("--record", type=int, help="the row at this position")
-    job.add_argument("--key", help="unique mail column for pages and records")
+    job.add_argument("--key", help="unique mail column for pages, records and spans")
     job.add_argument("--after", help="the page after this key")
     job.add_argument("--before", help="the page before this key")
-    args = top.parse_args()
+    args = top.parse_args(given)
+    if args.job == "explore" and args.key is None and (args.spans or args.page or args.record):
+        top.error("--spans, --page and --record need a --key")
+    return args
+
 
+def main() -> None:
+    args = parsed()
     spark = SparkSession.builder.appName(f"mailprep {args.job}").getOrCreate()
     if args.job == "prepare":
         model = read_snapshot(spark, args.languages) if args.languages else None

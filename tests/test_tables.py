@@ -8,6 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from mailprep import __main__ as command
 from mailprep import fixed as X
 from mailprep.operators import dataset as D
 from mailprep.operators import explore as E
@@ -495,3 +496,21 @@ def test_training(spark):
     assert scored.filter("NOT Correct").count() == 0 and M.errors(scored).count() == 0
     three = df.withColumn("label", F.col("k") % 3)
     assert M.score(M.train_classifier(three, 3, max_iter=2), three).select("PredictedLabel").distinct().count() <= 3
+
+
+def test_explore_command_searches_the_original_and_tells_places(spark):
+    rows = spark.createDataFrame([("a", "Header invoice\nan INVOICE", "an INVOICE", "x", "en", "English", "High"),
+                                  ("b", "invoice", "", "x", "en", "English", "Low"), ("c", None, None, "x", "en", "English", "Low")],
+                                 f"MailId string, {X.BODY} string, {X.CLEAN_BODY} string, {X.COMPLAINT_TYPE} string, "
+                                 "Language string, LangName string, Priority string")
+
+    def got(*given):
+        return command.found(rows, command.parsed(["explore", "in", "out", "--key", "MailId", "--query", "invoice", *given])).collect()
+
+    assert sorted(r["MailId"] for r in got()) == ["a", "b"]
+    assert [r["MailId"] for r in got("--body", X.CLEAN_BODY)] == ["a"]
+    assert sorted(tuple(r) for r in got("--spans")) == [("a", 7, 14), ("a", 18, 25), ("b", 0, 7)]
+    assert [tuple(r) for r in got("--spans", "--body", X.CLEAN_BODY)] == [("a", 3, 10)]
+    assert got("--spans", "--priority", "None") == []
+    with pytest.raises(SystemExit):
+        command.parsed(["explore", "in", "out", "--spans"])
