@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailprep.llm.common import filled
+from mailprep.llm.common import filled, steps
 from mailprep.session import saved
 
 CHUNK = 1 << 15    # characters of a chunk
@@ -53,8 +53,10 @@ def _digests(name: str, ranks_file: str, pattern: str):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoding(ranks_file, pattern)
         for f in frames:
-            ids = [np.asarray(enc.encode_ordinary(t), "<u4").tobytes() for t in filled(f[name])]
-            yield f.drop(columns=[name]).assign(ids=ids)
+            texts, rest = filled(f[name]), f.drop(columns=[name])
+            for a, b in steps(texts):
+                ids = [np.asarray(enc.encode_ordinary(t), "<u4").tobytes() for t in texts[a:b]]
+                yield rest.iloc[a:b].assign(ids=ids)
     return run
 
 
@@ -136,7 +138,8 @@ def decode(encoded: DataFrame, ranks_file: str, pattern: str, key: str = "doc_id
         enc = encoding(ranks_file, pattern)
         for f in frames:
             ids = [b"" if x is None else x for x in f["ids"]]
-            yield f.assign(bytes=[enc.decode_bytes(np.frombuffer(x, "<u4").tolist()) for x in ids])
+            for a, b in steps(ids):
+                yield f.iloc[a:b].assign(bytes=[enc.decode_bytes(np.frombuffer(x, "<u4").tolist()) for x in ids[a:b]])
 
     kind = encoded.schema[key].dataType.simpleString()
     return encoded.select(key, "ids").mapInPandas(run, f"`{key}` {kind}, ids binary, bytes binary")

@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def steps(texts: list, limit: int = CHARS_PER_STEP) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts that hold up to ``limit`` characters together, or one text."""
+    """Ranges of consecutive texts (or byte strings) that hold up to ``limit`` characters together, or one text."""
     start, size = 0, 0
     for i, t in enumerate(texts):
         n = len(t)
