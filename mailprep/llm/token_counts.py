@@ -16,6 +16,10 @@ from mailprep.llm.common import filled
 MARK = "▁"       # stands before every word, as in the vocabulary
 SCALE = 1 << 10       # scores are whole numbers, so equal paths compare equal
 UNKNOWN = 64 * SCALE  # what a byte of a character that is no piece costs
+LONG = 1 << 12        # words of more characters are walked in parts
+PART = 1 << 10        # characters of such a part
+PARTS = 1 << 8        # parts that are walked side by side
+NEVER = 1 << 60       # the cost of what can't be
 
 
 class Vocabulary:
@@ -116,11 +120,81 @@ def counts(words: list[str], vocab: Vocabulary) -> np.ndarray:
     return out
 
 
+def _ending(codes: np.ndarray, vocab: Vocabulary, longest: int, shift: int) -> np.ndarray:
+    """Per place after a character, what the pieces of length 1, 2, ... that end there cost, with their tokens below."""
+    n = len(codes)
+    out = np.full((n + 1, longest), NEVER, "i8")
+    n_bytes = 1 + (codes > 0x7F).astype("i8") + (codes > 0x7FF) + (codes > 0xFFFF)
+    out[1:, 0] = (UNKNOWN * n_bytes << shift) + n_bytes
+    start, state = np.arange(n), np.zeros(n, "i8")
+    for size in range(1, longest + 1):
+        inside = start + size <= n
+        start, state = start[inside], state[inside]
+        state = vocab.move(state, codes[start + size - 1])
+        start, state = start[state > 0], state[state > 0]
+        ends = vocab.cost[state] > 0
+        at = start[ends] + size
+        out[at, size - 1] = np.minimum(out[at, size - 1], (vocab.cost[state[ends]] << shift) + 1)
+    return out
+
+
+def count_long(word: str, vocab: Vocabulary, part: int = PART, parts: int = PARTS) -> int:
+    """Tokens of the cheapest path through one word of any length; the same as ``counts`` gives.
+
+    The word is cut into parts of equal length. A path enters a part less than a piece's length after its start, so
+    forward scores are computed from each such entry to each entry of the next part, for many parts side by side.
+    These few numbers per part are then added up along the word.
+    """
+    codes = np.frombuffer(word.encode("utf-32-le"), "<u4")
+    longest = max(1, vocab.longest)
+    part = max(part, longest)
+    shift = int(4 * (part + longest)).bit_length()  # a character has up to four tokens
+    cost, tokens = np.full(longest, NEVER, "i8"), np.zeros(longest, "i8")
+    cost[0] = 0
+    steps_of_part = part + longest  # places of a part and the entries of the next one
+    for begin in range(0, len(codes), part * parts):
+        inside = codes[begin:begin + part * parts + longest].astype("i8")
+        ending = _ending(inside, vocab, longest, shift)
+        n = -(-(min(len(codes) - begin, part * parts)) // part)
+        filler = np.full((max(0, n * part + longest - len(ending)), longest), NEVER, "i8")
+        ending = np.concatenate([ending, filler])
+        starts = part * np.arange(n)
+        score = np.full((n, longest, longest + steps_of_part), NEVER, "i8")  # part, entry, place after so many before
+        score[:, np.arange(longest), longest + np.arange(longest)] = 0
+        for place in range(1, steps_of_part):
+            reach = longest - max(0, place - part)  # from the next part's start on, only what begins before it
+            low = longest + place - longest
+            before = score[:, :, low:low + reach]
+            price = ending[starts + place][:, ::-1][:, :reach]
+            best = (before + price[:, None, :]).min(axis=2)
+            score[:, :, longest + place] = np.minimum(score[:, :, longest + place], best)
+        for i in range(n):
+            left = len(codes) - begin - i * part
+            exits = score[i][:, longest + part:] if left > part else score[i][:, longest + left:longest + left + 1]
+            through = np.where(exits < NEVER, exits >> shift, NEVER)
+            total = np.minimum(cost[:, None] + through, NEVER)
+            cost = total.min(axis=0)
+            all_tokens = tokens[:, None] + (exits & ((1 << shift) - 1))
+            tokens = np.where(total == cost, all_tokens, NEVER).min(axis=0)
+    return int(tokens[0])
+
+
+def word_counts(words: list[str], vocab: Vocabulary) -> np.ndarray:
+    """Tokens of distinct, non-empty words: long ones in parts, all others along their trie."""
+    sizes = np.array([len(w) for w in words], "i8")
+    out = np.zeros(len(words), "i8")
+    usual = np.flatnonzero(sizes <= LONG)
+    out[usual] = counts([words[i] for i in usual], vocab)
+    for i in np.flatnonzero(sizes > LONG):
+        out[i] = count_long(words[i], vocab)
+    return out
+
+
 def count_tokens(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_words, n_tokens) of every row: pieces of the cheapest segmentation of each word, with its mark.
 
     Words are `[^\\x20\\x09-\\x0D]+` of the whole text. Each batch of rows counts its distinct words once; nothing is
-    shuffled. Null and empty texts have no words. Repeated rows each give a row.
+    shuffled. Null and empty texts have no words. Repeated rows each give a row. A word may have any length.
     """
     kind = docs.schema[key].dataType.simpleString()
 
@@ -130,7 +204,7 @@ def count_tokens(docs: DataFrame, model_file: str, key: str = "doc_id", text: st
             texts = [t.encode().split() for t in filled(f["_text"])]
             place: dict[bytes, int] = {}
             used = np.fromiter((place.setdefault(w, len(place)) for t in texts for w in t), "i8")
-            each = counts([MARK + w.decode() for w in place], vocab)
+            each = word_counts([MARK + w.decode() for w in place], vocab)
             n = np.array([len(t) for t in texts], "i8")
             total = np.concatenate([[0], np.cumsum(each[used])]) if len(used) else np.zeros(1, "i8")
             ends = np.cumsum(n)
