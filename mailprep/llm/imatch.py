@@ -10,6 +10,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mailprep.llm.common import filled
 
@@ -115,19 +116,26 @@ def _in_order(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int | No
     first row of the next one; the last ends with a copy of the very first row. Nulls come first."""
     spark = docs.sparkSession
     n = PARTS_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    cuts = rows.agg(F.percentile_approx("key", [i / n for i in range(1, n)], 10000)).first()[0] or []
+    whole = isinstance(docs.schema[key].dataType, T.IntegralType)
+    rows = docs.select((F.col(key).cast("long") if whole else F.col(key)).alias("key"),
+                       F.coalesce(F.col(text), F.lit("")).alias("text"))
+    kind = rows.schema["key"].dataType
+    if whole:
+        cuts = rows.agg(F.percentile_approx("key", [i / n for i in range(1, n)], 10000)).first()[0] or []
+    else:  # any ordered key: the least one of each range that the engine would make
+        ranges = rows.select("key").filter("key is not null").repartitionByRange(n, "key")
+        cuts = [r["least"] for r in ranges.groupBy(F.spark_partition_id()).agg(F.min("key").alias("least")).collect()]
     cuts = sorted(set(cuts))
     # the number of cuts that a key lies above
     part = F.lit(0)
     if cuts:
-        array = F.array(*map(F.lit, cuts))
+        array = F.array(*[F.lit(c).cast(kind) for c in cuts])
         part = F.coalesce(F.size(F.filter(array, lambda c: c < F.col("key"))), F.lit(0))
     rows = rows.withColumn("part", part)
     firsts = {r["part"]: r["first"] for r in
-              rows.groupBy("part").agg(F.min_by("key", F.coalesce("key", F.lit(-(1 << 63)))).alias("first")).collect()}
+              rows.groupBy("part").agg(F.min(F.struct("key"))["key"].alias("first")).collect()}
     parts = sorted(firsts)
-    copies = [F.when((F.col("part") == p) & F.col("key").eqNullSafe(F.lit(firsts[p]).cast("long")), F.lit(q))
+    copies = [F.when((F.col("part") == p) & F.col("key").eqNullSafe(F.lit(firsts[p]).cast(kind)), F.lit(q))
               for p, q in zip(parts, [parts[-1]] + parts[:-1])] if parts else []
     to = F.coalesce(*copies) if copies else F.lit(None).cast("int")
     out = rows.select("key", "text", F.inline(F.array(F.struct(F.col("part"), F.lit(False).alias("extra")),
@@ -141,7 +149,7 @@ def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     Returns (key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next). Documents follow
     each other by key, null first, equal keys by text. One shuffle sends the texts to ranges of keys; a range also gets
     the first row of the next. A lone document follows itself. Null text is empty; all empty texts share a
-    fingerprint. An empty table gives an empty result.
+    fingerprint. An empty table gives an empty result. The key has any ordered type; whole numbers come back as long.
     """
     words = lexicon(docs, text)
     shared = docs.sparkSession.sparkContext.broadcast(words)
@@ -160,10 +168,12 @@ def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
                     last = None if extra else (part, k, t, after)
                 else:
                     last = None if extra else (part, k, t, tool.of(t))
-            yield pd.DataFrame(out, columns=["key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                                             "near_edited", "near_next"]).astype({"key": "Int64"})
+            done = pd.DataFrame(out, columns=["key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                                              "near_edited", "near_next"])
+            yield done.astype({"key": "Int64"}) if kind == "bigint" else done
 
-    schema = ("key long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    kind = rows.schema["key"].dataType.simpleString()
+    schema = (f"key {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
               "near_edited double, near_next double")
     done = (rows.repartition(n, "part").sortWithinPartitions("part", "extra", F.asc_nulls_first("key"), "text")
             .mapInPandas(run, schema))

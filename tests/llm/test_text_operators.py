@@ -2,12 +2,15 @@
 
 import hashlib
 import random
+import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import xxhash
 from tokenizers import Tokenizer
 from tokenizers.models import Unigram
 
@@ -157,6 +160,27 @@ def test_counts_by_brute_force():
     assert len(token_counts.counts([], vocab)) == 0
 
 
+@pytest.mark.parametrize("part, parts", [(1, 2), (7, 3), (64, 256)])
+def test_long_words_in_parts(part, parts):
+    rng = random.Random(part)
+    pieces = ["▁a", "a", "b", "ab", "▁", "bc", "c", "abc", "▁ab", "ddd", "dddd"]
+    for vocab in (token_counts.Vocabulary(pieces), token_counts.Vocabulary([])):
+        words = list({"▁" + "".join(rng.choice("abcdé𝄞") for _ in range(rng.randint(0, 200))) for _ in range(40)})
+        want = token_counts.counts(words, vocab)
+        assert [token_counts.count_long(w, vocab, part, parts) for w in words] == list(want)
+
+
+def test_a_word_of_a_million_characters():
+    vocab = token_counts.vocabulary(public_tokenizers.path(queries.PIECES))
+    rng = random.Random(1)
+    word = "▁" + "".join(rng.choice("etaoinshrdlu0123é") for _ in range(10 ** 6))
+    begin = time.monotonic()
+    n = token_counts.count_long(word, vocab)
+    assert time.monotonic() - begin < 30 and 10 ** 5 < n < 10 ** 6
+    head = word[:token_counts.LONG]
+    assert token_counts.count_long(head, vocab) == token_counts.counts([head], vocab)[0]
+
+
 def test_token_counts_of_documents(spark, make):
     docs = make([(1, "a b a"), (1, "a b a"), (2, None), (3, " \n"), (None, "a"), (4, "x" * 3000)])
     got = all_rows(token_counts.count_tokens(docs, public_tokenizers.path(queries.PIECES)))
@@ -224,6 +248,62 @@ def test_fingerprint_order_and_edges(spark, make):
     assert imatch.fingerprint(make([])).collect() == []
 
 
+def test_fingerprints_of_any_key(spark):
+    rows = [("b", "second text"), ("a", "first text"), (None, "no key"), ("ab", None), ("b", "a tie")]
+    got = imatch.fingerprint(spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id string, text string, key int, part int"))
+    order = [(None, "no key"), ("a", "first text"), ("ab", ""), ("b", "a tie"), ("b", "second text")]
+    want = []
+    for (k, t), (_, n) in zip(order, order[1:] + order[:1]):
+        want.append((k, len(t), hashlib.sha256((t[:len(t) - len(t) // 2] + n[:len(t) // 2]).encode()).hexdigest()))
+    assert sorted((tuple(r)[:3] for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def plain_fingerprint(text, lexicon):
+    """Word by word in whole numbers, one subset at a time."""
+    top, out = 2 ** 64, []
+    terms = sorted(xxhash.xxh64_intdigest(w) for w in set(text.lower().encode().split()))
+    terms = [t for t in terms if t in lexicon] or terms
+    subset = 0
+    for share in imatch.SHARES:
+        for _ in range(imatch.PER_SHARE):
+            subset += 1
+            total = before = 0
+            for t in terms:
+                drawn = (t ^ subset) * 0x9E3779B97F4A7C15 % top
+                drawn = (drawn ^ drawn >> 32) * 0xD6E8FEB86659FD93 % top
+                if drawn >> 64 - share:
+                    continue
+                before += 1
+                turned = t * (2 * before + 1) % top
+                total += turned ^ turned >> 29
+            out.append(total % top)
+    return out
+
+
+def test_fingerprints_against_plain(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    seen = Counter(w for t in texts.values() for w in set(t.lower().encode().split()))
+    low, high = max(2, imatch.MIN_SHARE * len(texts)), imatch.MAX_SHARE * len(texts)
+    lexicon = {xxhash.xxh64_intdigest(w) for w, n in seen.items() if low <= n <= high}
+    assert set(imatch.lexicon(docs).tolist()) == lexicon
+    got = {r["doc_id"]: r for r in imatch.fingerprint(docs).collect()}
+    order = sorted(texts)
+    for i in range(0, len(order), max(1, len(order) // 60)):
+        k, n = order[i], order[(i + 1) % len(order)]
+        changed = texts[k][:len(texts[k]) - len(texts[k]) // 2] + texts[n][:len(texts[k]) // 2]
+        own, other, after = (plain_fingerprint(t, lexicon) for t in (texts[k], changed, texts[n]))
+        unpacked = lambda c: [int.from_bytes(b, "little") for b in (bytes.fromhex(got[k][c])[j:j + 8] for j in range(0, 704, 8))]
+        assert unpacked("fingerprint") == own and unpacked("edited_fingerprint") == other
+        for column, b in (("near_edited", other), ("near_next", after)):
+            scores = []
+            for share in [range(88), *(range(8 * s, 8 * s + 8) for s in range(11))]:
+                said = [j for j in share if own[j] or b[j]]
+                if said and (len(said) >= imatch.LEAST_SEEN or len(share) == 88):
+                    scores.append(sum(own[j] == b[j] for j in said) / len(said))
+            assert abs(got[k][column] - (max(scores) if scores else 1.0)) < 1e-12
+
+
 # --- perplexity ---------------------------------------------------------------------------------------------
 
 def brute_logs(trusted, texts, order):
