@@ -12,20 +12,38 @@ from mailprep.operators.language import language_model
 from mailprep.operators.profile import profile
 from mailprep.plans import prepare as A
 from mailprep.plans import train as B
-from mailprep.sources.snapshot import read_snapshot, write_snapshot
+from mailprep.session import saved
+from mailprep.sources import search_index
+from mailprep.sources.snapshot import read_order, read_snapshot, record_of, write_ordered, write_snapshot
 
+DETAILS = (X.COMPLAINT_TYPE, X.COMPLAINT, "Language", "LangName", "Priority")
 
-def found(rows: DataFrame, args: argparse.Namespace) -> DataFrame:
+
+def record(rows: DataFrame, args: argparse.Namespace, order: DataFrame | None, filtered: bool) -> DataFrame:
+    """Record k of N: its position, its details, the original and the cleaned text. In an ordered snapshot one file is
+    read for it, after the filtered rows of each file were counted."""
+    if order is None:
+        found = E.record_at(rows, args.key, args.record)
+    else:
+        found = record_of(rows, args.key, args.record, None if filtered else order)
+    return found.select("position", "total", args.key,
+                        *[c for c in (*DETAILS, X.BODY, X.CLEAN_BODY) if c in found.columns and c != args.key])
+
+
+def found(rows: DataFrame, args: argparse.Namespace, order: DataFrame | None = None, index: DataFrame | None = None) -> DataFrame:
     """What the explore job writes."""
-    rows = E.explore(rows, args.query, args.regex, args.literal, args.max_chars, args.type, args.language, args.priority,
-                     body=args.body)
+    plain = E.explore(rows, "", False, False, args.max_chars, args.type, args.language, args.priority, body=args.body)
+    rows = search_index.search(plain, index, args.query, args.regex, args.literal, args.body)
     if args.spans:
         return E.match_spans(rows, args.key, args.query, args.regex, args.body)
     if args.facets:
         return E.facet_counts(rows)
     if args.page:
         return E.page(rows, args.key, args.page, args.after, args.before)
-    return E.record_at(rows, args.key, args.record) if args.record else rows
+    if args.record:
+        all_rows = args.query.strip() == "" and not args.max_chars and {args.type, args.language, args.priority} == {E.ALL}
+        return record(rows, args, order, not all_rows)
+    return rows
 
 
 def parsed(given: list[str] | None = None) -> argparse.Namespace:
@@ -37,6 +55,9 @@ def parsed(given: list[str] | None = None) -> argparse.Namespace:
     job.add_argument("out")
     job.add_argument("--key", help="unique mail column to carry along for training")
     job.add_argument("--languages", help="saved language model table")
+    job.add_argument("--train-on", help="labelled texts (text, lang) to make a language model of, if none is saved")
+    job.add_argument("--empty-columns", help="folder for the report of columns without a value")
+    job.add_argument("--ordered", action="store_true", help="write the snapshot in key order, with a filter of trigrams per file")
     job.add_argument("--single-line", action="store_true", help="no field holds a line feed: split large files")
     job.add_argument("--first", type=int, help="only the first mails, in key order if there is a key")
     job.add_argument("--pick", type=int, help="only the mail at this place (from 0) in key order")
@@ -73,6 +94,8 @@ def parsed(given: list[str] | None = None) -> argparse.Namespace:
     job.add_argument("--after", help="the page after this key")
     job.add_argument("--before", help="the page before this key")
     args = top.parse_args(given)
+    if args.job == "prepare" and args.ordered and args.key is None:
+        top.error("--ordered needs a --key")
     if args.job == "explore" and args.key is None and (args.spans or args.page or args.record):
         top.error("--spans, --page and --record need a --key")
     return args
@@ -83,16 +106,25 @@ def main() -> None:
     spark = SparkSession.builder.appName(f"mailprep {args.job}").getOrCreate()
     if args.job == "prepare":
         model = read_snapshot(spark, args.languages) if args.languages else None
+        if model is None and args.train_on:
+            model = saved(language_model(read_snapshot(spark, args.train_on), "text", "lang"), "languages")
         table = A.prepare_files(spark, args.mails, args.meta, model, keep=(args.key,) if args.key else (),
-                                multi_line=not args.single_line, first=args.first, pick=args.pick)
-        if table is not None:
+                                multi_line=not args.single_line, first=args.first, pick=args.pick,
+                                empty_columns=args.empty_columns)
+        if table is not None and args.ordered:
+            write_ordered(table, args.out, args.key)
+            for column in (X.BODY, X.CLEAN_BODY):
+                search_index.write_index(spark, args.out, column)
+        elif table is not None:
             write_snapshot(table, args.out)
     elif args.job == "profile":
         write_snapshot(profile(read_snapshot(spark, args.snapshot)), args.out)
     elif args.job == "train-languages":
         write_snapshot(language_model(read_snapshot(spark, args.texts), args.text, args.lang), args.out)
     elif args.job == "explore":
-        write_snapshot(found(read_snapshot(spark, args.snapshot), args), args.out)
+        rows = found(read_snapshot(spark, args.snapshot), args, read_order(spark, args.snapshot),
+                     search_index.read_index(spark, args.snapshot, args.body))
+        write_snapshot(rows, args.out)
     else:
         train = B.train_complaints if args.job == "train-complaints" else B.train_complaint_types
         train(read_snapshot(spark, args.snapshot), args.key, args.out)

@@ -462,6 +462,7 @@ FROM ({long_table('labelled', LABELLED_COLUMNS)}) WHERE v IS NOT NULL GROUP BY 1
     "f1_search_regex": on_mails(f"SELECT id, body FROM mails WHERE regexp_matches(coalesce(body, 'nan'), {q(FOUND)})"),
     "f1_search_regex_named_group": on_mails("SELECT id FROM mails WHERE regexp_matches(coalesce(body, 'nan'), '(?i)(?:anan|enen|inin|onon|unun)\\z|the of')"),
     "f2_search_text": on_mails("SELECT id, body FROM mails WHERE regexp_matches(body, '(?i)exampl..com')"),
+    "f2_search_indexed": on_mails("SELECT id, body FROM mails WHERE regexp_matches(body, '(?i)exampl..com')"),
     "f2_search_text_literal": on_mails("SELECT id, body FROM mails WHERE contains(lower(body), 'example.com')"),
     "f3_max_length": with_clean("SELECT k AS id, x AS clean FROM clean WHERE length(x) <= 800"),
     "f4_filter_complaint_type": labelled("SELECT id, complaint_type FROM labelled WHERE complaint_type = 'Packaging'"),
@@ -478,6 +479,8 @@ SELECT 'priority', priority, NULL, count(*) FROM labelled WHERE regexp_matches(b
     "f9_page": labelled('SELECT id, body, "Language" FROM labelled WHERE "Language" = \'de\' AND id > 100 ORDER BY id LIMIT 20'),
     "f9_page_before": labelled('SELECT id, body, "Language" FROM labelled WHERE "Language" = \'de\' AND id < 180 ORDER BY id DESC LIMIT 20'),
     "f9_record_at": labelled("""SELECT id, body, "Language", position, total FROM (SELECT *, row_number() OVER (ORDER BY id) AS position,
+ count(*) OVER () AS total FROM labelled WHERE "Language" = 'es') WHERE position = 17"""),
+    "f9_record_at_ordered": labelled("""SELECT id, body, "Language", position, total FROM (SELECT *, row_number() OVER (ORDER BY id) AS position,
  count(*) OVER () AS total FROM labelled WHERE "Language" = 'es') WHERE position = 17"""),
     "f10_match_spans": spans(SPAN_RE2),
     "f9_record_at_text_key": labelled("""SELECT key, id, position, total FROM (SELECT md5(CAST(id AS VARCHAR)) AS key, id,

@@ -20,7 +20,7 @@ from mailprep.plans import prepare as A
 from mailprep.plans import train as B
 from mailprep.plans.views import case_file, case_meta, mail_file, mails, table
 from mailprep.session import new_path, saved, spread
-from mailprep.sources import delimited, encoding, reports, snapshot
+from mailprep.sources import delimited, encoding, reports, search_index, snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {}
 SEARCH = "wi[a-z]+ the|price"
 SPAN = "[aeiou]n|x*"
 FILE_ROWS = 10_000  # texts in one file of the encoding census
+RECORD_ROWS = 2_000  # mails in one file of an ordered snapshot: a screen or two of texts
 
 
 def query(fn: Query) -> Query:
@@ -430,6 +431,15 @@ def f2_search_text_literal(spark, sf):
     return E.search_text(mails(spark, sf, wide=True).select("id", "body"), "Example.COM", literal=True, column="body")
 
 
+@query
+def f2_search_indexed(spark, sf):
+    """The same with a filter of trigrams per file."""
+    path = new_path(spark, "indexed")
+    snapshot.write_ordered(mails(spark, sf, wide=True).select("id", "body"), path, "id", RECORD_ROWS)
+    search_index.write_index(spark, path, "body")
+    return search_index.search(snapshot.read_snapshot(spark, path), search_index.read_index(spark, path, "body"), "exampl..com", column="body")
+
+
 @query
 def f3_max_length(spark, sf):
     return E.max_length(clean_mails(spark, sf), "800", "clean").select("id", "clean")
@@ -493,6 +503,14 @@ def f9_record_at(spark, sf):
     return E.record_at(rows, "id", 17)
 
 
+@query
+def f9_record_at_ordered(spark, sf):
+    """The same by the counts of the files of a snapshot in key order."""
+    path = new_path(spark, "ordered")
+    snapshot.write_ordered(labelled(spark, sf).select("id", "body", "Language"), path, "id", RECORD_ROWS)
+    return snapshot.record_of(E.filter_language(snapshot.read_snapshot(spark, path), "es"), "id", 17)
+
+
 @query
 def f10_match_spans(spark, sf):
     return E.match_spans(mails(spark, sf, wide=True), "id", SPAN, regex=True, column="body")

@@ -20,7 +20,8 @@ from mailprep.plans import queries
 from mailprep.plans import train as B
 from mailprep.plans import views as V
 from mailprep.session import broadcast_if_small, saved, shared_dir, spread
-from mailprep.sources import delimited, encoding, reports, snapshot
+from mailprep import __main__ as command
+from mailprep.sources import delimited, encoding, reports, search_index, snapshot
 from mailprep.streaming import clean_stream
 from tests.conftest import SF_DIR
 
@@ -197,6 +198,112 @@ def test_reports(spark, tmp_path):
     assert rows(spark.read.csv(str(tmp_path / "l"), header=True)) == [("en",)]
 
 
+# --- snapshots in order and the index of searches -----------------------------------------------------------------
+
+def files_read(df):
+    """How many files the scan of a query opened; the query is run for it."""
+    nodes = [df._jdf.queryExecution().executedPlan()]
+    df._jdf.queryExecution().executedPlan().executeCollect()
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            nodes.append(node.executedPlan())
+        metric = node.metrics().get("numFiles")
+        if metric.isDefined():
+            return metric.get().value()
+        if node.nodeName().endswith("QueryStage"):
+            nodes.append(node.plan())
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+
+
+@pytest.fixture(scope="module")
+def ordered(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("ordered") / "s")
+    df = spark.range(1000).select(F.when(F.col("id") > 0, F.concat(F.lit("k"), F.lpad(F.col("id").cast("string"), 4, "0"))).alias("key"),
+                                  F.concat(F.lit("mail about order no. "), "id", F.lit(" x")).alias("body"), (F.col("id") % 3).alias("third"))
+    snapshot.write_ordered(df.repartition(5, "third"), path, "key", 40)
+    search_index.write_index(spark, path, "body")
+    return path
+
+
+def test_records_of_an_ordered_snapshot(spark, ordered):
+    df, places = snapshot.read_snapshot(spark, ordered), snapshot.read_order(spark, ordered)
+    assert df.count() == 1000 and places.count() >= 25 and places.agg(F.max("rows")).first()[0] <= 40
+    for k in (1, 2, 40, 41, 517, 1000):
+        got = snapshot.record_of(df, "key", k, places)
+        assert got.first()["key"] == (None if k == 1 else f"k{k - 1:04}") and tuple(got.first())[-2:] == (k, 1000)
+        assert files_read(got) == 1
+    some = df.filter("third = 1")
+    for k in (1, 100, 333):
+        got = snapshot.record_of(some, "key", k)
+        assert got.first() == E.record_at(some, "key", k).first() and files_read(got) == 1
+    for k in (0, 1001):
+        with pytest.raises(ValueError):
+            snapshot.record_of(df, "key", k, places)
+    with pytest.raises(ValueError):
+        snapshot.record_of(df.filter("third = 9"), "key", 1)
+
+
+@pytest.mark.parametrize("query, regex, literal, few", [
+    ("no. 517 x", False, True, True), ("NO. 517", False, False, True), ("order no\\. 51[0-9]{1} x", True, False, True), ("no. \u0130x|517 x", True, False, False),
+    ("absent words", False, True, True), ("Mai[l]+ abou?t", True, False, False), ("ORDER", False, True, False), ("51", False, False, False), ("", False, False, False),
+    ("\u0130\u0131\u017f\u212a", False, False, True), ("日本語", False, True, False), ("a[\\]b]17 x", True, False, False)])
+def test_search_by_index(spark, ordered, query, regex, literal, few):
+    df, index = snapshot.read_snapshot(spark, ordered), search_index.read_index(spark, ordered, "body")
+    want = E.search_regex(df, query, "body") if regex else E.search_text(df, query, literal, "body")
+    got = search_index.search(df, index, query, regex, literal, "body")
+    assert rows(got) == rows(want) == rows(search_index.search(df, None, query, regex, literal, "body"))
+    assert (files_read(got.select("*")) < 6) == few
+
+
+def test_index_folds_case_and_knows_missing_texts(spark, tmp_path):
+    path = str(tmp_path / "s")
+    texts = ["\u0130stanbul \u212aelvin", "mi\u017f\u017fing", None, "", "ab", "𝄞𝄞𝄞 clef", "NaN"]
+    spark.createDataFrame(list(enumerate(texts)), "id int, body string").repartition(4).write.parquet(path)
+    search_index.write_index(spark, path, "body")
+    df, index = snapshot.read_snapshot(spark, path), search_index.read_index(spark, path, "body")
+    for query in ("istanbul", "KELVIN", "missing", "nan", "ab", "clef", "𝄞 clef", "iSTan.*kel"):
+        for regex, literal in ((True, False), (False, False), (False, True)):
+            want = E.search_regex(df, query, "body") if regex else E.search_text(df, query, literal, "body")
+            assert rows(search_index.search(df, index, query, regex, literal, "body")) == rows(want)
+    df.filter("id = 0").withColumn("body", F.lit("a later file")).write.mode("append").parquet(path)
+    later = snapshot.read_snapshot(spark, path)
+    assert search_index.search(later, index, "later file", column="body").count() == 1
+
+
+def test_needed_strings():
+    for query, want in [("abc", ["abc"]), ("a.c*de", ["a", "de"]), (r"a\.b", ["a.b"]), ("ab?c{2,3}def$", ["a", "def"]), ("a|bcd", []), ("(abc)", []),
+                        (r"\d+ abc\b", [" abc"]), (r"abc\Z", []), (r"[abc]def[^x]g", ["def", "g"]), ("[a[b]]cde", []), (r"[\]ab]cd", []), ("[]a]bc", [])]:
+        assert search_index.needed(query) == want
+    assert search_index.needed("a.(b", literal=True) == ["a.(b"]
+
+
+def test_commands_on_an_ordered_snapshot(spark, tmp_path):
+    df = spark.createDataFrame([(f"m{i}", f"Header order {i}", f"order {i}", "Quality", 1, "en", "English", "High" if i % 2 else "Low") for i in range(20)],
+                               f"MailId string, {X.BODY} string, {X.CLEAN_BODY} string, {X.COMPLAINT_TYPE} string, {X.COMPLAINT} long, "
+                               "Language string, LangName string, Priority string")
+    path = str(tmp_path / "s")
+    snapshot.write_ordered(df, path, "MailId", 4)
+    search_index.write_index(spark, path, X.BODY)
+    saved_rows = snapshot.read_snapshot(spark, path)
+
+    def got(*given):
+        args = command.parsed(["explore", path, "out", "--key", "MailId", *given])
+        with_order = command.found(saved_rows, args, snapshot.read_order(spark, path), search_index.read_index(spark, path, args.body))
+        assert rows(with_order) == rows(command.found(df, args))
+        return with_order
+
+    one = got("--record", "3").first().asDict()
+    assert one == {"position": 3, "total": 20, "MailId": "m10", X.COMPLAINT_TYPE: "Quality", X.COMPLAINT: 1, "Language": "en",
+                   "LangName": "English", "Priority": "Low", X.BODY: "Header order 10", X.CLEAN_BODY: "order 10"}
+    assert got("--record", "2", "--priority", "High").first()["total"] == 10
+    assert got("--query", "header order 7").count() == 1 and got("--query", "order 1", "--record", "4").first()["total"] == 11
+    assert snapshot.read_order(spark, str(tmp_path)) is None and search_index.read_index(spark, path, X.CLEAN_BODY) is None
+    with pytest.raises(SystemExit):
+        command.parsed(["prepare", "a", "b", "c", "--ordered"])
+
+
 # --- the whole way -----------------------------------------------------------------------------------------------------
 
 BODY = "this is a mail about the broken box that came too late and we want our money back please answer us soon. " * 2
@@ -215,6 +322,10 @@ def test_prepare_files(spark, tmp_path):
     assert set(got) == {"m1", "m3"}
     assert got["m1"]["ProcessedTextBody"] == BODY.strip() and got["m1"]["Complaint"] == 1
     assert got["m3"]["Complaint"] == 0 and got["m3"]["Priority"] is None and got["m1"]["LangName"] == "English"
+    fewer = put(tmp_path, "fewer.csv", "Id;SuppliedEmail;Lost\nc1;;\nc2;;\nc3;;\nc9;g@h.i;\n")
+    A.prepare_files(spark, mails, fewer, empty_columns=str(tmp_path / "empty"))
+    told = spark.read.csv(str(tmp_path / "empty"), header=True)
+    assert rows(told) == [("cases", "Lost"), ("mails", "Empty"), ("merged", "META_SuppliedEmail")]
     assert A.prepare_files(spark, mails, str(tmp_path / "none.csv")) is None
     path = str(tmp_path / "snapshot")
     snapshot.write_snapshot(out, path)
