@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from mailprep.llm import bpe_codec, jaccard_join, language_id, source_mix, suffix_dedup
 from mailprep.llm.common import reachable
-from mailprep.session import saved
+from mailprep.session import broadcast_if_small, saved
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+MAX_SENT = 1_000_000  # row numbers that go to every task
 BATCH_ROWS = "2000"  # rows that a Python worker takes at once; texts are long
 
 
@@ -39,8 +40,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     groups = jaccard_join.near_duplicates(rows.select("_row", "text"), "_row")
     ids = rows.select("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("order"))
-    first = ids.join(groups, "_row").groupBy("component_id").agg(F.min("order")["_row"].alias("_row"))
-    return rows.join(first.select("_row").hint("shuffle_hash"), "_row", "left_semi").select(*docs.columns)
+    first = ids.join(groups, "_row").groupBy("component_id").agg(F.min("order")["_row"].alias("first"), F.count("*").alias("n"))
+    gone = groups.join(first.filter("n > 1"), "component_id").filter("_row != first").select("_row")
+    # texts stay where they are unless very many rows go
+    return rows.join(broadcast_if_small(saved(gone, "gone"), MAX_SENT), "_row", "left_anti").select(*docs.columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
