@@ -197,17 +197,31 @@ def proofs(manifest: Manifest) -> DataFrame:
     """Per row: (key, gid, leaf, path, copies). ``path`` has the siblings of the leaf and of each ancestor, from the leaf to the
     root, as those before and those after; ``copies`` the nodes that the row's version copies, from the changed leaf to the
     version's root, null for a row without a changed form."""
+    def whole(own: Block, i: int, changed: str | None, upper: list[tuple[str, str]]) -> dict:
+        copies = None
+        if changed is not None:
+            copies = own.version(i, changed)
+            for left, right in upper:  # the version goes on above its block
+                copies.append(folded(copies[-1], left, right))
+        return {"path": [{"left": a, "right": b} for a, b in own.path(i) + upper], "copies": copies}
+
     return _expanded(manifest, f"path {PATH}, copies array<string>", [
-        ("path", pa.list_(pa.struct([("left", pa.string()), ("right", pa.string())]))), ("copies", pa.list_(pa.string()))],
-        lambda path, copies: {"path": [{"left": a, "right": b} for a, b in path], "copies": copies})
+        ("path", pa.list_(pa.struct([("left", pa.string()), ("right", pa.string())]))), ("copies", pa.list_(pa.string()))], whole)
 
 
 def proof_digests(manifest: Manifest) -> DataFrame:
-    """Per row: (key, gid, leaf, proof_sha256, version_root): the digest of all siblings on the row's path, from left to
-    right and from the leaf up, and the root of its version, null without a changed form."""
-    return _expanded(manifest, "proof_sha256 string, version_root string", [("proof_sha256", pa.string()), ("version_root", pa.string())],
-                     lambda path, copies: {"proof_sha256": sha256("".join(a + b for a, b in path).encode()).hexdigest(),
-                                           "version_root": copies[-1] if copies else None})
+    """Per row: (key, gid, leaf, proof_sha256, folded_root): the digest of all siblings on the row's path, from left to
+    right and from the leaf up, and the root that they make with the row's changed leaf, or with its leaf where it has no
+    changed form. Every row is folded, so a block whose stored digests do not lead to the root shows up in each of its rows."""
+    def digests(leaf: str, changed: str | None, path: list[tuple[str, str]]) -> dict:
+        root = leaf if changed is None else changed
+        for left, right in path:
+            root = folded(root, left, right)
+        return {"proof_sha256": sha256("".join(a + b for a, b in path).encode()).hexdigest(), "folded_root": root}
+
+    return _expanded(manifest, "proof_sha256 string, folded_root string",
+                     [("proof_sha256", pa.string()), ("folded_root", pa.string())],
+                     lambda own, i, changed, upper: digests(own.levels[0][i], changed, own.path(i) + upper))
 
 
 def _expanded(manifest: Manifest, columns: str, fields: list, make) -> DataFrame:
@@ -222,13 +236,7 @@ def _expanded(manifest: Manifest, columns: str, fields: list, make) -> DataFrame
                 upper = [(x["left"], x["right"]) for x in row["path"]]
                 out = []
                 for i, changed in enumerate(row["changed"]):
-                    path = own.path(i) + upper
-                    copies = None
-                    if changed is not None:
-                        copies = own.version(i, changed)
-                        for left, right in upper:  # the version goes on above its block
-                            copies.append(folded(copies[-1], left, right))
-                    out.append({"gid": row["gid"], "leaf": own.levels[0][i]} | make(path, copies))
+                    out.append({"gid": row["gid"], "leaf": own.levels[0][i]} | make(own, i, changed, upper))
                 made = pa.RecordBatch.from_pylist(out, schema=pa.schema([("gid", pa.int64()), ("leaf", pa.string()), *fields]))
                 yield pa.RecordBatch.from_arrays([keys, *made.columns], ["key", *made.schema.names])
 
@@ -247,8 +255,8 @@ def digest(columns: list[Column]) -> Column:
 def tampering(docs: DataFrame, columns: list[str], key: str, group: str, changed: dict[str, Column], which: Column) -> DataFrame:
     """Per row of ``docs``: (key, leaf, subroot, root, proof_sha256, folded_root, verified).
 
-    Rows for which ``which`` holds are held against the manifest with the columns ``changed`` as given: ``folded_root``
-    is the root that their changed leaf makes with the siblings of the manifest. Null, empty and equal rows are leaves like all
+    Rows for which ``which`` holds are held against the manifest with the columns ``changed`` as given, all others as they
+    are: ``folded_root`` is the root that the changed or own leaf makes with the siblings of the manifest. Null, empty and equal rows are leaves like all
     others; a null key is the first of its group. An empty table gives an empty result.
     """
     plain = digest([F.col(f"`{c}`") for c in columns])
@@ -258,6 +266,6 @@ def tampering(docs: DataFrame, columns: list[str], key: str, group: str, changed
     made = build(rows)
     subroots = broadcast_if_small(made.groups.select("gid", "subroot"), MAX_BROADCAST)
     root = F.lit(made.root).cast("string")
-    out = proof_digests(made).join(subroots, "gid").withColumn("folded_root", F.coalesce("version_root", root))
+    out = proof_digests(made).join(subroots, "gid")
     return out.select(F.col("key").alias(key), "leaf", "subroot", root.alias("root"), "proof_sha256", "folded_root",
                       (F.col("folded_root") == root).alias("verified"))

@@ -107,6 +107,20 @@ def test_versions_share_what_they_do_not_copy(spark):
     assert [tuple(x) for x in out[255]["path"]] == way(levels_of(nodes), 255)
 
 
+def test_every_row_is_folded_to_the_root(spark, make):
+    """A manifest whose stored siblings do not lead to its root fails for all rows of that block, changed or not."""
+    rows = spark.createDataFrame([(f"g{i % 2}", i, sha(str(i)), "f" * 64 if i % 5 == 0 else None) for i in range(100)],
+                                 "grp string, key long, leaf string, changed string")
+    made = merkle.build(rows)
+    good = {r["key"]: r["folded_root"] for r in merkle.proof_digests(made).collect()}
+    assert all((good[i] == made.root) == (i % 5 > 0) for i in range(100))
+    swapped = F.transform("path", lambda p: F.struct(p["right"].alias("left"), p["left"].alias("right")))
+    broken = made.blocks.withColumn("path", F.when(F.col("gid") == 0, swapped).otherwise(F.col("path")))
+    got = {r["key"]: r["folded_root"] for r in merkle.proof_digests(merkle.Manifest(made.root, made.groups, broken)).collect()}
+    of_group = {r["key"] for r in merkle.proof_digests(made).filter("gid = 0").collect()}
+    assert len(of_group) == 50 and all((got[i] != good[i]) == (i in of_group) for i in range(100))
+
+
 # --- SimHash ------------------------------------------------------------------------------------------------
 
 @lru_cache(maxsize=None)
