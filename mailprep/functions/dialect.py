@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 SPACE = (r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 SPACE_CHARS = "".join(chr(c) for c in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
                                         *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
-LINE_BREAK = r"[\n-\r\x1c-\x1e\x85\x{2028}\x{2029}](?:(?<=\r)\n)?"  # \r\n is one break
+# Java asks the parts of a class with ranges one after the other, but looks single ASCII characters up in a table. Led by
+# this, a class without letters and digits is asked at few places only. (i, k and s are no such characters in any case.)
+NO_LETTER = "(?![ABCDEFGHJLMNOPQRTUVWXYZabcdefghjlmnopqrtuvwxyz0123456789])"
+LINE_BREAK = NO_LETTER + r"[\n-\r\x1c-\x1e\x85\x{2028}\x{2029}](?:(?<=\r)\n)?"  # \r\n is one break
 
 
 def regex(pattern: str, flags: str = "iu") -> str:
@@ -74,7 +77,7 @@ def unlines(c: Column) -> Column:
 
 def words(c: Column, at_most: int | None = None) -> Column:
     """The white-space separated words. The text '' yields ['']: count with ``word_count``."""
-    cut = F.split(strip(c), regex(r"\s+", "u"), -1 if at_most is None else at_most + 1)
+    cut = F.split(strip(c), regex(NO_LETTER + r"\s+", "u"), -1 if at_most is None else at_most + 1)
     return cut if at_most is None else F.slice(cut, 1, at_most)
 
 

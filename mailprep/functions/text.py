@@ -8,7 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from mailprep import fixed as X
-from mailprep.functions.dialect import (SPACE, after_first, any_of, let, lines, regex, remove, strip, unlines, words)
+from mailprep.functions.dialect import (NO_LETTER, SPACE, after_first, any_of, let, lines, regex, remove, strip,
+                                        unlines, words)
 
 
 def col(c: Column | str) -> Column:
@@ -62,7 +63,7 @@ def reduce_spaces(c: Column | str) -> Column:
 
 
 def remove_non_printable(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), X.INVISIBLE, "")
+    return F.regexp_replace(col(c), NO_LETTER + X.INVISIBLE, "")
 
 
 def remove_http_brackets(c: Column | str) -> Column:
@@ -145,16 +146,19 @@ def remove_sensitive_lines(c: Column | str) -> Column:
 
 # The same contact patterns for use inside a text. A long unbroken run of letters or dashes must not be
 # tried again from each of its characters, so a match may start only where the run starts, where the
-# previous match ended (\G), or at one of the fixed prefixes.
+# previous match ended (\G), or at one of the fixed prefixes. Where no match can begin is told by one look at a character.
 _PHONE_GAP = rf"[{SPACE}:=\-]"
 _IN_TEXT = {
     "EMAIL": r"(?:\G|(?<![A-Z0-9._%+-]))[A-Z0-9._%+-]++@[A-Z0-9.-]+\.[A-Z]{2,}",
-    "PHONE": rf"(?=[pf+(\d{SPACE}:=\-])(?:(?:phone|fax){_PHONE_GAP}*+|(?:\G|(?<!{_PHONE_GAP})){_PHONE_GAP}*+)"
+    "PHONE": rf"(?![abcdeghjlmnoqrtuvwxyz])(?=[pf+(\d{SPACE}:=\-])(?:(?:phone|fax){_PHONE_GAP}*+|(?:\G|(?<!{_PHONE_GAP})){_PHONE_GAP}*+)"
              r"\+?\(?\d{1,4}\)?[\d\s\-/.]{5,}",
     "DOMAIN": r"(?:https?://(?:www\.)?[a-z0-9\-]+|www\.[a-z0-9\-]+|(?:\G|(?<![a-z0-9\-]))[a-z0-9\-]++)"
               r"\.(?:com|net|org|edu|gov|[a-z]{2,})(?:/\S*)?",
-    "TITLE": any_of(X.JOB_TITLES),
+    "TITLE": "(?=" + "".join(f"[{''.join(sorted({w[i] for w in X.JOB_TITLES}))}]" for i in range(min(map(len, X.JOB_TITLES)))) + ")"
+             + any_of(X.JOB_TITLES),
 }
+# what every match holds and is found faster: texts without it are spared the search
+_HOLDS = {"EMAIL": "@", "PHONE": r"\d\)?[\d\s\-/.]{5}", "DOMAIN": r"\.[a-z]{2}"}
 
 
 def redact(c: Column | str, mode: str = "drop") -> Column:
@@ -162,15 +166,15 @@ def redact(c: Column | str, mode: str = "drop") -> Column:
     if mode not in ("drop", "token"):
         raise ValueError(f"mode must be 'drop' or 'token', not {mode!r}")
     def drop(t: Column, kind: str) -> Column:
-        return F.regexp_replace(t, regex(_IN_TEXT[kind]), f"[{kind}]" if mode == "token" else "")
+        done = F.regexp_replace(t, regex(_IN_TEXT[kind]), f"[{kind}]" if mode == "token" else "")
+        return F.when(t.rlike(regex(_HOLDS[kind])), done).otherwise(t) if kind in _HOLDS else done
 
-    # texts without an at sign are spared the address search
-    no_mail = let(col(c), lambda t: F.when(F.contains(t, F.lit("@")), drop(t, "EMAIL")).otherwise(t))
-    return reduce(drop, ["PHONE", "DOMAIN", "TITLE"], no_mail)
+    return reduce(lambda t, kind: let(t, lambda x: drop(x, kind)), _IN_TEXT, col(c))
 
 
 def clean_crlf(c: Column | str) -> Column:
-    return F.coalesce(strip(F.translate(col(c), "\n\r", "  ")), F.lit(""))
+    blank = reduce(lambda t, sign: F.replace(t, F.lit(sign), F.lit(" ")), "\n\r", col(c))
+    return F.coalesce(strip(blank), F.lit(""))
 
 
 def last_valid_sentence(c: Column | str) -> Column:
@@ -180,8 +184,11 @@ def last_valid_sentence(c: Column | str) -> Column:
         return ends & (F.size(words(sentence, X.MIN_SENTENCE_WORDS)) >= X.MIN_SENTENCE_WORDS)
 
     def choose(text: Column) -> Column:
-        sentences = F.filter(F.split(text, regex(r"(?<=[.!?])\s+", "u")), full)
-        return F.coalesce(F.try_element_at(sentences, F.lit(-1)),
+        def last(sentences: Column) -> Column:  # mostly the very last one is full, and no other is looked at
+            ending = let(F.element_at(sentences, -1), lambda s: F.when(full(s), s))
+            return F.coalesce(ending, F.try_element_at(F.filter(sentences, full), F.lit(-1)))
+
+        return F.coalesce(let(F.split(text, regex(NO_LETTER + r"(?<=[.!?])\s+", "u")), last),
                           F.array_join(words(text, X.FALLBACK_WORDS), " "), F.lit(""))
 
     return let(strip(col(c)), choose)

@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from mailprep import fixed as X
 from mailprep.functions import text as tx
-from mailprep.functions.dialect import hundredths, lines, percent_text, strip, words
+from mailprep.functions.dialect import any_of, hundredths, lines, percent_text, regex, strip, words
 
 HEADER = "From: a\nSent: b\nSubject: c"
 CASES = [
@@ -128,3 +129,23 @@ def test_results_do_not_grow(spark):
     for fn in (tx.reduce_spaces, tx.remove_non_printable, tx.remove_html):
         once = rows.select(fn("body").alias("b"))
         assert once.filter(F.col("b") != fn("b")).count() == 0
+
+
+def test_redaction_guards_spare_no_match(spark):
+    """Texts that a guard spares hold nothing that the plain patterns find, whatever the signs beside it."""
+    pieces = ["a.co", "x@y.de", "+32 (12) 34-56", "1234)  -/.", "1)12345", "12 34", "٣٤٥٦٧٨", "ſpecialist", "Keo", "CEO", "lead", ". a", ".ab", "phone: 12345 6"]
+    texts = [a + sep + b for a in pieces for b in pieces for sep in ("", " ", "\n", ".")]
+    rows = spark.createDataFrame([(t,) for t in [*texts, "", None]], "t string").repartition(1)
+    plain = F.col("t")
+    for kind, pattern in tx._IN_TEXT.items():
+        free = pattern.removeprefix("(?![abcdeghjlmnoqrtuvwxyz])") if kind == "PHONE" else any_of(X.JOB_TITLES) if kind == "TITLE" else pattern
+        plain = F.regexp_replace(plain, regex(free), f"[{kind}]")
+    assert set(tx._HOLDS) == {"EMAIL", "PHONE", "DOMAIN"}
+    assert rows.filter(~tx.redact("t", "token").eqNullSafe(plain)).collect() == []
+
+
+def test_last_sentence_looks_back_past_short_ones(spark):
+    long = "one two three four five six seven eight."
+    texts = [f"{long} Short. ", f"{long} no end of this one at all or ever", f"Nine {long} {long}\r\n", "a. b. c.", "", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").repartition(1).select(tx.last_valid_sentence(tx.clean_crlf("t"))).collect()
+    assert [r[0] for r in got] == [long, long, long, "a. b. c.", "", ""]
