@@ -8,7 +8,12 @@ this pays for rare strings such as numbers and names, and for snapshots in many
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from functools import reduce
+from itertools import groupby
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,29 +24,50 @@ from mailprep.operators import explore as E
 from mailprep.session import small_table
 from mailprep.sources.snapshot import FILE, read_snapshot
 
-INDEX = "_trigrams-"   # the folder of a column's index; readers of the table pass over it
-BITS = 1 << 18         # of a file's filter, kept in rows of 32,768
+INDEX = "_trigrams2-"  # the folder of a column's index; readers of the table pass over it. The number tells the hash
+BITS = 1 << 18         # of a file's filter
+PART = 1 << 15         # bits of one row of it, as the engine's bitmaps have
+STEP_CHARS = 1 << 18   # of a text that are hashed at once
+FILTERS = pa.schema([("file", pa.string()), ("part", pa.int64()), ("bits", pa.binary())])
 
 
 def _folded(c: Column) -> Column:
     """Letters that match each other in any case become one; only those that match an ASCII letter matter here."""
-    return F.lower(F.translate(c, "\u0130\u0131\u017f\u212a", "iisk"))
-
-
-def _position(trigram: Column) -> Column:
-    return F.pmod(F.xxhash64(trigram), F.lit(BITS))
+    return F.lower(reduce(lambda t, x: F.replace(t, F.lit(x[0]), F.lit(x[1])), zip("\u0130\u0131\u017f\u212a", "iisk"), c))
+
+
+def _positions(text: str) -> np.ndarray:
+    """The bits of the trigrams of a folded text."""
+    signs = np.frombuffer(text.encode("utf-32-le"), "<u4").astype("u8")
+    if len(signs) < 3:
+        return np.zeros(0, "i8")
+    h = ((signs[:-2] << np.uint64(42)) | (signs[1:-1] << np.uint64(21)) | signs[2:]) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (h >> np.uint64(64 - BITS.bit_length() + 1)).astype("i8")
+
+
+def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (file, text) as the filters of their files, one row (file, part, bits) per part of a file and batch. Bit b of a
+    part is bit b % 8 of byte b / 8, as the engine's bitmaps have it."""
+    for batch in batches:
+        texts, rows = batch["text"], []
+        for file, run in groupby(enumerate(batch["file"].to_pylist()), key=lambda x: x[1]):
+            marks = np.zeros(BITS, "u1")
+            for i, _ in run:
+                text = texts[i].as_py().decode("utf-8", "replace")
+                for a in range(0, len(text), STEP_CHARS):
+                    marks[_positions(text[a:a + STEP_CHARS + 2])] = 1
+            parts = np.packbits(marks.reshape(-1, PART), axis=1, bitorder="little")
+            rows += [{"file": file, "part": i, "bits": bits.tobytes()} for i, bits in enumerate(parts) if i == 0 or bits.any()]
+        yield pa.RecordBatch.from_pylist(rows, schema=FILTERS)
 
 
 def write_index(spark: SparkSession, path: str, column: str = X.BODY) -> None:
-    """The filter of every file of a snapshot: (file, part, bits). One row per file and part leaves each task."""
-    at = F.sequence(F.lit(0), F.size("chars") - 3)
-    piece = lambda i: _position(F.concat(F.get("chars", i), F.get("chars", i + 1), F.get("chars", i + 2)))
-    rows = read_snapshot(spark, path).select(F.col(FILE).alias("file"), F.explode(F.array(
-        F.split(_folded(tx.body_as_text(column)), ""))).alias("chars"))
-    pieces = rows.select("file", F.explode_outer(F.array_distinct(F.when(F.size("chars") > 2, F.transform(at, piece)))).alias("at"))
-    filters = pieces.groupBy("file", F.bitmap_bucket_number("at").alias("part")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
-    filters.write.parquet(f"{path}/{INDEX}{column}")
+    """The filter of every file of a snapshot: (file, part, bits). The trigrams of a batch of texts are marked where the
+    texts are; only filters leave a task. A file of short texts alone has an empty filter."""
+    rows = read_snapshot(spark, path).select(F.col(FILE).alias("file"), _folded(tx.body_as_text(column)).cast("binary").alias("text"))
+    marked = rows.mapInArrow(_filters, "file string, part long, bits binary")
+    marked.groupBy("file", "part").agg(F.bitmap_or_agg("bits").alias("bits")).write.parquet(f"{path}/{INDEX}{column}")
 
 
 def read_index(spark: SparkSession, path: str, column: str = X.BODY) -> DataFrame | None:
@@ -79,10 +105,8 @@ def _pieces(spark: SparkSession, strings: list[str]) -> DataFrame:
     """The bits that a file with all these strings has set: (part, byte, bit). Pieces beyond ASCII are not asked for."""
     rows = small_table(spark, [{"s": s} for s in strings], "s: string").select(_folded(F.col("s")).alias("s"))
     pieces = sorted({r["s"][i:i + 3] for r in rows.collect() for i in range(len(r["s"]) - 2) if r["s"][i:i + 3].isascii()})
-    at = small_table(spark, [{"s": s} for s in pieces], "s: string").select(_position(F.col("s")).alias("at"))
-    bit = F.bitmap_bit_position("at")
-    return at.select(F.bitmap_bucket_number("at").alias("part"), F.floor(bit / 8).cast("int").alias("byte"),
-                     (bit % 8).cast("int").alias("bit")).distinct()
+    at = sorted({int(_positions(s)[0]) for s in pieces})
+    return small_table(spark, [{"part": a // PART, "byte": a % PART // 8, "bit": a % 8} for a in at], "part: long, byte: int, bit: int")
 
 
 def without(index: DataFrame, strings: list[str]) -> DataFrame:

@@ -4,7 +4,9 @@ import json
 import os
 import random
 import re
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -429,3 +431,16 @@ def test_join_is_hashed_with_null_keys(spark):
     c = spark.range(10).select(F.col("id").cast("string").alias("META_Id"))
     text = plan(J.join_metadata(m, c))
     assert "SortMergeJoin" in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_filters_leave_a_task_one_per_file(spark, tmp_path):
+    """Texts are marked where they are: one row per part of a file's filter and batch, not one per trigram of a text."""
+    batch = pa.RecordBatch.from_pydict({"file": ["a", "a", "b", "c"], "text": [b"abcd " * 500, b"zq7", b"ab", b"\xffabc"]})
+    made = [r for out in search_index._filters(iter([batch])) for r in out.to_pylist()]
+    assert {r["file"] for r in made} == {"a", "b", "c"} and all(len(r["bits"]) == search_index.PART // 8 for r in made)
+    assert sum(bin(int.from_bytes(r["bits"])).count("1") for r in made if r["file"] == "a") == 6  # abc bcd cd_ d_a _ab zq7
+    assert not any(any(r["bits"]) for r in made if r["file"] == "b") and max(Counter(r["file"] for r in made).values()) <= 8
+    long = "k" * search_index.STEP_CHARS + "seam"
+    assert {int(search_index._positions(s)[0]) for s in ("kkk", "kks", "kse", "sea", "eam")} == {
+        r["part"] * search_index.PART + i for out in search_index._filters(iter([pa.RecordBatch.from_pydict({"file": ["a"], "text": [long.encode()]})]))
+        for r in out.to_pylist() for i in range(search_index.PART) if r["bits"][i // 8] >> i % 8 & 1}
