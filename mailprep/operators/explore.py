@@ -13,7 +13,7 @@ from mailprep.functions import text as tx
 from mailprep.operators.ranks import first_rows, row_at
 
 _BETWEEN_CHARACTERS = r"(?![\x{dc00}-\x{dfff}])"  # Java would also try the middle of a surrogate pair
-BLOCK = 256  # pieces of a cut text whose lengths are summed up together
+BLOCK = 256  # pieces of a cut text whose lengths are summed up together, at most
 ALL = "<All>"
 MISSING = "<Missing>"
 
@@ -157,8 +157,8 @@ def record_at(df: DataFrame, key: str, k: int) -> DataFrame:
 def match_spans(df: DataFrame, key: str, query: str, regex: bool = False, column: str = X.BODY) -> DataFrame:
     """Where the query occurs: (key, start, end) in characters from 0, for every hit that is not empty.
 
-    Hits are marked in the text and the text is cut at the marks. Lengths are summed up inside the row, by blocks of
-    pieces, so nothing is shuffled and keys may repeat.
+    Hits are marked in the text and the text is cut at the marks. Lengths are summed up inside the row, by blocks of as
+    many pieces as the text has blocks (up to ``BLOCK``), so a hit takes few additions, nothing is shuffled and keys may repeat.
     """
     if not query.strip():
         return df.select(key, F.lit(0).alias("start"), F.lit(0).alias("end")).limit(0)
@@ -166,7 +166,7 @@ def match_spans(df: DataFrame, key: str, query: str, regex: bool = False, column
     pattern = _checked(query) if regex else "(?iu)" + re.escape(query)
     flags, body = pattern.split(")", 1)
     whole = rf"{flags}){_BETWEEN_CHARACTERS}(?:{body})"  # an empty hit must not fall inside a character
-    text = F.translate(column, opening + closing, "\ufffd\ufffd")
+    text = F.replace(F.replace(F.col(column), F.lit(opening), F.lit("\ufffd")), F.lit(closing), F.lit("\ufffd"))
     marked = F.replace(F.regexp_replace(text, whole, f"{opening}$0{closing}"),
                        F.lit(opening + closing), F.lit(""))  # drop empty hits
     pieces = F.split(marked, opening)
@@ -177,15 +177,16 @@ def match_spans(df: DataFrame, key: str, query: str, regex: bool = False, column
     def total(part: Column) -> Column:
         return F.aggregate(part, F.lit(0), lambda s, p: s + p["all"])
 
-    def block(lengths: Column, i: Column) -> Column:
-        return F.slice(lengths, i * BLOCK + 1, F.lit(BLOCK))
+    def block(i: Column) -> Column:
+        return F.slice("lengths", (i * F.col("width") + 1).cast("int"), F.col("width"))
 
-    numbers = F.sequence(F.lit(0), F.floor((F.size("lengths") - 1) / BLOCK).cast("int"))
-    cut = df.filter(F.col(column).rlike(pattern)).select(key, F.explode(F.array(lengths)).alias("lengths"))
-    cut = cut.select(key, "lengths", F.explode(F.array(F.transform(numbers, lambda i: total(block(F.col("lengths"), i))))).alias("sums"))
+    width = F.least(F.ceil(F.sqrt(F.size("lengths"))).cast("int"), F.lit(BLOCK))
+    numbers = F.sequence(F.lit(0), F.floor((F.size("lengths") - 1) / F.col("width")).cast("int"))
+    cut = df.filter(F.col(column).rlike(pattern)).select(key, F.explode(F.array(lengths)).alias("lengths")).withColumn("width", width)
+    cut = cut.select(key, "lengths", "width", F.explode(F.array(F.transform(numbers, lambda i: total(block(i))))).alias("sums"))
     cut = cut.select(key, F.posexplode(F.transform(F.col("sums"), lambda _, i: F.struct(
         F.aggregate(F.slice("sums", F.lit(1), i), F.lit(0), lambda s, x: s + x).alias("start"),
-        block(F.col("lengths"), i).alias("pieces")))).alias("no", "block"))
+        block(i).alias("pieces")))).alias("no", "block"))
     cut = cut.select(key, "no", F.posexplode(F.transform(F.col("block.pieces"), lambda p, i: F.struct(
         p["hit"].alias("hit"), (F.col("block.start") + total(F.slice(F.col("block.pieces"), F.lit(1), i))).alias("start"))))
         .alias("i", "at"))

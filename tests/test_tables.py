@@ -514,3 +514,11 @@ def test_explore_command_searches_the_original_and_tells_places(spark):
     assert got("--spans", "--priority", "None") == []
     with pytest.raises(SystemExit):
         command.parsed(["explore", "in", "out", "--spans"])
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 15, 16, 17, 300, 70_000])
+def test_spans_of_any_number_of_hits(spark, n):
+    text = "".join(f"{'é' * (i % 3)}x" for i in range(n))
+    want = [i for i, sign in enumerate(text) if sign == "x"]
+    got = E.match_spans(spark.createDataFrame([(1, text)], "id long, t string"), "id", "x", column="t").orderBy("start").collect()
+    assert [(r["start"], r["end"]) for r in got] == [(i, i + 1) for i in want]
