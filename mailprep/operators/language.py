@@ -56,8 +56,8 @@ def language_model(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
              .select(F.col(lang_col).alias("lang"),
                      F.explode(F.split(F.lower(F.col(text_col)), NO_LETTERS)).alias("word"))
              .groupBy("lang", "word").agg(F.count("*").alias("n")))
-    seen = (words.select("lang", "n", F.explode(trigrams(F.col("word"))).alias("gram"))
-            .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    seen = saved(words.select("lang", "n", F.explode(trigrams(F.col("word"))).alias("gram"))
+                 .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")  # read three times
     totals = seen.groupBy("lang").agg(F.sum("n").alias("total"))
     vocabulary = seen.select("gram").distinct().agg(F.count("*")).scalar()
     return (seen.join(totals, "lang").withColumn("vocabulary", vocabulary)
