@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -33,10 +33,14 @@ def _weighted(train: DataFrame) -> DataFrame:
     return train.join(weights, "label").withColumn("label", F.col("label").cast("double"))
 
 
-def _featurizer(train: DataFrame, features: int) -> PipelineModel:
-    steps = [HashingTF(inputCol="tokens", outputCol="counts", numFeatures=features),
-             IDF(inputCol="counts", outputCol="features")]
-    return Pipeline(stages=steps).fit(train)
+def _counted(train: DataFrame, text_col: str, features: int, max_words: int | None) -> tuple[PipelineModel, DataFrame]:
+    """What makes features of tokens, and the training rows as (label, weight, features). Texts are cut and counted once,
+    written as counts, and read from there for each pass that follows."""
+    hashing = HashingTF(inputCol="tokens", outputCol="counts", numFeatures=features)
+    rows = hashing.transform(_tokens(_weighted(train), text_col, max_words))
+    rows = saved(rows.select("label", "weight", "counts"), "counts")
+    idf = IDF(inputCol="counts", outputCol="features").fit(rows)
+    return PipelineModel([hashing, idf]), idf.transform(rows).select("label", "weight", "features")
 
 
 def _classifier(num_classes: int, max_iter: int, reg_param: float) -> LogisticRegression:
@@ -62,10 +66,8 @@ def train_classifier(train: DataFrame, num_classes: int, text_col: str = X.CLEAN
                      reg_param: float = X.WEIGHT_DECAY, features: int = FEATURES,
                      max_words: int | None = None) -> PipelineModel:
     """A class-weighted linear classifier over hashed word counts. Give ``max_words`` to ``score`` as well."""
-    rows = _tokens(_weighted(train), text_col, max_words)
-    featurizer = _featurizer(rows, features)
-    return PipelineModel(featurizer.stages + [_classifier(num_classes, max_iter, reg_param)
-                                              .fit(featurizer.transform(rows))])
+    featurizer, ready = _counted(train, text_col, features, max_words)
+    return PipelineModel(featurizer.stages + [_classifier(num_classes, max_iter, reg_param).fit(ready)])
 
 
 def argmax(scores: Column | str) -> Column:
@@ -125,9 +127,7 @@ def select_best(train: DataFrame, val: DataFrame, num_classes: int, text_col: st
     are made once. Stops after two rounds in a row without progress, or when the optimiser has nothing left to gain.
     Returns the model and (iterations, score) per round.
     """
-    rows = _tokens(_weighted(train), text_col, max_words)
-    featurizer = _featurizer(rows, features)
-    ready = saved(featurizer.transform(rows).select("label", "weight", "features"), "features")
+    featurizer, ready = _counted(train, text_col, features, max_words)
     checked = saved(featurizer.transform(_tokens(val, text_col, max_words)).select("label", "features"), "features")
     best, best_value, stale, history, state, done = None, float("-inf"), 0, [], None, 0
     for iterations in rounds:

@@ -516,6 +516,20 @@ def test_explore_command_searches_the_original_and_tells_places(spark):
         command.parsed(["explore", "in", "out", "--spans"])
 
 
+def test_texts_are_cut_once_for_training(spark):
+    """Every pass after the first reads counts: a text is made once per training row and once per validation row."""
+    for train in (lambda a, b: M.select_best(a, b, 2, "text", rounds=(1, 2), features=64), lambda a, b: M.train_classifier(a, 2, "text", max_iter=2, features=64)):
+        asked = spark.sparkContext.accumulator(0)
+
+        def told(i):
+            asked.add(1)
+            return f"word{i % 2} and {i}"
+
+        rows = spark.range(40, numPartitions=2).select((F.col("id") % 2).cast("long").alias("label"), F.udf(told)("id").alias("text"), "id")
+        train(rows.filter("id < 30"), rows.filter("id >= 30"))
+        assert asked.value in (30, 40)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 15, 16, 17, 300, 70_000])
 def test_spans_of_any_number_of_hits(spark, n):
     text = "".join(f"{'é' * (i % 3)}x" for i in range(n))
