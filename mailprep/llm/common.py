@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,28 @@ def reachable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Python workers take up to so many rows at once inside; a smaller number that is set already stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, unset = spark.conf.get(name), name not in spark.conf.getAll
+    if not 0 < int(before) <= rows:
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if unset else spark.conf.set(name, before)
+
+
+def give_back() -> None:
+    """Return what this process has freed to the system. Workers outlive their tasks, and what the allocators keep of long
+    texts and keys would count beside the next task's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of Linux has it
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

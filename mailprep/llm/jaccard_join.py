@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailprep.llm.bloom import bloom_of
-from mailprep.llm.common import components, filled, steps
+from mailprep.llm.common import components, filled, give_back, small_batches, steps
 from mailprep.session import saved
 
 WORDS = 5
@@ -25,6 +25,7 @@ PERCENT = 80            # documents link from this share of common shingles on
 SKETCH_BITS = 512       # at least, of the short sketch that is compared before the sets are
 KEYS_PER_SEND = 1 << 19
 SHARDS_PER_TASK = 4
+BATCH_ROWS = 1000       # texts, or pairs of sets, that a Python worker takes at once
 WORTH = 0.1             # share of the pairs of a round that must link for another one
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9))
@@ -209,6 +210,8 @@ def _met(docs: DataFrame, key: str, text: str, shards: int, draw: int) -> DataFr
                     keys, owners, classes, held, seen = [], [], [], 0, set()
         if held:
             yield packed()
+        del keys, owners, classes, seen
+        give_back()
 
     def meet(f: pd.DataFrame) -> pd.DataFrame:
         if f["shard"].iloc[0] < 0:
@@ -256,6 +259,7 @@ def _sets_of(docs: DataFrame, text: str, wanted: DataFrame, classes: DataFrame)
             for a, b in steps(texts):
                 rows = {set_id(s): s.tobytes() for s in shingle_sets(texts[a:b]) if len(s)}
                 yield pd.DataFrame({"class": list(rows), "shingles": list(rows.values())})
+        give_back()
 
     rows = docs.filter(has(text_id(F.col(text)))).select(F.col(text).alias("_text")).mapInPandas(run, "class long, shingles binary")
     return rows.join(wanted, "class", "left_semi").dropDuplicates(["class"])
@@ -275,6 +279,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, classes: DataFrame)
     def sure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             yield f.loc[[linked(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")) for x, y in zip(f["sa"], f["sb"])], ["a", "b"]]
+        give_back()
 
     sized = pairs.join(of("a", "n", "sketch"), "a").join(of("b", "n", "sketch"), "b").filter(
         f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
@@ -349,6 +354,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     null key links nothing; its component is the smallest key of its group, null if there is none. An empty table
     gives an empty result.
     """
+    with small_batches(docs.sparkSession, BATCH_ROWS):  # what is returned has no Python step left
+        return _grouped(docs, key, text)
+
+
+def _grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
     shards = min(1 << 15, SHARDS_PER_TASK * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     for draw in count():  # a draw of blocks that fills too few for some set is drawn anew; one in billions of sets is
         found = saved(_met(docs, key, text, shards, draw), "blocks_met")
