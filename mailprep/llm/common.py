@@ -66,6 +66,11 @@ def steps(texts: list, limit: int = CHARS_PER_STEP) -> Iterator[tuple[int, int]]
         yield start, len(texts)
 
 
+def nothing(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty table made inside the JVM. One made of a Python list takes Python workers of a kind of its own, which stay."""
+    return spark.range(0).select(F.from_json(F.lit("{}"), schema).alias("row")).select("row.*")
+
+
 def filled(column: pd.Series) -> list[str]:
     """The texts of a column, null as the empty text."""
     return ["" if t is None or t != t else t for t in column.tolist()]

@@ -12,12 +12,13 @@ from itertools import count
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailprep.llm.bloom import bloom_of
-from mailprep.llm.common import components, filled, give_back, small_batches, steps
+from mailprep.llm.common import components, filled, give_back, nothing, small_batches, steps
 from mailprep.session import saved
 
 WORDS = 5
@@ -26,7 +27,7 @@ SKETCH_BITS = 512       # at least, of the short sketch that is compared before
 KEYS_PER_SEND = 1 << 19
 SHARDS_PER_TASK = 4
 BATCH_ROWS = 1000       # texts, or pairs of sets, that a Python worker takes at once
-WORTH = 0.1             # share of the pairs of a round that must link for another one
+WORTH = 0.3             # share of a round's pairs with near sketches that must link for another one
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9))
 
@@ -228,6 +229,8 @@ def _met(docs: DataFrame, key: str, text: str, shards: int, draw: int) -> DataFr
         shared = np.bincount(run)[run]
         several = shared > 1
         out = pd.DataFrame({"block": key[several].view("i8"), "shared": shared[several], "class": name[several]})
+        del key, name, order, fresh, start, run, shared, several
+        give_back()
         return out.assign(**dict.fromkeys(["key", "n", "spare", "sketch", "fold", "text_id"]))[met_columns]
 
     of_doc = "key string, n long, class long, spare array<int>, sketch binary, fold array<long>, text_id long"
@@ -249,25 +252,23 @@ def _sets_of(docs: DataFrame, text: str, wanted: DataFrame, classes: DataFrame)
     ids = wanted.join(classes, "class").select("text_id")
     shared = docs.sparkSession.sparkContext.broadcast(bloom_of(ids, "text_id"))
 
-    @F.pandas_udf("boolean")
-    def has(column: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.has(column.to_numpy("i8")))
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            texts = filled(f["_text"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for f in batches:
+            may = pa.array(shared.value.has(f.column("_id").to_numpy()))
+            texts = [t or "" for t in f.column("_text").filter(may).to_pylist()]
             for a, b in steps(texts):
                 rows = {set_id(s): s.tobytes() for s in shingle_sets(texts[a:b]) if len(s)}
-                yield pd.DataFrame({"class": list(rows), "shingles": list(rows.values())})
+                yield pa.record_batch([pa.array(list(rows), pa.int64()), pa.array(list(rows.values()), pa.binary())], ["class", "shingles"])
         give_back()
 
-    rows = docs.filter(has(text_id(F.col(text)))).select(F.col(text).alias("_text")).mapInPandas(run, "class long, shingles binary")
+    # one Python worker a task: it drops most texts before it makes anything of them
+    rows = docs.select(F.col(text).alias("_text"), text_id(F.col(text)).alias("_id")).mapInArrow(run, "class long, shingles binary")
     return rows.join(wanted, "class", "left_semi").dropDuplicates(["class"])
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, text: str, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that link. Sketches settle most pairs; sets travel only for those whose sizes and
-    sketches are near enough."""
+def _verified(pairs: DataFrame, docs: DataFrame, text: str, classes: DataFrame) -> tuple[DataFrame, int]:
+    """The pairs (a, b) of classes that link, and how many were compared as sets. Sketches settle most pairs; sets travel
+    only for those whose sizes and sketches are near enough."""
     def of(name: str, *columns: str) -> DataFrame:
         return classes.select(F.col("class").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
@@ -287,11 +288,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, classes: DataFrame)
     ends = saved(left.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "pair_ends")
     sets = saved(_sets_of(docs, text, ends, classes), "shingle_sets")
     one, two = sets.toDF("a", "sa"), sets.toDF("b", "sb")
-    return left.join(one, "a").join(two, "b").mapInPandas(sure, "a long, b long")
+    return saved(left.join(one, "a").join(two, "b").mapInPandas(sure, "a long, b long"), "links"), left.count()
 
 
 def _rarest(met: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows (block, class, n, fold) of the blocks in which a class has to be looked for.
+    """Rows (block, class, n) of the blocks in which a class has to be looked for.
 
     A set shares all but ``most_apart`` of its blocks with a linked one. So of both sets' blocks in one common order, the
     first ``most_apart`` + 1 hold a block that they share; the order is from rare to frequent. Blocks of one class alone come
@@ -300,38 +301,51 @@ def _rarest(met: DataFrame, classes: DataFrame) -> DataFrame:
     band = F.col("block").bitwiseAND(1)
     own = (F.length(F.bin("n")) - 1) % 2
     spare = F.when(band == own, F.get("spare", F.lit(0))).otherwise(F.get("spare", F.lit(1)))
-    rows = met.join(classes.select("class", "n", "spare", "fold"), "class").withColumn("band", band).withColumn("left", spare)
+    rows = met.join(classes.select("class", "n", "spare"), "class").withColumn("band", band).withColumn("left", spare)
     all_ = Window.partitionBy("class", "band")
     rows = rows.withColumn("place", F.row_number().over(all_.orderBy("shared", "block"))).withColumn("all", F.count("*").over(all_))
-    return rows.filter("place <= all - left").select("block", "class", "n", "fold")
+    return rows.filter("place <= all - left").select("block", "class", "n")
+
+
+def _unlike(rows: DataFrame) -> DataFrame:
+    """The rows of one of the blocks that hold the very same classes, for each such set of two classes and more. Near
+    copies meet in very many blocks, which would all tell the same pairs."""
+    seeds = [F.xxhash64("class", F.lit(i)).cast("decimal(20)") for i in range(2)]  # sums tell sets apart as class names do sets
+    held = rows.groupBy("block").agg(F.count("*").alias("m"), F.min("class").alias("low"), F.max("class").alias("high"),
+                                     *[F.sum(s).alias(f"sum{i}") for i, s in enumerate(seeds)]).filter("low != high")
+    one = held.groupBy("m", "low", "high", "sum0", "sum1").agg(F.min("block").alias("block"))
+    return rows.join(one.select("block"), "block")
 
 
 def _named(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows (block, class, n, fold, grp) of the blocks in which several groups meet."""
+    """Rows (block, class, n, grp) of the blocks in which several groups meet."""
     named = rows.join(groups.withColumnRenamed("node", "class"), "class", "left").select(
-        "block", "class", "n", "fold", F.coalesce("component", "class").alias("grp"))
+        "block", "class", "n", F.coalesce("component", "class").alias("grp"))
     mixed = named.groupBy("block").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low != high")
     return saved(named.join(mixed.select("block"), "block"), "blocks_mixed")
 
 
-def _star_pairs(named: DataFrame) -> DataFrame:
-    """Every class of a block with the smallest class of another group there."""
-    first = named.groupBy("block").agg(F.min(F.struct("class", "grp", "n")).alias("one"))
+def _star_pairs(named: DataFrame, turn: int) -> DataFrame:
+    """Every class of a block with a class of another group there, the first one in an order that is drawn anew each turn."""
+    drawn = F.xxhash64("class", F.lit(turn)).alias("drawn")
+    first = named.groupBy("block").agg(F.min(F.struct(drawn, "class", "grp", "n")).alias("one"))
     both = named.join(first, "block")
     apart = both.filter("grp != one.grp")
-    to_first = apart.select(F.col("one.class").alias("a"), F.col("class").alias("b"), F.col("one.n").alias("na"), F.col("n").alias("nb"))
-    second = apart.groupBy("block").agg(F.min(F.struct("class", "n")).alias("two"))
+    to_first = apart.select(F.least("one.class", "class").alias("a"), F.greatest("one.class", "class").alias("b"),
+                            F.col("one.n").alias("na"), F.col("n").alias("nb"))
+    second = apart.groupBy("block").agg(F.min(F.struct(drawn, "class", "n")).alias("two"))
     to_second = both.filter("grp = one.grp").join(second, "block").select(
         F.least("two.class", "class").alias("a"), F.greatest("two.class", "class").alias("b"), F.col("two.n").alias("na"), F.col("n").alias("nb"))
     return to_first.union(to_second).filter(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)").select("a", "b").distinct()
 
 
-def _all_pairs(named: DataFrame) -> DataFrame:
+def _all_pairs(named: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of classes that share a block and are in different groups. The largest group of a block meets the others only
-    once, and not itself. Pairs whose folded sketches are too far apart are left out in the join itself."""
+    once, and not itself. Pairs whose folded sketches are too far apart are left out in the join itself; only here do these
+    travel with the blocks."""
     sizes = named.groupBy("block", "grp").agg(F.count("*").alias("m"))
     main = sizes.groupBy("block").agg(F.max(F.struct("m", "grp"))["grp"].alias("main"))
-    rows = named.join(main, "block")
+    rows = named.join(classes.select("class", "fold"), "class").join(main, "block")
     rest = rows.filter("grp != main").select("block", F.col("class").alias("a"), F.col("grp").alias("ga"), F.col("n").alias("na"),
                                               *[F.get("fold", F.lit(i)).alias(f"fa{i}") for i in range(SKETCH_BITS // 64)])
     other = rows.select("block", F.col("class").alias("b"), F.col("grp").alias("gb"), F.col("n").alias("nb"),
@@ -369,20 +383,20 @@ def _grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
             break
     one_of = F.min(F.struct("text_id", "n", "spare", "sketch", "fold")).alias("one")
     classes = saved(sizes.filter("n > 0").groupBy("class").agg(one_of).select("class", "one.*"), "classes")
-    rows = saved(_rarest(met, classes), "blocks_rarest")
-    groups = docs.sparkSession.createDataFrame([], "node long, component long")
-    links = tried = docs.sparkSession.createDataFrame([], "a long, b long")
-    while True:
-        pairs = saved(_star_pairs(_named(rows, groups)).join(tried, ["a", "b"], "left_anti"), "pairs")
-        more = saved(_verified(pairs, docs, text, classes), "links")
+    rows = saved(_unlike(saved(_rarest(met, classes), "blocks_rarest")), "blocks")
+    groups = nothing(docs.sparkSession, "node long, component long")
+    links = tried = nothing(docs.sparkSession, "a long, b long")
+    for turn in count():
+        pairs = saved(_star_pairs(_named(rows, groups), turn).join(tried, ["a", "b"], "left_anti"), "pairs")
+        more, asked = _verified(pairs, docs, text, classes)
         links, tried = links.union(more), tried.union(pairs)
-        joined, asked = more.count(), pairs.count()
+        joined = more.count()
         groups = components(links, "groups") if joined else groups
         if joined < WORTH * asked or not joined:
             break
-    rest = saved(_all_pairs(_named(rows, groups)).join(tried, ["a", "b"], "left_anti"), "pairs")
+    rest = saved(_all_pairs(_named(rows, groups), classes).join(tried, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
-        links = links.union(saved(_verified(rest, docs, text, classes), "links"))
+        links = links.union(_verified(rest, docs, text, classes)[0])
         groups = components(links, "groups")
     # rows of one key tie their classes together
     by_class = sizes.filter("n > 0").join(groups.withColumnRenamed("node", "class"), "class", "left").select(

@@ -122,3 +122,29 @@ def test_many_near_copies_around_one_passage(spark, make):
                 x, y = top(a), top(b)
                 label[max(x, y)] = min(x, y)
     assert got == {k: top(k) for k in sets}
+
+
+def test_blocks_of_the_same_classes_count_once(spark, make, monkeypatch):
+    """Near copies meet in very many blocks; blocks that hold the very same classes are one, and sketches stay behind."""
+    seen, stars = [], J._star_pairs
+
+    def kept(named, *more):
+        seen.append((named.columns, named.select("block", "class").collect()))
+        return stars(named, *more)
+
+    monkeypatch.setattr(J, "_star_pairs", kept)
+    rows = list({k: (k, t) for k, t in rows_of(4)}.values())
+    assert collected(J.near_duplicates(make(rows))) == brute(rows)
+    for columns, found in seen:
+        held = {}
+        for r in found:
+            held.setdefault(r["block"], set()).add(r["class"])
+        assert "fold" not in columns and len(held) <= 2 * len(set(map(frozenset, held.values())))  # once in each band
+
+
+def test_empty_tables_take_no_python_worker(spark):
+    from mailprep.llm.common import nothing
+
+    empty = nothing(spark, "a long, b string")
+    assert empty.dtypes == [("a", "bigint"), ("b", "string")] and empty.collect() == []
+    assert "RDD" not in empty._jdf.queryExecution().toString()
