@@ -51,8 +51,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A character of which a passage takes a part goes as a whole. A null text stays null.
     """
-    done = suffix_dedup.dedup(docs)
-    text = F.when(F.col("n_removed") > 0, suffix_dedup.as_text_of(F.col("kept"))).otherwise(F.col("text"))
+    done = suffix_dedup.dedup(docs, whole=True)
+    text = F.when(F.col("n_removed") > 0, F.col("kept").cast("string")).otherwise(F.col("text"))
     done = done.withColumn("text", text)
     return done.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*docs.columns)
 
@@ -66,7 +66,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, n_tokens, ids, decoded_sha256): token ids of every row and what they decode to."""
     args = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     rows = docs.select(F.struct("doc_id", "source").alias("row"), "text")
-    done = bpe_codec.decode(bpe_codec.encode(rows, *args, key="row"), *args, key="row")
+    # written in between: both steps in one task would keep two Python workers for it
+    done = bpe_codec.decode(saved(bpe_codec.encode(rows, *args, key="row"), "encoded"), *args, key="row")
     return done.select("row.doc_id", "row.source", F.floor(F.length("ids") / 4).alias("n_tokens"), "ids",
                        F.sha2("bytes", 256).alias("decoded_sha256"))
 

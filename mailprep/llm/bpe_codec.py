@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailprep.llm.common import filled, steps
+from mailprep.llm.common import filled, nothing, steps
 from mailprep.session import saved
 
 CHUNK = 1 << 15    # characters of a chunk
@@ -82,7 +82,7 @@ def _long_texts(rows: DataFrame, ranks_file: str, pattern: str, chunk: int, over
     # the row number is fixed by writing it, so repeated keys and rows stay apart
     rows = saved(rows.withColumn("_row", F.monotonically_increasing_id()), "bpe_long")
     if rows.isEmpty():
-        return spark.createDataFrame([], f"_key {kind}, ids binary")
+        return nothing(spark, f"_key {kind}, ids binary")
     n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     starts = F.posexplode(F.sequence(F.lit(0), F.length("_text") - 1, F.lit(chunk)))
     chunks = (rows.select("_row", "_text", starts.alias("_k", "_at"))

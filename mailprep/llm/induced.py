@@ -185,6 +185,7 @@ def repeated(text: Array, asked: Array, width: int, memory: int = QUEUE_BYTES) -
         return out
     h = window_hashes(text, width)[order]
     at = np.flatnonzero(h[1:] == h[:-1])
+    del h
     for i in range(0, len(at), 1 << 14):
         a, b = order[at[i:i + (1 << 14)]], order[at[i:i + (1 << 14)] + 1]
         same = np.ones(len(a), bool)
@@ -197,19 +198,25 @@ def repeated(text: Array, asked: Array, width: int, memory: int = QUEUE_BYTES) -
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _VALUE = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype="u8")
+_HASHED = 1 << 17         # positions whose hashes are made at once
 
 
 def window_hashes(data: Array, width: int) -> Array:
-    """A 64-bit hash of the ``width`` bytes from each position on, by one running sum. Zero where fewer are left."""
+    """A 64-bit hash of the ``width`` bytes from each position on, by a running sum. Zero where fewer are left.
+
+    A hash does not depend on where the sum began, so it begins anew every ``_HASHED`` positions.
+    """
     n = len(data)
     out = np.zeros(n, "u8")
-    if n < width:
-        return out
-    powers = np.cumprod(np.full(n, _BASE, "u8"))
-    inverse = np.cumprod(np.full(n, pow(_BASE, -1, 1 << 64), "u8"))
-    total = np.concatenate([np.zeros(1, "u8"), np.cumsum(_VALUE[data] * powers)])
-    h = (total[width:] - total[:n - width + 1]) * inverse[:n - width + 1]
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    out[:n - width + 1] = h ^ (h >> np.uint64(32))
+    most = max(0, min(n, _HASHED + width - 1))
+    powers = np.cumprod(np.full(most, _BASE, "u8"))
+    inverse = np.cumprod(np.full(most, pow(_BASE, -1, 1 << 64), "u8"))
+    for at in range(0, n - width + 1, _HASHED):
+        part = data[at:at + _HASHED + width - 1]
+        windows = len(part) - width + 1
+        total = np.concatenate([np.zeros(1, "u8"), np.cumsum(_VALUE[part] * powers[:len(part)])])
+        h = (total[width:] - total[:windows]) * inverse[:windows]
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        out[at:at + windows] = h ^ (h >> np.uint64(32))
     return out

@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailprep.llm.common import filled, steps
+from mailprep.llm.common import filled, give_back, steps
 
 CELLS_LOG2 = 16            # n-grams are hashed into this many cells; bounds the model
 ORDERS = (1, 2, 3)         # n-gram lengths
@@ -19,6 +19,7 @@ BITS_PER_DOUBLING = 10     # codeword length of many languages, in units of log2
 SHARED = 0.01              # share of the languages' common distribution in each of them: unseen n-grams tell nothing
 AMBIGUOUS = 0.5            # a best score up to this is flagged
 GAP_SHARE = 0.5            # the gap between the nearest codewords that scores AMBIGUOUS, as a share of the usual gap
+STEP_CHARS = 1 << 15       # text that is scored at once; every n-gram of it takes a row of weights
 NONE = "und"
 LETTER = regex.compile(r"\p{L}")
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], "u4")
@@ -90,6 +91,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
         for name, total in sums.items():
             at = np.flatnonzero(total)
             yield pd.DataFrame({"lang": name, "cell": at, "n": total[at]})
+        give_back()
 
     counts = (rows.mapInPandas(count, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
               .toPandas())
@@ -138,8 +140,9 @@ def usual_gap(rows: DataFrame, model: dict) -> float:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             texts = [t for t in f["text"] if LETTER.search(t)]
-            for a, b in steps(texts):
+            for a, b in steps(texts, STEP_CHARS):
                 yield pd.DataFrame({"gap": decoded(shared.value, texts[a:b])[1]})
+        give_back()
 
     seen = rows.select("text").mapInPandas(run, "gap double").toPandas()["gap"]
     return float(seen.median()) if len(seen) else 0.0
@@ -164,15 +167,17 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, lang_score double")
-    def told(column: pd.Series) -> pd.DataFrame:
-        m, texts = shared.value, filled(column)
-        pred, score = np.full(len(texts), NONE, object), np.zeros(len(texts))
-        at = np.array([i for i, t in enumerate(texts) if m["langs"] and LETTER.search(t)], int)
-        some = [texts[i] for i in at]
-        for a, b in steps(some):
-            best, value = scores(m, some[a:b])
-            pred[at[a:b]], score[at[a:b]] = [m["langs"][i] for i in best], value
-        return pd.DataFrame({"lang_pred": pred, "lang_score": score})
+    def told(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        m = shared.value
+        for texts in map(filled, columns):
+            pred, score = np.full(len(texts), NONE, object), np.zeros(len(texts))
+            at = np.array([i for i, t in enumerate(texts) if m["langs"] and LETTER.search(t)], int)
+            some = [texts[i] for i in at]
+            for a, b in steps(some, STEP_CHARS):
+                best, value = scores(m, some[a:b])
+                pred[at[a:b]], score[at[a:b]] = [m["langs"][i] for i in best], value
+            yield pd.DataFrame({"lang_pred": pred, "lang_score": score})
+        give_back()
 
     out = docs.drop("lang_pred", "lang_score", "ambiguous").withColumn("_told", told(F.col(text)))
     return (out.withColumn("lang_pred", F.col("_told.lang_pred")).withColumn("lang_score", F.col("_told.lang_score"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailprep.llm.bloom import Bloom, bloom_of
-from mailprep.llm.common import filled, steps
+from mailprep.llm.common import filled, give_back, steps
 from mailprep.llm.induced import as_text, repeated, window_hashes
 from mailprep.session import saved
 
@@ -88,6 +88,7 @@ def _anchor_counts(docs: DataFrame, text: str, shards: int) -> DataFrame:
             edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]])) if len(h) else [0]
             yield pd.DataFrame([(int(shard[a]), h[a:b].tobytes(), n[a:b].astype("<u4").tobytes())
                                 for a, b in zip(edges[:-1], edges[1:])], columns=["shard", "hash", "n"])
+        give_back()
 
     def count(f: pd.DataFrame) -> pd.DataFrame:
         h = np.concatenate([np.frombuffer(x, "<u8") for x in f["hash"]])
@@ -159,6 +160,7 @@ def _spans(docs: DataFrame, text: str, known: Bloom, hot: Bloom, shards: int) ->
                     yield out.packed()
         if out.by_shard:
             yield out.packed()
+        give_back()
 
     def sort(f: pd.DataFrame) -> pd.DataFrame:
         pieces: dict[bytes, int] = {}
@@ -206,15 +208,6 @@ def _spans(docs: DataFrame, text: str, known: Bloom, hot: Bloom, shards: int) ->
     return sent.groupBy("shard").applyInPandas(sort, "name string, spans binary")
 
 
-def as_text_of(kept: Column) -> Column:
-    """Bytes as text; what is left of a character that was cut in part is left out."""
-    @F.pandas_udf("string")
-    def decoded(column: pd.Series) -> pd.Series:
-        return column.map(lambda b: b.decode(errors="ignore"))
-
-    return decoded(kept)
-
-
 def merged(spans: np.ndarray) -> np.ndarray:
     """Spans (from, to) joined where they overlap or touch, sorted."""
     if not len(spans):
@@ -225,8 +218,9 @@ def merged(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[first, 0], reach[np.append(np.flatnonzero(first)[1:], len(spans)) - 1]], axis=1)
 
 
-def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` with (n_bytes, n_removed, n_spans, kept): ``kept`` holds the bytes that stay.
+def dedup(docs: DataFrame, text: str = "text", whole: bool = False) -> DataFrame:
+    """All columns of ``docs`` with (n_bytes, n_removed, n_spans, kept): ``kept`` holds the bytes that stay, with ``whole``
+    only those of characters that stay whole, so that they are a text.
 
     A byte goes if a string of ``WIDTH`` bytes covers it that starts anywhere else too, in another text or the same.
     Anchors chosen by content sort all windows into groups that hold every copy of a window; anchors of one place drop
@@ -266,7 +260,7 @@ def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
             gone = merged(np.concatenate(parts)) if parts else np.zeros((0, 2), "i8")
             edges = [0, *gone.ravel().tolist(), len(raw)]
             kept = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))
-            out.append((kept, len(raw) - len(kept), len(gone)))
+            out.append((kept.decode(errors="ignore").encode() if whole else kept, len(raw) - len(kept), len(gone)))
         return pd.DataFrame(out, columns=["kept", "n_removed", "n_spans"])
 
     named = rows.withColumn("_name", text_id(F.col(text))).withColumn("_touched", has(_short_id(F.col("_name"))))

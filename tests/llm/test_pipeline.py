@@ -56,3 +56,22 @@ def test_empty(spark, make):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, "")
         assert docs.count() == 0
+
+
+def test_a_task_keeps_one_python_worker(spark, make):
+    """Workers that take turns in one task all stay, and their memory counts with that of the executor."""
+    plan = P.STAGES[4][1](spark, make([(1, "a b c", "en", "a")]), "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 1
+
+
+def test_characters_cut_in_part_go(spark, make):
+    """A passage that ends within a character: the bytes that stay are those of whole characters."""
+    from mailprep.llm import suffix_dedup
+
+    passage = "x" + "abcdefghij" * 21
+    rows = [(1, "eins " + passage + "é"), (2, "zwei " + passage + "è")]  # é and è share their first byte
+    cut = {r["doc_id"]: r for r in suffix_dedup.dedup(make(rows), whole=True).collect()}
+    plain = {r["doc_id"]: r for r in suffix_dedup.dedup(make(rows)).collect()}
+    assert {k: bytes(r["kept"]).decode() for k, r in cut.items()} == {
+        k: bytes(r["kept"]).decode(errors="ignore") for k, r in plain.items()}
+    assert {k: r["n_removed"] for k, r in cut.items()} == {k: r["n_removed"] for k, r in plain.items()}

@@ -80,3 +80,24 @@ def test_anchors_depend_on_the_window_alone():
 def test_merged_spans():
     assert S.merged(np.array([[5, 9], [0, 2], [2, 4], [8, 12]])).tolist() == [[0, 4], [5, 12]]
     assert S.merged(np.zeros((0, 2), "i8")).tolist() == []
+
+
+def test_hashes_in_parts_and_memory(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+
+    from mailprep.llm import induced
+
+    rng = np.random.default_rng(2)
+    data = rng.integers(0, 256, 5000).astype("u1")
+    whole = induced.window_hashes(data, 32)
+    monkeypatch.setattr(induced, "_HASHED", 700)
+    assert (induced.window_hashes(data, 32) == whole).all()
+    monkeypatch.undo()
+    text = induced.as_text([bytes(rng.integers(97, 110, 2000).astype("u1")) for _ in range(700)])[0]
+    tracemalloc.start()
+    induced.repeated(text, np.arange(len(text)) < len(text) - 200, 200)
+    most = tracemalloc.get_traced_memory()[1] / len(text)
+    tracemalloc.stop()
+    assert most < 45  # bytes a position
