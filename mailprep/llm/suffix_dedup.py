@@ -198,6 +198,8 @@ def _spans(docs: DataFrame, text: str, known: Bloom, hot: Bloom, shards: int) ->
         n = bounds[at + 1] - bounds[at]
         run = np.repeat(bounds[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         spans = np.stack([np.repeat(starts, n) + offset[first][run], np.repeat(starts, n) + offset[last][run] + WIDTH], axis=1)
+        del pieces, bodies, body, windows, asked, again, of, offset, linked
+        give_back()
         names, owner = list(texts), np.repeat(who, n)
         edges = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1], [True]])) if len(owner) else [0]
         return pd.DataFrame([(names[owner[a]], merged(spans[a:b]).astype("<i8").tobytes())
