@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from mailprep.llm import bpe_codec, jaccard_join, language_id, source_mix, suffix_dedup
 from mailprep.llm.common import reachable
-from mailprep.session import broadcast_if_small, saved
+from mailprep.session import broadcast_if_small, saved, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -38,12 +38,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near duplicates: the one with the smallest id, one without an id only if no other is
     there. Every row is a document of its own, whatever its id; documents without words stay."""
     rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    groups = jaccard_join.near_duplicates(rows.select("_row", "text"), "_row")
-    ids = rows.select("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("order"))
-    first = ids.join(groups, "_row").groupBy("component_id").agg(F.min("order")["_row"].alias("first"), F.count("*").alias("n"))
-    gone = groups.join(first.filter("n > 1"), "component_id").filter("_row != first").select("_row")
+    with scratch(spark):  # the join's own tables take room from the stages that follow
+        groups = jaccard_join.near_duplicates(rows.select("_row", "text"), "_row")
+        ids = rows.select("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("order"))
+        first = ids.join(groups, "_row").groupBy("component_id").agg(F.min("order")["_row"].alias("first"), F.count("*").alias("n"))
+        gone = groups.join(first.filter("n > 1"), "component_id").filter("_row != first").select("_row")
+        gone = saved(gone, "gone", lasting=True)
     # texts stay where they are unless very many rows go
-    return rows.join(broadcast_if_small(saved(gone, "gone"), MAX_SENT), "_row", "left_anti").select(*docs.columns)
+    return rows.join(broadcast_if_small(gone, MAX_SENT), "_row", "left_anti").select(*docs.columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

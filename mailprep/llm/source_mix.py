@@ -65,11 +65,18 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     Null text or source: size 0, a source of its own that comes last. Repeated rows each count. An empty table gives
     an empty result. Reruns agree.
     """
+    extra = ("_mark", "_source", "_at", "slope")
+    placed = _taken(_placed(_marked(docs, key, text, source)))
+    return placed.orderBy(F.col("position").asc_nulls_last(), "_mark").drop(*extra)
+
+
+def _marked(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
     mark = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.md5(F.coalesce(F.col(text).cast("binary"), F.lit("").cast("binary")))))
-    return _placed(docs.select("*", words(F.col(text)).alias("size"), mark.alias("_mark"), F.col(source).alias("_source")))
+    return docs.select("*", words(F.col(text)).alias("size"), mark.alias("_mark"), F.col(source).alias("_source"))
 
 
 def _placed(rows: DataFrame) -> DataFrame:
+    """``rows`` with (_at, source_size, slope, target), _at being the words of the source that come before the row."""
     rows = rows.withColumn("_cell", F.substring("_mark", 1, CELL_DIGITS))
     cells = saved(rows.groupBy("_source", "_cell").agg(F.sum("size").alias("n")), "mix_cells")
     plan = targets(cells.groupBy(F.col("_source").alias("source")).agg(F.sum("n").alias("source_size")))
@@ -80,7 +87,12 @@ def _placed(rows: DataFrame) -> DataFrame:
     inside = Window.partitionBy("_source", "_cell").orderBy("_mark").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     rows = rows.join(plan, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_cell") == F.col("_c")))
-    at = (F.col("_start") + F.col("_inside")).cast("double")
+    return rows.withColumn("_at", F.col("_start") + F.col("_inside")).drop("_cell", "_s", "_c", "_start", "_inside")
+
+
+def _taken(rows: DataFrame) -> DataFrame:
+    """Placed rows with (taken, positions, position)."""
+    at = F.col("_at").cast("double")
     again = at + F.col("source_size")
 
     def part(start: Column) -> Column:
@@ -89,9 +101,18 @@ def _placed(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("taken", (part(at) + part(again)).cast("long"))
     times = F.array(*[_when(F.try_divide(s, F.col("target")), F.col("slope")) for s in (at, again)])
     copies = F.when(part(again) > 0, 2).when(part(at) > 0, 1).otherwise(0)
-    rows = rows.withColumn("positions", F.slice(times, 1, copies)).withColumn("position", F.get("positions", F.lit(0)))
-    extra = ("_mark", "_source", "_cell", "_s", "_c", "_start", "_inside", "slope")
-    return rows.orderBy(F.col("position").asc_nulls_last(), "_mark").drop(*extra)
+    return rows.withColumn("positions", F.slice(times, 1, copies)).withColumn("position", F.get("positions", F.lit(0)))
+
+
+def _placed_whole(rows: DataFrame) -> DataFrame:
+    """``_placed`` for rows that carry texts, which travel once: places are found without them. Rows of one source with the
+    same key and text follow each other, so the place of the first tells those of all."""
+    rows = rows.withColumn("_id", F.concat("_mark", F.coalesce(F.concat(F.lit(":"), F.col("_source").cast("string")), F.lit(""))))
+    first = _placed(rows.select("_id", "_mark", "_source", "size")).groupBy(F.col("_id").alias("_f")).agg(
+        F.min("_at").alias("_first"), *[F.first(c).alias(c) for c in ("source_size", "slope", "target")])
+    nth = F.row_number().over(Window.partitionBy("_id").orderBy("_mark")) - 1
+    rows = rows.withColumn("_at", nth * F.col("size")).join(first, F.col("_id") == F.col("_f"))
+    return rows.withColumn("_at", F.col("_at") + F.col("_first")).drop("_id", "_f", "_first")
 
 
 def sequence(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -101,7 +122,7 @@ def sequence(docs: DataFrame, key: str = "doc_id", text: str = "text", source: s
     words take no room and stay in, once, at the end.
     """
     columns = docs.columns
-    mixed = mix(docs.select(*[F.col(c) for c in columns]), key, text, source)
+    mixed = _taken(_placed_whole(_marked(docs, key, text, source))).drop("_at")
     copies = mixed.withColumn("_left", F.col("taken")).select(
         "*", F.posexplode(F.when(F.col("size") == 0, F.array(F.lit(None).cast("double"))).otherwise(F.col("positions")))
         .alias("_copy", "_at"))

@@ -6,6 +6,9 @@ import json
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,7 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 TASKS_PER_CORE = 4
 ROW_GROUP_BYTES = 32 << 20  # a writer holds one in memory
 _local_dirs: dict[str, str] = {}
+_passing: ContextVar[list[str] | None] = ContextVar("_passing", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,13 +37,29 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a table in the shared folder and read back: computed once, whatever is lost later."""
-    path = new_path(df.sparkSession, name)
+def saved(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
+    """``df`` written as a table in the shared folder and read back: computed once, whatever is lost later. A ``lasting``
+    table also stays at the end of ``scratch``."""
+    path, passing = new_path(df.sparkSession, name), _passing.get()
+    if passing is not None and not lasting:
+        passing.append(path)
     df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are saved inside go at the end. What is read later has to be saved as lasting."""
+    paths: list[str] = []
+    token = _passing.set(paths)
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` when it is counted to hold at most ``max_rows`` rows; leave the join to AQE otherwise.
 

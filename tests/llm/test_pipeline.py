@@ -1,12 +1,13 @@
 """The stages one after the other, each against a plain version of itself."""
 
 import hashlib
+import os
 
 import public_tokenizers
 
 import corpus_pipeline as P
 from mailprep.llm import bpe_codec
-from mailprep.session import saved
+from mailprep.session import saved, shared_dir
 from tests.llm.test_jaccard_join import brute as groups_of
 from tests.llm.test_suffix_dedup import brute as cut_of
 
@@ -51,6 +52,15 @@ def test_rows_are_documents(spark, make):
     assert got == sorted(want, key=repr)
 
 
+def test_tables_of_the_join_go(spark, make):
+    """What the join of near duplicates saves on its way takes no room from the stages that follow."""
+    before = set(os.listdir(shared_dir(spark)))
+    text = " ".join(f"w{k}" for k in range(40))
+    out = P.STAGES[1][1](spark, make([(1, text), (2, text + " more"), (3, "a b c")]), "")
+    new = {n.rsplit("-", 1)[0] for n in set(os.listdir(shared_dir(spark))) - before}
+    assert new == {"numbered", "gone"} and sorted(r["doc_id"] for r in out.collect()) == [1, 3]
+
+
 def test_empty(spark, make):
     docs = make([])
     for _, stage in P.STAGES:

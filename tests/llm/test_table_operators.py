@@ -2,6 +2,7 @@
 
 import random
 import statistics
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -139,6 +140,24 @@ def test_sequence(spark, make):
     assert source_mix.mix(make([])).collect() == [] and source_mix.sequence(make([])).collect() == []
 
 
+def test_sequence_moves_texts_twice(spark, make):
+    """Once to meet their places and once into training order; equal rows each keep their own copies."""
+    rows = [(i % 7, f"a{i % 7} b c", str(i), "xy"[i % 2]) for i in range(60)] + [(None, "q r", str(i), None) for i in range(5)]
+    out = source_mix.sequence(make(rows))
+    plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    moved = [part for part in plan.split("\n\n") if " Exchange\n" in part and "text#" in part]
+    assert len(moved) == 2
+    taken = {}
+    for r in source_mix.mix(make(rows)).collect():
+        taken[r["doc_id"], r["source"]] = taken.get((r["doc_id"], r["source"]), 0) + r["taken"]
+    got = {}
+    for r in out.collect():
+        got[r["doc_id"], r["source"]] = got.get((r["doc_id"], r["source"]), 0) + len(r["text"].split())
+    assert got == {k: n for k, n in taken.items() if n}
+    most = 2 * sum(len(t.split()) for _, t, *_ in rows)
+    assert sum(got.values()) == pytest.approx(most * 0.75, abs=3) and max(Counter(r["lang"] for r in out.collect()).values()) <= 4
+
+
 # --- top-k search -------------------------------------------------------------------------------------------
 
 def brute_top(rows, k):
