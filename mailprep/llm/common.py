@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from mailprep.session import saved
 
+FEW_EDGES = 100_000  # up to so many are one partition, which needs no exchange
 CHARS_PER_STEP = 1 << 18  # text that one vectorised step takes at once; longer single texts are taken alone
 
 
@@ -81,8 +82,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     Large-star and small-star steps in turn: each sends the neighbours of a node to their smallest one, so stars grow in
     few rounds and no node's neighbours are ever gathered. Minima combine before the shuffle; a node with very many
-    edges is a skewed join that adaptive execution splits. Every round is a table in the shared folder. Loops and
-    repeated edges are allowed; nodes without an edge to another node do not appear.
+    edges is a skewed join that adaptive execution splits. Every round is a table in the shared folder. Up to
+    ``FEW_EDGES`` edges take rounds of one task. Loops and repeated edges are allowed; nodes without an edge to another
+    node do not appear.
     """
     edges = saved(edges.filter("a is not null and b is not null and a != b")
                   .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
@@ -92,7 +94,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     now, before = state(edges), None
     while now != before and now[0]:  # no edge, no round
-        both = edges.union(edges.select("b", "a"))
+        edges = edges.coalesce(1) if now[0] <= FEW_EDGES else edges
+        both = edges.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a and b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.distinct()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from mailprep.llm.bloom import bloom_of
 from mailprep.llm.common import components, filled, give_back, nothing, small_batches, steps
-from mailprep.session import saved
+from mailprep.session import broadcast_if_small, saved
 
 WORDS = 5
 PERCENT = 80            # documents link from this share of common shingles on
@@ -27,6 +27,8 @@ SKETCH_BITS = 512       # at least, of the short sketch that is compared before
 KEYS_PER_SEND = 1 << 19
 SHARDS_PER_TASK = 4
 BATCH_ROWS = 1000       # texts, or pairs of sets, that a Python worker takes at once
+MAX_SENT = 100_000      # rows of one or two numbers that go to every task instead of an exchange
+DRAWS = 4               # stars drawn at once after the first round
 WORTH = 0.3             # share of a round's pairs with near sketches that must link for another one
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9))
@@ -249,7 +251,8 @@ def text_id(text: Column) -> Column:
 def _sets_of(docs: DataFrame, text: str, wanted: DataFrame, classes: DataFrame) -> DataFrame:
     """(class, shingles) of the ``wanted`` classes (class), one row each. Only texts that may be the ones that stand
     for these classes are read into shingles again."""
-    ids = wanted.join(classes, "class").select("text_id")
+    wanted = broadcast_if_small(wanted, MAX_SENT)
+    ids = classes.join(wanted, "class").select("text_id")
     shared = docs.sparkSession.sparkContext.broadcast(bloom_of(ids, "text_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,13 +285,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, classes: DataFrame)
             yield f.loc[[linked(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")) for x, y in zip(f["sa"], f["sb"])], ["a", "b"]]
         give_back()
 
-    sized = pairs.join(of("a", "n", "sketch"), "a").join(of("b", "n", "sketch"), "b").filter(
+    sized = of("a", "n", "sketch").join(broadcast_if_small(pairs, MAX_SENT), "a").join(of("b", "n", "sketch"), "b").filter(
         f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
     left = saved(sized.mapInPandas(near, "a long, b long"), "pairs_near")
     ends = saved(left.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "pair_ends")
     sets = saved(_sets_of(docs, text, ends, classes), "shingle_sets")
     one, two = sets.toDF("a", "sa"), sets.toDF("b", "sb")
-    return saved(left.join(one, "a").join(two, "b").mapInPandas(sure, "a long, b long"), "links"), left.count()
+    met = one.join(broadcast_if_small(left, MAX_SENT), "a").join(two, "b")
+    return saved(met.mapInPandas(sure, "a long, b long"), "links"), left.count()
 
 
 def _rarest(met: DataFrame, classes: DataFrame) -> DataFrame:
@@ -326,17 +330,18 @@ def _named(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _star_pairs(named: DataFrame, turn: int) -> DataFrame:
-    """Every class of a block with a class of another group there, the first one in an order that is drawn anew each turn."""
-    drawn = F.xxhash64("class", F.lit(turn)).alias("drawn")
-    first = named.groupBy("block").agg(F.min(F.struct(drawn, "class", "grp", "n")).alias("one"))
-    both = named.join(first, "block")
-    apart = both.filter("grp != one.grp")
-    to_first = apart.select(F.least("one.class", "class").alias("a"), F.greatest("one.class", "class").alias("b"),
-                            F.col("one.n").alias("na"), F.col("n").alias("nb"))
-    second = apart.groupBy("block").agg(F.min(F.struct(drawn, "class", "n")).alias("two"))
-    to_second = both.filter("grp = one.grp").join(second, "block").select(
-        F.least("two.class", "class").alias("a"), F.greatest("two.class", "class").alias("b"), F.col("two.n").alias("na"), F.col("n").alias("nb"))
-    return to_first.union(to_second).filter(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)").select("a", "b").distinct()
+    """Every class of a block with a class of another group there, the first one in an order that is drawn anew each turn.
+    Later turns find less, so they take several draws at once."""
+    draws = [turn] if turn == 0 else range(1 + (turn - 1) * DRAWS, 1 + turn * DRAWS)
+    one = [F.struct(F.xxhash64("class", F.lit(i)).alias("drawn"), "class", "grp", "n") for i in draws]
+    both = named.join(named.groupBy("block").agg(F.array(*map(F.min, one)).alias("ones")), "block")
+    # the class that a draw names meets those of other groups, the first of another group those of its own
+    others = [F.min(F.when(F.col("grp") != F.col("ones")[i]["grp"], x)) for i, x in enumerate(one)]
+    both = both.join(both.groupBy("block").agg(F.array(*others).alias("twos")), "block")
+    ends = F.array(*[F.when(F.col("grp") != F.col("ones")[i]["grp"], F.col("ones")[i]).otherwise(F.col("twos")[i]) for i in range(len(one))])
+    pairs = both.select("class", "n", F.explode(F.array_distinct(ends)).alias("to"))
+    return pairs.filter(f"100 * least(n, to.n) >= {PERCENT} * greatest(n, to.n)").select(
+        F.least("class", "to.class").alias("a"), F.greatest("class", "to.class").alias("b")).distinct()
 
 
 def _all_pairs(named: DataFrame, classes: DataFrame) -> DataFrame:
@@ -360,7 +365,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """(key, n_shingles, component_id) of every row: its set's size and the smallest key that links reach.
 
     Documents link when their sets share ``PERCENT`` percent of the union. Equal sets are one class, so copies are
-    never compared. Classes meet in their rarest blocks. There each is compared with the smallest class of another group, round by
+    never compared. Classes meet in their rarest blocks. There each is compared with a drawn class of another group, round by
     round while many link, which joins nearly all of a group with few comparisons; then all pairs are compared that meet
     in a block and are still in different groups. No pair inside a group is written out, and none across groups is left out.
 
@@ -387,17 +392,19 @@ def _grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
     groups = nothing(docs.sparkSession, "node long, component long")
     links = tried = nothing(docs.sparkSession, "a long, b long")
     for turn in count():
-        pairs = saved(_star_pairs(_named(rows, groups), turn).join(tried, ["a", "b"], "left_anti"), "pairs")
+        found = _star_pairs(_named(rows, groups), turn)
+        pairs = saved(found.join(broadcast_if_small(tried, MAX_SENT), ["a", "b"], "left_anti") if turn else found, "pairs")
         more, asked = _verified(pairs, docs, text, classes)
         links, tried = links.union(more), tried.union(pairs)
         joined = more.count()
-        groups = components(links, "groups") if joined else groups
+        groups = broadcast_if_small(components(links, "groups"), MAX_SENT) if joined else groups
         if joined < WORTH * asked or not joined:
             break
-    rest = saved(_all_pairs(_named(rows, groups), classes).join(tried, ["a", "b"], "left_anti"), "pairs")
+    rest = _all_pairs(_named(rows, groups), classes).join(broadcast_if_small(tried, MAX_SENT), ["a", "b"], "left_anti")
+    rest = saved(rest, "pairs")
     if not rest.isEmpty():
         links = links.union(_verified(rest, docs, text, classes)[0])
-        groups = components(links, "groups")
+        groups = broadcast_if_small(components(links, "groups"), MAX_SENT)
     # rows of one key tie their classes together
     by_class = sizes.filter("n > 0").join(groups.withColumnRenamed("node", "class"), "class", "left").select(
         "_key", F.coalesce("component", "class").alias("grp"))

@@ -148,3 +148,31 @@ def test_empty_tables_take_no_python_worker(spark):
     empty = nothing(spark, "a long, b string")
     assert empty.dtypes == [("a", "bigint"), ("b", "string")] and empty.collect() == []
     assert "RDD" not in empty._jdf.queryExecution().toString()
+
+
+def test_rounds_over_few_edges_need_no_exchange(spark, monkeypatch):
+    """What is left of most rounds is small, and exchanges over as many tasks as the whole input has take far longer."""
+    from mailprep.llm import common
+
+    plans, saved = [], common.saved
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return saved(df, name)
+
+    monkeypatch.setattr(common, "saved", kept)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 101), (102, 101), (7, 7)], "a long, b long")
+    want = sorted([(i, 0) for i in range(51)] + [(i, 100) for i in range(100, 103)])
+    assert sorted(map(tuple, common.components(edges).collect())) == want
+    assert len(plans) > 1 and not any(plans[1:])
+    plans.clear()
+    monkeypatch.setattr(common, "FEW_EDGES", 0)
+    assert sorted(map(tuple, common.components(edges).collect())) == want and all(plans)
+
+
+def test_later_rounds_draw_several_stars(spark):
+    named = spark.createDataFrame([(b, c, 10, c // 4) for b in (1, 2) for c in range(40)], "block long, class long, n long, grp long")
+    met = [collected(J._star_pairs(named, turn)) for turn in (0, 1, 2)]
+    assert all(a // 4 != b // 4 for pairs in met for a, b in pairs)
+    assert all({c for p in pairs for c in p} == set(range(40)) for pairs in met)
+    assert len(met[0]) < 80 < 110 < min(len(met[1]), len(met[2])) and met[1] != met[2]
