@@ -29,7 +29,7 @@ SHARDS_PER_TASK = 4
 BATCH_ROWS = 1000       # texts, or pairs of sets, that a Python worker takes at once
 MAX_SENT = 100_000      # rows of one or two numbers that go to every task instead of an exchange
 DRAWS = 4               # stars drawn at once after the first round
-WORTH = 0.3             # share of a round's pairs with near sketches that must link for another one
+WORTH = 0.5             # share of a round's pairs with near sketches that must link for another one
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9))
 
